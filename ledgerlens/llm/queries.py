@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import neardup
+from ledgerlens.llm import langid, neardup, pii, tokens
 from ledgerlens.llm.common import read
 
 
@@ -14,8 +14,20 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op2_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
+def op6_pii_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(read(spark, sf_dir, "documents"))
+
+
+def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.digest(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_simhash_near_dedup,)}
+    found = {f.__name__: f for f in (op1_simhash_near_dedup, op2_language_bitmask, op6_pii_deobfuscation, op8_token_records)}
     return found
 
 
