@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import langid, neardup, pii, tokens
+from ledgerlens.llm import langid, neardup, pii, quality_mil, quality_rules, tokens, toxicity
 from ledgerlens.llm.common import read
 
 
@@ -26,8 +26,20 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.digest(read(spark, sf_dir, "documents"))
 
 
+def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op9_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read(spark, sf_dir, "documents"))
+
+
+def op10_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mil.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_simhash_near_dedup, op2_language_bitmask, op6_pii_deobfuscation, op8_token_records)}
+    found = {f.__name__: f for f in (op1_simhash_near_dedup, op2_language_bitmask, op6_pii_deobfuscation, op7_toxicity_chain, op8_token_records, op9_quality_votes, op10_quality_attention)}
     return found
 
 
