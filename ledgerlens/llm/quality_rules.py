@@ -43,9 +43,13 @@ def measures(docs: DataFrame, *extra: str) -> DataFrame:
         F.regexp_count("text", F.lit("[.!?]")).cast("long").alias("n_stops"),
         F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
         lines.alias("lines"),
-        F.when(F.size("words") >= WINDOW, F.transform(F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("words", i, WINDOW)))).otherwise(F.array().cast("array<long>")).alias("windows"),
+        F.transform("words", lambda w, i: F.xxhash64(w, F.get("words", i + 1))).alias("two"),
     )
-    sized = b.select("*", F.size("lines").alias("__lines"), F.size("windows").alias("__windows"))
+    # hashes of 2, 4 and 8 words in a row, each from two of the step before; those that reach past the end are cut off
+    four = b.select("*", F.size("two").alias("__n"), F.transform("two", lambda h, i: F.xxhash64(h, F.get("two", i + 2))).alias("four")).drop("two")
+    eight = four.select("*", F.size("four").alias("__m"), F.transform("four", lambda h, i: F.xxhash64(h, F.get("four", i + 4))).alias("eight")).drop("four")
+    full = eight.select("*", F.slice("eight", 1, F.greatest(F.lit(0), F.col("__n") - (WINDOW - 1))).alias("windows")).drop("eight")
+    sized = full.select("*", F.size("lines").alias("__lines"), F.size("windows").alias("__windows"))
     at = F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     c = sized.select(*extra, "doc_id", "n_words", "word_chars", "n_symbols", "n_upper", "n_stops", "n_distinct", (F.col("__lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.when(F.size(F.array_distinct("windows")) < F.col("__windows"), at).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")).alias("at"))
     same = lambda x, y: y.isNotNull() & (x["h"] == y["h"])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import langid, neardup, pii, quality_mil, quality_rules, tokens, toxicity
+from ledgerlens.llm import decontaminate, langid, mixing, neardup, pii, quality_mil, quality_rules, tokens, toxicity, urltree
 from ledgerlens.llm.common import read
 
 
@@ -18,6 +18,18 @@ def op2_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op4_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+def op5_url_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urltree.judge(read(spark, sf_dir, "pages"))
+
+
 def op6_pii_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read(spark, sf_dir, "documents"))
 
@@ -39,9 +51,9 @@ def op10_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_simhash_near_dedup, op2_language_bitmask, op6_pii_deobfuscation, op7_toxicity_chain, op8_token_records, op9_quality_votes, op10_quality_attention)}
+    found = {f.__name__: f for f in (op1_simhash_near_dedup, op2_language_bitmask, op3_spaced_seed_decontamination, op4_poisson_mixing, op5_url_template_tree, op6_pii_deobfuscation, op7_toxicity_chain, op8_token_records, op9_quality_votes, op10_quality_attention)}
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_poisson_mixing": mixing.ORACLE}
