@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import bktree
-from ledgerlens.llm.common import map_arrow, per_row
+from ledgerlens.llm.common import join_counted, map_arrow, per_row
 from ledgerlens.operators.components import connected_components
 from ledgerlens.plans import scratch
 
@@ -98,45 +98,20 @@ def _shards(points: DataFrame, radius: int, limit: int) -> DataFrame:
     marked = tops.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "top", "left")
     cold = marked.where("hot is null").select(F.shiftleft("top", 32).alias("shard"), "fp")
     second = marked.where("hot").select(F.explode("subs").alias("sub"), "top", "fp").select(F.shiftleft("top", 32).bitwiseOR(F.shiftleft(F.lit(1).cast("long"), 31)).bitwiseOR(F.col("sub")).alias("shard"), "fp")
-    large = scratch.keep(second.groupBy("shard").count().where(F.col("count") > limit).withColumn("chunks", F.ceil(F.col("count") / limit).cast("int")).select("shard", "chunks"), "large")
-    whole = lambda d: d.select("shard", F.lit(0).alias("ci"), F.lit(0).alias("cj"), F.lit(3).alias("side"), "fp")
-    if large.isEmpty():
-        return whole(cold.unionByName(second))
-    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    cut = second.join(large, "shard").select("shard", "fp", chunk.alias("c"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("o"))
-    cut = cut.select("shard", F.least("c", "o").alias("ci"), F.greatest("c", "o").alias("cj"), F.when(F.col("c") == F.col("o"), 3).when(F.col("c") < F.col("o"), 1).otherwise(2).alias("side"), "fp")
-    return whole(cold.unionByName(second.join(large, "shard", "left_anti"))).unionByName(cut)
+    whole = cold.withColumns({"ci": F.lit(0), "cj": F.lit(0), "side": F.lit(3)})
+    return whole.unionByName(_chunked(second, limit, "fp"))
 
 
-def _links(batches, radius: int):
-    """Stars of linked fingerprints from rows sorted by shard, ci, cj."""
+def _groups(batches, keys: int, flush):
+    """Integer rows sorted by their first ``keys`` columns, handed to ``flush`` in whole groups, many at a time."""
     held: list[np.ndarray] = []
     size = 0
-
-    def flush(rows):
-        shard, ci, cj, side, fp = rows
-        new = np.concatenate(([True], (shard[1:] != shard[:-1]) | (ci[1:] != ci[:-1]) | (cj[1:] != cj[:-1])))
-        group = np.cumsum(new)
-        tree, ask = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
-        points = fp.view(np.uint64)
-        forest = bktree.Forest(points[tree], group[tree])
-        a, b = [], []
-        for q, p, _ in forest.within(points[ask], group[ask], radius):
-            x, y = ask[q], tree[p]
-            ok = x != y
-            a.append(x[ok])
-            b.append(y[ok])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        low = bktree.lowest(len(fp), a, b, fp)
-        out = np.unique(np.stack([fp, low], 1)[fp != low], axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["src", "dst"])
-
     for batch in batches:
         held.append(np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]))
         size += batch.num_rows
         if size >= 1 << 16:
             rows = np.concatenate(held, 1)
-            last = np.flatnonzero((rows[:3] != rows[:3, -1:]).any(0))
+            last = np.flatnonzero((rows[:keys] != rows[:keys, -1:]).any(0))
             to = last[-1] + 1 if len(last) else 0  # the last group may go on
             if to:
                 yield flush(np.ascontiguousarray(rows[:, :to]))
@@ -145,15 +120,55 @@ def _links(batches, radius: int):
         yield flush(np.ascontiguousarray(rows))
 
 
+def _stars(vertex: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
+    out = np.unique(np.stack([vertex, label], 1)[vertex != label], axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["src", "dst"])
+
+
+def _links(batches, radius: int):
+    """Stars of linked vertices from rows (shard, ci, cj, side, fp, vertex) sorted by shard, ci, cj."""
+
+    def flush(rows):
+        shard, ci, cj, side, fp, vertex = rows
+        group = np.cumsum(np.concatenate(([True], (shard[1:] != shard[:-1]) | (ci[1:] != ci[:-1]) | (cj[1:] != cj[:-1]))))
+        tree, ask = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
+        points = fp.view(np.uint64)
+        forest = bktree.Forest(points[tree], group[tree])
+        a, b = [], []
+        for q, p, _ in forest.within(points[ask], group[ask], radius):
+            x, y = ask[q], tree[p]
+            a.append(x[x != y])
+            b.append(y[x != y])
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+        return _stars(vertex, bktree.lowest(len(fp), a, b, vertex))
+
+    return _groups(batches, 3, flush)
+
+
+def _deal(rows: DataFrame, radius: int) -> DataFrame:
+    dealt = rows.repartition("shard", "ci", "cj").sortWithinPartitions("shard", "ci", "cj").select("shard", "ci", "cj", "side", "fp", "vertex")
+    return map_arrow(dealt, lambda it: _links(it, radius), "src long, dst long")
+
+
+def _chunked(rows: DataFrame, limit: int, key: str) -> DataFrame:
+    """``rows(shard, ...)`` with ci, cj and side: shards of more than ``limit`` rows are cut into chunks, each pair of which meets once."""
+    large = scratch.keep(rows.groupBy("shard").count().where(F.col("count") > limit).withColumn("chunks", F.ceil(F.col("count") / limit).cast("int")).select("shard", "chunks"), "large")
+    whole = lambda d: d.withColumns({"ci": F.lit(0), "cj": F.lit(0), "side": F.lit(3)})
+    if large.isEmpty():
+        return whole(rows)
+    c = F.pmod(F.xxhash64(key), F.col("chunks")).cast("int")
+    cut = rows.join(large, "shard").withColumn("c", c).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    cut = cut.withColumns({"ci": F.least("c", "o"), "cj": F.greatest("c", "o"), "side": F.when(F.col("c") == F.col("o"), 3).when(F.col("c") < F.col("o"), 1).otherwise(2)}).drop("c", "o", "chunks")
+    return whole(rows.join(large, "shard", "left_anti")).unionByName(cut)
+
+
 def fingerprint_links(points: DataFrame, radius: int = RADIUS, limit: int = SHARD_POINTS) -> DataFrame:
     """Links (src, dst) that connect whatever distinct fingerprints ``points(fp)`` differ in at most ``radius`` bits.
 
     Transitively complete: two fingerprints are joined by a path of these links exactly if
     they are joined by a path of pairs within the radius. Null fingerprints are ignored.
     """
-    rows = _shards(points.where("fp is not null"), radius, limit)
-    dealt = rows.repartition("shard", "ci", "cj").sortWithinPartitions("shard", "ci", "cj")
-    return map_arrow(dealt, lambda it: _links(it, radius), "src long, dst long").where("src <> dst")
+    return _deal(_shards(points.where("fp is not null"), radius, limit).withColumn("vertex", F.col("fp")), radius)
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, radius: int = RADIUS, limit: int = SHARD_POINTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,9 +179,125 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = RADIUS, limit
     ids of the group are null. Repeated rows are returned as often as they come. Other columns are ignored.
     """
     prints = scratch.keep(fingerprints(docs, width, id_col, text_col), "fp")
-    classes = scratch.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
+    classes = scratch.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "classes")
     links = scratch.keep(fingerprint_links(classes.select("fp"), radius, limit), "links")
     groups = scratch.keep(connected_components(links).withColumnsRenamed({"vid": "fp", "cc": "root"}), "groups")
     lowest = groups.join(classes, "fp").groupBy("root").agg(F.min("first_id").alias("group_id"))
-    table = classes.join(groups.join(lowest, "root").select("fp", "group_id", F.lit(True).alias("linked")), "fp", "left").select("fp", F.when(F.col("linked"), F.col("group_id")).otherwise(F.col("first_id")).alias("component_id"))
-    return prints.join(table, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    table = classes.join(groups.join(lowest, "root").select("fp", "group_id", F.lit(True).alias("linked")), "fp", "left").select("fp", "n", F.when(F.col("linked"), F.col("group_id")).otherwise(F.col("first_id")).alias("component_id"))
+    return join_counted(prints, scratch.keep(table, "table"), ["fp"], "n").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+# Near duplicates by similarity of shingle sets
+
+#: Bits that the fingerprints of two texts with four fifths of their shingles in common may differ in, with room to spare.
+SET_RADIUS = 14
+BANDS = 12
+#: Documents of a group that are compared in one task.
+VERIFY_DOCS = 512
+_MIX = (np.arange(1, 2 * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def _sketch(hashes: np.ndarray) -> tuple[int, int, list[int]]:
+    """(class of the shingle set, fingerprint, band keys) of distinct sorted hashes."""
+    if not len(hashes):
+        return 0, 0, [0] * BANDS
+    low = np.full(2 * BANDS, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(hashes), 1 << 14):
+        part = hashes[None, i : i + (1 << 14)] * _MIX[:, None]
+        part ^= part >> np.uint64(32)
+        low = np.minimum(low, (part * np.uint64(0xD6E8FEB86659FD93)).min(1))
+    keys = (low[::2] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (low[1::2] >> np.uint64(7)) ^ (np.arange(BANDS, dtype=np.uint64) << np.uint64(59))
+    return _signed(xxhash.xxh64_intdigest(hashes.tobytes(), _SEED)), _signed(simhash(hashes)), keys.view(np.int64).tolist()
+
+
+def _verified(batches, similarity: float):
+    """Stars of vertices whose sets are alike, from rows (shard, ci, cj, side, vertex, hashes) sorted by shard, ci, cj."""
+
+    def solve(rows: list[tuple[int, int, bytes]]):
+        rows = [(side, v, np.frombuffer(h, np.uint64)) for side, v, h in sorted(rows)]
+        parent = {v: v for _, v, _ in rows}
+
+        def top(v):
+            while parent[v] != v:
+                parent[v] = parent[parent[v]]
+                v = parent[v]
+            return v
+
+        for i, (side, v, a) in enumerate(rows):
+            # the first links of a dense group leave few pairs to compare: those in different components
+            for other, w, b in rows[:i]:
+                if (side == other != 3) or min(len(a), len(b)) < similarity * max(len(a), len(b)) or (x := top(v)) == (y := top(w)):
+                    continue
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                if common >= similarity * (len(a) + len(b) - common):
+                    parent[max(x, y)] = min(x, y)
+        return [(v, top(v)) for v in parent if top(v) != v]
+
+    def out(pairs):
+        return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["src", "dst"])
+
+    key, rows, found = None, [], []
+    for batch in batches:
+        for shard, ci, cj, side, v, h in zip(*[c.to_pylist() for c in batch.columns]):
+            if (shard, ci, cj) != key:
+                found += solve(rows)
+                key, rows = (shard, ci, cj), []
+            rows.append((side, v, h))
+    yield out(found + solve(rows))
+
+
+def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = SET_RADIUS, limit: int = SHARD_POINTS) -> tuple[DataFrame, DataFrame]:
+    """Groups of rows of ``docs(doc_id, text)`` linked by shingle sets with a Jaccard similarity of at least ``similarity``.
+
+    Returns (members(rk, doc_id, sig), groups(sig, keep, n)): a row's key is a hash of its id and text, its class
+    stands for its set of shingles, and ``keep`` is the key of the row of the group's smallest id.
+
+    Shards are bands of two minimum hashes: texts that similar share one of twelve but in 5 of a million
+    cases. Each shard's tree gives candidates within ``radius`` bits; linked candidates form clusters, and
+    within these, in tasks of bounded size, the sets themselves are compared.
+    """
+    rk = F.xxhash64("doc_id", "text")
+
+    def sketches(b):
+        got = [_sketch(np.unique(shingle_hashes(t, width))) for t in b.column(2).to_pylist()]
+        return {"rk": b.column(0), "doc_id": b.column(1), "sig": [g[0] for g in got], "fp": [g[1] for g in got], "bands": [g[2] for g in got]}
+
+    rows = scratch.keep(per_row(docs.select(rk.alias("rk"), F.col("doc_id").cast("long").alias("doc_id"), "text"), sketches, "rk long, doc_id long, sig long, fp long, bands array<long>"), "sketch")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("rk").alias("rk"))
+    classes = scratch.keep(rows.groupBy("sig").agg(F.min(order).alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.count("*").alias("n")), "classes")
+    shards = classes.where("sig <> 0").select(F.explode("bands").alias("shard"), "fp", F.col("sig").alias("vertex"))
+    candidates = scratch.keep(_deal(_chunked(shards, limit, "vertex"), radius), "candidates")
+    clusters = scratch.keep(connected_components(candidates).withColumnsRenamed({"vid": "sig", "cc": "shard"}), "clusters")
+    if clusters.isEmpty():
+        return rows.select("rk", "doc_id", "sig"), classes.select("sig", F.col("first.rk").alias("keep"), "n")
+    members = scratch.keep(clusters.join(classes, "sig").select(F.col("first.rk").alias("rk"), F.col("sig").alias("vertex"), "shard"), "members")
+
+    def sets(b):
+        return {"shard": b.column(0), "vertex": b.column(1), "hashes": [np.unique(shingle_hashes(t, width)).tobytes() for t in b.column(2).to_pylist()]}
+
+    texts = docs.withColumn("rk", rk).select("rk", "text").join(members, "rk").select("shard", "vertex", "text")
+    compared = per_row(texts, sets, "shard long, vertex long, hashes binary")
+    plan = _chunked(members.select("shard", "vertex"), VERIFY_DOCS, "vertex")
+    dealt = plan.join(compared.dropDuplicates(["vertex"]).select("vertex", "hashes"), "vertex").repartition("shard", "ci", "cj").sortWithinPartitions("shard", "ci", "cj").select("shard", "ci", "cj", "side", "vertex", "hashes")
+    links = scratch.keep(map_arrow(dealt, lambda it: _verified(it, similarity), "src long, dst long"), "links")
+    groups = scratch.keep(connected_components(links).withColumnsRenamed({"vid": "sig", "cc": "root"}), "groups")
+    best = groups.join(classes, "sig").groupBy("root").agg(F.min("first").alias("best"))
+    linked = groups.join(best, "root").select("sig", F.col("best.rk").alias("best"))
+    return rows.select("rk", "doc_id", "sig"), classes.join(linked, "sig", "left").select("sig", F.coalesce("best", F.col("first.rk")).alias("keep"), "n")
+
+
+def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = SET_RADIUS) -> DataFrame:
+    """``docs``, all columns, with one row of each group of near duplicates: that of its smallest id.
+
+    Null and empty texts are one group. Rows that repeat id and text are one row afterwards. A null id ranks last.
+    """
+    rows, groups = near_groups(docs, width, similarity, radius)
+    groups = scratch.keep(groups, "keeps")
+    gone = scratch.keep(join_counted(rows, groups, ["sig"], "n").where("rk <> keep").select("rk").distinct(), "gone")
+    twice = scratch.keep(rows.groupBy("rk").count().where("count > 1").select("rk"), "twice")
+    keyed = docs.withColumn("__rk", F.xxhash64("doc_id", "text"))
+    left = keyed.join(gone.withColumnRenamed("rk", "__rk"), "__rk", "left_anti")
+    if twice.isEmpty():
+        return left.drop("__rk")
+    again = twice.withColumnRenamed("rk", "__rk")
+    return left.join(again, "__rk", "left_anti").unionByName(left.join(again, "__rk").dropDuplicates(["__rk"])).drop("__rk").select(docs.columns)
