@@ -32,8 +32,8 @@ from ledgerlens.plans import scratch
 
 END_ID = 2
 _MASK = 0xA282EAD8
-#: Entries of a worker's word cache at most; it is emptied when full.
-CACHE_WORDS = 1_000_000
+#: Words that a worker remembers at most.
+CACHE_WORDS = 800_000
 _HEAD = struct.Struct("<QI")
 _META = struct.Struct("<BqB")
 
@@ -83,16 +83,46 @@ def decode_payload(payload: bytes) -> tuple[int | None, np.ndarray]:
 _IRREGULAR = re.compile(r"[ \n]\s|\s[ \n]|\A[ \n]|[ \n]\Z")
 _BREAK = re.compile(r"(?= \S)")
 _POINTS = frozenset(",.;:!?")
+_OTHER_SPACES = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+_RUNS = ("  ", " \n", "\n ", "\n\n")
+
+
+def _irregular(text: str) -> bool:
+    """Whether a space or line break stands at an end or beside other white space; cheap tests first."""
+    if text[0].isspace() or text[-1].isspace() or any(r in text for r in _RUNS):
+        return True
+    return any(c in text for c in _OTHER_SPACES) and _IRREGULAR.search(text) is not None
+
+
+class _Recent(dict):
+    """Two generations of entries: when the young one is full, entries unused since it began are dropped."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.old: dict[str, bytes] = {}
+        self.size = size
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.old[key]
+        return value
+
+    def lacks(self, words) -> set[str]:
+        return {w for w in words if w not in self and w not in self.old}
+
+    def make_room(self) -> None:
+        if len(self) > self.size // 2:
+            self.old = dict(self)
+            self.clear()
 
 
 class Encoder:
-    """Ids of whole texts through the tokenizers library, each distinct word encoded once.
+    """Ids of whole texts through the tokenizers library, each distinct word encoded once while it is remembered.
 
     The vocabulary's splitting rule never joins what stands before a space with a
-    following non-space, nor a line break between two non-spaces with either, so texts
-    may be cut there and the parts' ids joined. Where white space is less regular, only
-    the first kind of cut is made. Words go to the library many at a time, cut apart
-    again by the byte lengths of their tokens.
+    following non-space, nor a line break between two non-spaces with what stands before
+    it, so texts may be cut there and the parts' ids joined. Where white space is less
+    regular, only the first kind of cut is made. Words go to the library many at a time,
+    cut apart again by the byte lengths of their tokens.
     """
 
     def __init__(self, path: str):
@@ -108,74 +138,63 @@ class Encoder:
         for token, i in vocab.items():
             size[i] = len(token)  # byte-level vocabularies write one character per byte
         self.size = size
-        self.spaced: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}
-        self.newline = self._ids("\n")
+        self.words = _Recent(CACHE_WORDS)  # "x" stands for " x", "\nx" for itself
         self.points = {c: self._ids(c) for c in _POINTS}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _learn(self, words: set[str], cache: dict[str, bytes], space: str) -> None:
-        """Add words (all that stand after a space, or all at a line's start) to a cache."""
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        stems = {w: w[:-1] for w in words if len(w) > 1 and w[-1] in _POINTS and w[:-1].isalpha()}
-        need = [w for w in (words - stems.keys()) | (set(stems.values()) - cache.keys()) if w not in cache]
-        if space:
-            for i in range(0, len(need), 2000):
-                part = need[i : i + 2000]
-                ids = np.array(self.tok.encode_batch_fast(["".join(" " + w for w in part)], add_special_tokens=False)[0].ids, self.kind)
-                ends = np.cumsum(self.size[ids])
-                cuts = np.searchsorted(ends, np.cumsum([1 + len(w.encode()) for w in part]), "left") + 1
-                flat, at = ids.tobytes(), 0
-                for w, c in zip(part, (cuts * self.width).tolist()):
-                    cache[w] = flat[at:c]
-                    at = c
-        else:
-            for w, e in zip(need, self.tok.encode_batch_fast(need, add_special_tokens=False)):
-                cache[w] = np.array(e.ids, self.kind).tobytes()
+    def _learn(self, words: list[str]) -> None:
+        """Remember words that are not remembered yet."""
+        known = self.words
+        known.make_room()
+        new = known.lacks(words)
+        stems = {w: w[:-1] for w in new if w[-1:] in _POINTS and w[:-1].isalpha()}
+        need = list((new - stems.keys()) | known.lacks(stems.values()))
+        parts = [w if w[:1] == "\n" else " " + w for w in need]
+        if parts:
+            ids = np.array(self.tok.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, self.kind)
+            lengths = np.fromiter(map(len, parts) if all(map(str.isascii, parts)) else (len(x.encode()) for x in parts), np.int64, len(parts))
+            cuts = (np.searchsorted(np.cumsum(self.size[ids]), np.cumsum(lengths), "left") + 1) * self.width
+            flat, at = ids.tobytes(), 0
+            for w, c in zip(need, cuts.tolist()):
+                known[w] = flat[at:c]
+                at = c
         for w, stem in stems.items():
-            cache[w] = cache[stem] + self.points[w[-1]]
-
-    def _join(self, words: list[str], cache: dict[str, bytes], space: str) -> bytes:
-        try:
-            return b"".join(map(cache.__getitem__, words))
-        except KeyError:
-            self._learn(set(words) - cache.keys(), cache, space)
-            missing = [w for w in set(words) if w not in cache]  # a cleared cache
-            if missing:
-                self._learn(set(missing), cache, space)
-            return b"".join(map(cache.__getitem__, words))
+            known[w] = known[stem] + self.points[w[-1]]
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if _IRREGULAR.search(text):
-            return self._join(_BREAK.split(text), self.bare, "")
-        out = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out.append(self._join([first], self.bare, ""))
-            out.append(self._join(rest, self.spaced, " "))
-            out.append(self.newline)
-        return b"".join(out[:-1])
-
-    def warm(self, texts: list[str]) -> None:
-        """Learn a batch's words together."""
-        bare: set[str] = set()
-        spaced: set[str] = set()
-        for t in texts:
-            if _IRREGULAR.search(t):
-                bare.update(_BREAK.split(t))
+        if _irregular(text):
+            first, *rest = _BREAK.split(text)
+            # parts keep their spaces; those that hold more white space are encoded as they are
+            return self._ids(first) + b"".join(self._rest(rest))
+        words = text.replace("\n", " \n").split(" ")
+        words[0] = "\n" + words[0]
+        return self._joined(words)[self.width :]  # without the line break put before the first word
+
+    def _joined(self, words: list[str]) -> bytes:
+        get = self.words.__getitem__
+        try:
+            return b"".join(map(get, words))
+        except KeyError:
+            for i in range(0, len(words), 5000):
+                self._learn(words[i : i + 5000])
+            return b"".join([self.words[w] if w in self.words or w in self.words.old else self._ids(w if w[:1] == "\n" else " " + w) for w in words])
+
+    def _rest(self, parts: list[str]):
+        plain: list[str] = []
+        for p in parts:  # each begins with a space and a non-space
+            if p.count(" ") == 1 and len(p.split()) == 1 and not p[-1].isspace():
+                plain.append(p[1:])
             else:
-                for line in t.split("\n"):
-                    first, *rest = line.split(" ")
-                    bare.add(first)
-                    spaced.update(rest)
-        for words, cache, space in ((bare - self.bare.keys(), self.bare, ""), (spaced - self.spaced.keys(), self.spaced, " ")):
-            if words:
-                self._learn(words, cache, space)
+                if plain:
+                    yield self._joined(plain)
+                    plain = []
+                yield self._ids(p)
+        if plain:
+            yield self._joined(plain)
 
 
 @cache
@@ -196,7 +215,6 @@ def write(docs: DataFrame, out: str, vocabulary: str | None = None, end_id: int
         end = np.array([end_id], enc.kind).tobytes()
         for b in batches:
             texts = [t or "" for t in b.column(1).to_pylist()]
-            enc.warm(texts)
             rows = [frame(encode_payload(d, enc.encode(t) + end, enc.width))[:-1] for d, t in zip(b.column(0).to_pylist(), texts)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
 
