@@ -102,12 +102,11 @@ class _Recent(dict):
         self.old: dict[str, bytes] = {}
         self.size = size
 
-    def __missing__(self, key: str) -> bytes:
-        value = self[key] = self.old[key]
-        return value
-
-    def lacks(self, words) -> set[str]:
-        return {w for w in words if w not in self and w not in self.old}
+    def absent(self, words: set[str]) -> set[str]:
+        """Words that neither generation has; those of the old one join the young one."""
+        for w in words & self.old.keys():
+            self[w] = self.old[w]
+        return words - self.keys()
 
     def make_room(self) -> None:
         if len(self) > self.size // 2:
@@ -144,13 +143,12 @@ class Encoder:
     def _ids(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """Remember words that are not remembered yet."""
+    def _learn(self, words: set[str]) -> None:
+        """Remember words that the young generation lacks."""
         known = self.words
-        known.make_room()
-        new = known.lacks(words)
+        new = known.absent(words)
         stems = {w: w[:-1] for w in new if w[-1:] in _POINTS and w[:-1].isalpha()}
-        need = list((new - stems.keys()) | known.lacks(stems.values()))
+        need = list((new - stems.keys()) | known.absent(set(stems.values())))
         parts = [w if w[:1] == "\n" else " " + w for w in need]
         if parts:
             ids = np.array(self.tok.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, self.kind)
@@ -175,13 +173,13 @@ class Encoder:
         return self._joined(words)[self.width :]  # without the line break put before the first word
 
     def _joined(self, words: list[str]) -> bytes:
-        get = self.words.__getitem__
-        try:
-            return b"".join(map(get, words))
-        except KeyError:
+        ids = list(map(self.words.get, words))
+        if None in ids:
+            self.words.make_room()
             for i in range(0, len(words), 5000):
-                self._learn(words[i : i + 5000])
-            return b"".join([self.words[w] if w in self.words or w in self.words.old else self._ids(w if w[:1] == "\n" else " " + w) for w in words])
+                self._learn({w for w in words[i : i + 5000] if w not in self.words})
+            ids = list(map(self.words.__getitem__, words))
+        return b"".join(ids)
 
     def _rest(self, parts: list[str]):
         plain: list[str] = []
