@@ -104,9 +104,12 @@ class _Recent(dict):
 
     def absent(self, words: set[str]) -> set[str]:
         """Words that neither generation has; those of the old one join the young one."""
-        for w in words & self.old.keys():
-            self[w] = self.old[w]
-        return words - self.keys()
+        old = self.old
+        if old:
+            for w in words:
+                if w in old and w not in self:
+                    self[w] = old[w]
+        return {w for w in words if w not in self}
 
     def make_room(self) -> None:
         if len(self) > self.size // 2:
