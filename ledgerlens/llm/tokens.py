@@ -33,7 +33,7 @@ from ledgerlens.plans import scratch
 END_ID = 2
 _MASK = 0xA282EAD8
 #: Words that a worker remembers at most.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 700_000
 _HEAD = struct.Struct("<QI")
 _META = struct.Struct("<BqB")
 
@@ -71,6 +71,18 @@ def records(data: bytes):
         at = end
 
 
+def heads(data: bytes):
+    """(offset, length of the whole record, id, number of ids) of every record, from its first bytes alone."""
+    at = 0
+    while at < len(data):
+        n, check = _HEAD.unpack_from(data, at)
+        if check != masked(data[at : at + 8]):
+            raise ValueError(f"bad length checksum at byte {at}")
+        null, doc_id, width = _META.unpack_from(data, at + 12)
+        yield at, n + 17, None if null else doc_id, (n - _META.size) // width
+        at += n + 17
+
+
 def encode_payload(doc_id: int | None, ids: bytes, width: int) -> bytes:
     return _META.pack(doc_id is None, doc_id or 0, width) + ids
 
@@ -179,8 +191,9 @@ class Encoder:
         ids = list(map(self.words.get, words))
         if None in ids:
             self.words.make_room()
-            for i in range(0, len(words), 5000):
-                self._learn({w for w in words[i : i + 5000] if w not in self.words})
+            missing = list({w for w, i in zip(words, ids) if i is None})
+            for i in range(0, len(missing), 5000):
+                self._learn(set(missing[i : i + 5000]))
             ids = list(map(self.words.__getitem__, words))
         return b"".join(ids)
 
@@ -238,10 +251,9 @@ def index(spark: SparkSession, out: str) -> None:
         for b in batches:
             for name, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 start, rows = 0, []
-                for at, size, payload in records(data):
-                    doc_id, ids = decode_payload(payload)
-                    rows.append((name, at, size, doc_id, len(ids), start))
-                    start += len(ids)
+                for at, size, doc_id, n in heads(data):
+                    rows.append((name, at, size, doc_id, n, start))
+                    start += n
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, (pa.string(), *[pa.int64()] * 5))], names=["file", "offset", "length", "doc_id", "n_tokens", "start_in_file"])
 
     map_arrow(_files(spark, out), run, "file string, offset long, length long, doc_id long, n_tokens long, start_in_file long").write.parquet(f"{out}/index")
