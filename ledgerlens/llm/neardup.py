@@ -190,7 +190,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = RADIUS, limit
 # Near duplicates by similarity of shingle sets
 
 #: Bits that the fingerprints of two texts with four fifths of their shingles in common may differ in, with room to spare.
-SET_RADIUS = 14
+SET_RADIUS = 22
 BANDS = 12
 #: Documents of a group that are compared in one task.
 VERIFY_DOCS = 512

@@ -138,13 +138,13 @@ def disguised_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def all_spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """(plain, all) spans; a disguised span is added where no span of its kind overlaps it."""
+    """(plain, all) spans; a disguised span is added unless a span of its kind already covers it."""
     if not text:
         return [], []
     base = sorted(plain_spans(text), key=lambda x: (x[1], KINDS.index(x[0])))
     full = list(base)
     for k, s, e in disguised_spans(text):
-        if not any(x[0] == k and x[1] < e and x[2] > s for x in full):
+        if not any(x[0] == k and x[1] <= s and x[2] >= e for x in full):
             full.append((k, s, e))
     return base, sorted(full, key=lambda x: (x[1], KINDS.index(x[0])))
 
