@@ -39,7 +39,10 @@ _DIGITS = {w: str(i) for i, w in enumerate("zero one two three four five six sev
 _WORD = "(?:" + "|".join(_DIGITS) + ")"
 _SPELLED = re.compile(rf"(?i)(?<![A-Za-z])(?:plus[\s-]+)?{_WORD}(?:[\s-]+(?:{_WORD}|dot|point))*[\s-]+{_WORD}(?![A-Za-z])")
 _BRACKETS = re.compile(r"(?i)\s*[(\[{<]\s*(at|dot)\s*[)\]}>]\s*")
-_BARE = re.compile(r"(?i)(?<=[A-Za-z0-9])(\s+at\s+)(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\s+dot\s+[A-Za-z])|(?<=[A-Za-z0-9])(\s+dot\s+)(?=[A-Za-z0-9])")
+# Last labels of host names that make a bare "at" or "dot" a disguise.
+_ENDINGS = "(?:com|org|net|edu|gov|info|biz|io|co|de|fr|es|it|nl|uk|eu|us|ca|ch|at|be|pl|se|ru|jp|cn|in|br|au)"
+_NAME = rf"(?:[A-Za-z0-9-]+(?:\.|\s+dot\s+))*[A-Za-z0-9-]+\s+dot\s+{_ENDINGS}(?![A-Za-z0-9-])"
+_BARE = re.compile(rf"(?i)(?<=[A-Za-z0-9])(\s+at\s+)(?={_NAME})|(?<=[A-Za-z0-9])(\s+dot\s+)(?=(?:[A-Za-z0-9-]+\s+dot\s+)*{_ENDINGS}(?![A-Za-z0-9-]))|(?<=[0-9])(\s+dot\s+)(?=[0-9])")
 _FOREIGN = re.compile(r"[^\x00-\x7fÀ-ɏ]")
 
 

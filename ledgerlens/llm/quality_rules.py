@@ -19,7 +19,14 @@ WINDOW = 8
 ROUNDS = 12
 #: Documents with a lower posterior are dropped.
 KEEP_FROM = 0.5
-PRIOR_GOOD = 0.8
+PRIOR_GOOD = 0.6
+#: Where EM starts: what a rule says of good and of bad documents (abstains, bad, good). A bad document is
+#: bad in one way, so most rules find it good; a good one is seldom called bad.
+START = {"good": (0.05, 0.01, 0.94), "bad": (0.05, 0.2, 0.75)}
+
+#: Weight of START against the data's own estimates. Rules that fail together would otherwise become the class
+#: called bad by themselves, and rules for other kinds of bad documents would count for nothing.
+BELIEF = 3.0
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
 RULES = ("symbols", "dup_lines", "repeats", "word_length", "upper", "variety", "length", "stops")
@@ -86,15 +93,14 @@ def votes(measured: DataFrame) -> DataFrame:
 def fit(voted: DataFrame, rounds: int = ROUNDS) -> dict[str, float]:
     """EM over the counts of vote patterns: {"prior", "<rule>_<vote>_<class>"}.
 
-    Starts from rules that are right far more often than wrong, so the class called good is
+    Maximum a posteriori: START is also the prior, of weight BELIEF, so the class called good is
     the one that the rules call good. Each round is one aggregation of at most 3 ** rules rows.
     An empty table leaves the starting values.
     """
     cols = [f"vote_{r}" for r in RULES]
     patterns = scratch.keep(voted.groupBy(*cols).agg(F.count("*").alias("n")), "votes").coalesce(1)
     p = {"prior": PRIOR_GOOD}
-    for r in RULES:
-        p |= {f"{r}_0_good": 0.25, f"{r}_1_good": 0.05, f"{r}_2_good": 0.7, f"{r}_0_bad": 0.3, f"{r}_1_bad": 0.35, f"{r}_2_bad": 0.35}
+    p |= {f"{r}_{v}_{k}": START[k][v] for r in RULES for k in START for v in (0, 1, 2)}
     for _ in range(rounds):
         n, g = F.col("n"), posterior(p)
         sums = [F.sum(n).alias("n"), F.sum(n * g).alias("good")]
@@ -105,10 +111,11 @@ def fit(voted: DataFrame, rounds: int = ROUNDS) -> dict[str, float]:
         if not s["n"]:
             break
         good, bad = s["good"], s["n"] - s["good"]
-        p = {"prior": (good + 8.0) / (s["n"] + 10.0)}
+        mix = lambda seen, start: (seen + BELIEF * start) / (1 + BELIEF)
+        p = {"prior": mix(good / s["n"], PRIOR_GOOD)}
         for r in RULES:
             for v in (0, 1, 2):
-                p |= {f"{r}_{v}_good": (s[f"{r}_{v}_good"] + 1.0) / (good + 3.0), f"{r}_{v}_bad": (s[f"{r}_{v}_bad"] + 1.0) / (bad + 3.0)}
+                p |= {f"{r}_{v}_{k}": mix(s[f"{r}_{v}_{k}"] / max(mass, 1e-9), START[k][v]) for k, mass in (("good", good), ("bad", bad))}
     return p
 
 

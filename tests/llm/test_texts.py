@@ -171,9 +171,8 @@ def test_quality_em_against_plain_python(spark, documents):
     p = quality_rules.fit(voted, rounds=4)
     rows = [tuple(r[f"vote_{k}"] for k in quality_rules.RULES) for r in voted.select(*[f"vote_{k}" for k in quality_rules.RULES]).collect()]
     q = {"prior": quality_rules.PRIOR_GOOD}
-    start = {"0_good": 0.25, "1_good": 0.05, "2_good": 0.7, "0_bad": 0.3, "1_bad": 0.35, "2_bad": 0.35}
     for k in quality_rules.RULES:
-        q |= {f"{k}_{x}": v for x, v in start.items()}
+        q |= {f"{k}_{v}_{c}": quality_rules.START[c][v] for c in ("good", "bad") for v in (0, 1, 2)}
     for _ in range(4):
         post = []
         for row in rows:
@@ -184,12 +183,13 @@ def test_quality_em_against_plain_python(spark, documents):
             post.append(1 / (1 + math.exp(-z)))
         good = sum(post)
         bad = len(rows) - good
-        new = {"prior": (good + 8) / (len(rows) + 10)}
+        w = quality_rules.BELIEF
+        new = {"prior": (good / len(rows) + w * quality_rules.PRIOR_GOOD) / (1 + w)}
         for i, k in enumerate(quality_rules.RULES):
             for v in (0, 1, 2):
                 s = sum(g for g, row in zip(post, rows) if row[i] == v)
                 c = sum(row[i] == v for row in rows)
-                new |= {f"{k}_{v}_good": (s + 1) / (good + 3), f"{k}_{v}_bad": (c - s + 1) / (bad + 3)}
+                new |= {f"{k}_{v}_good": (s / good + w * quality_rules.START["good"][v]) / (1 + w), f"{k}_{v}_bad": ((c - s) / bad + w * quality_rules.START["bad"][v]) / (1 + w)}
         q = new
     assert p == pytest.approx(q, rel=1e-6)
 
