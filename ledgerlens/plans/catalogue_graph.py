@@ -133,3 +133,33 @@ def degree_ratios_with_rank(spark, d):
     f = flow.in_out(e).select("vid", "amt_in", "amt_out")
     j = graph.degrees(e).join(f, "vid").join(graph.page_rank(e, rounds=6), "vid")
     return j.select("vid", "in_degree", "out_degree", "degree", F.round(F.col("amt_in") / F.col("degree"), 4).alias("in_per_degree"), F.round(F.col("amt_out") / F.col("degree"), 4).alias("out_per_degree"), F.round("rank", 6).alias("rank"))
+
+
+@query("SELECT vid FROM (SELECT src AS vid FROM e40 UNION SELECT dst FROM e40) INTERSECT SELECT c_custkey FROM customer WHERE c_custkey % 7 = 0", f"{BIG}, {_unrolled_core(2, 40)}")
+def listed_cards_in_core(spark, d):
+    listed = table(spark, d, "customer").where("c_custkey % 7 = 0").select(F.col("c_custkey").alias("vid"))
+    return graph.vertices(graph.k_core(big(spark, d), 2)).intersect(listed)
+
+
+@query("SELECT c_custkey AS vid FROM customer WHERE c_custkey % 301 = 0 UNION SELECT b FROM both_ways WHERE a % 301 = 0 AND a IN (SELECT c_custkey FROM customer)", f"{BIG}, {_BOTH}")
+def one_round_expansion(spark, d):
+    return graph.expand(big(spark, d), table(spark, d, "customer").where("c_custkey % 301 = 0").select(F.col("c_custkey").alias("vid")), 1)
+
+
+@query("SELECT src, dst, money FROM big WHERE src IN (SELECT vid FROM chosen) AND dst IN (SELECT vid FROM chosen)", f"{BIG}, {_BOTH}, near(vid, hop) AS (SELECT c_custkey, 0 FROM customer WHERE c_custkey % 601 = 1 UNION SELECT b, hop + 1 FROM near JOIN both_ways ON a = vid WHERE hop < 2), chosen AS (SELECT DISTINCT vid FROM near)")
+def neighbourhood_extraction(spark, d):
+    e = big(spark, d)
+    near = graph.expand(e, table(spark, d, "customer").where("c_custkey % 601 = 1").select(F.col("c_custkey").alias("vid")), 2)
+    return graph.subgraph(e, near).select("src", "dst", "money")
+
+
+@query("SELECT c_custkey AS vid, coalesce(sum(money), 0) AS got FROM customer LEFT JOIN big ON dst = c_custkey GROUP BY 1", BIG)
+def default_for_lone_vertices(spark, d):
+    msg = graph.aggregate_messages(big(spark, d), F.col("money")).withColumnRenamed("msg", "got")
+    return graph.keep_vertices(table(spark, d, "customer").select(F.col("c_custkey").alias("vid")), msg, "got", 0)
+
+
+@query("SELECT src, dst, sum(money) AS money, sum(cnt) AS cnt FROM (SELECT least(src, dst) AS src, greatest(src, dst) AS dst, money, cnt FROM big) GROUP BY 1, 2", BIG)
+def undirected_merge(spark, d):
+    e = big(spark, d).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"), "money", "cnt")
+    return graph.merge_edges(e, ["money", "cnt"])
