@@ -56,7 +56,7 @@ def week_sums(spark, d):
     return transactions(spark, d).groupBy("card", week.alias("week")).agg(F.sum("money").alias("amount"), F.count("*").alias("cnt"))
 
 
-@query("SELECT card, count(*) AS weeks, round(var_pop(amount) / nullif(avg(amount), 0), 4) AS dispersion FROM (SELECT card, date_diff('day', DATE '1992-01-01', day) // 7 AS week, sum(money / 100) AS amount FROM tx GROUP BY 1, 2) GROUP BY 1", TX)
+@query("SELECT card, count(*) AS weeks, round(var_pop(amount) / nullif(avg(amount), 0), 4) AS dispersion FROM (SELECT card, date_diff('day', DATE '1992-01-01', day) // 7 AS week, sum(money) / 100.0 AS amount FROM tx GROUP BY 1, 2) GROUP BY 1", TX)
 def week_dispersion(spark, d):
     week = F.floor(F.date_diff(F.col("day"), F.lit("1992-01-01").cast("date")) / 7).cast("int")
     return profiles.dispersion(transactions(spark, d).groupBy("card", week.alias("week")).agg((F.sum("money") / 100).alias("amount")), "card", "amount")
@@ -69,14 +69,14 @@ def week_sets(spark, d):
     return t.groupBy("srccard", week.alias("week")).agg(F.sum("money").alias("amount"), F.count("*").alias("cnt"), F.count_distinct("dstcard").alias("receivers"), F.count_distinct("place").alias("places"), F.count_distinct("pdate").alias("days"))
 
 
-def _lag(key, where, cols, order="at_s DESC, tid", extra=""):
+def _lag(key, where, cols, order="at_s DESC, tid, money", extra=""):
     return f"SELECT {cols}{extra} FROM (SELECT *, round(abs(at_s - lag(at_s) OVER w) / 60.0, 2) AS gap_minutes, lag(money) OVER w AS prev_money, lag(card) OVER w AS prev_card FROM (SELECT *, {_SECS} FROM tx) WHERE {where} WINDOW w AS (PARTITION BY {key} ORDER BY {order}))"
 
 
 @query(_lag("card", "trans_id IN ('S33', 'S25')", "tid, card, pdate, gap_minutes", extra=", CASE WHEN prev_money - money >= 0 THEN prev_money - money END AS gap_money, round(CASE WHEN prev_money - money >= 0 THEN prev_money - money END / nullif(gap_minutes, 0), 4) AS gap_rate"), TX)
 def transfer_gaps(spark, d):
     t = _timed(spark, d).where("trans_id in ('S33', 'S25')").select("tid", "card", "pdate", "money", "at")
-    return gaps.amount_gaps(t, "card", F.col("at"), "money", "tid").select("tid", "card", "pdate", "gap_minutes", "gap_money", "gap_rate")
+    return gaps.amount_gaps(t, "card", F.col("at"), "money", "tid", "money").select("tid", "card", "pdate", "gap_minutes", "gap_money", "gap_rate")
 
 
 @query("SELECT card, at_s, money, CAST(floor((at_s - lag(at_s) OVER (PARTITION BY card ORDER BY at_s, money)) / 60) AS BIGINT) AS gap FROM (SELECT DISTINCT card, CAST(epoch(day) + secs AS BIGINT) AS at_s, money FROM tx)", TX)
@@ -89,25 +89,25 @@ def ascending_gaps_of_distinct(spark, d):
 @query(_lag("card", "trans_id = 'S24'", "tid, card, pdate, money, mchnt_cd || term_id AS atm, gap_minutes"), TX)
 def withdrawal_gaps_of_card(spark, d):
     t = _timed(spark, d).where("trans_id = 'S24'").select("tid", "card", "pdate", "money", F.concat("mchnt_cd", "term_id").alias("atm"), "at")
-    return gaps.gaps(t, "card", F.col("at"), "tid").drop("at")
+    return gaps.gaps(t, "card", F.col("at"), "tid", "money").drop("at")
 
 
 @query(_lag("mchnt_cd || term_id", "trans_id = 'S24'", "tid, mchnt_cd || term_id AS atm, pdate, money, card, gap_minutes"), TX)
 def withdrawal_gaps_of_atm(spark, d):
     t = _timed(spark, d).where("trans_id = 'S24'").select("tid", F.concat("mchnt_cd", "term_id").alias("atm"), "pdate", "money", "card", "at")
-    return gaps.gaps(t, "atm", F.col("at"), "tid").drop("at")
+    return gaps.gaps(t, "atm", F.col("at"), "tid", "money").drop("at")
 
 
 @query(_lag("card", "trans_id = 'S24' AND trans_md = '4'", "tid, card, pdate, money, trans_md, gap_minutes"), TX)
 def cross_border_gaps(spark, d):
     t = _timed(spark, d).where("trans_id = 'S24' and trans_md = '4'").select("tid", "card", "pdate", "money", "trans_md", "at")
-    return gaps.gaps(t, "card", F.col("at"), "tid").drop("at")
+    return gaps.gaps(t, "card", F.col("at"), "tid", "money").drop("at")
 
 
 @query(_lag("mchnt_cd || term_id", "trans_id = 'S24' AND trans_md = '2' AND money >= 500000", "tid, mchnt_cd || term_id AS atm, pdate, money, card, gap_minutes, CASE WHEN prev_card IS NULL OR prev_card <> card THEN 1 ELSE 0 END AS card_diff"), TX)
 def other_city_gaps_with_switch(spark, d):
     t = _timed(spark, d).where("trans_id = 'S24' and trans_md = '2' and money >= 500000").select("tid", F.concat("mchnt_cd", "term_id").alias("atm"), "pdate", "money", "card", "at")
-    return gaps.with_switch(gaps.gaps(t, "atm", F.col("at"), "tid", carry=("card",)), "card").drop("at", "prev_card")
+    return gaps.with_switch(gaps.gaps(t, "atm", F.col("at"), "tid", "money", carry=("card",)), "card").drop("at", "prev_card")
 
 
 @query("SELECT user_id, count(*) AS n, round(avg(gap), 4) AS mean_gap FROM (SELECT user_id, round(abs(epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts DESC, event_id)) / 60e6, 2) AS gap FROM events) GROUP BY 1")
