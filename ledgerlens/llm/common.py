@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.plans import scratch
+
 #: Rows of an Arrow batch; bounds a Python worker's memory on long texts.
 BATCH_ROWS = 512
 #: Distinct class values that are told apart at most when a classifier's sample is drawn.
@@ -72,3 +74,22 @@ def join_counted(left: DataFrame, right: DataFrame, keys: list[str], n: str, par
     few = right.where(hot)
     rest = left.join(F.broadcast(few.select(*keys)), keys, "left_anti").join(right.where(~hot), keys)
     return left.join(F.broadcast(few), keys).unionByName(rest).drop(n)
+
+
+#: Bits of the filter that `maybe_among` broadcasts: 4 MB at most, whatever the number of keys.
+FILTER_BITS = 1 << 25
+
+
+def maybe_among(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``df`` with a column __maybe: false only where the long ``key`` is surely not among ``keys``.
+
+    A bitmap with one bit a hashed key, built by aggregation and broadcast in rows of 4 kB. It keeps rows that need no
+    join out of a shuffle; with very many keys it says true more often, which costs only that shuffle.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    bits = keys.select(F.bitmap_bucket_number(place).alias("__bucket"), F.bitmap_bit_position(place).alias("__at"))
+    table = scratch.keep(bits.groupBy("__bucket").agg(F.bitmap_construct_agg("__at").alias("__bits")), "filter")
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("__bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return df.withColumn("__bucket", F.bitmap_bucket_number(place)).join(F.broadcast(table), "__bucket", "left").withColumn("__maybe", hit).drop("__bucket", "__bits")

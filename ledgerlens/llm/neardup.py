@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import bktree
-from ledgerlens.llm.common import join_counted, map_arrow, per_row
+from ledgerlens.llm.common import join_counted, map_arrow, maybe_among, per_row
 from ledgerlens.operators.components import connected_components
 from ledgerlens.plans import scratch
 
@@ -192,6 +192,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = RADIUS, limit
 #: Bits that the fingerprints of two texts with four fifths of their shingles in common may differ in, with room to spare.
 SET_RADIUS = 22
 BANDS = 12
+#: Points of a tree at most; at this radius a dense shard links nearly all of them.
+SET_SHARD = 1024
 #: Documents of a group that are compared in one task.
 VERIFY_DOCS = 512
 _MIX = (np.arange(1, 2 * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -215,23 +217,25 @@ def _verified(batches, similarity: float):
 
     def solve(rows: list[tuple[int, int, bytes]]):
         rows = [(side, v, np.frombuffer(h, np.uint64)) for side, v, h in sorted(rows)]
-        parent = {v: v for _, v, _ in rows}
-
-        def top(v):
-            while parent[v] != v:
-                parent[v] = parent[parent[v]]
-                v = parent[v]
-            return v
-
-        for i, (side, v, a) in enumerate(rows):
-            # the first links of a dense group leave few pairs to compare: those in different components
-            for other, w, b in rows[:i]:
-                if (side == other != 3) or min(len(a), len(b)) < similarity * max(len(a), len(b)) or (x := top(v)) == (y := top(w)):
-                    continue
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                if common >= similarity * (len(a) + len(b) - common):
-                    parent[max(x, y)] = min(x, y)
-        return [(v, top(v)) for v in parent if top(v) != v]
+
+        def alike(i: int, j: int) -> bool:
+            (side, _, a), (other, _, b) = rows[i], rows[j]
+            if (side == other != 3) or min(len(a), len(b)) < similarity * max(len(a), len(b)):
+                return False
+            common = len(np.intersect1d(a, b, assume_unique=True))
+            return common >= similarity * (len(a) + len(b) - common)
+
+        # One link joins a row to a whole component, so a dense group costs a few comparisons a row.
+        parts: list[list[int]] = []
+        for i in range(len(rows)):
+            apart, mine = [], [i]
+            for part in parts:
+                if any(alike(i, j) for j in reversed(part)):
+                    mine = part + mine
+                else:
+                    apart.append(part)
+            parts = [*apart, mine]
+        return [(rows[i][1], low) for part in parts for low in [min(rows[i][1] for i in part)] for i in part if rows[i][1] != low]
 
     def out(pairs):
         return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["src", "dst"])
@@ -246,7 +250,7 @@ def _verified(batches, similarity: float):
     yield out(found + solve(rows))
 
 
-def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = SET_RADIUS, limit: int = SHARD_POINTS) -> tuple[DataFrame, DataFrame]:
+def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = SET_RADIUS, limit: int = SET_SHARD) -> tuple[DataFrame, DataFrame]:
     """Groups of rows of ``docs(doc_id, text)`` linked by shingle sets with a Jaccard similarity of at least ``similarity``.
 
     Returns (members(rk, doc_id, sig), groups(sig, keep, n)): a row's key is a hash of its id and text, its class
@@ -275,7 +279,7 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius
     def sets(b):
         return {"shard": b.column(0), "vertex": b.column(1), "hashes": [np.unique(shingle_hashes(t, width)).tobytes() for t in b.column(2).to_pylist()]}
 
-    texts = docs.withColumn("rk", rk).select("rk", "text").join(members, "rk").select("shard", "vertex", "text")
+    texts = maybe_among(docs.withColumn("rk", rk).select("rk", "text"), members, "rk").where("__maybe").join(members, "rk").select("shard", "vertex", "text")
     compared = per_row(texts, sets, "shard long, vertex long, hashes binary")
     plan = _chunked(members.select("shard", "vertex"), VERIFY_DOCS, "vertex")
     dealt = plan.join(compared.dropDuplicates(["vertex"]).select("vertex", "hashes"), "vertex").repartition("shard", "ci", "cj").sortWithinPartitions("shard", "ci", "cj").select("shard", "ci", "cj", "side", "vertex", "hashes")
@@ -286,18 +290,20 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius
     return rows.select("rk", "doc_id", "sig"), classes.join(linked, "sig", "left").select("sig", F.coalesce("best", F.col("first.rk")).alias("keep"), "n")
 
 
-def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = SET_RADIUS) -> DataFrame:
+def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = SET_RADIUS, limit: int = SET_SHARD) -> DataFrame:
     """``docs``, all columns, with one row of each group of near duplicates: that of its smallest id.
 
     Null and empty texts are one group. Rows that repeat id and text are one row afterwards. A null id ranks last.
     """
-    rows, groups = near_groups(docs, width, similarity, radius)
+    rows, groups = near_groups(docs, width, similarity, radius, limit)
     groups = scratch.keep(groups, "keeps")
     gone = scratch.keep(join_counted(rows, groups, ["sig"], "n").where("rk <> keep").select("rk").distinct(), "gone")
     twice = scratch.keep(rows.groupBy("rk").count().where("count > 1").select("rk"), "twice")
-    keyed = docs.withColumn("__rk", F.xxhash64("doc_id", "text"))
-    left = keyed.join(gone.withColumnRenamed("rk", "__rk"), "__rk", "left_anti")
-    if twice.isEmpty():
-        return left.drop("__rk")
+    listed = gone.unionByName(twice).withColumnRenamed("rk", "__rk")
+    keyed = maybe_among(docs.withColumn("__rk", F.xxhash64("doc_id", "text")), listed, "__rk")
+    # texts of rows that are surely on neither list are not shuffled
+    kept, some = keyed.where("not __maybe").select(docs.columns), keyed.where("__maybe").drop("__maybe")
+    left = some.join(gone.withColumnRenamed("rk", "__rk"), "__rk", "left_anti")
     again = twice.withColumnRenamed("rk", "__rk")
-    return left.join(again, "__rk", "left_anti").unionByName(left.join(again, "__rk").dropDuplicates(["__rk"])).drop("__rk").select(docs.columns)
+    once = left.join(again, "__rk", "left_anti").unionByName(left.join(again, "__rk").dropDuplicates(["__rk"]))
+    return kept.unionByName(once.select(docs.columns))

@@ -86,7 +86,6 @@ def test_tree_search():
 @pytest.mark.parametrize("limits", [(4096, 512), (5, 3)])
 def test_deduplicate(spark, limits, monkeypatch):
     monkeypatch.setattr(neardup, "VERIFY_DOCS", limits[1])
-    monkeypatch.setattr(neardup, "SHARD_POINTS", limits[0])
     rows = corpus(5, 80)
     sets = [set(neardup.shingle_hashes(t, 5).tolist()) for _, t in rows]
     label = list(range(len(rows)))
@@ -100,6 +99,6 @@ def test_deduplicate(spark, limits, monkeypatch):
     for (d, _), k in zip(rows, label):
         groups.setdefault(k, []).append(d)
     want = sorted(str(min((x for x in v if x is not None), default=None)) for v in groups.values())
-    out = neardup.deduplicate(docs(spark, rows))
+    out = neardup.deduplicate(docs(spark, rows), limit=limits[0])
     assert out.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
     assert sorted(str(r.doc_id) for r in out.collect()) == want
