@@ -93,7 +93,20 @@ def three_core_degrees(spark, d):
     return graph.k_core_degrees(big(spark, d), 3)
 
 
-@query()
+def unrolled_labels(source: str, kmax: int, rounds: int = 25) -> str:
+    """CTEs that end in labels(vid, core): each core is peeled out of the one before."""
+    parts, last = [], source
+    for k in range(1, kmax):
+        for i in range(rounds):
+            parts.append(f"kd{k}_{i} AS MATERIALIZED (SELECT vid FROM (SELECT src AS vid FROM {last} UNION ALL SELECT dst FROM {last}) GROUP BY 1 HAVING count(*) >= {k})")
+            parts.append(f"ke{k}_{i} AS MATERIALIZED (SELECT src, dst FROM {last} WHERE src IN (SELECT vid FROM kd{k}_{i}) AND dst IN (SELECT vid FROM kd{k}_{i}))")
+            last = f"ke{k}_{i}"
+        parts.append(f"core{k} AS MATERIALIZED (SELECT src AS vid FROM {last} UNION SELECT dst FROM {last})")
+    every = " UNION ALL ".join([f"SELECT src AS vid, 0 AS core FROM {source} UNION ALL SELECT dst, 0 FROM {source}", *[f"SELECT vid, {k} FROM core{k}" for k in range(1, kmax)]])
+    return ", ".join(parts) + f", labels AS MATERIALIZED (SELECT vid, max(core) AS core FROM ({every}) GROUP BY 1)"
+
+
+@query("SELECT * FROM labels", f"{BIG}, {unrolled_labels('big', 6)}")
 def core_labels(spark, d):
     return graph.k_core_labels(big(spark, d), 6)
 

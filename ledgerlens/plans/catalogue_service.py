@@ -8,6 +8,7 @@ from ledgerlens.operators import features, graph, hetero
 from ledgerlens.operators import relational as R
 from ledgerlens.operators.components import connected_components
 from ledgerlens.registry import query
+from ledgerlens.plans.catalogue_graph import unrolled_labels
 from ledgerlens.sources import schema as S
 from ledgerlens.sources.transactions import TX, table, transactions
 
@@ -41,7 +42,11 @@ def card_feature_vector(spark, d):
     return features.card_features(transactions(spark, d))
 
 
-@query()
+_OLD = {k: e for k, e in _FLAGS.items()}
+_OLD |= {f"{n}_max": f"round(avg(CASE WHEN trans_id = '{c}' THEN {_Y} END), 4)" for n, c in S.TYPED.items()} | {"distinct_cards_out": "count(DISTINCT CASE WHEN trans_id = 'S33' THEN dstcard END)"}
+
+
+@query("SELECT card, " + ", ".join(f"{e} AS {k}" for k, e in _OLD.items()) + " FROM tx GROUP BY card", TX)
 def card_feature_vector_compat(spark, d):
     return features.card_features(transactions(spark, d), compat=True)
 
@@ -75,18 +80,8 @@ def _members(spark, d):
     return features.community_vertices(_merged(spark, d))
 
 
-@query()
-def community_feature_vector(spark, d):
-    return features.community_features(_merged(spark, d), _members(spark, d))
-
-
-@query()
-def community_members(spark, d):
-    return _members(spark, d)
-
-
 _COMM = (
-    "m AS MATERIALIZED (SELECT srccard AS src, dstcard AS dst, sum(money) AS money, count(*) AS cnt, sum(CASE WHEN substr(loc_trans_tm, 1, 2) BETWEEN '01' AND '05' THEN 1 ELSE 0 END) AS night, count(CASE WHEN trans_md = '2' THEN 1 END) AS other_city FROM tx WHERE trans_id IN ('S33', 'S25') AND money >= 8000000 AND srccard <> dstcard GROUP BY 1, 2),"
+    "m AS MATERIALIZED (SELECT srccard AS src, dstcard AS dst, sum(money) AS money, count(*) AS cnt, sum(CASE WHEN substr(loc_trans_tm, 1, 2) BETWEEN '01' AND '05' THEN 1 ELSE 0 END) AS night, count(CASE WHEN trans_md = '2' THEN 1 END) AS other_city, count(DISTINCT acpt_bank) AS bank_count FROM tx WHERE trans_id IN ('S33', 'S25') AND money >= 8000000 AND srccard <> dstcard GROUP BY 1, 2),"
     "deg AS MATERIALIZED (SELECT vid, count(*) AS degree FROM (SELECT src AS vid FROM m UNION ALL SELECT dst FROM m) GROUP BY 1),"
     "k AS MATERIALIZED (SELECT m.* FROM m JOIN deg a ON a.vid = src JOIN deg b ON b.vid = dst WHERE a.degree + b.degree > 2),"
     "w AS MATERIALIZED (SELECT src AS a, dst AS b FROM k UNION SELECT dst, src FROM k), reach(a, r) AS (SELECT a, b FROM w UNION SELECT w.a, reach.r FROM w JOIN reach ON w.b = reach.a),"
@@ -94,6 +89,23 @@ _COMM = (
 )
 
 
+_MEMBERS = (
+    unrolled_labels("k", 6)
+    + ", mem AS MATERIALIZED (SELECT cc.vid, cc, core, in_degree, out_degree, degree, CASE WHEN amt_in > 0 AND amt_out > 0 AND (abs(amt_in - amt_out) < 500 OR abs(amt_in - amt_out)::DOUBLE / (amt_in + amt_out) < 0.01) THEN 1 ELSE 0 END AS transit FROM cc JOIN labels USING (vid) JOIN (SELECT vid, sum(i) AS in_degree, sum(1 - i) AS out_degree, count(*) AS degree, sum(money * i) AS amt_in, sum(money * (1 - i)) AS amt_out FROM (SELECT dst AS vid, 1 AS i, money FROM k UNION ALL SELECT src, 0, money FROM k) GROUP BY 1) USING (vid)),"
+    "comm AS MATERIALIZED (SELECT * FROM (SELECT cc, count(*) AS cc_num, max(core) AS max_core, max(in_degree) AS max_in, max(out_degree) AS max_out, max(degree) AS max_degree, count(CASE WHEN core > 4 THEN 1 END) AS big_core_num, sum(transit) AS transit_num FROM mem GROUP BY 1) JOIN (SELECT cc, sum(cnt) AS trans_num, sum(money) AS money, sum(night) AS night, sum(other_city) AS other_city, max(bank_count) AS max_banks FROM m JOIN mem ON src = vid GROUP BY 1) USING (cc))"
+)
+
+
+@query("SELECT * FROM comm", f"{TX}, {_COMM}, {_MEMBERS}")
+def community_feature_vector(spark, d):
+    return features.community_features(_merged(spark, d), _members(spark, d))
+
+
+@query("SELECT * FROM mem", f"{TX}, {_COMM}, {_MEMBERS}")
+def community_members(spark, d):
+    return _members(spark, d)
+
+
 @query("SELECT cc, cc_num, trans_num::BIGINT AS trans_num, money::BIGINT AS money, night::BIGINT AS night, other_city::BIGINT AS other_city FROM (SELECT cc, count(*) AS cc_num FROM cc GROUP BY 1) JOIN (SELECT cc, sum(cnt) AS trans_num, sum(money) AS money, sum(night) AS night, sum(other_city) AS other_city FROM k JOIN cc ON src = vid GROUP BY 1) USING (cc)", f"{TX}, {_COMM}")
 def community_totals(spark, d):
     e = graph.without_lone_pairs(_merged(spark, d))
@@ -102,19 +114,25 @@ def community_totals(spark, d):
     return cc.groupBy("cc").agg(F.count("*").alias("cc_num")).join(inside, "cc")
 
 
-@query()
+@query("SELECT cc, vid, place FROM (SELECT *, row_number() OVER (PARTITION BY cc ORDER BY core DESC, degree DESC, in_degree DESC, out_degree DESC, transit DESC, vid) AS place FROM mem) WHERE place < 100", f"{TX}, {_COMM}, {_MEMBERS}")
 def top_members_of_communities(spark, d):
     m = _members(spark, d)
     return R.top_in_group(m, "cc", 99, F.desc("core"), F.desc("degree"), F.desc("in_degree"), F.desc("out_degree"), F.desc("transit"), F.asc("vid")).select("cc", "vid", "place")
 
 
-@query()
+@query("SELECT * FROM comm WHERE cc_num < 2000 ORDER BY max_degree DESC, big_core_num DESC, money DESC, max_core DESC, trans_num DESC, cc LIMIT 100", f"{TX}, {_COMM}, {_MEMBERS}")
 def top_100_communities(spark, d):
     c = features.community_features(_merged(spark, d), _members(spark, d)).where("cc_num < 2000")
     return c.orderBy(F.desc("max_degree"), F.desc("big_core_num"), F.desc("money"), F.desc("max_core"), F.desc("trans_num"), "cc").limit(100)
 
 
-@query()
+_ALL_WEIGHTS: dict[str, float] = {}
+for _names, _w in ((features.FULL, 1.0), (features.HALF, 0.5), (features.QUARTER, 0.25)):
+    for _n in _names:
+        _ALL_WEIGHTS[_n] = _ALL_WEIGHTS.get(_n, 0.0) + _w
+
+
+@query("SELECT card, " + " + ".join(f"{w}::DOUBLE * dense_rank() OVER (ORDER BY coalesce({k}, 0))" for k, w in _ALL_WEIGHTS.items()) + " AS score FROM cards LEFT JOIN (SELECT vid AS card, comm.* FROM mem JOIN comm USING (cc)) USING (card)", f"{TX}, {_CARDS}, {_COMM}, {_MEMBERS}")
 def card_and_community_score(spark, d):
     """Card features with those of the card's community, nulls as zero, ranked and summed."""
     m = _members(spark, d)
