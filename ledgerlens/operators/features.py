@@ -48,7 +48,7 @@ def card_features(tx: DataFrame, high_risk: tuple[str, ...] = HIGH_RISK, compat:
     return tx.groupBy("card").agg(*[c.alias(k) for k, c in aggs.items()])
 
 
-def community_vertices(edges: DataFrame, kmax: int = 6) -> DataFrame:
+def community_vertices(edges: DataFrame, kmax: int | None = 6) -> DataFrame:
     """(vid, cc, core, degrees, transit) of the merged edge graph without lone pairs."""
     kept = scratch.keep(graph.without_lone_pairs(edges.where("src <> dst")), "kept")
     cc = connected_components(kept)

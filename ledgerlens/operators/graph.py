@@ -6,6 +6,7 @@ the rounds and lost executors cost no more than a stage.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -80,12 +81,12 @@ def k_core_degrees(edges: DataFrame, k: int) -> DataFrame:
     return degrees(k_core(edges, k)).select("vid", "degree")
 
 
-def k_core_labels(edges: DataFrame, kmax: int, vertex: DataFrame | None = None) -> DataFrame:
-    """(vid, core): the core number of each vertex, at most ``kmax`` - 1; vertices without edges get 0."""
+def k_core_labels(edges: DataFrame, kmax: int | None, vertex: DataFrame | None = None) -> DataFrame:
+    """(vid, core): the core number of each vertex, at most ``kmax`` - 1 (null: no limit); vertices without edges get 0."""
     e = scratch.keep(edges.select("src", "dst"), "core")
     every = vertices(e).withColumn("core", F.lit(0)) if vertex is None else vertex.select("vid").withColumn("core", F.lit(0))
     found = [every]
-    for k in range(1, kmax):
+    for k in range(1, kmax) if kmax else itertools.count(1):
         e = k_core(e, k)
         if e.isEmpty():
             break

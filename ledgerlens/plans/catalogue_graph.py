@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import flow, graph
 from ledgerlens.operators.components import connected_components
-from ledgerlens.registry import query
+from ledgerlens.registry import query, whole
 from ledgerlens.sources.transactions import EDGES, table, transfer_edges
 
 #: Large transfers: a sparse graph.
@@ -20,19 +20,24 @@ def big(spark, d):
     return transfer_edges(spark, d).where("money >= 8000000 and src <> dst").select("src", "dst", "money", "cnt")
 
 
+def every(spark, d):
+    """All transfer edges between two cards, whatever their money."""
+    return transfer_edges(spark, d).where("src <> dst").select("src", "dst", "money", "cnt")
+
+
 @query("SELECT * FROM deg", f"{BIG}, {_DEG}")
-def vertex_degrees(spark, d):
-    return graph.degrees(big(spark, d))
+def vertex_degrees(spark, d, edges=big):
+    return graph.degrees(edges(spark, d))
 
 
 @query("SELECT c_custkey AS vid, coalesce(in_degree, 0) AS in_degree, coalesce(out_degree, 0) AS out_degree, coalesce(degree, 0) AS degree FROM customer LEFT JOIN deg ON c_custkey = vid", f"{BIG}, {_DEG}")
-def all_vertex_degrees(spark, d):
-    return graph.degrees(big(spark, d), table(spark, d, "customer").select(F.col("c_custkey").alias("vid")))
+def all_vertex_degrees(spark, d, edges=big):
+    return graph.degrees(edges(spark, d), table(spark, d, "customer").select(F.col("c_custkey").alias("vid")))
 
 
 @query("SELECT t AS threshold, count(CASE WHEN in_degree >= t THEN 1 END) AS n_in, count(CASE WHEN out_degree >= t THEN 1 END) AS n_out, count(CASE WHEN degree >= t THEN 1 END) AS n_all FROM deg, (SELECT unnest([" + ", ".join(map(str, THRESHOLDS)) + "]) AS t) GROUP BY 1", f"{BIG}, {_DEG}")
-def cumulative_degree_histogram(spark, d):
-    return flow.cumulative_degrees(graph.degrees(big(spark, d)), THRESHOLDS)
+def cumulative_degree_histogram(spark, d, edges=big):
+    return flow.cumulative_degrees(graph.degrees(edges(spark, d)), THRESHOLDS)
 
 
 @query("SELECT src, dst, cnt FROM edges WHERE cnt > 1", EDGES)
@@ -41,8 +46,8 @@ def frequent_edges(spark, d):
 
 
 @query("SELECT src, dst, money FROM big WHERE src % 3 = 0 AND dst % 3 = 0", BIG)
-def vertex_subgraph(spark, d):
-    e = big(spark, d)
+def vertex_subgraph(spark, d, edges=big):
+    e = edges(spark, d)
     return graph.subgraph(e, graph.vertices(e).where("vid % 3 = 0")).select("src", "dst", "money")
 
 
@@ -50,34 +55,34 @@ _SUMS = "SELECT src, dst, money FROM big JOIN deg a ON a.vid = src JOIN deg b ON
 
 
 @query(_SUMS + "> 2", f"{BIG}, {_DEG}")
-def lone_pairs_removed(spark, d):
-    return graph.without_lone_pairs(big(spark, d)).select("src", "dst", "money")
+def lone_pairs_removed(spark, d, edges=big):
+    return graph.without_lone_pairs(edges(spark, d)).select("src", "dst", "money")
 
 
 @query(_SUMS + "<= 2", f"{BIG}, {_DEG}")
-def lone_pairs(spark, d):
-    return graph.without_lone_pairs(big(spark, d), complement=True).select("src", "dst", "money")
+def lone_pairs(spark, d, edges=big):
+    return graph.without_lone_pairs(edges(spark, d), complement=True).select("src", "dst", "money")
 
 
 @query("SELECT vid, sum(m)::BIGINT AS msg FROM (SELECT dst AS vid, money AS m FROM big UNION ALL SELECT src, cnt FROM big) GROUP BY 1", BIG)
-def messages_both_ways(spark, d):
-    return graph.aggregate_messages(big(spark, d), F.col("money"), F.col("cnt"))
+def messages_both_ways(spark, d, edges=big):
+    return graph.aggregate_messages(edges(spark, d), F.col("money"), F.col("cnt"))
 
 
 @query("SELECT a AS vid, min(r) AS cc FROM (SELECT a, least(a, min(r)) AS r FROM reach GROUP BY a UNION ALL SELECT a, r FROM reach) GROUP BY 1", f"{BIG}, {_BOTH}, reach(a, r) AS (SELECT a, b FROM both_ways UNION SELECT both_ways.a, reach.r FROM both_ways JOIN reach ON both_ways.b = reach.a)")
-def components(spark, d):
-    return connected_components(big(spark, d))
+def components(spark, d, edges=big):
+    return connected_components(edges(spark, d))
 
 
 @query("SELECT vid, count(*) OVER (PARTITION BY cc) AS size FROM (SELECT a AS vid, least(a, min(r)) AS cc FROM reach GROUP BY 1)", f"{BIG}, {_BOTH}, reach(a, r) AS (SELECT a, b FROM both_ways UNION SELECT both_ways.a, reach.r FROM both_ways JOIN reach ON both_ways.b = reach.a)")
-def component_sizes(spark, d):
-    cc = connected_components(big(spark, d))
+def component_sizes(spark, d, edges=big):
+    cc = connected_components(edges(spark, d))
     return cc.join(cc.groupBy("cc").agg(F.count("*").alias("size")), "cc").select("vid", "size")
 
 
 @query("SELECT vid, least(vid, coalesce(min(b.r), vid)) AS scc FROM (SELECT src AS vid FROM big UNION SELECT dst FROM big) v LEFT JOIN (SELECT f.a, f.r FROM reach f JOIN reach g ON f.a = g.r AND f.r = g.a) b ON v.vid = b.a GROUP BY vid", f"{BIG}, reach(a, r) AS (SELECT src, dst FROM big UNION SELECT big.src, reach.r FROM big JOIN reach ON big.dst = reach.a)")
-def strong_components(spark, d):
-    return graph.strongly_connected(big(spark, d))
+def strong_components(spark, d, edges=big):
+    return graph.strongly_connected(edges(spark, d))
 
 
 def _unrolled_core(k: int, rounds: int) -> str:
@@ -89,8 +94,8 @@ def _unrolled_core(k: int, rounds: int) -> str:
 
 
 @query("SELECT vid, count(*) AS degree FROM (SELECT src AS vid FROM e40 UNION ALL SELECT dst FROM e40) GROUP BY 1", f"{BIG}, {_unrolled_core(3, 40)}")
-def three_core_degrees(spark, d):
-    return graph.k_core_degrees(big(spark, d), 3)
+def three_core_degrees(spark, d, edges=big):
+    return graph.k_core_degrees(edges(spark, d), 3)
 
 
 def unrolled_labels(source: str, kmax: int, rounds: int = 25) -> str:
@@ -107,8 +112,8 @@ def unrolled_labels(source: str, kmax: int, rounds: int = 25) -> str:
 
 
 @query("SELECT * FROM labels", f"{BIG}, {unrolled_labels('big', 6)}")
-def core_labels(spark, d):
-    return graph.k_core_labels(big(spark, d), 6)
+def core_labels(spark, d, edges=big):
+    return graph.k_core_labels(edges(spark, d), 6 if edges is big else None)
 
 
 def _unrolled_rank(rounds: int) -> str:
@@ -119,60 +124,65 @@ def _unrolled_rank(rounds: int) -> str:
 
 
 @query("SELECT vid, round(rank, 6) AS rank FROM r6", f"{BIG}, {_unrolled_rank(6)}")
-def page_rank_six_rounds(spark, d):
-    return graph.page_rank(big(spark, d), rounds=6).select("vid", F.round("rank", 6).alias("rank"))
+def page_rank_six_rounds(spark, d, edges=big):
+    return graph.page_rank(edges(spark, d), rounds=6).select("vid", F.round("rank", 6).alias("rank"))
 
 
 @query()
-def page_rank_to_tolerance(spark, d):
-    return graph.page_rank(big(spark, d))
+def page_rank_to_tolerance(spark, d, edges=big):
+    return graph.page_rank(edges(spark, d))
 
 
 @query("SELECT DISTINCT vid FROM near", f"{BIG}, {_BOTH}, near(vid, hop) AS (SELECT c_custkey, 0 FROM customer WHERE c_custkey % 301 = 0 UNION SELECT b, hop + 1 FROM near JOIN both_ways ON a = vid WHERE hop < 3)")
-def seed_expansion(spark, d):
-    return graph.expand(big(spark, d), table(spark, d, "customer").where("c_custkey % 301 = 0").select(F.col("c_custkey").alias("vid")), 3)
+def seed_expansion(spark, d, edges=big):
+    return graph.expand(edges(spark, d), table(spark, d, "customer").where("c_custkey % 301 = 0").select(F.col("c_custkey").alias("vid")), 3)
 
 
 @query("SELECT vid, min(money_seen) AS least_seen FROM (SELECT a AS vid, min(r) AS money_seen FROM reach GROUP BY 1 UNION ALL SELECT vid, vid FROM (SELECT src AS vid FROM big UNION SELECT dst FROM big)) GROUP BY 1", f"{BIG}, reach(a, r) AS (SELECT dst, src FROM big UNION SELECT big.dst, reach.r FROM big JOIN reach ON big.src = reach.a)")
-def pregel_smallest_ancestor(spark, d):
+def pregel_smallest_ancestor(spark, d, edges=big):
     """Each vertex learns the smallest vertex that can reach it."""
-    e = big(spark, d)
+    e = edges(spark, d)
     return graph.pregel(graph.vertices(e).withColumn("least_seen", F.col("vid")), e, "least_seen", F.when(F.col("src_state") < F.col("dst_state"), F.col("src_state")), None, F.min, lambda s, m: F.least(s, m))
 
 
 @query("SELECT vid, in_degree, out_degree, degree, round(amt_in / degree, 4) AS in_per_degree, round(amt_out / degree, 4) AS out_per_degree, round(rank, 6) AS rank FROM deg JOIN r6 USING (vid) JOIN (SELECT vid, sum(i)::DOUBLE AS amt_in, sum(o)::DOUBLE AS amt_out FROM (SELECT dst AS vid, money AS i, 0 AS o FROM big UNION ALL SELECT src, 0, money FROM big) GROUP BY 1) USING (vid)", f"{BIG}, {_DEG}, {_unrolled_rank(6)}")
-def degree_ratios_with_rank(spark, d):
-    e = big(spark, d)
+def degree_ratios_with_rank(spark, d, edges=big):
+    e = edges(spark, d)
     f = flow.in_out(e).select("vid", "amt_in", "amt_out")
     j = graph.degrees(e).join(f, "vid").join(graph.page_rank(e, rounds=6), "vid")
     return j.select("vid", "in_degree", "out_degree", "degree", F.round(F.col("amt_in") / F.col("degree"), 4).alias("in_per_degree"), F.round(F.col("amt_out") / F.col("degree"), 4).alias("out_per_degree"), F.round("rank", 6).alias("rank"))
 
 
 @query("SELECT vid FROM (SELECT src AS vid FROM e40 UNION SELECT dst FROM e40) INTERSECT SELECT c_custkey FROM customer WHERE c_custkey % 7 = 0", f"{BIG}, {_unrolled_core(2, 40)}")
-def listed_cards_in_core(spark, d):
+def listed_cards_in_core(spark, d, edges=big):
     listed = table(spark, d, "customer").where("c_custkey % 7 = 0").select(F.col("c_custkey").alias("vid"))
-    return graph.vertices(graph.k_core(big(spark, d), 2)).intersect(listed)
+    return graph.vertices(graph.k_core(edges(spark, d), 2)).intersect(listed)
 
 
 @query("SELECT c_custkey AS vid FROM customer WHERE c_custkey % 301 = 0 UNION SELECT b FROM both_ways WHERE a % 301 = 0 AND a IN (SELECT c_custkey FROM customer)", f"{BIG}, {_BOTH}")
-def one_round_expansion(spark, d):
-    return graph.expand(big(spark, d), table(spark, d, "customer").where("c_custkey % 301 = 0").select(F.col("c_custkey").alias("vid")), 1)
+def one_round_expansion(spark, d, edges=big):
+    return graph.expand(edges(spark, d), table(spark, d, "customer").where("c_custkey % 301 = 0").select(F.col("c_custkey").alias("vid")), 1)
 
 
 @query("SELECT src, dst, money FROM big WHERE src IN (SELECT vid FROM chosen) AND dst IN (SELECT vid FROM chosen)", f"{BIG}, {_BOTH}, near(vid, hop) AS (SELECT c_custkey, 0 FROM customer WHERE c_custkey % 601 = 1 UNION SELECT b, hop + 1 FROM near JOIN both_ways ON a = vid WHERE hop < 2), chosen AS (SELECT DISTINCT vid FROM near)")
-def neighbourhood_extraction(spark, d):
-    e = big(spark, d)
+def neighbourhood_extraction(spark, d, edges=big):
+    e = edges(spark, d)
     near = graph.expand(e, table(spark, d, "customer").where("c_custkey % 601 = 1").select(F.col("c_custkey").alias("vid")), 2)
     return graph.subgraph(e, near).select("src", "dst", "money")
 
 
 @query("SELECT c_custkey AS vid, coalesce(sum(money), 0) AS got FROM customer LEFT JOIN big ON dst = c_custkey GROUP BY 1", BIG)
-def default_for_lone_vertices(spark, d):
-    msg = graph.aggregate_messages(big(spark, d), F.col("money")).withColumnRenamed("msg", "got")
+def default_for_lone_vertices(spark, d, edges=big):
+    msg = graph.aggregate_messages(edges(spark, d), F.col("money")).withColumnRenamed("msg", "got")
     return graph.keep_vertices(table(spark, d, "customer").select(F.col("c_custkey").alias("vid")), msg, "got", 0)
 
 
 @query("SELECT src, dst, sum(money) AS money, sum(cnt) AS cnt FROM (SELECT least(src, dst) AS src, greatest(src, dst) AS dst, money, cnt FROM big) GROUP BY 1, 2", BIG)
-def undirected_merge(spark, d):
-    e = big(spark, d).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"), "money", "cnt")
+def undirected_merge(spark, d, edges=big):
+    e = edges(spark, d).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"), "money", "cnt")
     return graph.merge_edges(e, ["money", "cnt"])
+
+
+#: Each query on large transfers, once more on all of them as whole_<name>. These have no SQL: the recursive form is too slow.
+for _f in (vertex_degrees, all_vertex_degrees, cumulative_degree_histogram, vertex_subgraph, lone_pairs_removed, lone_pairs, messages_both_ways, components, component_sizes, strong_components, three_core_degrees, core_labels, page_rank_six_rounds, page_rank_to_tolerance, seed_expansion, pregel_smallest_ancestor, degree_ratios_with_rank, listed_cards_in_core, one_round_expansion, neighbourhood_extraction, default_for_lone_vertices, undirected_merge):
+    whole(_f, edges=every)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import features, graph, hetero
 from ledgerlens.operators import relational as R
 from ledgerlens.operators.components import connected_components
-from ledgerlens.registry import query
+from ledgerlens.registry import query, whole
 from ledgerlens.plans.catalogue_graph import unrolled_labels
 from ledgerlens.sources import schema as S
 from ledgerlens.sources.transactions import TX, table, transactions
@@ -70,14 +70,15 @@ def scores_of_listed_cards(spark, d):
     return features.attach_originals(features.rank_sum_score(features.card_features(transactions(spark, d))), listed).select("oricard", "card", "score")
 
 
-def _merged(spark, d):
-    t = transactions(spark, d).where("trans_id in ('S33', 'S25') and money >= 8000000 and srccard <> dstcard")
+def _merged(spark, d, large=True):
+    t = transactions(spark, d).where("trans_id in ('S33', 'S25') and srccard <> dstcard")
+    t = t.where("money >= 8000000") if large else t
     night = F.left("loc_trans_tm", F.lit(2)).between("01", "05").cast("int")
     return t.groupBy(F.col("srccard").alias("src"), F.col("dstcard").alias("dst")).agg(F.sum("money").alias("money"), F.count("*").alias("cnt"), F.sum(night).alias("night"), F.count_if(F.col("trans_md") == "2").alias("other_city"), F.count_distinct("acpt_bank").alias("bank_count"))
 
 
-def _members(spark, d):
-    return features.community_vertices(_merged(spark, d))
+def _members(spark, d, large=True):
+    return features.community_vertices(_merged(spark, d, large), 6 if large else None)
 
 
 _COMM = (
@@ -97,32 +98,32 @@ _MEMBERS = (
 
 
 @query("SELECT * FROM comm", f"{TX}, {_COMM}, {_MEMBERS}")
-def community_feature_vector(spark, d):
-    return features.community_features(_merged(spark, d), _members(spark, d))
+def community_feature_vector(spark, d, large=True):
+    return features.community_features(_merged(spark, d, large), _members(spark, d, large))
 
 
 @query("SELECT * FROM mem", f"{TX}, {_COMM}, {_MEMBERS}")
-def community_members(spark, d):
-    return _members(spark, d)
+def community_members(spark, d, large=True):
+    return _members(spark, d, large)
 
 
 @query("SELECT cc, cc_num, trans_num::BIGINT AS trans_num, money::BIGINT AS money, night::BIGINT AS night, other_city::BIGINT AS other_city FROM (SELECT cc, count(*) AS cc_num FROM cc GROUP BY 1) JOIN (SELECT cc, sum(cnt) AS trans_num, sum(money) AS money, sum(night) AS night, sum(other_city) AS other_city FROM k JOIN cc ON src = vid GROUP BY 1) USING (cc)", f"{TX}, {_COMM}")
-def community_totals(spark, d):
-    e = graph.without_lone_pairs(_merged(spark, d))
+def community_totals(spark, d, large=True):
+    e = graph.without_lone_pairs(_merged(spark, d, large))
     cc = connected_components(e)
     inside = e.join(cc.select(F.col("vid").alias("src"), "cc"), "src").groupBy("cc").agg(F.sum("cnt").alias("trans_num"), F.sum("money").alias("money"), F.sum("night").alias("night"), F.sum("other_city").alias("other_city"))
     return cc.groupBy("cc").agg(F.count("*").alias("cc_num")).join(inside, "cc")
 
 
 @query("SELECT cc, vid, place FROM (SELECT *, row_number() OVER (PARTITION BY cc ORDER BY core DESC, degree DESC, in_degree DESC, out_degree DESC, transit DESC, vid) AS place FROM mem) WHERE place < 100", f"{TX}, {_COMM}, {_MEMBERS}")
-def top_members_of_communities(spark, d):
-    m = _members(spark, d)
+def top_members_of_communities(spark, d, large=True):
+    m = _members(spark, d, large)
     return R.top_in_group(m, "cc", 99, F.desc("core"), F.desc("degree"), F.desc("in_degree"), F.desc("out_degree"), F.desc("transit"), F.asc("vid")).select("cc", "vid", "place")
 
 
 @query("SELECT * FROM comm WHERE cc_num < 2000 ORDER BY max_degree DESC, big_core_num DESC, money DESC, max_core DESC, trans_num DESC, cc LIMIT 100", f"{TX}, {_COMM}, {_MEMBERS}")
-def top_100_communities(spark, d):
-    c = features.community_features(_merged(spark, d), _members(spark, d)).where("cc_num < 2000")
+def top_100_communities(spark, d, large=True):
+    c = features.community_features(_merged(spark, d, large), _members(spark, d, large)).where("cc_num < 2000")
     return c.orderBy(F.desc("max_degree"), F.desc("big_core_num"), F.desc("money"), F.desc("max_core"), F.desc("trans_num"), "cc").limit(100)
 
 
@@ -133,10 +134,10 @@ for _names, _w in ((features.FULL, 1.0), (features.HALF, 0.5), (features.QUARTER
 
 
 @query("SELECT card, " + " + ".join(f"{w}::DOUBLE * dense_rank() OVER (ORDER BY coalesce({k}, 0))" for k, w in _ALL_WEIGHTS.items()) + " AS score FROM cards LEFT JOIN (SELECT vid AS card, comm.* FROM mem JOIN comm USING (cc)) USING (card)", f"{TX}, {_CARDS}, {_COMM}, {_MEMBERS}")
-def card_and_community_score(spark, d):
+def card_and_community_score(spark, d, large=True):
     """Card features with those of the card's community, nulls as zero, ranked and summed."""
-    m = _members(spark, d)
-    c = m.select(F.col("vid").alias("card"), "cc").join(features.community_features(_merged(spark, d), m), "cc").drop("cc")
+    m = _members(spark, d, large)
+    c = m.select(F.col("vid").alias("card"), "cc").join(features.community_features(_merged(spark, d, large), m), "cc").drop("cc")
     return features.rank_sum_score(features.card_features(transactions(spark, d)).join(c, "card", "left"))
 
 
@@ -161,16 +162,21 @@ def mixed_graph_vertex_counts(spark, d):
 _HCC = "h AS (SELECT * FROM het WHERE edge_type IN ('trans_at', 'quxian_at')), names AS (SELECT 'card:' || vid AS vid, cc FROM cc)"
 
 
-def _regions(spark, d):
-    m = connected_components(graph.without_lone_pairs(_merged(spark, d))).select(F.concat(F.lit("card:"), F.col("vid").cast("string")).alias("vid"), "cc")
+def _regions(spark, d, large=True):
+    m = connected_components(graph.without_lone_pairs(_merged(spark, d, large))).select(F.concat(F.lit("card:"), F.col("vid").cast("string")).alias("vid"), "cc")
     return hetero.regions_of_communities(hetero.typed_edges(transactions(spark, d)), m)
 
 
 @query("SELECT cc, count(DISTINCT dst) AS regions FROM h JOIN names ON src = vid GROUP BY 1", f"{TX}, {_COMM}, {_HET}, {_HCC}")
-def regions_per_community(spark, d):
-    return _regions(spark, d)[0]
+def regions_per_community(spark, d, large=True):
+    return _regions(spark, d, large)[0]
 
 
 @query("SELECT dst AS region, count(DISTINCT cc) AS communities FROM h JOIN names ON src = vid GROUP BY 1", f"{TX}, {_COMM}, {_HET}, {_HCC}")
-def communities_per_region(spark, d):
-    return _regions(spark, d)[1]
+def communities_per_region(spark, d, large=True):
+    return _regions(spark, d, large)[1]
+
+
+#: The same over all transfers, with core numbers that have no upper limit.
+for _f in (community_feature_vector, community_members, community_totals, top_members_of_communities, top_100_communities, card_and_community_score, regions_per_community, communities_per_region):
+    whole(_f, large=False)
