@@ -3,7 +3,7 @@
 Each rule says good (2), bad (1) or nothing (0) about a document. Only how often each
 pattern of votes occurs is gathered: at most 3 to the number of rules rows, whatever the
 corpus' size. EM on these counts estimates, without labels, how often each rule says what
-on good and on bad documents; the posterior then replaces all-must-pass filtering.
+on good and on bad documents, held near START; see BELIEF for what that does to verdicts.
 
 Everything runs in DataFrame and SQL functions.
 """
@@ -24,7 +24,8 @@ PRIOR_GOOD = 0.6
 #: bad in one way, so most rules find it good; a good one is seldom called bad.
 START = {"good": (0.05, 0.01, 0.94), "bad": (0.05, 0.2, 0.75)}
 
-#: Weight of START against the data's own estimates. Rules that fail together would otherwise become the class
+#: Weight of START against the data's shares in every round: three quarters at any corpus size, not a count of documents.
+#: With it one bad vote outweighs seven good ones, so verdicts are those of all-must-pass filtering (README). Rules that fail together would otherwise become the class
 #: called bad by themselves, and rules for other kinds of bad documents would count for nothing.
 BELIEF = 3.0
 
@@ -93,7 +94,7 @@ def votes(measured: DataFrame) -> DataFrame:
 def fit(voted: DataFrame, rounds: int = ROUNDS) -> dict[str, float]:
     """EM over the counts of vote patterns: {"prior", "<rule>_<vote>_<class>"}.
 
-    Maximum a posteriori: START is also the prior, of weight BELIEF, so the class called good is
+    START is mixed into each round's shares with weight BELIEF, so the class called good is
     the one that the rules call good. Each round is one aggregation of at most 3 ** rules rows.
     An empty table leaves the starting values.
     """
