@@ -21,7 +21,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a benchmark passage, substitutions included."""
-    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"), least=1)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,13 +6,16 @@ around every hit the aligned tokens are compared, and an overlap counts if some
 of 13 tokens (the whole item, if it is shorter) agrees in at least four fifths.
 
 The three masks meet every placement of two substitutions in 13 tokens: some mask, at
-some offset, ignores both. The benchmark goes to the workers in slices of bounded size,
+some offset, ignores both. Shorter items have masks over their whole length, each without
+some blocks of it, so that some mask ignores all substitutions allowed. The benchmark goes to the workers in slices of bounded size,
 one pass over the documents for each; a usual benchmark is one slice.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,18 +30,24 @@ MASKS = ((0, 1, 2, 4, 7, 8), (0, 1, 2, 5, 6, 8), (0, 2, 3, 4, 7, 8))
 SPAN = 9
 WINDOW = 13
 SHARE = 0.8
-#: Shorter items (in tokens) are not looked for: they recur in text of any kind.
+#: Shorter items (in tokens) are not looked for unless asked: they recur in text of any kind.
 LEAST_TOKENS = 5
 #: Characters of a slice of the benchmark, about.
 SLICE_CHARS = 16_000_000
 _TOKEN = re.compile(r"\w+")
+#: Scripts written without spaces: Han, kana, bopomofo, Thai, Lao, Tibetan, Burmese, Khmer.
+_RANGES = "\u3005-\u3007\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_RANGES += "".join(chr(c) for a, b in ((0x0E00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800)) for c in range(a, b) if unicodedata.category(chr(c))[0] in "LM")
+_UNSPACED = re.compile(f"[{_RANGES}]")
+_CHARACTER_OR_WORD = re.compile(f"[{_RANGES}]|[^\\W{_RANGES}]+")
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 _FILTER_BITS = 22
 
 
 def tokens(text: str | None) -> np.ndarray:
-    """Process-wide hashes of the lower-cased word tokens."""
-    found = _TOKEN.findall((text or "").lower())
+    """Process-wide hashes of the lower-cased word tokens; in scripts without spaces each character is one."""
+    low = (text or "").lower()
+    found = (_TOKEN if low.isascii() or not _UNSPACED.search(low) else _CHARACTER_OR_WORD).findall(low)
     return np.fromiter(map(hash, found), np.int64, len(found)).view(np.uint64)
 
 
@@ -54,39 +63,51 @@ def _seeds(t: np.ndarray, mask: tuple[int, ...], span: int) -> np.ndarray:
     return h
 
 
+def short_masks(n: int) -> list[tuple[int, ...]]:
+    """Masks for an item of ``n`` tokens, under 13: whichever tokens are substituted, as many as may be, some mask looks at none of them.
+
+    One substitution: three blocks, of which each mask has two. Two: four blocks, each mask has two. None: all tokens.
+    """
+    k = n - next(x for x in range(n + 1) if x >= SHARE * n)
+    if not k:
+        return [tuple(range(n))]
+    blocks = [tuple(b.tolist()) for b in np.array_split(np.arange(n), k + 2)]
+    return [tuple(x for b in two for x in b) for two in itertools.combinations(blocks, 2)]
+
+
 class Index:
     """Seeds of a slice of the benchmark: hash, item, position; built in the process that uses it, as token hashes are its own."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], least: int = LEAST_TOKENS):
         self.ids = [i for i, _ in items]
         self.tokens = [tokens(t) for _, t in items]
-        # items shorter than a mask are one seed of all their tokens
-        self.masks = [(m, SPAN) for m in MASKS] + [(tuple(range(n)), n) for n in range(LEAST_TOKENS, SPAN) if any(len(t) == n for t in self.tokens)]
+        lengths = {len(t) for t in self.tokens if len(t) >= max(least, 1)}
+        self.masks = [(m, SPAN, WINDOW) for m in MASKS if any(n >= WINDOW for n in lengths)] + [(m, n, n) for n in sorted(lengths) if n < WINDOW for m in short_masks(n)]
         self.tables = []
-        for mask, span in self.masks:
+        for mask, span, length in self.masks:
             hs, who, at = [], [], []
             for k, t in enumerate(self.tokens):
-                if len(t) >= SPAN if span == SPAN else len(t) == span:
+                if len(t) >= WINDOW if length == WINDOW else len(t) == length:
                     h = _seeds(t, mask, span)
                     hs.append(h)
                     who.append(np.full(len(h), k))
                     at.append(np.arange(len(h)))
             h, who, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (hs, who, at))
             order = np.argsort(h, kind="stable")
-            bits = np.zeros(1 << _FILTER_BITS, bool)
+            bits = np.zeros(1 << min(_FILTER_BITS, (256 * len(h)).bit_length()), bool)
             h = h[order].astype(np.uint64)
-            bits[h & np.uint64((1 << _FILTER_BITS) - 1)] = True
+            bits[h & np.uint64(len(bits) - 1)] = True
             self.tables.append((h, who[order], at[order], bits))
 
     def overlaps(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item, first token, token after the last, agreeing tokens) of the best verified overlap with each item."""
         t = tokens(text)
         pairs: set[tuple[int, int]] = set()
-        for (mask, span), (h, who, at, bits) in zip(self.masks, self.tables):
+        for (mask, span, _), (h, who, at, bits) in zip(self.masks, self.tables):
             if not len(h):
                 continue
             s = _seeds(t, mask, span)
-            p = np.flatnonzero(bits[s & np.uint64((1 << _FILTER_BITS) - 1)])
+            p = np.flatnonzero(bits[s & np.uint64(len(bits) - 1)])
             lo, hi = np.searchsorted(h, s[p], "left"), np.searchsorted(h, s[p], "right")
             for q, a, b in zip(p[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
                 pairs.update(zip(who[a:b].tolist(), (q - at[a:b]).tolist()))
@@ -111,10 +132,10 @@ class Index:
 _built: dict[int, Index] = {}
 
 
-def _index(items: list[tuple[int, str]], key: int) -> Index:
+def _index(items: list[tuple[int, str]], key: int, least: int) -> Index:
     if key not in _built:
         _built.clear()
-        _built[key] = Index(items)
+        _built[key] = Index(items, least)
     return _built[key]
 
 
@@ -126,10 +147,10 @@ def slices(benchmark: DataFrame, slice_chars: int = SLICE_CHARS) -> Iterator[lis
         yield sorted((r[0], r[1]) for r in b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect())
 
 
-def find(docs: DataFrame, benchmark: DataFrame, slice_chars: int = SLICE_CHARS) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, slice_chars: int = SLICE_CHARS, least: int = LEAST_TOKENS) -> DataFrame:
     """(doc_id, item_id, start, end, matched, contaminated) for every document and item that overlap; positions count tokens.
 
-    A document without overlap has no row. Null and empty texts overlap nothing; repeated rows are
+    Items under ``least`` tokens are not looked for; under 5, all tokens must agree. A document without overlap has no row. Null and empty texts overlap nothing; repeated rows are
     reported each; an empty benchmark gives an empty result. Other columns are ignored.
     """
     schema = "doc_id long, item_id long, start long, end long, matched long, contaminated boolean"
@@ -138,10 +159,10 @@ def find(docs: DataFrame, benchmark: DataFrame, slice_chars: int = SLICE_CHARS)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
     for items in slices(benchmark, slice_chars):
-        key = hash(tuple(items))
+        key = hash((least, *items))
 
         def run(batches, items=items, key=key):
-            index = _index(items, key)
+            index = _index(items, key, least)
             for b in batches:
                 got = [(d, *o, True) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for o in index.overlaps(t)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*got) if got else [()] * 6, kinds)], names=names)
@@ -151,13 +172,13 @@ def find(docs: DataFrame, benchmark: DataFrame, slice_chars: int = SLICE_CHARS)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, slice_chars: int = SLICE_CHARS) -> DataFrame:
-    """The rows of ``docs``, all columns, that overlap no item."""
+def clean(docs: DataFrame, benchmark: DataFrame, slice_chars: int = SLICE_CHARS, least: int = LEAST_TOKENS) -> DataFrame:
+    """The rows of ``docs``, all columns, that overlap no item of ``least`` tokens or more."""
     for items in slices(benchmark, slice_chars):
-        key = hash(tuple(items))
+        key = hash((least, *items))
 
         def run(batches, items=items, key=key):
-            index = _index(items, key)
+            index = _index(items, key, least)
             for b in batches:
                 yield b.filter(pa.array([not index.overlaps(t) for t in b.column("text").to_pylist()], pa.bool_()))
 

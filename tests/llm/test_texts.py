@@ -84,6 +84,32 @@ def test_masks_meet_all_pairs_of_substitutions():
         assert any(all(x - p not in m for x in e) for m in decontaminate.MASKS for p in range(13 - decontaminate.SPAN + 1))
 
 
+def test_short_items_meet_every_allowed_substitution():
+    import itertools
+
+    for n in range(1, 13):
+        item = [f"w{i}" for i in range(n)]
+        index = decontaminate.Index([(1, " ".join(item))], least=1)
+        k = n - math.ceil(0.8 * n)
+        for gone in itertools.combinations(range(n), k):
+            text = " ".join(["a", "b", *["x" if i in gone else w for i, w in enumerate(item)], "c"])
+            assert index.overlaps(text) == [(1, 2, 2 + n, n - k)], (n, gone)
+        for gone in itertools.combinations(range(n), k + 1):
+            assert not index.overlaps(" ".join("x" if i in gone else w for i, w in enumerate(item)))
+
+
+def test_short_items_only_if_asked():
+    assert decontaminate.Index([(1, "x y z")]).overlaps("x y z") == []
+    assert decontaminate.Index([(1, "x y z"), (2, "..."), (3, "q")], least=1).overlaps("w x y z") == [(1, 1, 4, 3)]
+
+
+def test_unspaced_scripts_by_character():
+    index = decontaminate.Index([(1, "水は百度で沸騰し零度で凍ります"), (2, "ภาษาไทยไม่มีช่องว่าง")])
+    assert [o[0] for o in index.overlaps("昨日、水は百度で沸騰し一度で凍りますと書いた abc")] == [1]
+    assert [o[0] for o in index.overlaps("กกภาษาไทยไม่มีช่องว่างขข")] == [2]
+    assert len(decontaminate.tokens("été naïve 한국어 text_1")) == 4
+
+
 def plain(text):
     out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
