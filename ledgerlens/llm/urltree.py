@@ -17,9 +17,8 @@ from ledgerlens.plans import scratch
 
 # (verdict, host with its subdomains, path prefix)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-#: Levels of a path that the tree tells apart; deeper segments share one tail.
-DEPTH = 4
-#: A segment with more siblings than this, none of them common, is a variable.
+#: A segment with more siblings than this, none of them common, is a variable, unless its labels differ by more
+#: than so many siblings would by chance.
 SIBLINGS = 50
 COMMON = 0.05
 #: Siblings differ if their shares of bad pages lie this many standard errors apart.
@@ -70,7 +69,12 @@ def tree(pages: DataFrame) -> DataFrame:
     hosts = rows.groupBy("host").agg(*add("__n", "__lab", "__bad"))
     segs = F.split("tpath", "/")
     t = rows.join(hosts, "host").select("host", "tpath", "n", "lab", "bad", segs.alias("segs"), F.lit("").alias("template"), smooth("__bad", "__lab", F.lit(prior)).alias("share"))
-    for k in range(1, DEPTH + 1):
+    deepest = rows.agg(F.max(F.size(segs))).first()[0] or 0
+    done = []
+    for k in range(1, deepest + 1):
+        # paths that ended above have a template that no longer path shares
+        done.append(t.where(F.size("segs") < k - 1))
+        t = t.where(F.size("segs") >= k - 1)
         t = t.withColumn("seg", F.when((F.size("segs") >= k) & (F.col("tpath") != ""), F.get("segs", F.lit(k - 1))).otherwise(""))
         kids = t.groupBy("host", "template", "seg").agg(*add("cn", "clab", "cbad"))
         parents = kids.groupBy("host", "template").agg(F.count("*").alias("sn"), F.sum("cn").alias("pn"), F.sum("clab").alias("plab"), F.sum("cbad").alias("pbad"))
@@ -81,13 +85,15 @@ def tree(pages: DataFrame) -> DataFrame:
         z = F.try_divide(F.abs(F.try_divide(F.col("cbad"), F.col("clab")) - F.try_divide(rest_bad, rest_lab)), error)
         variable = (F.col("sn") > SIBLINGS) & (F.col("cn") < COMMON * F.col("pn"))
         alike = F.coalesce(z, F.lit(0.0)) < DIFFER
-        branch = F.when(F.col("seg") == "", "").when(variable | (alike & (F.col("sn") > 1)), "/*").otherwise(F.concat(F.lit("/"), F.col("seg")))
+        chance = F.coalesce(z, F.lit(0.0)) < F.sqrt(DIFFER**2 + 2 * F.log("sn"))
+        branch = F.when(F.col("seg") == "", "").when((variable & chance) | (alike & (F.col("sn") > 1)), "/*").otherwise(F.concat(F.lit("/"), F.col("seg")))
         named = j.select("host", "template", "seg", branch.alias("branch"), "cn", "clab", "cbad")
         pooled = named.groupBy("host", "template", "branch").agg(F.sum("clab").alias("blab"), F.sum("cbad").alias("bbad"))
         nodes = named.join(pooled, ["host", "template", "branch"]).select("host", "template", "seg", "branch", "blab", "bbad")
         t = scratch.keep(t.join(nodes, ["host", "template", "seg"]).select("host", "tpath", "n", "lab", "bad", "segs", F.concat("template", "branch").alias("template"), F.when(F.col("seg") == "", F.col("share")).otherwise(smooth("bbad", "blab", F.col("share"))).alias("share")), "tree")
-    tail = F.when((F.col("tpath") != "") & (F.size("segs") > DEPTH), "/**").otherwise("")
-    return t.select("host", "tpath", "n", F.concat("template", tail).alias("template"), "share")
+    for d in done:
+        t = t.unionByName(d)
+    return t.select("host", "tpath", "n", "template", "share")
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:

@@ -86,6 +86,18 @@ def test_templates(spark):
     assert t["bad/{num}"].template == "/bad/{num}" and t["user/naa/x"].template.startswith("/*")
 
 
+def test_templates_of_any_depth_and_many_siblings(spark):
+    deep = [("h", f"a/b/c/d/e/{kind}/{i}x", kind == "spam") for kind in ("good", "spam") for i in range(20)]
+    wide = [("w", f"s{i}/p{j}", i == 60) for i in range(61) for j in range(15)] + [("w", "s0", None), ("w", "", None)]
+    got = {(r.host, r.tpath): r for r in urltree.tree(spark.createDataFrame(deep + wide, "host string, tpath string, bad boolean")).collect()}
+    assert len(got) == len(deep + wide)
+    for host, path, bad in deep:
+        assert f"/{path.split('/')[5]}/" in got[host, path].template and (got[host, path].share >= urltree.BLOCK_FROM) == bad
+    assert got["w", "s60/p1"].template.startswith("/s60/") and got["w", "s60/p1"].share >= urltree.BLOCK_FROM
+    assert got["w", "s1/p1"].template.startswith("/*/") and got["w", "s1/p1"].share < 0.1
+    assert got["w", ""].template == "" and got["w", "s0"].template == "/*"
+
+
 def test_tokens_round_trip(spark):
     from tokenizers import Tokenizer
 
