@@ -25,7 +25,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's target weight says, in a random order; the columns of documents."""
+    """Each document as often as its source's target weight says; the columns of documents. The order is random here, but write_tokens sorts by id."""
     return mixing.mix(docs).select(docs.columns)
 
 
