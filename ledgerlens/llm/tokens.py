@@ -16,6 +16,7 @@ records can be read in any order.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -24,6 +25,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +35,13 @@ from ledgerlens.plans import scratch
 END_ID = 2
 _MASK = 0xA282EAD8
 #: Words that a worker remembers at most.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
+#: Longer texts are cut into pieces of about as many characters before their words are told apart.
+PIECE_CHARS = 4_000_000
+#: Characters of texts that are encoded at once, about.
+BATCH_CHARS = 4_000_000
+#: Characters of text that a data file is meant for; a file must be read whole, so it has to stay far below 2 GB.
+FILE_CHARS = 256_000_000
 _HEAD = struct.Struct("<QI")
 _META = struct.Struct("<BqB")
 
@@ -106,45 +114,36 @@ def _irregular(text: str) -> bool:
     return any(c in text for c in _OTHER_SPACES) and _IRREGULAR.search(text) is not None
 
 
-class _Recent(dict):
-    """Two generations of entries: when the young one is full, entries unused since it began are dropped."""
-
-    def __init__(self, size: int):
-        super().__init__()
-        self.old: dict[str, bytes] = {}
-        self.size = size
-
-    def absent(self, words: set[str]) -> set[str]:
-        """Words that neither generation has; those of the old one join the young one."""
-        old = self.old
-        if old:
-            for w in words:
-                if w in old and w not in self:
-                    self[w] = old[w]
-        return {w for w in words if w not in self}
-
-    def make_room(self) -> None:
-        if len(self) > self.size // 2:
-            self.old = dict(self)
-            self.clear()
+def cuts_at_spaces(rules: dict) -> bool:
+    """Whether a tokenizer file has the splitting rule that `Encoder` cuts by: byte-level, its own pattern, nothing before or after."""
+    pre = rules.get("pre_tokenizer") or {}
+    model = rules.get("model") or {}
+    plain = not rules.get("normalizer") and not rules.get("truncation") and not rules.get("post_processor")
+    return plain and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True) and model.get("type") == "BPE" and not model.get("dropout")
 
 
 class Encoder:
-    """Ids of whole texts through the tokenizers library, each distinct word encoded once while it is remembered.
+    """Ids of whole texts, as the tokenizers library gives them, each distinct word encoded once while it is remembered.
 
-    The vocabulary's splitting rule never joins what stands before a space with a
+    A byte-level vocabulary's splitting rule never joins what stands before a space with a
     following non-space, nor a line break between two non-spaces with what stands before
     it, so texts may be cut there and the parts' ids joined. Where white space is less
     regular, only the first kind of cut is made. Words go to the library many at a time,
-    cut apart again by the byte lengths of their tokens.
+    cut apart again by the byte lengths of their tokens. Texts that hold a special token's string, and
+    all texts of a vocabulary with another rule, go to the library whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, specials_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = specials_as_text
+        with open(path, encoding="utf-8") as f:
+            rules = json.load(f)
+        self.cuts = cuts_at_spaces(rules)
+        added = rules.get("added_tokens") or []
+        self.specials = [t["content"] for t in added if not (specials_as_text and t.get("special"))]
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.width = 2 if max(vocab.values()) < 1 << 16 else 4
         self.kind = f"<u{self.width}"
@@ -152,18 +151,19 @@ class Encoder:
         for token, i in vocab.items():
             size[i] = len(token)  # byte-level vocabularies write one character per byte
         self.size = size
-        self.words = _Recent(CACHE_WORDS)  # "x" stands for " x", "\nx" for itself
+        self.words: dict[str, bytes] = {}  # "x" stands for " x", "\nx" for itself
+        self.room = CACHE_WORDS
         self.points = {c: self._ids(c) for c in _POINTS}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        """Remember words that the young generation lacks."""
+    def _learn(self, new: list[str]) -> None:
+        """Remember distinct words that are not remembered yet."""
         known = self.words
-        new = known.absent(words)
         stems = {w: w[:-1] for w in new if w[-1:] in _POINTS and w[:-1].isalpha()}
-        need = list((new - stems.keys()) | known.absent(set(stems.values())))
+        need = [w for w in new if w not in stems]
+        need += set(stems.values()).difference(need).difference(known)
         parts = [w if w[:1] == "\n" else " " + w for w in need]
         if parts:
             ids = np.array(self.tok.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, self.kind)
@@ -176,26 +176,74 @@ class Encoder:
         for w, stem in stems.items():
             known[w] = known[stem] + self.points[w[-1]]
 
+    def _remembered(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words. A full memory is emptied: common words are soon back, and most others never return."""
+        if len(self.words) > self.room:
+            self.words = {}
+        ids = list(map(self.words.get, words))
+        missing = [w for w, i in zip(words, ids) if i is None]
+        if missing:
+            for i in range(0, len(missing), 5000):
+                self._learn([w for w in missing[i : i + 5000] if w not in self.words])
+            ids = list(map(self.words.__getitem__, words))
+        return ids
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, cut at single spaces and before line breaks. Each begins with a word, or with the space before one."""
+        if not pieces:
+            return []
+        # a line break before each piece keeps its first word from being taken for one after a space; its one id is left out below
+        cut = pc.replace_substring(pa.array(pieces, pa.large_string()), "\n", " \n")
+        lists = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\n", pa.large_string()), cut, pa.scalar("", pa.large_string())), " ")
+        coded = lists.flatten().dictionary_encode()
+        found = self._remembered(coded.dictionary.to_pylist())
+        codes = coded.indices.to_numpy().astype(np.int64)
+        flat = np.frombuffer(b"".join(found), self.kind)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        start = np.cumsum(size) - size
+        per = size[codes]
+        end = np.cumsum(per)
+        ids = flat[np.repeat(start[codes] - end + per, per) + np.arange(end[-1])]
+        edge = np.concatenate(([0], end))[np.asarray(lists.offsets)].tolist()
+        return [ids[a + 1 : b].tobytes() for a, b in zip(edge, edge[1:])]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of every text. Distinct words of all texts together are looked up once."""
+        out: list[list[bytes] | bytes] = []
+        pieces: list[str] = []
+        where: list[int] = []
+        for i, t in enumerate(texts):
+            if not self.cuts or not t or any(s in t for s in self.specials) or _irregular(t):
+                out.append(self.encode(t))
+                continue
+            out.append([])
+            at = 0
+            while at < len(t):  # very long texts in pieces that end before a space
+                to = len(t) if len(t) - at <= PIECE_CHARS else t.find(" ", at + PIECE_CHARS)
+                to = len(t) if to < 0 else to
+                pieces.append(t[at:to])
+                where.append(i)
+                at = to
+        for i, ids in zip(where, self._pieces(pieces)):
+            out[i].append(ids)
+        return [b"".join(x) if isinstance(x, list) else x for x in out]
+
     def encode(self, text: str) -> bytes:
+        """Ids of one text, by the library where words can't be cut apart safely."""
         if not text:
             return b""
-        if _irregular(text):
-            first, *rest = _BREAK.split(text)
-            # parts keep their spaces; those that hold more white space are encoded as they are
-            return self._ids(first) + b"".join(self._rest(rest))
-        words = text.replace("\n", " \n").split(" ")
-        words[0] = "\n" + words[0]
-        return self._joined(words)[self.width :]  # without the line break put before the first word
+        if not self.cuts or any(s in text for s in self.specials):
+            return self._ids(text)
+        if not _irregular(text):
+            return self.encode_all([text])[0]
+        first, *rest = _BREAK.split(text)
+        # parts keep their spaces; those that hold more white space are encoded as they are
+        return self._ids(first) + b"".join(self._rest(rest))
 
     def _joined(self, words: list[str]) -> bytes:
-        self.words.make_room()
-        ids = list(map(self.words.get, words))
-        if None in ids:
-            missing = list({w for w, i in zip(words, ids) if i is None})
-            for i in range(0, len(missing), 5000):
-                self._learn(set(missing[i : i + 5000]))
-            ids = list(map(self.words.__getitem__, words))
-        return b"".join(ids)
+        own = list(dict.fromkeys(words))
+        known = dict(zip(own, self._remembered(own)))
+        return b"".join(map(known.__getitem__, words))
 
     def _rest(self, parts: list[str]):
         plain: list[str] = []
@@ -212,30 +260,48 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, specials_as_text: bool = False) -> Encoder:
+    return Encoder(path, specials_as_text)
 
 
-def write(docs: DataFrame, out: str, vocabulary: str | None = None, end_id: int = END_ID, files: int | None = None) -> None:
+def write(docs: DataFrame, out: str, vocabulary: str | None = None, end_id: int = END_ID, files: int | None = None, specials_as_text: bool = False) -> None:
     """Encode every row of ``docs(doc_id, text)`` to ``<out>/data`` and index it in ``<out>/index``.
 
-    Rows go in ascending doc_id order, null ids first, rows of one id by a hash of their text. Null and empty
-    texts are records with the end id alone. An empty table gives no record. Other columns are ignored.
+    Rows go in ascending doc_id order, null ids first, rows of one id by a hash of their text; rows that repeat both
+    may be dealt to several files. Null and empty texts are records with the end id alone. An empty table gives no record.
+    Other columns are ignored. A special token's string in a text becomes that token's id, as the library does,
+    unless ``specials_as_text``. Without ``files`` their number follows from the length of all texts, see FILE_CHARS.
     """
     path = vocabulary or vocabulary_path()
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, specials_as_text)
         end = np.array([end_id], enc.kind).tobytes()
+
+        def rows(ids, texts):
+            framed = [frame(encode_payload(d, x + end, enc.width))[:-1] for d, x in zip(ids, enc.encode_all(texts))]
+            return pa.RecordBatch.from_arrays([pa.array(framed, pa.binary())], names=["value"])
+
+        ids, texts, held = [], [], 0
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            rows = [frame(encode_payload(d, enc.encode(t) + end, enc.width))[:-1] for d, t in zip(b.column(0).to_pylist(), texts)]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["value"])
+            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                ids.append(d)
+                texts.append(t or "")
+                held += len(texts[-1])
+                if held >= BATCH_CHARS:
+                    yield rows(ids, texts)
+                    ids, texts, held = [], [], 0
+        if ids:
+            yield rows(ids, texts)
 
     spark = docs.sparkSession
-    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("h", F.xxhash64("text"))
-    dealt = rows.repartitionByRange(n, "doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
+    n = files
+    if n is None:
+        chars = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // FILE_CHARS))
+    # the third key splits what repeats one id and text very often
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumns({"h": F.xxhash64("text"), "k": F.monotonically_increasing_id()})
+    dealt = rows.repartitionByRange(n, "doc_id", "h", "k").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     map_arrow(dealt, run, "value binary").select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{out}/data")
     index(spark, out)
 
@@ -262,8 +328,9 @@ def index(spark: SparkSession, out: str) -> None:
 def read_index(spark: SparkSession, out: str) -> DataFrame:
     """The index with ``start``: tokens of all records before it, over all files."""
     table = spark.read.parquet(f"{out}/index")
+    part = F.regexp_extract("file", "^part-([0-9]+)", 1).cast("long")  # as a number: names of over 99,999 parts don't sort
     totals = table.groupBy("file").agg(F.sum("n_tokens").alias("n"))  # one row a file
-    base = totals.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("file", "base")
+    base = totals.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("file", "base")
     return table.join(base, "file").withColumn("start", F.col("base") + F.col("start_in_file")).drop("base")
 
 

@@ -108,7 +108,6 @@ def test_tokens_round_trip(spark):
     out = scratch.new_path(spark, "test-tokens")
     got = tokens.digest(df, out).orderBy("start").collect()
     tok = Tokenizer.from_file(tokens.vocabulary_path())
-    tok.encode_special_tokens = True
     want = {}
     for d, t in rows:
         ids = np.array(tok.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
@@ -141,12 +140,39 @@ def test_tokens_round_trip(spark):
 
 def test_words_forgotten(spark):
     e = tokens.Encoder(tokens.vocabulary_path())
-    e.words.size = 40
+    e.room = 40
     rnd = random.Random(8)
     for _ in range(300):
         t = " ".join(rnd.choice("abcdefgh") * rnd.randint(1, 6) + rnd.choice(["", ",", "."]) for _ in range(30))
         assert np.frombuffer(e.encode(t), e.kind).tolist() == e.tok.encode(t, add_special_tokens=False).ids
-    assert len(e.words) + len(e.words.old) < 200
+    assert len(e.words) < 200
+
+
+def test_encoder_is_the_library(monkeypatch):
+    monkeypatch.setattr(tokens, "PIECE_CHARS", 50)
+    rnd = random.Random(5)
+    parts = ["a", "Bc", " ", " ", "\n", "é", "中", "'s", ".", "12", "<|endoftext|>", "can't", " x", "\nand", " #", "\u00a0"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 120))) for _ in range(3000)]
+    texts += [" ".join(rnd.choice(["word", "A", "b,", "\nline", "é!"]).replace(" \n", "\n") for _ in range(rnd.randint(1, 80))).replace(" \n", "\n").strip() for _ in range(500)]
+    for as_text in (False, True):
+        e = tokens.Encoder(tokens.vocabulary_path(), as_text)
+        assert e.cuts
+        want = [x.ids for x in e.tok.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x, e.kind).tolist() for x in e.encode_all(texts)] == want
+
+
+def test_other_vocabularies_go_to_the_library():
+    e = tokens.Encoder(tokens.vocabulary_path("word_bpe_49k.json"))
+    assert not e.cuts
+    for t in ("", "Some  words here", "<|endoftext|> x"):
+        assert np.frombuffer(e.encode_all([t])[0], e.kind).tolist() == e.tok.encode(t, add_special_tokens=False).ids
+
+
+def test_parts_sort_as_numbers(spark):
+    rows = [(f"part-{k:05d}-x.txt", 0, 9, k, 1, 0) for k in (99_998, 99_999, 100_000, 100_001)]
+    out = scratch.new_path(spark, "test-index")
+    spark.createDataFrame(rows, "file string, offset long, length long, doc_id long, n_tokens long, start_in_file long").write.parquet(f"{out}/index")
+    assert sorted((r.doc_id, r.start) for r in tokens.read_index(spark, out).collect()) == [(99_998, 0), (99_999, 1), (100_000, 2), (100_001, 3)]
 
 
 def test_pipeline(spark):
