@@ -81,7 +81,7 @@ FILTER_BITS = 1 << 25
 
 
 def maybe_among(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """``df`` with a column __maybe: false only where the long ``key`` is surely not among ``keys``.
+    """``df`` with a column __maybe: false only where ``key`` is surely not among ``keys``.
 
     A bitmap with one bit a hashed key, built by aggregation and broadcast in rows of 4 kB. It keeps rows that need no
     join out of a shuffle; with very many keys it says true more often, which costs only that shuffle.

@@ -17,7 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import bktree
@@ -189,65 +189,256 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = RADIUS, limit
 
 # Near duplicates by similarity of shingle sets
 
-#: Bits that the fingerprints of two texts with four fifths of their shingles in common may differ in, with room to spare.
-SET_RADIUS = 22
-BANDS = 12
-#: Points of a tree at most; at this radius a dense shard links nearly all of them.
-SET_SHARD = 1024
-#: Documents of a group that are compared in one task.
-VERIFY_DOCS = 512
-_MIX = (np.arange(1, 2 * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+#: A text's minimum hashes in bands of ROWS: texts with four fifths of their shingles in common share no band in 1 of a million cases.
+ROWS, BANDS = 4, 26
+#: Bits that the fingerprints of such texts may differ in; a tree search goes no farther.
+SET_RADIUS = 26
+#: Of MARKS minimum hashes one byte each is kept, in longs; candidates must agree in ALIKE of them.
+MARKS, ALIKE = 48, 24
+#: Rows of a tree at most; shards with more are dealt anew by a second band.
+SET_SHARD = 4096
+#: Rows, and hashes in them, that are compared in one task, about.
+BLOCK_ROWS, BLOCK_HASHES = 8192, 4_000_000
+#: Rows that stand for a block when blocks of one cluster are compared, and blocks that meet in one task.
+DELEGATES, FAN = 16, 256
+#: Rows outside their cluster's largest part that are compared with a block in one task.
+STRAYS = 1024
+_MIX = np.random.default_rng(_SEED).integers(0, 1 << 63, ROWS * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
+_FOLD = np.random.default_rng(_SEED + 1).integers(0, 1 << 63, (ROWS, BANDS), np.uint64) * np.uint64(2) + np.uint64(1)
+_PAIRS = 100_000
+
+
+def _stir(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33))
+
+
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """Sorted 64-bit ids of the distinct shingles of ``width`` words, each made of its words' hashes."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    w = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    n = max(1, len(w) - width + 1)
+    h = np.full(n, min(width, len(w)), np.uint64)
+    for k in range(min(width, len(w))):
+        h = _stir(h ^ w[k : k + n]) + np.uint64(k)
+    return np.unique(h)
 
 
-def _sketch(hashes: np.ndarray) -> tuple[int, int, list[int]]:
-    """(class of the shingle set, fingerprint, band keys) of distinct sorted hashes."""
+def _sketch(hashes: np.ndarray) -> tuple[int, int, list[int], list[int]]:
+    """(class of the shingle set, fingerprint, band keys, marks) of distinct sorted hashes."""
     if not len(hashes):
-        return 0, 0, [0] * BANDS
-    low = np.full(2 * BANDS, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(hashes), 1 << 14):
-        part = hashes[None, i : i + (1 << 14)] * _MIX[:, None]
-        part ^= part >> np.uint64(32)
-        low = np.minimum(low, (part * np.uint64(0xD6E8FEB86659FD93)).min(1))
-    keys = (low[::2] * np.uint64(0xC2B2AE3D27D4EB4F)) ^ (low[1::2] >> np.uint64(7)) ^ (np.arange(BANDS, dtype=np.uint64) << np.uint64(59))
-    return _signed(xxhash.xxh64_intdigest(hashes.tobytes(), _SEED)), _signed(simhash(hashes)), keys.view(np.int64).tolist()
-
-
-def _verified(batches, similarity: float):
-    """Stars of vertices whose sets are alike, from rows (shard, ci, cj, side, vertex, hashes) sorted by shard, ci, cj."""
-
-    def solve(rows: list[tuple[int, int, bytes]]):
-        rows = [(side, v, np.frombuffer(h, np.uint64)) for side, v, h in sorted(rows)]
-
-        def alike(i: int, j: int) -> bool:
-            (side, _, a), (other, _, b) = rows[i], rows[j]
-            if (side == other != 3) or min(len(a), len(b)) < similarity * max(len(a), len(b)):
-                return False
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            return common >= similarity * (len(a) + len(b) - common)
-
-        # One link joins a row to a whole component, so a dense group costs a few comparisons a row.
-        parts: list[list[int]] = []
-        for i in range(len(rows)):
-            apart, mine = [], [i]
-            for part in parts:
-                if any(alike(i, j) for j in reversed(part)):
-                    mine = part + mine
-                else:
-                    apart.append(part)
-            parts = [*apart, mine]
-        return [(rows[i][1], low) for part in parts for low in [min(rows[i][1] for i in part)] for i in part if rows[i][1] != low]
-
-    def out(pairs):
-        return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["src", "dst"])
-
-    key, rows, found = None, [], []
+        return 0, 0, [0] * BANDS, [0] * (MARKS // 8)
+    low = np.full(len(_MIX), np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(hashes), 1 << 11):
+        low = np.minimum(low, (hashes[None, i : i + (1 << 11)] * _MIX[:, None]).min(1))
+    keys = _stir((low.reshape(ROWS, BANDS) * _FOLD).sum(0) + np.arange(BANDS, dtype=np.uint64))
+    marks = (_stir(low[:: len(low) // MARKS][:MARKS]) >> np.uint64(56)).astype(np.uint8)
+    return _signed(xxhash.xxh64_intdigest(hashes.tobytes(), _SEED)), _signed(simhash(hashes)), keys.view(np.int64).tolist(), marks.view("<i8").tolist()
+
+
+def _candidates(batches, radius: int):
+    """Stars of rows that may be alike, from rows (shard, fp, vertex, marks ...) sorted by shard."""
+
+    def flush(rows):
+        first = np.concatenate(([True], rows[0, 1:] != rows[0, :-1]))
+        group = np.cumsum(first)
+        rows = rows[:, np.bincount(group)[group] > 1]
+        if not rows.shape[1]:
+            return _stars(rows[2], rows[2])
+        shard, fp, vertex = rows[:3]
+        marks, points = np.ascontiguousarray(rows[3:].T).view(np.uint8), np.ascontiguousarray(fp).view(np.uint64)
+        forest = bktree.Forest(points, shard)
+
+        def alike(x, y):
+            parts = [(marks[x[i : i + _PAIRS]] == marks[y[i : i + _PAIRS]]).sum(1) >= ALIKE for i in range(0, len(x), _PAIRS)]
+            return np.concatenate(parts) if parts else np.zeros(0, bool)
+
+        # rows that fit their tree's root are joined by it, whatever else they fit; only the others search
+        every, root = np.arange(len(fp)), forest.roots[np.searchsorted(forest.groups, shard)]
+        near = (bktree.distance(points, points[root]) <= radius) & alike(every, root)
+        a, b = [every[near]], [root[near]]
+        ask = np.flatnonzero(~near)
+        for q, p, _ in forest.within(points[ask], shard[ask], radius):
+            ok = alike(ask[q], p)
+            a.append(ask[q][ok])
+            b.append(p[ok])
+        return _stars(vertex, bktree.lowest(len(fp), np.concatenate(a), np.concatenate(b), vertex))
+
+    return _groups(batches, 1, flush)
+
+
+def _apart(rows: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """``rows(shard, ...)`` of shards that surely have at most ``limit`` rows, and the rest: those of larger ones and a few by chance."""
+    large = scratch.keep(rows.groupBy("shard").count().where(F.col("count") > limit).select("shard"), "large")
+    told = maybe_among(rows, large, "shard")
+    return told.where("not __maybe").drop("__maybe"), told.where("__maybe").drop("__maybe")
+
+
+def _candidate_links(classes: DataFrame, radius: int, limit: int) -> DataFrame:
+    """Links (src, dst) among the classes that may be alike, some by way of a vertex that stands for a shard.
+
+    Shards are bands. What shares a band with more than ``limit`` rows is dealt by each pair of that band and another;
+    what shares a pair of bands (eight minimum hashes) with more than ``limit`` rows counts as alike without a search.
+    """
+    marks = [F.get("marks", F.lit(i)).alias(f"m{i}") for i in range(MARKS // 8)]
+    payload = ["shard", "fp", "vertex", *[f"m{i}" for i in range(MARKS // 8)]]
+    rows = classes.where("sig <> 0").select(F.explode("bands").alias("shard"), "fp", F.col("sig").alias("vertex"), "bands", *marks)
+    few, many = _apart(rows, limit)
+    again = many.withColumn("other", F.explode("bands")).where("other <> shard").withColumn("shard", F.xxhash64("shard", "other")).drop("other")
+    few_again, dense = _apart(again, limit)
+    dealt = few.select(payload).unionByName(few_again.select(payload)).repartition("shard").sortWithinPartitions("shard")
+    return map_arrow(dealt, lambda it: _candidates(it, radius), "src long, dst long").unionByName(dense.select(F.col("vertex").alias("src"), F.col("shard").alias("dst")))
+
+
+class _Sets:
+    """Sets of hashes, held as small local ids, in ascending order of size."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        size = np.array([len(s) for s in sets], np.int64)
+        self.rows = np.argsort(size, kind="stable")
+        self.size = size[self.rows]
+        known, ids = np.unique(np.concatenate([sets[i] for i in self.rows]), return_inverse=True)
+        self.ids = ids.astype(np.int32)
+        self.start = np.concatenate(([0], np.cumsum(self.size)))
+        self.mark = np.zeros(len(known), bool)
+
+    def own(self, i: int) -> np.ndarray:
+        return self.ids[self.start[i] : self.start[i + 1]]
+
+    def alike(self, own: np.ndarray, similarity: float, left: np.ndarray | None = None) -> np.ndarray:
+        """Places of the sets that are alike to ``own``; among ``left`` only, which ascends."""
+        n = len(own)
+        size = self.size if left is None else self.size[left]
+        lo, hi = np.searchsorted(size, similarity * n - 1e-9, "left"), np.searchsorted(size, n / similarity + 1e-9, "right")
+        if lo == hi:
+            return np.zeros(0, np.int64)
+        where = np.arange(lo, hi) if left is None else left[lo:hi]
+        size = size[lo:hi]
+        self.mark[own] = True
+        if len(where) == where[-1] - where[0] + 1:
+            flat = self.ids[self.start[where[0]] : self.start[where[-1] + 1]]
+        else:
+            end = np.cumsum(size)
+            flat = self.ids[np.repeat(self.start[where] - end + size, size) + np.arange(end[-1])]
+        common = np.add.reduceat(self.mark[flat].astype(np.int32), np.cumsum(size) - size)
+        self.mark[own] = False
+        return where[common >= similarity * (n + size - common)]
+
+
+def alike_parts(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """For each of the non-empty sets the number of its part: sets are in one if a chain of sets that are alike joins them.
+
+    A set that has been reached is not compared again but as the one that asks, so a dense group costs little more than its strays.
+    """
+    s = _Sets(sets)
+    part = np.full(len(sets), -1, np.int64)
+    left = np.arange(len(sets))
+    parts = 0
+    while len(left):
+        queue = [int(left[0])]
+        part[s.rows[queue[0]]] = parts
+        left = left[1:]
+        while queue and len(left):
+            hit = s.alike(s.own(queue.pop()), similarity, left)
+            if len(hit):
+                part[s.rows[hit]] = parts
+                left = left[~np.isin(left, hit, assume_unique=True)]
+                queue += hit.tolist()
+        parts += 1
+    return part
+
+
+def _blocks(batches, keys: int):
+    """Rows of one block after the other, from batches sorted by their first ``keys`` columns."""
+    key, rows = None, []
     for batch in batches:
-        for shard, ci, cj, side, v, h in zip(*[c.to_pylist() for c in batch.columns]):
-            if (shard, ci, cj) != key:
-                found += solve(rows)
-                key, rows = (shard, ci, cj), []
-            rows.append((side, v, h))
-    yield out(found + solve(rows))
+        for row in zip(*[c.to_pylist() for c in batch.columns]):
+            if row[:keys] != key:
+                if rows:
+                    yield key, rows
+                key, rows = row[:keys], []
+            rows.append(row[keys:])
+    if rows:
+        yield key, rows
+
+
+_PARTS = "cluster long, block int, blocks int, vertex long, part long, hashes binary"
+
+
+def _compared(batches, similarity: float):
+    """The part of every row of a block, named by its least vertex; of blocks that are not alone in their cluster, delegates keep their sets."""
+    names, kinds = [x.split(" ")[0] for x in _PARTS.split(", ")], [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    for (cluster, block), rows in _blocks(batches, 2):
+        rows.sort(key=lambda r: r[1])
+        part = alike_parts([np.frombuffer(r[2], np.uint64) for r in rows], similarity)
+        least: dict[int, int] = {}
+        for p, r in zip(part.tolist(), rows):
+            least.setdefault(p, r[1])
+        best = int(np.bincount(part).argmax())
+        sent = set(np.flatnonzero(part == best)[:DELEGATES].tolist()) if rows[0][0] > 1 else ()
+        out = [(cluster, block, r[0], r[1], least[p], r[2] if i in sent else None) for i, (p, r) in enumerate(zip(part.tolist(), rows))]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+
+
+def _strays(batches, similarity: float):
+    """Links between strays (side 1) and the rows of a block (side 0) that are alike."""
+    for _, rows in _blocks(batches, 3):
+        block, strays = ([(v, np.frombuffer(h, np.uint64)) for side, v, h in rows if side == k] for k in (0, 1))
+        if not block or not strays:
+            continue
+        s = _Sets([h for _, h in block] + [h for _, h in strays])
+        place = np.argsort(s.rows)
+        out = []
+        for i, (v, _) in enumerate(strays):
+            hit = s.rows[s.alike(s.own(int(place[len(block) + i])), similarity)]
+            hit = hit[hit < len(block)].tolist()
+            # one link for each part of the block would do; all are given, as parts of other blocks are not known here
+            out += [(v, block[j][0]) for j in hit if block[j][0] != v]
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["src", "dst"])
+
+
+def _deal_sets(rows: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
+    return map_arrow(rows.repartition(*keys).sortWithinPartitions(*keys), fn, schema)
+
+
+def _alike_links(sets: DataFrame, similarity: float) -> DataFrame:
+    """Links that join whatever rows of ``sets(cluster, blocks, vertex, hashes)`` of one cluster are alike, exactly.
+
+    Every row is compared within its block. Delegates of the blocks' largest parts are compared in turn, in groups of
+    blocks, until a cluster's blocks have met. What is then outside its cluster's largest part is compared with all of the cluster.
+    """
+    spot = F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int")
+    sets = sets.withColumn("block", spot)
+    columns = ["cluster", "block", "blocks", "vertex", "hashes"]
+    found = scratch.keep(_deal_sets(sets.select(columns), ["cluster", "block"], lambda it: _compared(it, similarity), _PARTS), "parts")
+    every, links = found, found.select(F.col("vertex").alias("src"), F.col("part").alias("dst"))
+    while True:
+        up = found.where("hashes is not null").withColumns({"block": F.floor(F.col("block") / FAN).cast("int"), "blocks": F.ceil(F.col("blocks") / FAN).cast("int")})
+        found = scratch.keep(_deal_sets(up.select(columns), ["cluster", "block"], lambda it: _compared(it, similarity), _PARTS), "delegates")
+        links = links.unionByName(found.select(F.col("vertex").alias("src"), F.col("part").alias("dst")))
+        if found.where("hashes is not null").isEmpty():
+            break
+    many = every.where("blocks > 1").select("cluster", "block", "vertex", "part")
+    named = scratch.keep(connected_components(links.join(many.select(F.col("vertex").alias("src")), "src", "left_semi")).withColumnsRenamed({"vid": "vertex", "cc": "label"}), "labels")
+    labels = scratch.keep(many.join(named, "vertex", "left").select("cluster", "vertex", F.coalesce("label", "vertex").alias("label")), "many")
+    # one row a cluster that has several blocks
+    largest = labels.groupBy("cluster", "label").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), (F.sum("n") - F.max("n")).alias("strays"), F.sum("n").alias("n")).where("strays > 0").withColumn("groups", F.ceil(F.col("strays") / STRAYS).cast("int"))
+    told = join_counted(labels, scratch.keep(largest, "largest"), ["cluster"], "n").select("vertex", "groups", (F.col("label") != F.col("largest")).alias("stray"))
+    with_sets = scratch.keep(sets.join(told, "vertex"), "told")
+    asked = with_sets.withColumns({"side": F.lit(0), "group": F.explode(F.sequence(F.lit(0), F.col("groups") - 1))})
+    stray = with_sets.where("stray").withColumns({"side": F.lit(1), "group": F.pmod(F.xxhash64("vertex", F.lit(1)), F.col("groups")).cast("int"), "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
+    keys = ["cluster", "block", "group"]
+    met = asked.select(*keys, "side", "vertex", "hashes").unionByName(stray.select(*keys, "side", "vertex", "hashes"))
+    more = _deal_sets(met, keys, lambda it: _strays(it, similarity), "src long, dst long")
+    return links.unionByName(more).where("src <> dst")
+
+
+def row_key() -> Column:
+    """128 bits that tell rows of different id or text apart."""
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.col("text").isNull().cast("string"), F.coalesce("text", F.lit("")))))
 
 
 def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = SET_RADIUS, limit: int = SET_SHARD) -> tuple[DataFrame, DataFrame]:
@@ -256,34 +447,33 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius
     Returns (members(rk, doc_id, sig), groups(sig, keep, n)): a row's key is a hash of its id and text, its class
     stands for its set of shingles, and ``keep`` is the key of the row of the group's smallest id.
 
-    Shards are bands of two minimum hashes: texts that similar share one of twelve but in 5 of a million
-    cases. Each shard's tree gives candidates within ``radius`` bits; linked candidates form clusters, and
-    within these, in tasks of bounded size, the sets themselves are compared.
+    Shards are bands of minimum hashes. Each shard's tree gives candidates within ``radius`` bits, which must also
+    agree in half of their marks; linked candidates form clusters, and within these, in tasks of bounded size, the sets
+    themselves are compared. The sizes behind SHARD, BLOCK and STRAYS decide where work is done, never which links are found.
     """
-    rk = F.xxhash64("doc_id", "text")
+    rk = row_key()
 
     def sketches(b):
-        got = [_sketch(np.unique(shingle_hashes(t, width))) for t in b.column(2).to_pylist()]
-        return {"rk": b.column(0), "doc_id": b.column(1), "sig": [g[0] for g in got], "fp": [g[1] for g in got], "bands": [g[2] for g in got]}
+        sets = [shingle_set(t, width) for t in b.column(2).to_pylist()]
+        got = [_sketch(s) for s in sets]
+        return {"rk": b.column(0), "doc_id": b.column(1), "sig": [g[0] for g in got], "fp": [g[1] for g in got], "bands": [g[2] for g in got], "marks": [g[3] for g in got], "size": [len(s) for s in sets]}
 
-    rows = scratch.keep(per_row(docs.select(rk.alias("rk"), F.col("doc_id").cast("long").alias("doc_id"), "text"), sketches, "rk long, doc_id long, sig long, fp long, bands array<long>"), "sketch")
+    rows = scratch.keep(per_row(docs.select(rk.alias("rk"), F.col("doc_id").cast("long").alias("doc_id"), "text"), sketches, "rk binary, doc_id long, sig long, fp long, bands array<long>, marks array<long>, size long"), "sketch")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("rk").alias("rk"))
-    classes = scratch.keep(rows.groupBy("sig").agg(F.min(order).alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.count("*").alias("n")), "classes")
-    shards = classes.where("sig <> 0").select(F.explode("bands").alias("shard"), "fp", F.col("sig").alias("vertex"))
-    candidates = scratch.keep(_deal(_chunked(shards, limit, "vertex"), radius), "candidates")
-    clusters = scratch.keep(connected_components(candidates).withColumnsRenamed({"vid": "sig", "cc": "shard"}), "clusters")
-    if clusters.isEmpty():
-        return rows.select("rk", "doc_id", "sig"), classes.select("sig", F.col("first.rk").alias("keep"), "n")
-    members = scratch.keep(clusters.join(classes, "sig").select(F.col("first.rk").alias("rk"), F.col("sig").alias("vertex"), "shard"), "members")
+    classes = scratch.keep(rows.groupBy("sig").agg(F.min(order).alias("first"), *[F.first(c).alias(c) for c in ("fp", "bands", "marks", "size")], F.count("*").alias("n")), "classes")
+    candidates = scratch.keep(_candidate_links(classes, radius, limit), "candidates")
+    clusters = scratch.keep(connected_components(candidates).withColumnsRenamed({"vid": "sig", "cc": "cluster"}), "clusters")
+    members = scratch.keep(clusters.join(classes, "sig").select(F.col("first.rk").alias("rk"), F.col("sig").alias("vertex"), "cluster", "size"), "members")
+    per = members.groupBy("cluster").agg(F.count("*").alias("n"), F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("size") / BLOCK_HASHES)).cast("int").alias("blocks")).where("n > 1")
+    placed = scratch.keep(join_counted(members, scratch.keep(per, "per"), ["cluster"], "n").select("rk", "vertex", "cluster", "blocks"), "placed")
 
     def sets(b):
-        return {"shard": b.column(0), "vertex": b.column(1), "hashes": [np.unique(shingle_hashes(t, width)).tobytes() for t in b.column(2).to_pylist()]}
+        return {"cluster": b.column(0), "blocks": b.column(1), "vertex": b.column(2), "hashes": [shingle_set(t, width).tobytes() for t in b.column(3).to_pylist()]}
 
-    texts = maybe_among(docs.withColumn("rk", rk).select("rk", "text"), members, "rk").where("__maybe").join(members, "rk").select("shard", "vertex", "text")
-    compared = per_row(texts, sets, "shard long, vertex long, hashes binary")
-    plan = _chunked(members.select("shard", "vertex"), VERIFY_DOCS, "vertex")
-    dealt = plan.join(compared.dropDuplicates(["vertex"]).select("vertex", "hashes"), "vertex").repartition("shard", "ci", "cj").sortWithinPartitions("shard", "ci", "cj").select("shard", "ci", "cj", "side", "vertex", "hashes")
-    links = scratch.keep(map_arrow(dealt, lambda it: _verified(it, similarity), "src long, dst long"), "links")
+    # rows that repeat id and text have one key; one of them will do
+    texts = maybe_among(docs.withColumn("rk", rk).select("rk", "text"), placed, "rk").where("__maybe").join(placed, "rk").dropDuplicates(["rk"]).select("cluster", "blocks", "vertex", "text")
+    compared = scratch.keep(per_row(texts, sets, "cluster long, blocks int, vertex long, hashes binary"), "sets")
+    links = scratch.keep(_alike_links(compared, similarity), "links")
     groups = scratch.keep(connected_components(links).withColumnsRenamed({"vid": "sig", "cc": "root"}), "groups")
     best = groups.join(classes, "sig").groupBy("root").agg(F.min("first").alias("best"))
     linked = groups.join(best, "root").select("sig", F.col("best.rk").alias("best"))
@@ -300,7 +490,7 @@ def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius
     gone = scratch.keep(join_counted(rows, groups, ["sig"], "n").where("rk <> keep").select("rk").distinct(), "gone")
     twice = scratch.keep(rows.groupBy("rk").count().where("count > 1").select("rk"), "twice")
     listed = gone.unionByName(twice).withColumnRenamed("rk", "__rk")
-    keyed = maybe_among(docs.withColumn("__rk", F.xxhash64("doc_id", "text")), listed, "__rk")
+    keyed = maybe_among(docs.withColumn("__rk", row_key()), listed, "__rk")
     # texts of rows that are surely on neither list are not shuffled
     kept, some = keyed.where("not __maybe").select(docs.columns), keyed.where("__maybe").drop("__maybe")
     left = some.join(gone.withColumnRenamed("rk", "__rk"), "__rk", "left_anti")

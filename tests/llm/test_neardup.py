@@ -83,22 +83,88 @@ def test_tree_search():
     assert not list(bktree.Forest(p[:0], g[:0]).within(p, g, 4))
 
 
-@pytest.mark.parametrize("limits", [(4096, 512), (5, 3)])
-def test_deduplicate(spark, limits, monkeypatch):
-    monkeypatch.setattr(neardup, "VERIFY_DOCS", limits[1])
-    rows = corpus(5, 80)
+def brute_groups(rows):
     sets = [set(neardup.shingle_hashes(t, 5).tolist()) for _, t in rows]
     label = list(range(len(rows)))
-    for _ in rows:
+    changed = True
+    while changed:
+        changed = False
         for i in range(len(rows)):
             for j in range(i):
                 a, b = sets[i], sets[j]
-                if (a == b or len(a & b) >= 0.8 * len(a | b)) and label[i] != label[j]:
+                if label[i] != label[j] and (a == b or len(a & b) >= 0.8 * len(a | b)):
                     label[i] = label[j] = min(label[i], label[j])
+                    changed = True
     groups = {}
     for (d, _), k in zip(rows, label):
         groups.setdefault(k, []).append(d)
-    want = sorted(str(min((x for x in v if x is not None), default=None)) for v in groups.values())
-    out = neardup.deduplicate(docs(spark, rows), limit=limits[0])
+    return sorted(str(min((x for x in v if x is not None), default=None)) for v in groups.values())
+
+
+@pytest.mark.parametrize("sizes", [(4096, 8192, 16, 256, 1024), (3, 4, 2, 2, 2)])
+def test_deduplicate(spark, sizes, monkeypatch):
+    for name, v in zip(("SET_SHARD", "BLOCK_ROWS", "DELEGATES", "FAN", "STRAYS"), sizes):
+        monkeypatch.setattr(neardup, name, v)
+    rows = corpus(5, 80)
+    out = neardup.deduplicate(docs(spark, rows), limit=sizes[0])
     assert out.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
-    assert sorted(str(r.doc_id) for r in out.collect()) == want
+    assert sorted(str(r.doc_id) for r in out.collect()) == brute_groups(rows)
+
+
+@pytest.mark.parametrize("sizes", [(4096, 8192, 16, 256, 1024), (20, 16, 2, 2, 3)])
+def test_one_dense_group(spark, sizes, monkeypatch):
+    """Copies of one text, each with its own changes: many pairs on either side of the threshold."""
+    for name, v in zip(("SET_SHARD", "BLOCK_ROWS", "DELEGATES", "FAN", "STRAYS"), sizes):
+        monkeypatch.setattr(neardup, name, v)
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(90):
+        t = list(base)
+        for _ in range(rnd.choice([1, 2, 3, 4])):
+            t[rnd.randrange(100)] = f"x{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(t)))
+    rows += [(100 + i, " ".join(base[:50] + [f"y{i}_{k}" for k in range(60)])) for i in range(40)]
+    assert sorted(str(r.doc_id) for r in neardup.deduplicate(docs(spark, rows), limit=sizes[0]).collect()) == brute_groups(rows)
+
+
+def test_parts_by_definition():
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        pool = rng.integers(0, 2**64, 60, dtype=np.uint64)
+        sets = [np.unique(rng.choice(pool[: rng.choice([8, 20, 60])], rng.integers(1, 40))) for _ in range(40)]
+        part = neardup.alike_parts(sets, 0.5)
+        label = list(range(40))
+        for _ in sets:
+            for i in range(40):
+                for j in range(i):
+                    c = len(np.intersect1d(sets[i], sets[j]))
+                    if c >= 0.5 * (len(sets[i]) + len(sets[j]) - c):
+                        label[i] = label[j] = min(label[i], label[j])
+        assert len(set(zip(part.tolist(), label))) == len(set(part.tolist())) == len(set(label))
+
+
+def test_bands_and_marks_find_similar_sets():
+    """Sets with exactly four fifths in common share a band and half of their marks; dissimilar ones hardly ever do."""
+    rng = np.random.default_rng(9)
+    shared = np.zeros(BANDS_SEEN := 400)
+    for i in range(BANDS_SEEN):
+        n = int(rng.choice([5, 45, 450]))
+        pool = rng.integers(0, 2**64, n * 2, dtype=np.uint64)
+        common, own = pool[: 4 * n // 5], n // 10
+        a, b = (np.concatenate([common, pool[n : n + n - len(common)]]), common) if n == 5 else (np.concatenate([common, pool[n : n + own]]), np.concatenate([common, pool[n + own : n + 2 * own]]))
+        x, y = (neardup._sketch(np.unique(s)) for s in (a, b))
+        assert set(x[2]) & set(y[2])
+        shared[i] = len(set(x[2]) & set(y[2]))
+        assert (np.array(x[3]).view(np.uint8) == np.array(y[3]).view(np.uint8)).sum() >= neardup.ALIKE
+        assert ((x[1] ^ y[1]) & (2**64 - 1)).bit_count() <= neardup.SET_RADIUS
+    assert abs(shared.mean() / neardup.BANDS - 0.8**neardup.ROWS) < 0.03
+
+
+def test_shingle_sets_are_those_of_the_texts():
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choice("ab C é".split()) for _ in range(n)) for n in (0, 1, 4, 5, 6, 40)]
+    for t in texts:
+        for u in texts:
+            a, b, c, d = neardup.shingle_set(t, 5), neardup.shingle_set(u, 5), neardup.shingle_hashes(t, 5), neardup.shingle_hashes(u, 5)
+            assert len(np.intersect1d(a, b)) == len(np.intersect1d(c, d)) and len(a) == len(np.unique(c))
