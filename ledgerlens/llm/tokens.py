@@ -10,8 +10,8 @@ id width (2 or 4), then the ids. A masked checksum is the crc32 rotated right by
 15 bits plus 0xA282EAD8. The closing byte lets Spark's own text writer commit the
 files, to any store and with retried tasks leaving nothing behind. File names sort
 in document order. The index, a Parquet table beside the data, gives for each
-record its file, byte offset, length, document id and token counts, so that single
-records can be read in any order.
+record its file, byte offset, length, document id, token counts and a checksum of its ids as
+read back from the files, so that single records can be read in any order.
 """
 
 from __future__ import annotations
@@ -39,9 +39,9 @@ CACHE_WORDS = 500_000
 #: Longer texts are cut into pieces of about as many characters before their words are told apart.
 PIECE_CHARS = 4_000_000
 #: Characters of texts that are encoded at once, about.
-BATCH_CHARS = 4_000_000
-#: Characters of text that a data file is meant for; a file must be read whole, so it has to stay far below 2 GB.
-FILE_CHARS = 256_000_000
+BATCH_CHARS = 6_000_000
+#: Bytes of text that a data file is meant for; a file must be read whole, so it has to stay far below 2 GB.
+FILE_BYTES = 256_000_000
 _HEAD = struct.Struct("<QI")
 _META = struct.Struct("<BqB")
 
@@ -79,18 +79,6 @@ def records(data: bytes):
         at = end
 
 
-def heads(data: bytes):
-    """(offset, length of the whole record, id, number of ids) of every record, from its first bytes alone."""
-    at = 0
-    while at < len(data):
-        n, check = _HEAD.unpack_from(data, at)
-        if check != masked(data[at : at + 8]):
-            raise ValueError(f"bad length checksum at byte {at}")
-        null, doc_id, width = _META.unpack_from(data, at + 12)
-        yield at, n + 17, None if null else doc_id, (n - _META.size) // width
-        at += n + 17
-
-
 def encode_payload(doc_id: int | None, ids: bytes, width: int) -> bytes:
     return _META.pack(doc_id is None, doc_id or 0, width) + ids
 
@@ -197,15 +185,9 @@ class Encoder:
         lists = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\n", pa.large_string()), cut, pa.scalar("", pa.large_string())), " ")
         coded = lists.flatten().dictionary_encode()
         found = self._remembered(coded.dictionary.to_pylist())
-        codes = coded.indices.to_numpy().astype(np.int64)
-        flat = np.frombuffer(b"".join(found), self.kind)
-        size = np.fromiter(map(len, found), np.int64, len(found)) // self.width
-        start = np.cumsum(size) - size
-        per = size[codes]
-        end = np.cumsum(per)
-        ids = flat[np.repeat(start[codes] - end + per, per) + np.arange(end[-1])]
-        edge = np.concatenate(([0], end))[np.asarray(lists.offsets)].tolist()
-        return [ids[a + 1 : b].tobytes() for a, b in zip(edge, edge[1:])]
+        ids = list(map(found.__getitem__, coded.indices.to_numpy().tolist()))
+        edge = np.asarray(lists.offsets).tolist()
+        return [b"".join(ids[a:b])[self.width :] for a, b in zip(edge, edge[1:])]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of every text. Distinct words of all texts together are looked up once."""
@@ -270,7 +252,7 @@ def write(docs: DataFrame, out: str, vocabulary: str | None = None, end_id: int
     Rows go in ascending doc_id order, null ids first, rows of one id by a hash of their text; rows that repeat both
     may be dealt to several files. Null and empty texts are records with the end id alone. An empty table gives no record.
     Other columns are ignored. A special token's string in a text becomes that token's id, as the library does,
-    unless ``specials_as_text``. Without ``files`` their number follows from the length of all texts, see FILE_CHARS.
+    unless ``specials_as_text``. Without ``files`` their number follows from the length of all texts, see FILE_BYTES.
     """
     path = vocabulary or vocabulary_path()
 
@@ -297,8 +279,8 @@ def write(docs: DataFrame, out: str, vocabulary: str | None = None, end_id: int
     spark = docs.sparkSession
     n = files
     if n is None:
-        chars = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // FILE_CHARS))
+        size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
     # the third key splits what repeats one id and text very often
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumns({"h": F.xxhash64("text"), "k": F.monotonically_increasing_id()})
     dealt = rows.repartitionByRange(n, "doc_id", "h", "k").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
@@ -310,19 +292,29 @@ def _files(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{out}/data").select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
 
 
-def index(spark: SparkSession, out: str) -> None:
-    """Read the data files' record heads and write <out>/index: file, offset, length, doc_id, n_tokens, start."""
+_INDEX = "file string, offset long, length long, doc_id long, n_tokens long, start_in_file long, ids_crc32 long"
+
+
+def read(spark: SparkSession, out: str) -> DataFrame:
+    """Every record of the data files, its checksums verified: file, offset, length, doc_id, n_tokens, start_in_file, ids_crc32."""
+    names, kinds = [x.split(" ")[0] for x in _INDEX.split(", ")], [pa.string(), *[pa.int64()] * 6]
 
     def run(batches):
         for b in batches:
             for name, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                start, rows = 0, []
-                for at, size, doc_id, n in heads(data):
-                    rows.append((name, at, size, doc_id, n, start))
-                    start += n
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, (pa.string(), *[pa.int64()] * 5))], names=["file", "offset", "length", "doc_id", "n_tokens", "start_in_file"])
+                rows, start = [], 0
+                for at, size, payload in records(data):
+                    doc_id, ids = decode_payload(payload)
+                    rows.append((name, at, size, doc_id, len(ids), start, zlib.crc32(ids.tobytes())))
+                    start += len(ids)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 7, kinds)], names=names)
 
-    map_arrow(_files(spark, out), run, "file string, offset long, length long, doc_id long, n_tokens long, start_in_file long").write.parquet(f"{out}/index")
+    return map_arrow(_files(spark, out), run, _INDEX)
+
+
+def index(spark: SparkSession, out: str) -> None:
+    """Read the data files back and write what ``read`` gives to <out>/index."""
+    read(spark, out).write.parquet(f"{out}/index")
 
 
 def read_index(spark: SparkSession, out: str) -> DataFrame:
@@ -334,25 +326,9 @@ def read_index(spark: SparkSession, out: str) -> DataFrame:
     return table.join(base, "file").withColumn("start", F.col("base") + F.col("start_in_file")).drop("base")
 
 
-def read(spark: SparkSession, out: str) -> DataFrame:
-    """(file, offset, doc_id, n_tokens, ids_crc32) of every record, its checksums verified."""
-
-    def run(batches):
-        for b in batches:
-            for name, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                rows = []
-                for at, _, payload in records(data):
-                    doc_id, ids = decode_payload(payload)
-                    rows.append((name, at, doc_id, len(ids), zlib.crc32(ids.tobytes())))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, (pa.string(), *[pa.int64()] * 4))], names=["file", "offset", "doc_id", "n_tokens", "ids_crc32"])
-
-    return map_arrow(_files(spark, out), run, "file string, offset long, doc_id long, n_tokens long, ids_crc32 long")
-
-
 def digest(docs: DataFrame, out: str | None = None, vocabulary: str | None = None) -> DataFrame:
     """Write ``docs``, read the files back and return (doc_id, start, n_tokens, ids_crc32) of every record."""
     spark = docs.sparkSession
     out = out or scratch.new_path(spark, "tokens")
     write(docs, out, vocabulary)
-    where = read_index(spark, out).select("file", "offset", "start")
-    return read(spark, out).join(where, ["file", "offset"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_index(spark, out).select("doc_id", "start", "n_tokens", "ids_crc32")
