@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ledgerlens.plans import scratch
 
-#: Rows of an Arrow batch; bounds a Python worker's memory on long texts.
+#: Rows and bytes of an Arrow batch; they bound a Python worker's memory on long texts.
 BATCH_ROWS = 512
+BATCH_BYTES = 32_000_000
 #: Distinct class values that are told apart at most when a classifier's sample is drawn.
 MAX_VALUES = 4096
 
@@ -26,11 +27,22 @@ def fold(doc_id: str = "doc_id") -> Column:
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with batches small enough for long texts."""
-    spark = df.sparkSession
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(fn, schema)
+    """``mapInArrow`` with batches small enough for long texts.
+
+    Batches have at most BATCH_ROWS rows and, where Spark has that setting, about BATCH_BYTES bytes; this lowers the session's settings.
+    Workers serve later stages as well, so what Arrow holds without use goes back at a task's end.
+    """
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(key, None)
+        if now is not None and (not now.isdigit() or not 0 < int(now) <= most):
+            conf.set(key, str(most))
+
+    def run(batches):
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def per_row(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]], schema: str) -> DataFrame:

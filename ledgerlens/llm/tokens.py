@@ -16,7 +16,6 @@ read back from the files, so that single records can be read in any order.
 
 from __future__ import annotations
 
-import json
 import os
 import re
 import struct
@@ -102,12 +101,11 @@ def _irregular(text: str) -> bool:
     return any(c in text for c in _OTHER_SPACES) and _IRREGULAR.search(text) is not None
 
 
-def cuts_at_spaces(rules: dict) -> bool:
-    """Whether a tokenizer file has the splitting rule that `Encoder` cuts by: byte-level, its own pattern, nothing before or after."""
-    pre = rules.get("pre_tokenizer") or {}
-    model = rules.get("model") or {}
-    plain = not rules.get("normalizer") and not rules.get("truncation") and not rules.get("post_processor")
-    return plain and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True) and model.get("type") == "BPE" and not model.get("dropout")
+def cuts_at_spaces(tok) -> bool:
+    """Whether a tokenizer has the splitting rule that `Encoder` cuts by: byte-level with its own pattern, nothing before or after."""
+    pre, model = tok.pre_tokenizer, tok.model
+    plain = tok.normalizer is None and tok.truncation is None and tok.padding is None and tok.post_processor is None
+    return plain and type(pre).__name__ == "ByteLevel" and pre.use_regex and not pre.add_prefix_space and type(model).__name__ == "BPE" and not model.dropout
 
 
 class Encoder:
@@ -127,11 +125,8 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = specials_as_text
-        with open(path, encoding="utf-8") as f:
-            rules = json.load(f)
-        self.cuts = cuts_at_spaces(rules)
-        added = rules.get("added_tokens") or []
-        self.specials = [t["content"] for t in added if not (specials_as_text and t.get("special"))]
+        self.cuts = cuts_at_spaces(self.tok)
+        self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values() if not (specials_as_text and t.special)]
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.width = 2 if max(vocab.values()) < 1 << 16 else 4
         self.kind = f"<u{self.width}"
