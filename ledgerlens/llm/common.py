@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +35,11 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     """
     conf = df.sparkSession.conf
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        now = conf.get(key, None)
-        if now is not None and (not now.isdigit() or not 0 < int(now) <= most):
+        try:
+            now = conf.get(key)
+        except PySparkException:  # no such setting
+            continue
+        if not (now.isdigit() and 0 < int(now) <= most):
             conf.set(key, str(most))
 
     def run(batches):
