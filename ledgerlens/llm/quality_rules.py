@@ -3,34 +3,36 @@
 Each rule says good (2), bad (1) or nothing (0) about a document. Only how often each
 pattern of votes occurs is gathered: at most 3 to the number of rules rows, whatever the
 corpus' size. EM on these counts estimates, without labels, how often each rule says what
-on good and on bad documents, held near START; see BELIEF for what that does to verdicts.
+on good and on bad documents. Starting values count as a fixed number of documents, so a corpus
+of any size worth the name outweighs them. Several rules look at each kind of damage in their own
+way; what they agree on is how EM tells bad documents from odd ones.
 
-Everything runs in DataFrame and SQL functions.
+Everything runs in DataFrame and SQL functions, but for EM itself: arithmetic on the counts.
 """
 
 from __future__ import annotations
 
+from math import exp, log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.plans import scratch
 
 WINDOW = 8
-ROUNDS = 12
+#: EM ends when no value moves by more than this; it raises if that takes more than so many rounds.
+TOLERANCE = 1e-7
+ROUNDS = 20_000
 #: Documents with a lower posterior are dropped.
 KEEP_FROM = 0.5
-PRIOR_GOOD = 0.6
-#: Where EM starts: what a rule says of good and of bad documents (abstains, bad, good). A bad document is
-#: bad in one way, so most rules find it good; a good one is seldom called bad.
-START = {"good": (0.05, 0.01, 0.94), "bad": (0.05, 0.2, 0.75)}
-
-#: Weight of START against the data's shares in every round: three quarters at any corpus size, not a count of documents.
-#: With it one bad vote outweighs seven good ones, so verdicts are those of all-must-pass filtering (README). Rules that fail together would otherwise become the class
-#: called bad by themselves, and rules for other kinds of bad documents would count for nothing.
-BELIEF = 3.0
+PRIOR_GOOD = 0.8
+#: What a rule is taken to say of good and of bad documents (abstains, bad, good) before any is seen.
+START = {"good": (0.05, 0.02, 0.93), "bad": (0.05, 0.35, 0.6)}
+#: Documents that these starting values count for, whatever the number of documents.
+START_DOCS = 100.0
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
-RULES = ("symbols", "dup_lines", "repeats", "word_length", "upper", "variety", "length", "stops")
+RULES = ("symbols", "marks", "dup_lines", "repeats", "word_length", "upper", "variety", "stops")
 
 
 def measures(docs: DataFrame, *extra: str) -> DataFrame:
@@ -78,56 +80,80 @@ def votes(measured: DataFrame) -> DataFrame:
     chars = F.try_divide(F.col("word_chars"), F.col("n_words"))
     upper = F.try_divide(F.col("n_upper"), F.col("word_chars"))
     enough = F.col("n_words") >= 20
+    marks = F.try_divide(F.col("n_symbols") + F.col("n_stops"), F.col("word_chars"))
     rules = {
         "symbols": by(per("n_symbols"), per("n_symbols") > 0.3, per("n_symbols") < 0.05),
+        "marks": by(marks, marks > 0.1, marks < 0.05),
         "dup_lines": by(per("n_dup_lines"), F.col("n_dup_lines") > F.greatest(F.lit(2), F.col("n_words") / 60), F.col("n_dup_lines") == 0),
         "repeats": by(per("n_repeat_words"), per("n_repeat_words") > 0.2, per("n_repeat_words") < 0.1, enough),
-        "word_length": by(chars, (chars < 2.5) | (chars > 11), chars.between(3.2, 8.5)),
+        "word_length": by(chars, (chars < 3.5) | (chars > 7), chars.between(4.5, 6.5), enough),
         "upper": by(upper, upper > 0.4, upper < 0.15),
-        "variety": by(per("n_distinct"), (per("n_distinct") < 0.15) & (F.col("n_words") < 2000), per("n_distinct") > 0.35, enough),
-        "length": by(F.col("n_words"), F.col("n_words") < 20, F.col("n_words") >= 60),
+        "variety": by(per("n_distinct"), (per("n_distinct") < 0.3) & (F.col("n_words") < 2000), per("n_distinct") > 0.5, enough),
         "stops": by(per("n_stops"), (per("n_stops") > 0.5) | ((F.col("n_stops") == 0) & enough), per("n_stops").between(0.005, 0.35), enough),
     }
     return measured.select("*", *[rules[r].alias(f"vote_{r}") for r in RULES])
 
 
-def fit(voted: DataFrame, rounds: int = ROUNDS) -> dict[str, float]:
-    """EM over the counts of vote patterns: {"prior", "<rule>_<vote>_<class>"}.
+def _weights(p: dict[str, float]) -> tuple[float, list[dict[int, float]]]:
+    """The log odds of good before any vote, and what each rule's votes add. Rules that abstain say nothing."""
+    by = []
+    for r in RULES:
+        said = {k: 1.0 - p[f"{r}_0_{k}"] for k in ("good", "bad")}
+        by.append({v: log((p[f"{r}_{v}_good"] / said["good"]) / (p[f"{r}_{v}_bad"] / said["bad"])) for v in (1, 2)} | {0: 0.0})
+    return log(p["prior"] / (1 - p["prior"])), by
+
+
+def start_values() -> dict[str, float]:
+    return {"prior": PRIOR_GOOD} | {f"{r}_{v}_{k}": START[k][v] for r in RULES for k in START for v in (0, 1, 2)}
+
+
+def em(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> dict[str, float]:
+    """Maximum a posteriori values {"prior", "<rule>_<vote>_<class>"} for patterns of votes and their counts.
 
-    START is mixed into each round's shares with weight BELIEF, so the class called good is
-    the one that the rules call good. Each round is one aggregation of at most 3 ** rules rows.
-    An empty table leaves the starting values.
+    The class whose documents the rules call bad more often is called bad. Without patterns the starting values stay.
     """
-    cols = [f"vote_{r}" for r in RULES]
-    patterns = scratch.keep(voted.groupBy(*cols).agg(F.count("*").alias("n")), "votes").coalesce(1)
-    p = {"prior": PRIOR_GOOD}
-    p |= {f"{r}_{v}_{k}": START[k][v] for r in RULES for k in START for v in (0, 1, 2)}
+    p = start_values()
+    total = sum(n for _, n in patterns)
+    if not total:
+        return p
     for _ in range(rounds):
-        n, g = F.col("n"), posterior(p)
-        sums = [F.sum(n).alias("n"), F.sum(n * g).alias("good")]
-        for r in RULES:
-            for v in (0, 1, 2):
-                sums += [F.sum(F.when(F.col(f"vote_{r}") == v, n * g).otherwise(0)).alias(f"{r}_{v}_good"), F.sum(F.when(F.col(f"vote_{r}") == v, n * (1 - g)).otherwise(0)).alias(f"{r}_{v}_bad")]
-        s = patterns.agg(*sums).first()
-        if not s["n"]:
+        before, by = _weights(p)
+        mass = {f"{r}_{v}_{k}": START_DOCS * START[k][v] for r in RULES for k in START for v in (0, 1, 2)}
+        size = {"good": 0.0, "bad": 0.0}
+        for votes_, n in patterns:
+            z = before + sum(w[v] for w, v in zip(by, votes_))
+            good = 1 / (1 + exp(-z)) if z > -700 else 0.0
+            size["good"] += n * good
+            size["bad"] += n * (1 - good)
+            for r, v in zip(RULES, votes_):
+                mass[f"{r}_{v}_good"] += n * good
+                mass[f"{r}_{v}_bad"] += n * (1 - good)
+        new = {"prior": (size["good"] + START_DOCS * PRIOR_GOOD) / (total + START_DOCS)}
+        new |= {key: m / (size[key.rsplit("_", 1)[1]] + START_DOCS) for key, m in mass.items()}
+        moved = max(abs(new[k] - p[k]) for k in p)
+        p = new
+        if moved <= tolerance:
             break
-        good, bad = s["good"], s["n"] - s["good"]
-        mix = lambda seen, start: (seen + BELIEF * start) / (1 + BELIEF)
-        p = {"prior": mix(good / s["n"], PRIOR_GOOD)}
-        for r in RULES:
-            for v in (0, 1, 2):
-                p |= {f"{r}_{v}_{k}": mix(s[f"{r}_{v}_{k}"] / max(mass, 1e-9), START[k][v]) for k, mass in (("good", good), ("bad", bad))}
+    else:
+        if rounds == ROUNDS:
+            raise RuntimeError(f"EM did not settle in {rounds} rounds")
+    if sum(p[f"{r}_1_good"] - p[f"{r}_1_bad"] for r in RULES) > 0:
+        p = {k.replace("_good", "_x").replace("_bad", "_good").replace("_x", "_bad"): v for k, v in p.items()} | {"prior": 1 - p["prior"]}
     return p
 
 
-def posterior(p: dict[str, float]) -> Column:
-    """Probability of good, given the votes and the fitted values. Rules that abstain say nothing."""
-    from math import log
+def fit(voted: DataFrame, rounds: int = ROUNDS) -> dict[str, float]:
+    """EM over the counts of vote patterns, which are all that comes to the driver: at most 3 ** rules rows."""
+    cols = [f"vote_{r}" for r in RULES]
+    found = voted.groupBy(*cols).agg(F.count("*").alias("n")).collect()
+    return em(sorted((tuple(r[c] for c in cols), r["n"]) for r in found), rounds)
 
-    logit = F.lit(log(p["prior"] / (1 - p["prior"])))
-    for r in RULES:
-        said = {k: 1.0 - p[f"{r}_0_{k}"] for k in ("good", "bad")}
-        w = {v: log((p[f"{r}_{v}_good"] / said["good"]) / (p[f"{r}_{v}_bad"] / said["bad"])) for v in (1, 2)}
+
+def posterior(p: dict[str, float]) -> Column:
+    """Probability of good, given the votes and the fitted values."""
+    before, by = _weights(p)
+    logit = F.lit(before)
+    for r, w in zip(RULES, by):
         logit = logit + F.when(F.col(f"vote_{r}") == 1, w[1]).when(F.col(f"vote_{r}") == 2, w[2]).otherwise(0.0)
     return 1 / (1 + F.exp(-logit))
 
