@@ -36,13 +36,16 @@ _LOOKALIKE = {
 }
 _DIGITS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())}
 
-_WORD = "(?:" + "|".join(_DIGITS) + ")"
-_SPELLED = re.compile(rf"(?i)(?<![A-Za-z])(?:plus[\s-]+)?{_WORD}(?:[\s-]+(?:{_WORD}|dot|point))*[\s-]+{_WORD}(?![A-Za-z])")
-_BRACKETS = re.compile(r"(?i)\s*[(\[{<]\s*(at|dot)\s*[)\]}>]\s*")
+# Words and numbers that a disguise can be made of. A number is only taken whole.
+_PART = re.compile(rf"(?i)(?<![A-Za-z0-9])(?:(?P<digit>{'|'.join(_DIGITS)})|(?P<plus>plus)|(?P<dot>dot|point)|(?P<at>at)|(?P<number>[0-9]+))(?![A-Za-z0-9])")
+_GAP = re.compile(r"[\s-]+")
+_BRACKETS = re.compile(r"(?i)[(\[{<]\s*(at|dot)\s*[)\]}>]")
 # Last labels of host names that make a bare "at" or "dot" a disguise.
-_ENDINGS = "(?:com|org|net|edu|gov|info|biz|io|co|de|fr|es|it|nl|uk|eu|us|ca|ch|at|be|pl|se|ru|jp|cn|in|br|au)"
-_NAME = rf"(?:[A-Za-z0-9-]+(?:\.|\s+dot\s+))*[A-Za-z0-9-]+\s+dot\s+{_ENDINGS}(?![A-Za-z0-9-])"
-_BARE = re.compile(rf"(?i)(?<=[A-Za-z0-9])(\s+at\s+)(?={_NAME})|(?<=[A-Za-z0-9])(\s+dot\s+)(?=(?:[A-Za-z0-9-]+\s+dot\s+)*{_ENDINGS}(?![A-Za-z0-9-]))|(?<=[0-9])(\s+dot\s+)(?=[0-9])")
+_ENDINGS = frozenset("com org net edu gov mil info biz io co app dev me ai tv xyz site online tech shop blog cloud email name pro de fr es it nl uk eu us ca ch at be pl se ru jp cn in br au dk no fi cz pt gr ie nz za mx kr".split())
+_HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
+_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-")
+#: Digits, spelled or not, from which on a run with any spelled digit is rewritten; one of three spelled digits always is.
+_RUN_DIGITS = 9
 _FOREIGN = re.compile(r"[^\x00-\x7fÀ-ɏ]")
 
 
@@ -78,12 +81,86 @@ def plain_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _spell(words: str) -> str:
-    return "".join("+" if w == "plus" else "." if w in ("dot", "point") else _DIGITS[w] for w in re.split(r"[\s-]+", words.lower()))
+def _around(text: str, start: int, end: int) -> tuple[int, int]:
+    """The piece with the white space on both sides."""
+    while start > 0 and text[start - 1].isspace():
+        start -= 1
+    while end < len(text) and text[end].isspace():
+        end += 1
+    return start, end
+
+
+def _spelled(text: str, parts: list[re.Match]) -> list[tuple[int, int, str]]:
+    """Runs of spelled digits, numbers and spoken points with nothing but spaces and hyphens between, as digits."""
+    out, run = [], []
+
+    def flush():
+        while run and run[-1].lastgroup in ("dot", "plus"):
+            run.pop()
+        while run and run[0].lastgroup == "dot":
+            run.pop(0)
+        words = sum(m.lastgroup == "digit" for m in run)
+        if words and (words >= 3 or words + sum(len(m[0]) for m in run if m.lastgroup == "number") >= _RUN_DIGITS):
+            out.append((run[0].start(), run[-1].end(), "".join({"digit": lambda w: _DIGITS[w.lower()], "dot": lambda w: ".", "plus": lambda w: "+", "number": str}[m.lastgroup](m[0]) for m in run)))
+        run.clear()
+
+    for m in parts:
+        if m.lastgroup == "at":
+            continue
+        if run and (m.lastgroup == "plus" or not _GAP.fullmatch(text, run[-1].end(), m.start())):
+            flush()
+        run.append(m)
+    flush()
+    return out
+
+
+def _spoken(text: str, parts: list[re.Match]) -> list[tuple[int, int, str]]:
+    """Bare "at" and "dot" between white space that make up a host name, an address or numbers, left to right in one pass."""
+    out: list[tuple[int, int, str]] = []
+    hosts: set[int] = set()
+    chain: list[tuple[int, int, int]] = []  # (start, end) of each "dot" with its white space, end of what follows
+
+    def flush():
+        known = [k for k, (_, b, e) in enumerate(chain) if text[b:e].rsplit(".", 1)[-1].lower() in _ENDINGS]
+        for k, (a, b, _) in enumerate(chain):
+            if (known and k <= known[-1]) or (text[a - 1].isdigit() and text[b].isdigit()):
+                out.append((a, b, "."))
+        if known:
+            first = chain[0][0]
+            while first > 0 and (text[first - 1] in _NAME or text[first - 1] == "."):
+                first -= 1
+            hosts.add(first)
+        chain.clear()
+
+    ats = []
+    for m in parts:
+        if m.lastgroup not in ("at", "dot"):
+            continue
+        a, b = _around(text, *m.span())
+        if a == m.start() or b == m.end() or a == 0 or b == len(text) or text[a - 1] not in _LOCAL or text[b] not in _NAME:
+            continue
+        if m.lastgroup == "at":
+            ats.append((a, b))
+        elif m[0].lower() == "dot" and text[a - 1] in _NAME:
+            if chain and chain[-1][2] != a:
+                flush()
+            chain.append((a, b, _HOST.match(text, b).end()))
+    flush()
+    for a, b in ats:
+        if b not in hosts:
+            # before a host as it stands, only what looks like a mailbox's name
+            start = a
+            while start > 0 and text[start - 1] in _LOCAL:
+                start -= 1
+            host = _HOST.match(text, b)[0]
+            if "." not in host or host.rsplit(".", 1)[1].lower() not in _ENDINGS or not any(c in "._+%0123456789" for c in text[start:a]):
+                continue
+        out.append((a, b, "@"))
+    return out
 
 
 def _edits(text: str) -> list[tuple[int, int, str]]:
-    """Rewrites (start, end, replacement), sorted and without overlaps; earlier rules win."""
+    """Rewrites (start, end, replacement), sorted and without overlaps; of two that overlap the first stays, or the longer."""
     found: list[tuple[int, int, str]] = []
     if not text.isascii():
         for m in _FOREIGN.finditer(text):
@@ -95,14 +172,12 @@ def _edits(text: str) -> list[tuple[int, int, str]]:
                 new = chr(ord(c) - 0xFEE0)
             if new is not None:
                 found.append((m.start(), m.end(), new))
-    for m in _SPELLED.finditer(text):
-        if sum(w.lower() in _DIGITS for w in re.split(r"[\s-]+", m[0])) >= 3:
-            found.append((m.start(), m.end(), _spell(m[0])))
+    parts = list(_PART.finditer(text))
+    found += _spelled(text, parts)
     for m in _BRACKETS.finditer(text):
-        found.append((m.start(), m.end(), "@" if m[1].lower() == "at" else "."))
-    if re.search(r"(?i)\sdot\s", text):
-        for m in _BARE.finditer(text):
-            found.append((m.start(), m.end(), "@" if m[1] else "."))
+        found.append((*_around(text, *m.span()), "@" if m[1].lower() == "at" else "."))
+    if any(m.lastgroup in ("at", "dot") for m in parts):
+        found += _spoken(text, parts)
     found.sort(key=lambda e: (e[0], -e[1]))
     out, end = [], 0
     for e in found:
@@ -146,8 +221,11 @@ def all_spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[
         return [], []
     base = sorted(plain_spans(text), key=lambda x: (x[1], KINDS.index(x[0])))
     full = list(base)
+    own = {kind: [(s, e) for k, s, e in base if k == kind] for kind in KINDS}
     for k, s, e in disguised_spans(text):
-        if not any(x[0] == k and x[1] <= s and x[2] >= e for x in full):
+        # plain spans of a kind don't overlap: only the last that begins by s can cover
+        at = bisect_right(own[k], (s, len(text))) - 1
+        if at < 0 or own[k][at][1] < e:
             full.append((k, s, e))
     return base, sorted(full, key=lambda x: (x[1], KINDS.index(x[0])))
 

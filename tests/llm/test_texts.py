@@ -140,6 +140,11 @@ def test_plain_spans_by_definition():
         ("call plus four four two zero seven nine four six zero nine five eight ok", "phone", "plus four four two zero seven nine four six zero nine five eight"),
         ("host one nine two dot one six eight dot zero dot one.", "ip", "one nine two dot one six eight dot zero dot one"),
         ("card ４１１１１１１１１１１１１１１１ x", "card", "４１１１１１１１１１１１１１１１"),
+        ("card 4111 1111 1111 one one 11 x", "card", "4111 1111 1111 one one 11"),
+        ("mail jane at corp dot app or call", "email", "jane at corp dot app"),
+        ("mail jane.doe at corp.com or call", "email", "jane.doe at corp.com"),
+        ("bob at mail dot corp dot co dot uk then", "email", "bob at mail dot corp dot co dot uk"),
+        ("net 10 dot 0 dot 0 dot 1 up", "ip", "10 dot 0 dot 0 dot 1"),
     ],
 )
 def test_disguises(text, kind, piece):
@@ -148,10 +153,41 @@ def test_disguises(text, kind, piece):
 
 
 def test_no_false_disguises():
-    for t in ("look at the dot on the page", "one two three", "at dot at", "meet at noon. dot the i"):
+    for t in ("look at the dot on the page", "one two three", "at dot at", "meet at noon. dot the i", "look at example.com now", "meet at noon dot the i", "dot dot dot", "plus one", "one at a time dot"):
         assert pii.all_spans(t) == ([], [])
 
 
+@pytest.mark.parametrize("piece", ["x dot ", "a at b dot com ", "one dot ", "plus one two ", "( at ) ", "      ", " (", "at ", "1 dot ", "j\u0430ne@example.com one two three ", "x dot com dot ", "4111 one-", "+1 ", "a@"])
+def test_long_disguised_texts_take_linear_time(piece):
+    """Four times the text, about four times as long."""
+    import time
+
+    pii.all_spans(piece * 1000)
+    took = []
+    for n in (60_000, 240_000):
+        text = piece * (n // len(piece))
+        start = time.process_time()
+        pii.all_spans(text)
+        took.append(time.process_time() - start)
+    assert took[1] < 8 * took[0] + 0.2, took
+
+
+def test_spans_map_back_to_the_source():
+    """What a disguised span covers is what was put there, wherever it stands."""
+    rnd = random.Random(12)
+    made = [("email", "ann.lee (at) mail [dot] example {dot} org"), ("email", "bob at example dot com"), ("phone", "plus four nine three zero one two three four five six seven"), ("card", "4111-1111-1111-one one 11"), ("ip", "one nine two dot one six eight dot zero dot one"), ("email", "\u0430nn@example.org")]
+    fill = ["plain", "words", "é", "\u200b", "中", "-", ",", "\n", "the", "is", "2 3"]
+    for _ in range(300):
+        text, want = "", set()
+        for _ in range(rnd.randint(1, 6)):
+            text += " ".join(rnd.choice(fill) for _ in range(rnd.randint(1, 8))) + " ; "
+            kind, piece = rnd.choice(made)
+            want.add((kind, len(text), len(text) + len(piece)))
+            text += piece + " ; "
+        base, full = pii.all_spans(text)
+        assert want <= set(full) and set(base) <= set(full), (text, want - set(full))
+
+
 def test_pii_rows(spark):
     rows = [(1, "a@b.co 1.2.3.4"), (None, None), (2, ""), (1, "a@b.co 1.2.3.4")]
     got = pii.digest(spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, spans string")).collect()
