@@ -322,20 +322,61 @@ def test_passages_cover_the_text():
     assert quality_mil.passages(None).shape == (1, quality_mil.FEATURES)
 
 
-def test_toxicity(spark, documents, labels):
-    got = {r.doc_id: r for r in toxicity.judge(documents, labels).collect()}
-    assert len(got) == documents.count()
-    words = toxicity.CATEGORIES["insult"] | toxicity.CATEGORIES["contempt"]
-    texts = {r.doc_id: toxicity.words_of(r.text) & words for r in documents.select("doc_id", "text").collect()}
-    y = {r.doc_id: r.toxic for r in labels.collect()}
-    clean = [got[d].rejected for d in texts if not texts[d] and not y.get(d)]
-    foul = [got[d].rejected for d in texts if len(texts[d]) >= 2]
-    assert sum(clean) / len(clean) < 0.01 and sum(foul) / len(foul) > 0.9
+def test_toxicity_held_out(spark, documents, labels):
+    """Fitted on four fifths of the labels, judged on the rest; the chain's last link leans on earlier ones."""
+    from ledgerlens.llm.common import fold
+
+    big = "/root/testdata/sf0.1"
+    documents, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
+    links = toxicity.fit(documents, labels.where(fold() != 0))
+    assert tuple(k.category for k in links) == toxicity.CHAIN
+    held = labels.where(fold() == 0)
+    got = toxicity.score(documents.join(held.select("doc_id"), "doc_id", "left_semi"), links).join(held, "doc_id").collect()
+    right = lambda f: sum(map(f, got)) / len(got)
+    assert len(got) > 500 and right(lambda r: r.rejected == r.toxic) > 0.96 > right(lambda r: not r.toxic) + 0.05
+    assert right(lambda r: (r.p_low_quality >= 0.5) == (r.quality == 0)) > right(lambda r: r.quality == 1)
+    assert sum(1 for k in links if k.words) >= 4 and max(map(abs, links[-1].earlier)) > 0.05
+    themed = [r for r in got if r.toxic]
+    assert sum(max(r.p_theme_1, r.p_theme_2, r.p_theme_3) for r in themed) / len(themed) > 10 * sum(max(r.p_theme_1, r.p_theme_2, r.p_theme_3) for r in got if not r.toxic) / (len(got) - len(themed))
+
+
+def test_toxicity_by_plain_arithmetic(spark, documents, labels):
+    links = toxicity.fit(documents, labels)
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    got = toxicity.score(documents, links).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        found, ps = set(re.findall(r"[^\W\d_]+", (texts[r.doc_id] or "").lower())), []
+        for k in links:
+            z = k.bias + sum(v for w, v in k.words.items() if w in found)
+            for a, p in zip(k.earlier, ps):
+                p = min(max(p, 1e-4), 1 - 1e-4)
+                z += a * math.log(p / (1 - p))
+            ps.append(1 / (1 + math.exp(-min(max(z, -30), 30))))
+        assert [r[f"p_{c}"] for c in toxicity.CHAIN] == pytest.approx(ps, abs=1e-9) and r.rejected == (ps[-1] >= 0.5)
     kept = toxicity.without_toxic(documents, labels)
-    assert kept.columns == documents.columns and {r.doc_id for r in kept.select("doc_id").collect()} == {d for d, r in got.items() if not r.rejected}
+    assert kept.columns == documents.columns and {r.doc_id for r in kept.select("doc_id").collect()} == {r.doc_id for r in got if not r.rejected}
+
+
+def test_toxicity_fit_does_not_depend_on_partitions(spark, documents, labels):
+    a, b = toxicity.fit(documents, labels), toxicity.fit(documents.repartition(5), labels.repartition(3))
+    assert [(k.words, k.earlier, k.bias) for k in a] == [(k.words, k.earlier, k.bias) for k in b]
+
+
+def test_themes():
+    rng = np.random.default_rng(3)
+    true = np.repeat([0, 1, 2], [60, 40, 20])
+    x = np.zeros((120, 30))
+    for i, k in enumerate(true):
+        x[i, rng.choice(np.arange(10 * k, 10 * k + 10), 4, replace=False)] = 1
+    assert (toxicity.themes(x) == true).mean() > 0.95
+    assert (toxicity.themes(np.zeros((50, 4))) == -1).all() and (toxicity.themes(np.ones((5, 4))) == -1).all()
 
 
 def test_toxicity_odd_rows(spark, labels):
     odd = spark.createDataFrame([(1, None, "q"), (None, "", "q"), (1, None, "q")], "doc_id long, text string, rejected string")
     assert [r.rejected for r in toxicity.judge(odd, labels.limit(0)).collect()] == [False] * 3
     assert toxicity.judge(odd.limit(0), labels).count() == 0
+    assert toxicity.without_toxic(odd, labels.limit(0)).count() == 3
+    again = spark.createDataFrame([(1, "a b " * 200_000, "q")] * 3, "doc_id long, text string, rejected string")
+    assert toxicity.judge(again, labels).count() == 3
