@@ -11,16 +11,49 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_scopes: list[Scope] = []
+
+
+class Scope:
+    """Tables kept while it is open; those not released are removed at its end, so their users must have been written by then."""
+
+    def __init__(self):
+        self.kept: list[DataFrame] = []
+
+    def release(self, df: DataFrame) -> DataFrame:
+        """Keep ``df`` beyond this scope, and leave it to the one around it."""
+        self.kept = [k for k in self.kept if k._scratch_path != df._scratch_path]
+        outer = _scopes[: _scopes.index(self)]
+        if outer:
+            outer[-1].kept.append(df)
+        return df
+
+
+@contextmanager
+def scope() -> Iterator[Scope]:
+    s = Scope()
+    _scopes.append(s)
+    try:
+        yield s
+    finally:
+        _scopes.remove(s)
+        for df in s.kept:
+            drop(df)
 
 
 def root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; only where that is unset (tests) a temporary folder."""
+    """``spark.checkpoint.dir`` of the session; where that is unset, on a local master only, a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", None) or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         key = spark.sparkContext.applicationId
         if key not in _own:
             _own[key] = tempfile.mkdtemp(prefix="ledgerlens-")
@@ -39,6 +72,8 @@ def keep(df: DataFrame, name: str = "cut") -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._scratch_path = path
+    if _scopes:
+        _scopes[-1].kept.append(out)
     return out
 
 
