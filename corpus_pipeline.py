@@ -47,10 +47,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, applied to the documents."""
+    """All stages, applied to the documents. A stage's intermediate tables are removed once its result is written."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = scratch.keep(stage(spark, docs, sf_dir), f"stage-{name}")
+        before = docs
+        with scratch.scope() as inner:
+            docs = inner.release(scratch.keep(stage(spark, docs, sf_dir), f"stage-{name}"))
+        scratch.drop(before)
     return docs
 
 

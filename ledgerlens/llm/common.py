@@ -14,8 +14,8 @@ from ledgerlens.plans import scratch
 #: Rows and bytes of an Arrow batch; they bound a Python worker's memory on long texts.
 BATCH_ROWS = 512
 BATCH_BYTES = 32_000_000
-#: Distinct class values that are told apart at most when a classifier's sample is drawn.
-MAX_VALUES = 4096
+#: Distinct class values that a classifier can be fitted to; its models and samples are bounded by this.
+MAX_VALUES = 256
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -66,15 +66,16 @@ def per_row(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]], sche
 def sample_labelled(df: DataFrame, by: str, per_value: int, seed: str) -> DataFrame:
     """About ``per_value`` rows of every value of ``by``: those whose seeded hash falls under a threshold.
 
-    The only use of it is to bound what a classifier is fitted on. Needs a column doc_id.
+    The only use of it is to bound what a classifier is fitted on. Needs a column doc_id. Rows with a null value are left out;
+    a column of over MAX_VALUES values is not one of classes and raises.
     The counts come from a scan of two columns; the texts of other rows are never read on.
     """
-    counts = [r for r in df.groupBy(by).count().limit(MAX_VALUES + 1).collect() if r[0] is not None]
+    counts = df.where(F.col(by).isNotNull()).groupBy(by).count().limit(MAX_VALUES + 1).collect()
+    if len(counts) > MAX_VALUES:
+        raise ValueError(f"{by} has over {MAX_VALUES} values; it is no column of classes")
     u = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"))), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
     if not counts:
         return df.where(F.lit(False))
-    if len(counts) > MAX_VALUES:  # not a column of classes: one share for all
-        return df.where(F.col(by).isNotNull() & (u < F.lit(per_value * 2.0) / F.lit(float(max(1, df.count())))))
     share = F.create_map(*[F.lit(x) for r in counts for x in (r[0], per_value / r["count"])])
     return df.where(F.col(by).isNotNull() & (u < share[F.col(by)]))
 

@@ -42,6 +42,8 @@ _UNSPACED = re.compile(f"[{_RANGES}]")
 _CHARACTER_OR_WORD = re.compile(f"[{_RANGES}]|[^\\W{_RANGES}]+")
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 _FILTER_BITS = 22
+#: Hits of seeds that are looked at together.
+_SLICE = 1_000_000
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -102,15 +104,22 @@ class Index:
     def overlaps(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item, first token, token after the last, agreeing tokens) of the best verified overlap with each item."""
         t = tokens(text)
-        pairs: set[tuple[int, int]] = set()
+        hits = [np.zeros((2, 0), np.int64)]
         for (mask, span, _), (h, who, at, bits) in zip(self.masks, self.tables):
             if not len(h):
                 continue
             s = _seeds(t, mask, span)
             p = np.flatnonzero(bits[s & np.uint64(len(bits) - 1)])
             lo, hi = np.searchsorted(h, s[p], "left"), np.searchsorted(h, s[p], "right")
-            for q, a, b in zip(p[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
-                pairs.update(zip(who[a:b].tolist(), (q - at[a:b]).tolist()))
+            p, lo, n = p[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+            ends, i = np.cumsum(n), 0
+            while i < len(p):  # slices of bounded size; a repeated seed meets its place in an item again and again, a shift is kept once
+                j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + _SLICE, "right")))
+                m = n[i:j]
+                k = np.repeat(lo[i:j], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+                hits.append(np.unique(np.stack([who[k], np.repeat(p[i:j], m) - at[k]]), axis=1))
+                i = j
+        pairs = zip(*np.unique(np.concatenate(hits, 1), axis=1).tolist())
         best: dict[int, tuple[int, int, int]] = {}
         for k, shift in pairs:
             item = self.tokens[k]
@@ -173,7 +182,11 @@ def find(docs: DataFrame, benchmark: DataFrame, slice_chars: int = SLICE_CHARS,
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, slice_chars: int = SLICE_CHARS, least: int = LEAST_TOKENS) -> DataFrame:
-    """The rows of ``docs``, all columns, that overlap no item of ``least`` tokens or more."""
+    """The rows of ``docs``, all columns, that overlap no item of ``least`` tokens or more.
+
+    Null and empty texts, null ids and repeated rows stay as they come; columns of any name pass through. An empty
+    benchmark leaves everything, an empty table stays empty.
+    """
     for items in slices(benchmark, slice_chars):
         key = hash((least, *items))
 

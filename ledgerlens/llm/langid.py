@@ -110,7 +110,12 @@ class Filters:
 
 
 def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, per_filter: int = GRAMS_PER_LANGUAGE) -> Filters:
-    """Filters from ``docs(doc_id, text, lang)``; rows with null lang or id teach nothing."""
+    """Filters from ``docs(doc_id, text, lang)``; rows with null lang or id teach nothing. Over 256 languages raise.
+
+    Of a language's sampled grams those seen three times or more and typical of it are held, the ``per_filter`` most frequent. This bounds
+    what comes to the driver, 256 times per_filter hashes, and the planes, 32 of them. On the test tables no language has
+    more, so the bound leaves nothing out there.
+    """
 
     def count(batches):
         for b in batches:

@@ -58,7 +58,7 @@ def _distribution(rate: Column) -> Column:
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, total: float = 1.0, seed: int = SEED) -> DataFrame:
     """``docs(doc_id, text, source, ...)``, each row as often as its draw says, in a random global order.
 
-    Adds copy (1, 2, ...) and order_key, by whose hash rows are dealt to partitions and sorted
+    Adds copy (1, 2, ...) and order_key, by which and the text rows are dealt to partitions by hash, and sorted by order_key
     within them; input columns of these names are dropped. Rows of one id draw alike. Null ids draw as one id;
     null texts are empty and are kept like others. An empty table stays empty.
     """
@@ -74,7 +74,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     copies = F.size(F.filter("__mix_cum", lambda c: c <= F.col("__mix_u")))
     drawn = joined.withColumn("__mix_u", u).withColumn("__mix_n", copies).where("__mix_n > 0").drop("__mix_u", "__mix_cum", "__mix_source")
     out = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__mix_n")))).drop("__mix_n").withColumn("order_key", _hash(seed, "order", 15, F.col("doc_id"), F.col("copy")))
-    return out.repartition("order_key").sortWithinPartitions("order_key")
+    # the texts' hashes part rows that have no id or share one
+    return out.repartition(F.col("order_key"), F.xxhash64("text")).sortWithinPartitions("order_key")
 
 
 ORACLE = f"""

@@ -490,10 +490,12 @@ def deduplicate(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius
     gone = scratch.keep(join_counted(rows, groups, ["sig"], "n").where("rk <> keep").select("rk").distinct(), "gone")
     twice = scratch.keep(rows.groupBy("rk").count().where("count > 1").select("rk"), "twice")
     listed = gone.unionByName(twice).withColumnRenamed("rk", "__rk")
-    keyed = maybe_among(docs.withColumn("__rk", row_key()), listed, "__rk")
+    # the input's columns travel in one, so that their names can't clash with the ones used here
+    packed = docs.select(row_key().alias("__rk"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    keyed = maybe_among(packed, listed, "__rk")
     # texts of rows that are surely on neither list are not shuffled
-    kept, some = keyed.where("not __maybe").select(docs.columns), keyed.where("__maybe").drop("__maybe")
+    kept, some = keyed.where("not __maybe").select("__row.*"), keyed.where("__maybe").drop("__maybe")
     left = some.join(gone.withColumnRenamed("rk", "__rk"), "__rk", "left_anti")
     again = twice.withColumnRenamed("rk", "__rk")
     once = left.join(again, "__rk", "left_anti").unionByName(left.join(again, "__rk").dropDuplicates(["__rk"]))
-    return kept.unionByName(once.select(docs.columns))
+    return kept.unionByName(once.select("__row.*"))

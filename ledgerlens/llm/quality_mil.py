@@ -18,6 +18,8 @@ from ledgerlens.llm.common import fold, per_row, sample_labelled
 PASSAGE_WORDS = 64
 #: Labelled documents of each class that the network is fitted on, about, at most.
 DOCS_PER_CLASS = 3000
+#: Passages of a document that fitting looks at, evenly spaced; scoring looks at all.
+FIT_PASSAGES = 256
 PREDICT_FROM = 0.3
 HIDDEN, GATE = 24, 12
 EPOCHS, BATCH, RATE = 30, 256, 0.01
@@ -141,11 +143,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = DOCS_PER_CLASS) ->
     if len(share) < 2:
         return 0.5 if not share else float(next(iter(share)))
     picked = sample_labelled(known, "quality", per_class, "quality").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    # bounded by twice per_class, about
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    # bounded by twice per_class, about; where an id repeats, the row of the least text hash is taken
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.first("quality").alias("quality"), F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(b):
         bags = [passages(t) for t in b.column(2).to_pylist()]
+        bags = [x if len(x) <= FIT_PASSAGES else x[np.linspace(0, len(x) - 1, FIT_PASSAGES).astype(int)] for x in bags]
         return {"doc_id": b.column(0), "quality": b.column(1), "bag": [x.ravel().tolist() for x in bags]}
 
     got = per_row(rows.select("doc_id", "quality", "text"), run, "doc_id long, quality int, bag array<double>").toPandas().sort_values("doc_id", kind="stable")
@@ -158,7 +161,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = DOCS_PER_CLASS) ->
 
 
 def score(docs: DataFrame, net: Network | float) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row's whole text; empty and null texts are a bag of one empty passage."""
+    """(doc_id, held_out, score, predicted) for every row's whole text; empty and null texts are a bag of one empty passage.
+
+    Repeated rows are scored each, null ids are kept, other columns are ignored; an empty table gives an empty result.
+    """
 
     def run(b):
         found = [net if isinstance(net, float) else net.score(passages(t)) for t in b.column(2).to_pylist()]
@@ -168,5 +174,8 @@ def score(docs: DataFrame, net: Network | float) -> DataFrame:
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Learn from labels outside the held-out fold; score every row. Null ids count as the empty text in the fold rule."""
+    """Learn from labels outside the held-out fold; score every row. Null ids count as the empty text in the fold rule.
+
+    Without labels every score is 0.5; with labels of one kind only it is that label.
+    """
     return score(docs, fit(docs, labels))

@@ -66,9 +66,9 @@ def tree(pages: DataFrame) -> DataFrame:
     first = rows.agg(F.sum("lab").alias("lab"), F.sum("bad").alias("bad")).first()
     prior = ((first["bad"] or 0) + 1.0) / ((first["lab"] or 0) + 2.0)
     smooth = lambda b, n, above: (F.col(b) + SMOOTHING * above) / (F.col(n) + SMOOTHING)
-    hosts = rows.groupBy("host").agg(*add("__n", "__lab", "__bad"))
+    hosts = scratch.keep(rows.groupBy("host").agg(F.count("*").alias("__rows"), *add("__n", "__lab", "__bad")), "hosts")
     segs = F.split("tpath", "/")
-    t = rows.join(hosts, "host").select("host", "tpath", "n", "lab", "bad", segs.alias("segs"), F.lit("").alias("template"), smooth("__bad", "__lab", F.lit(prior)).alias("share"))
+    t = join_counted(rows, hosts, ["host"], "__rows").select("host", "tpath", "n", "lab", "bad", segs.alias("segs"), F.lit("").alias("template"), smooth("__bad", "__lab", F.lit(prior)).alias("share"))
     deepest = rows.agg(F.max(F.size(segs))).first()[0] or 0
     done = []
     for k in range(1, deepest + 1):
@@ -76,9 +76,9 @@ def tree(pages: DataFrame) -> DataFrame:
         done.append(t.where(F.size("segs") < k - 1))
         t = t.where(F.size("segs") >= k - 1)
         t = t.withColumn("seg", F.when((F.size("segs") >= k) & (F.col("tpath") != ""), F.get("segs", F.lit(k - 1))).otherwise(""))
-        kids = t.groupBy("host", "template", "seg").agg(*add("cn", "clab", "cbad"))
-        parents = kids.groupBy("host", "template").agg(F.count("*").alias("sn"), F.sum("cn").alias("pn"), F.sum("clab").alias("plab"), F.sum("cbad").alias("pbad"))
-        j = kids.join(parents, ["host", "template"])
+        kids = scratch.keep(t.groupBy("host", "template", "seg").agg(F.count("*").alias("rows"), *add("cn", "clab", "cbad")), "kids")
+        parents = scratch.keep(kids.groupBy("host", "template").agg(F.count("*").alias("sn"), F.count("*").alias("__sn"), F.sum("cn").alias("pn"), F.sum("clab").alias("plab"), F.sum("cbad").alias("pbad")), "parents")
+        j = join_counted(kids, parents, ["host", "template"], "__sn")
         rest_lab, rest_bad = F.col("plab") - F.col("clab"), F.col("pbad") - F.col("cbad")
         mean = F.try_divide(F.col("pbad"), F.col("plab"))
         error = F.sqrt(mean * (1 - mean) * (F.try_divide(F.lit(1.0), F.col("clab")) + F.try_divide(F.lit(1.0), rest_lab)))
@@ -87,10 +87,10 @@ def tree(pages: DataFrame) -> DataFrame:
         alike = F.coalesce(z, F.lit(0.0)) < DIFFER
         chance = F.coalesce(z, F.lit(0.0)) < F.sqrt(DIFFER**2 + 2 * F.log("sn"))
         branch = F.when(F.col("seg") == "", "").when((variable & chance) | (alike & (F.col("sn") > 1)), "/*").otherwise(F.concat(F.lit("/"), F.col("seg")))
-        named = j.select("host", "template", "seg", branch.alias("branch"), "cn", "clab", "cbad")
-        pooled = named.groupBy("host", "template", "branch").agg(F.sum("clab").alias("blab"), F.sum("cbad").alias("bbad"))
-        nodes = named.join(pooled, ["host", "template", "branch"]).select("host", "template", "seg", "branch", "blab", "bbad")
-        t = scratch.keep(t.join(nodes, ["host", "template", "seg"]).select("host", "tpath", "n", "lab", "bad", "segs", F.concat("template", "branch").alias("template"), F.when(F.col("seg") == "", F.col("share")).otherwise(smooth("bbad", "blab", F.col("share"))).alias("share")), "tree")
+        named = scratch.keep(j.select("host", "template", "seg", branch.alias("branch"), "rows", "clab", "cbad"), "named")
+        pooled = scratch.keep(named.groupBy("host", "template", "branch").agg(F.count("*").alias("__kids"), F.sum("clab").alias("blab"), F.sum("cbad").alias("bbad")), "pooled")
+        nodes = scratch.keep(join_counted(named, pooled, ["host", "template", "branch"], "__kids").select("host", "template", "seg", "branch", "rows", "blab", "bbad"), "nodes")
+        t = scratch.keep(join_counted(t, nodes, ["host", "template", "seg"], "rows").select("host", "tpath", "n", "lab", "bad", "segs", F.concat("template", "branch").alias("template"), F.when(F.col("seg") == "", F.col("share")).otherwise(smooth("bbad", "blab", F.col("share"))).alias("share")), "tree")
     for d in done:
         t = t.unionByName(d)
     return t.select("host", "tpath", "n", "template", "share")

@@ -98,6 +98,71 @@ def test_templates_of_any_depth_and_many_siblings(spark):
     assert got["w", ""].template == "" and got["w", "s0"].template == "/*"
 
 
+def brute_tree(pages):
+    """Template and share of every (host, path), by recursion over lists."""
+    count = {}
+    for host, path, bad in pages:
+        c = count.setdefault((host, path), [0, 0, 0])
+        c[0] += 1
+        c[1] += bad is not None
+        c[2] += bool(bad)
+    smooth = lambda b, n, above: (b + urltree.SMOOTHING * above) / (n + urltree.SMOOTHING)
+    total = lambda keys: [sum(count[k][i] for k in keys) for i in range(3)]
+    _, lab, bad = total(count)
+    prior, out = (bad + 1) / (lab + 2), {}
+
+    def grow(keys, depth, template, share):
+        """``keys`` share ``template``, which stands for their first ``depth`` segments; shorter paths end here."""
+        by = {}
+        for k in keys:
+            segs = k[1].split("/") if k[1] else []
+            by.setdefault(segs[depth] if len(segs) > depth else "", []).append(k)
+        n, lab, bad = total(keys)
+        branches = {}
+        for seg, own in by.items():
+            cn, clab, cbad = total(own)
+            z = 0.0
+            if lab and clab and lab > clab and 0 < bad < lab:
+                mean = bad / lab
+                z = abs(cbad / clab - (bad - cbad) / (lab - clab)) / math.sqrt(mean * (1 - mean) * (1 / clab + 1 / (lab - clab)))
+            many = len(by) > urltree.SIBLINGS and cn < urltree.COMMON * n and z < math.sqrt(urltree.DIFFER**2 + 2 * math.log(len(by)))
+            name = "" if seg == "" else "/*" if many or (z < urltree.DIFFER and len(by) > 1) else "/" + seg
+            branches.setdefault(name, []).extend(own)
+        for name, own in branches.items():
+            _, clab, cbad = total(own)
+            if name == "":
+                for k in own:
+                    out[k] = (template, share)
+            else:
+                grow(own, depth + 1, template + name, smooth(cbad, clab, share))
+
+    for host in {h for h, _ in count}:
+        own = [k for k in count if k[0] == host]
+        _, lab, bad = total(own)
+        grow(own, 0, "", smooth(bad, lab, prior))
+    return out
+
+
+def test_tree_by_brute_force(spark):
+    rnd = random.Random(17)
+    pages = []
+    for host in ("a", "b", "hot"):
+        for _ in range(900 if host == "hot" else 200):
+            segs = [rnd.choice(["x", "y", "z", f"s{rnd.randrange(90)}"]) for _ in range(rnd.randrange(6))]
+            pages.append((host, "/".join(segs), rnd.choice([None, False, segs[:1] == ["x"], segs[1:2] == ["y"]])))
+    got = urltree.tree(spark.createDataFrame(pages, "host string, tpath string, bad boolean")).collect()
+    want = brute_tree(pages)
+    assert len(got) == len(want)
+    for r in got:
+        assert r.template == want[r.host, r.tpath][0] and r.share == pytest.approx(want[r.host, r.tpath][1], rel=1e-9), (r, want[r.host, r.tpath])
+
+
+def test_long_urls(spark):
+    urls = ["http://h.net/" + "/".join(f"p{i}" for i in range(30)), "http://h.net/" + "x" * 200_000, "http://" + "h" * 100_000 + ".org/a?" + "q" * 100_000, "http://h.net/p0"]
+    got = {r.page_id: r for r in urltree.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    assert len(got) == 4 and got[0].path.count("/") == 30 and len(got[1].path) == 200_001 and got[2].rule == "org/" and got[2].path == "/a"
+
+
 def test_tokens_round_trip(spark):
     from tokenizers import Tokenizer
 
@@ -203,3 +268,27 @@ def test_pipeline(spark):
         if name == "tokens":
             assert sorted(b) == sorted(a)
     assert corpus_pipeline.run(spark, D).count() == got.count()
+
+
+def test_pipeline_with_odd_rows(spark, tmp_path):
+    """Null, empty, repeated and very long texts, null ids and columns of names used inside."""
+    base = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, base), (2, base), (3, base + " more"), (None, base), (None, None), (4, None), (5, ""), (5, ""), (6, "alone with few words"), (6, "alone with few words"), (7, "long " + " ".join(f"l{i % 5000}" for i in range(300_000))), (8, "holds the benchmark passage of thirteen words or so that was put there today")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, rk string, sig long, copy string, shard long, __maybe string"
+    spark.createDataFrame([(d, t, None, None if d == 6 else "s", 1, "r", 1, "c", 2, "m") for d, t in rows], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "the benchmark passage of thirteen words or so that was put there"), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = scratch.keep(stage(spark, docs, str(tmp_path)), "odd")
+        kept[name] = sorted(str(r.doc_id) for r in docs.select("doc_id").collect())
+        if name in ("toxicity", "near_dedup", "decontamination"):
+            assert sorted(docs.columns) == sorted(x.split(" ")[0] for x in schema.split(", "))
+    assert len(kept["toxicity"]) == len(rows)
+    assert kept["near_dedup"] == ["1", "4", "6", "7", "8"]
+    assert kept["decontamination"] == ["1", "4", "6", "7"]
+    assert len(kept["tokens"]) == len(kept["mixing"])
+    for name in ("documents", "benchmark", "labels"):
+        empty = spark.read.parquet(f"{tmp_path}/{name}.parquet").limit(0)
+        empty.write.parquet(f"{tmp_path}/empty/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import decontaminate, langid, pii, quality_mil, quality_rules, toxicity
 
@@ -51,6 +52,30 @@ def test_filters_hold_what_they_learn():
         assert hits[k] == 2000 and hits.sum() < 2000 + 200
 
 
+def test_language_by_exact_sets(spark, documents, monkeypatch):
+    """The filters' verdicts are those of exact sets of the same grams."""
+    seen = {}
+
+    class Exact(langid.Filters):
+        def __init__(self, languages, hashes, **kw):
+            super().__init__(languages, hashes, **kw)
+            seen.update(zip(languages, ({int(x) for x in h} for h in hashes)))
+
+    monkeypatch.setattr(langid, "Filters", Exact)
+    filters = langid.fit(documents, 60)
+    some = documents.where("doc_id < 250")
+    got = {r.doc_id: r for r in langid.predict(some, filters).collect()}
+    names = sorted(seen)
+    for r in some.collect():
+        grams = [int(x) for h in langid.grams(r.text) for x in h]
+        hits = [sum(g in seen[x] for g in grams) + 0.5 for x in names]
+        best, p = max(zip(hits, names)), got[r.doc_id]
+        if not grams:
+            assert (p.lang_pred, p.score) == ("und", 0.0)
+        elif sorted(hits)[-1] - sorted(hits)[-2] > 0.01 * len(grams) + 2:
+            assert p.lang_pred == best[1] and p.score == pytest.approx(best[0] / sum(hits), abs=0.02)
+
+
 def test_language_of_long_text():
     f = langid.Filters(["a"], [next(langid.grams("hello world"))])
     n = sum(len(h) for h in langid.grams("abc " * 600_000))
@@ -98,6 +123,33 @@ def test_short_items_meet_every_allowed_substitution():
             assert not index.overlaps(" ".join("x" if i in gone else w for i, w in enumerate(item)))
 
 
+def test_overlaps_by_brute_force():
+    """Items of any length with random substitutions in random places: found exactly if some window agrees in four fifths."""
+    rnd = random.Random(21)
+    found = 0
+    for _ in range(1500):
+        n = rnd.choice([1, 3, 5, 7, 9, 10, 11, 12, 13, 14, 20, 45])
+        item = [f"w{rnd.randrange(12 if rnd.random() < 0.2 else 900)}" for _ in range(n)]
+        put = [f"z{rnd.randrange(900)}" if rnd.random() < rnd.choice([0, 0.1, 0.2, 0.3]) else w for w in item]
+        text = [f"f{rnd.randrange(900)}" for _ in range(rnd.randint(0, 8))] + put[rnd.choice([0, 0, n // 3]) :] + [f"f{rnd.randrange(900)}" for _ in range(rnd.randint(0, 8))]
+        w = min(13, n)
+        want = 0
+        for shift in range(-n + w, len(text) - w + 1):
+            same = [0 <= i - shift < n and text[i] == item[i - shift] for i in range(len(text))]
+            if any(sum(same[i : i + w]) >= 0.8 * w for i in range(max(0, shift), min(len(text), shift + n) - w + 1)):
+                want = 1
+        got = decontaminate.Index([(4, " ".join(item))], least=1).overlaps(" ".join(text))
+        assert len(got) == want, (item, text)
+        found += want
+    assert 400 < found < 1400
+
+
+def test_overlaps_of_repetitive_texts():
+    index = decontaminate.Index([(1, "a " * 300), (2, "a b " * 100)], least=1)
+    got = index.overlaps("a " * 20_000 + "c " * 50_000)
+    assert [o[0] for o in got] == [1] and got[0][3] == 300
+
+
 def test_short_items_only_if_asked():
     assert decontaminate.Index([(1, "x y z")]).overlaps("x y z") == []
     assert decontaminate.Index([(1, "x y z"), (2, "..."), (3, "q")], least=1).overlaps("w x y z") == [(1, 1, 4, 3)]
@@ -315,6 +367,39 @@ def test_attention_held_out(spark, documents, labels):
     assert quality_mil.judge(odd.limit(0), labels).count() == 0
 
 
+def test_attention_by_plain_arithmetic():
+    rng = np.random.default_rng(5)
+    bags = [rng.normal(size=(n, quality_mil.FEATURES)) for n in (1, 4, 2, 7)]
+    net = quality_mil.train(bags, np.array([1.0, 0.0, 1.0, 0.0]), np.ones(4))
+    w = {k: v.tolist() for k, v in net.w.items()}
+    for bag in bags:
+        encoded, logits = [], []
+        for row in ((bag - net.mean) / net.scale).tolist():
+            h = [math.tanh(sum(x * w["enc"][i][j] for i, x in enumerate(row)) + w["enc0"][j]) for j in range(quality_mil.HIDDEN)]
+            gate = [math.tanh(sum(x * w["v"][i][j] for i, x in enumerate(h))) / (1 + math.exp(-sum(x * w["u"][i][j] for i, x in enumerate(h)))) for j in range(quality_mil.GATE)]
+            encoded.append(h)
+            logits.append(sum(a * b for a, b in zip(w["a"], gate)))
+        share = [math.exp(x) / sum(map(math.exp, logits)) for x in logits]
+        z = sum(c * sum(a * h[j] for a, h in zip(share, encoded)) for j, c in enumerate(w["c"])) + w["c0"][0]
+        assert net.score(bag) == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-9)
+
+
+def test_attention_of_long_and_repeated_texts(spark, labels):
+    long = " ".join(f"w{i % 977}" for i in range(400_000))
+    rows = spark.createDataFrame([(i % 7, long if i == 3 else f"short text {i}", "q") for i in range(40)], "doc_id long, text string, quality string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(7)], "doc_id long, quality int")
+    got = quality_mil.judge(rows, marks).collect()
+    assert len(got) == 40 and all(0 <= r.score <= 1 for r in got)
+
+
+def test_classes_are_few(spark):
+    from ledgerlens.llm import common
+
+    df = spark.range(300).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError):
+        common.sample_labelled(df, "lang", 5, "x")
+
+
 def test_passages_cover_the_text():
     text = " ".join(f"w{i}" for i in range(200))
     b = quality_mil.passages(text)
