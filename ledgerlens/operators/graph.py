@@ -9,11 +9,109 @@ from __future__ import annotations
 import itertools
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.plans import scratch
 
+#: Edges that one task may finish a loop on, two longs each: peeling and strong components go round by round over the
+#: cluster only while more are left. What is found doesn't depend on it.
+LOCAL_EDGES = 1_000_000
+
+
+def _rounds(most: int | None):
+    """Counts rounds; raises once there were ``most`` and the loop goes on. None: as many as it takes."""
+    for i in itertools.count():
+        if most is not None and i >= most:
+            raise RuntimeError(f"not settled in {most} rounds")
+        yield i
+
+
+def in_one_task(edges: DataFrame, solve: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]], schema: str) -> DataFrame:
+    """``solve(src, dst)`` over all rows of a table that is known to be small; longs in, longs out."""
+    names = [x.strip().split(" ")[0] for x in schema.split(",")]
+
+    def run(batches):
+        parts = [np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns]) for b in batches]
+        src, dst = np.concatenate(parts, 1) if parts else np.zeros((2, 0), np.int64)
+        out = solve(src, dst)
+        yield pa.RecordBatch.from_arrays([pa.array(out[n], pa.int64()) for n in names], names=names)
+
+    return edges.select(F.col("src").cast("long"), F.col("dst").cast("long")).coalesce(1).mapInArrow(run, schema)
+
+
+def _local(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vertex ids, and both ends as places among them."""
+    vid, where = np.unique(np.concatenate([src, dst]), return_inverse=True)
+    return vid, where[: len(src)], where[len(src) :]
+
+
+def _lists(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and targets: b grouped by a."""
+    return np.concatenate(([0], np.cumsum(np.bincount(a, minlength=n)))), b[np.argsort(a, kind="stable")]
+
+
+def core_numbers(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(vertex, core number), parallel edges counted each and self-loops twice: all vertices of too low a degree go at once, and only their neighbours are looked at again."""
+    vid, a, b = _local(src, dst)
+    start, other = _lists(np.concatenate([a, b]), np.concatenate([b, a]), len(vid))
+    degree, core = np.diff(start), np.zeros(len(vid), np.int64)
+    gone = np.zeros(len(vid), bool)
+    k = 0
+    while not gone.all():
+        k = max(k, int(degree[~gone].min()))
+        out = np.flatnonzero(~gone & (degree <= k))
+        while len(out):
+            core[out], gone[out] = k, True
+            size = start[out + 1] - start[out]
+            near = other[np.repeat(start[out] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+            np.subtract.at(degree, near, 1)
+            near = np.unique(near)
+            out = near[~gone[near] & (degree[near] <= k)]
+    return vid, core
+
+
+def strong_labels(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(vertex, least vertex of its strongly connected component), by one depth-first walk with an explicit stack."""
+    vid, a, b = _local(src, dst)
+    n = len(vid)
+    start, to = (x.tolist() for x in _lists(a, b, n))
+    order, low, comp = [0] * n, [0] * n, [-1] * n
+    open_, seen = [], 0
+    for root in range(n):
+        if order[root]:
+            continue
+        walk = [(root, start[root])]
+        seen += 1
+        order[root] = low[root] = seen
+        open_.append(root)
+        while walk:
+            v, at = walk.pop()
+            if at < start[v + 1]:
+                walk.append((v, at + 1))
+                w = to[at]
+                if not order[w]:
+                    seen += 1
+                    order[w] = low[w] = seen
+                    open_.append(w)
+                    walk.append((w, start[w]))
+                elif comp[w] < 0:
+                    low[v] = min(low[v], order[w])
+                continue
+            if walk:
+                low[walk[-1][0]] = min(low[walk[-1][0]], low[v])
+            if low[v] == order[v]:
+                cut = len(open_) - 1
+                while open_[cut] != v:
+                    cut -= 1
+                least = min(open_[cut:])
+                for w in open_[cut:]:
+                    comp[w] = least
+                del open_[cut:]
+    return vid, vid[np.array(comp, np.int64)] if n else vid
+
 
 def ends(edges: DataFrame, *cols: str) -> DataFrame:
     """(vid, ...) twice for each edge: once for each endpoint."""
@@ -61,11 +159,30 @@ def keep_vertices(vertex: DataFrame, values: DataFrame, column: str, default) ->
     return vertex.join(values, "vid", "left").withColumn(column, F.coalesce(column, F.lit(default)))
 
 
-def k_core(edges: DataFrame, k: int, max_rounds: int = 1000) -> DataFrame:
-    """Edges of the largest subgraph in which every vertex has degree k or more."""
+def join_vertices(vertex: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """``vertex`` with ``column`` replaced by the value that the other table has for the vertex; others keep theirs."""
+    new = values.select("vid", F.col(column).alias("__new"))
+    return vertex.join(new, "vid", "left").withColumn(column, F.coalesce("__new", column)).drop("__new")
+
+
+def touching_communities(edges: DataFrame, members: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Edges with an end in one of the ``chosen(cc)`` communities; ``members(vid, cc)``."""
+    inside = members.join(chosen.select("cc").distinct(), "cc", "left_semi").select("vid")
+    hit = edges.select("src", "dst").join(inside.withColumnRenamed("vid", "src"), "src", "left_semi").select("src", "dst")
+    hit = hit.union(edges.select("src", "dst").join(inside.withColumnRenamed("vid", "dst"), "dst", "left_semi").select("src", "dst")).distinct()
+    return edges.join(hit, ["src", "dst"], "left_semi")
+
+
+def k_core(edges: DataFrame, k: int, max_rounds: int | None = None) -> DataFrame:
+    """Edges of the largest subgraph in which every vertex has degree k or more. Raises if ``max_rounds`` is given and not enough."""
     e = scratch.keep(edges.select("src", "dst"), "core")
     n = e.count()
-    for _ in range(max_rounds):
+    for _ in _rounds(max_rounds):
+        if n <= LOCAL_EDGES:
+            core = in_one_task(e, lambda s, d: dict(zip(("vid", "core"), core_numbers(s, d))), "vid long, core long").where(F.col("core") >= k)
+            left = scratch.keep(subgraph(e, core), "core")
+            scratch.drop(e)
+            return left
         left = scratch.keep(subgraph(e, degrees(e).where(F.col("degree") >= k)), "core")
         m = left.count()
         scratch.drop(e)
@@ -87,6 +204,10 @@ def k_core_labels(edges: DataFrame, kmax: int | None, vertex: DataFrame | None =
     every = vertices(e).withColumn("core", F.lit(0)) if vertex is None else vertex.select("vid").withColumn("core", F.lit(0))
     found = [every]
     for k in range(1, kmax) if kmax else itertools.count(1):
+        if e.count() <= LOCAL_EDGES:
+            core = F.col("core") if kmax is None else F.least("core", F.lit(kmax - 1))
+            found.append(in_one_task(e, lambda s, d: dict(zip(("vid", "core"), core_numbers(s, d))), "vid long, core long").select("vid", core.cast("int").alias("core")))
+            break
         e = k_core(e, k)
         if e.isEmpty():
             break
@@ -97,16 +218,17 @@ def k_core_labels(edges: DataFrame, kmax: int | None, vertex: DataFrame | None =
     return scratch.keep(out.groupBy("vid").agg(F.max("core").alias("core")), "labels")
 
 
-def page_rank(edges: DataFrame, rounds: int | None = None, tol: float = 0.001, reset: float = 0.15, max_rounds: int = 200) -> DataFrame:
+def page_rank(edges: DataFrame, rounds: int | None = None, tol: float = 0.001, reset: float = 0.15, max_rounds: int | None = None) -> DataFrame:
     """(vid, rank), unnormalised: reset + (1 - reset) * sum of rank / out-degree of those that point here.
 
-    A fixed number of rounds from rank 1, or until no rank moves by more than ``tol``. Parallel edges weigh each.
+    A fixed number of rounds from rank 1, or until no rank moves by more than ``tol``, which takes about log(tol) / log(1 - reset) rounds.
+    Parallel edges weigh each. Raises if ``max_rounds`` is given and not enough.
     """
     out = edges.groupBy("src").agg(F.count("*").alias("out_degree"))
     e = scratch.keep(edges.groupBy("src", "dst").agg(F.count("*").alias("w")).join(out, "src").select("src", "dst", (F.col("w") / F.col("out_degree")).alias("share")), "rank")
     v = scratch.keep(vertices(edges), "rank")
     rank = v.withColumn("rank", F.lit(1.0))
-    for i in range(rounds or max_rounds):
+    for i in range(rounds) if rounds else _rounds(max_rounds):
         got = e.join(rank, e.src == rank.vid).groupBy("dst").agg(F.sum(F.col("rank") * F.col("share")).alias("got"))
         new = v.join(got, v.vid == got.dst, "left").select("vid", (reset + (1 - reset) * F.coalesce("got", F.lit(0.0))).alias("rank"))
         kept = scratch.keep(new, "rank")
@@ -132,69 +254,90 @@ def expand(edges: DataFrame, seeds: DataFrame, max_hops: int = 5) -> DataFrame:
     return seen
 
 
-def pregel(vertex: DataFrame, edges: DataFrame, state: str, to_dst: Column | None, to_src: Column | None, merge: Callable[[Column], Column], update: Callable[[Column, Column], Column], max_rounds: int = 100) -> DataFrame:
+def pregel(vertex: DataFrame, edges: DataFrame, state: str, to_dst: Column | None, to_src: Column | None, merge: Callable[[Column], Column], update: Callable[[Column, Column], Column], max_rounds: int | None = None, patience: int | None = None) -> DataFrame:
     """Message passing to a fixpoint: (vid, state).
 
     ``to_dst``/``to_src`` are messages over the columns src_state and dst_state (null: none), ``merge`` aggregates
-    them, ``update`` gives the new state from (state, msg). Only edges at vertices that changed send.
+    them, ``update`` gives the new state from (state, msg). Only edges at vertices that changed send. Raises if
+    ``max_rounds`` is given and not enough; with ``patience`` it ends, as it then stands, once as many vertices
+    changed in that many rounds running (the older rule, 3 or 5, which can end too soon).
     """
     now = scratch.keep(vertex.select("vid", F.col(state).alias("state"), F.lit(True).alias("active")), "pregel")
-    for _ in range(max_rounds):
+    last, same = None, 0
+    for _ in _rounds(max_rounds):
         s = edges.join(now.select(F.col("vid").alias("src"), F.col("state").alias("src_state"), F.col("active").alias("__a")), "src").join(now.select(F.col("vid").alias("dst"), F.col("state").alias("dst_state"), F.col("active").alias("__b")), "dst").where("__a or __b")
         msg = aggregate_messages(s, to_dst, to_src, merge)
         new = now.join(msg, "vid", "left").select("vid", "state", F.when(F.col("msg").isNull(), F.col("state")).otherwise(update(F.col("state"), F.col("msg"))).alias("to"))
         kept = scratch.keep(new.select("vid", F.col("to").alias("state"), (~F.col("to").eqNullSafe(F.col("state"))).alias("active")), "pregel")
         scratch.drop(now)
         now = kept
-        if now.where("active").isEmpty():
+        active = now.where("active").count()
+        same = same + 1 if active == last else 1
+        last = active
+        if not active or (patience and same >= patience):
             break
     return now.select("vid", F.col("state").alias(state))
 
 
-def _reach(edges: DataFrame, start: DataFrame, max_rounds: int) -> DataFrame:
-    """(vid, color): vertices that can reach, within their colour, the vertex the colour is named after. edges: (src, dst, color)."""
-    seen = start
-    front = start
-    for _ in range(max_rounds):
-        nxt = edges.join(front.withColumnsRenamed({"vid": "dst"}), ["dst", "color"]).select(F.col("src").alias("vid"), "color").distinct()
-        front = scratch.keep(nxt.join(seen, ["vid", "color"], "left_anti"), "scc")
-        if front.isEmpty():
+def least_ancestor(vertex: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """(vid, least): the smallest vertex that can reach each vertex, itself included.
+
+    Every round a vertex takes the least its predecessors know, and then what the vertex so found knows itself: that
+    one reaches it as well. On a path known distances so double instead of growing by one.
+    """
+    now = scratch.keep(vertex.select("vid", F.col("vid").alias("least")), "least")
+    e = scratch.keep(edges.select("src", "dst").where("src <> dst").distinct(), "least")
+    for _ in _rounds(max_rounds):
+        got = e.join(now.select(F.col("vid").alias("src"), "least"), "src").groupBy(F.col("dst").alias("vid")).agg(F.min("least").alias("got"))
+        one = now.join(got, "vid", "left").select("vid", "least", F.least("least", "got").alias("new"))
+        jump = now.select(F.col("vid").alias("new"), F.col("least").alias("far"))
+        kept = scratch.keep(one.join(jump, "new", "left").select("vid", F.least("new", "far").alias("to"), "least").select("vid", F.col("to").alias("least"), (F.col("to") != F.col("least")).alias("moved")), "least")
+        scratch.drop(now)
+        now = kept
+        if now.where("moved").isEmpty():
             break
-        seen = scratch.keep(seen.union(front), "scc")
-    return seen
+    scratch.drop(e)
+    return now.select("vid", "least")
 
 
-def strongly_connected(edges: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def strongly_connected(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """(vid, scc): the smallest vertex id of each vertex's strongly connected component.
 
-    Smallest ids spread forward to a fixpoint; a vertex that can walk back to its colour's vertex inside
-    the colour is in that vertex's component. What is settled is taken out, and the rest goes on.
+    Vertices get the least vertex that reaches them as a colour; those that can also walk back to it inside the colour are its component.
+    Before each round vertices without edges in or out are taken out; once the rest is small one task finishes it. Colours go
+    by hashed ids, so that a long path falls apart into many at once. Raises if ``max_rounds`` is given and not enough.
     """
     e = scratch.keep(edges.select("src", "dst").where("src <> dst").distinct(), "scc")
-    every = scratch.keep(vertices(edges), "scc")
-    left, done = every, None
-    for _ in range(max_rounds):
-        # vertices without edges in or without edges out are components of their own
+    left, done = scratch.keep(vertices(edges), "scc"), None
+
+    def add(found):
+        return found if done is None else done.unionByName(found)
+
+    for _ in _rounds(max_rounds):
         inner = scratch.keep(e.select(F.col("src").alias("vid")).intersect(e.select("dst")), "scc")
-        lone = left.join(inner, "vid", "left_anti").withColumn("scc", F.col("vid"))
-        done = scratch.keep(lone if done is None else done.unionByName(lone), "scc")
-        trimmed = scratch.keep(subgraph(e, inner), "scc")
+        done = scratch.keep(add(left.join(inner, "vid", "left_anti").withColumn("scc", F.col("vid"))), "scc")
         left = inner
-        if left.isEmpty():
-            break
-        if trimmed.count() < e.count():
-            e = trimmed
-            continue
-        e = trimmed
-        colors = pregel(left.withColumn("color", F.col("vid")), e, "color", F.when(F.col("src_state") < F.col("dst_state"), F.col("src_state")), None, F.min, lambda s, m: F.least(s, m), max_rounds)
-        colors = scratch.keep(colors, "scc")
-        same = subgraph_by_color(e, colors)
-        back = _reach(same, colors.where("vid = color"), max_rounds)
-        done = scratch.keep(done.unionByName(back.select("vid", F.col("color").alias("scc"))), "scc")
-        left = scratch.keep(left.join(back, "vid", "left_anti"), "scc")
+        e = scratch.keep(subgraph(e, inner), "scc")
+        n = e.count()
+        if n <= LOCAL_EDGES:
+            found = scratch.keep(in_one_task(e, lambda s, d: dict(zip(("vid", "scc"), strong_labels(s, d))), "vid long, scc long"), "scc")
+            return scratch.keep(add(found).unionByName(left.join(found, "vid", "left_anti").withColumn("scc", F.col("vid"))), "scc")
+        # hashed ids are told apart by the id itself: xxhash64 of one long is one to one
+        names = scratch.keep(left.withColumn("h", F.xxhash64("vid")), "scc")
+        hashed = lambda c: names.select(F.col("vid").alias(c), F.col("h").alias("h" + c))
+        he = scratch.keep(e.join(hashed("src"), "src").join(hashed("dst"), "dst").select(F.col("hsrc").alias("src"), F.col("hdst").alias("dst")), "scc")
+        v = names.select(F.col("h").alias("vid"))
+        colors = scratch.keep(least_ancestor(v, he).withColumnRenamed("least", "color"), "scc")
+        inside = subgraph_by_color(he, colors)
+        back = least_ancestor(v, inside.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        found = back.join(colors, "vid").where("least = color").select(F.col("vid").alias("h"), "color").join(names, "h")
+        least = found.groupBy("color").agg(F.min("vid").alias("scc"))
+        settled = scratch.keep(found.join(least, "color").select("vid", "scc"), "scc")
+        done = scratch.keep(add(settled), "scc")
+        left = scratch.keep(left.join(settled, "vid", "left_anti"), "scc")
         e = scratch.keep(subgraph(e, left), "scc")
         if left.isEmpty():
-            break
+            return done
     return done
 
 

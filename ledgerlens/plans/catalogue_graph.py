@@ -13,7 +13,7 @@ from ledgerlens.sources.transactions import EDGES, table, transfer_edges
 BIG = EDGES + ",\nbig AS MATERIALIZED (SELECT src, dst, money, cnt FROM edges WHERE money >= 8000000 AND src <> dst)"
 _BOTH = "both_ways AS MATERIALIZED (SELECT src AS a, dst AS b FROM big UNION SELECT dst, src FROM big)"
 _DEG = "deg AS MATERIALIZED (SELECT vid, sum(i)::BIGINT AS in_degree, sum(1 - i)::BIGINT AS out_degree, count(*) AS degree FROM (SELECT dst AS vid, 1 AS i FROM big UNION ALL SELECT src, 0 FROM big) GROUP BY 1)"
-THRESHOLDS = [1, 2, 3, 5, 8, 12, 20, 30, 50]
+THRESHOLDS = [*range(0, 10), *range(10, 100, 10), *range(100, 1000, 100), *range(1000, 10001, 1000)]
 
 
 def big(spark, d):
@@ -142,15 +142,41 @@ def seed_expansion(spark, d, edges=big):
 def pregel_smallest_ancestor(spark, d, edges=big):
     """Each vertex learns the smallest vertex that can reach it."""
     e = edges(spark, d)
-    return graph.pregel(graph.vertices(e).withColumn("least_seen", F.col("vid")), e, "least_seen", F.when(F.col("src_state") < F.col("dst_state"), F.col("src_state")), None, F.min, lambda s, m: F.least(s, m))
+    return graph.least_ancestor(graph.vertices(e), e).withColumnRenamed("least", "least_seen")
 
 
-@query("SELECT vid, in_degree, out_degree, degree, round(amt_in / degree, 4) AS in_per_degree, round(amt_out / degree, 4) AS out_per_degree, round(rank, 6) AS rank FROM deg JOIN r6 USING (vid) JOIN (SELECT vid, sum(i)::DOUBLE AS amt_in, sum(o)::DOUBLE AS amt_out FROM (SELECT dst AS vid, money AS i, 0 AS o FROM big UNION ALL SELECT src, 0, money FROM big) GROUP BY 1) USING (vid)", f"{BIG}, {_DEG}, {_unrolled_rank(6)}")
+@query("SELECT a AS vid, min(r) AS cc FROM (SELECT a, least(a, min(r)) AS r FROM reach GROUP BY a UNION ALL SELECT a, r FROM reach) GROUP BY 1", f"{BIG}, {_BOTH}, reach(a, r) AS (SELECT a, b FROM both_ways UNION SELECT both_ways.a, reach.r FROM both_ways JOIN reach ON both_ways.b = reach.a)")
+def pregel_components(spark, d, edges=big):
+    """Components by messages both ways: the general loop."""
+    e = edges(spark, d)
+    less = lambda a, b: F.when(F.col(a) < F.col(b), F.col(a))
+    return graph.pregel(graph.vertices(e).withColumn("cc", F.col("vid")), e, "cc", less("src_state", "dst_state"), less("dst_state", "src_state"), F.min, lambda s, m: F.least(s, m))
+
+
+_RATIO = "round({}::DOUBLE / degree, 6)"
+
+
+@query(f"SELECT vid, in_degree, out_degree, degree, {_RATIO.format('in_degree')} AS in_ratio, {_RATIO.format('out_degree')} AS out_ratio, round(rank, 6) AS rank FROM deg JOIN r6 USING (vid)", f"{BIG}, {_DEG}, {_unrolled_rank(6)}")
 def degree_ratios_with_rank(spark, d, edges=big):
     e = edges(spark, d)
-    f = flow.in_out(e).select("vid", "amt_in", "amt_out")
-    j = graph.degrees(e).join(f, "vid").join(graph.page_rank(e, rounds=6), "vid")
-    return j.select("vid", "in_degree", "out_degree", "degree", F.round(F.col("amt_in") / F.col("degree"), 4).alias("in_per_degree"), F.round(F.col("amt_out") / F.col("degree"), 4).alias("out_per_degree"), F.round("rank", 6).alias("rank"))
+    share = lambda c: F.round(F.try_divide(F.col(c).cast("double"), F.col("degree")), 6)
+    j = graph.degrees(e).join(graph.page_rank(e, rounds=6), "vid")
+    return j.select("vid", "in_degree", "out_degree", "degree", share("in_degree").alias("in_ratio"), share("out_degree").alias("out_ratio"), F.round("rank", 6).alias("rank"))
+
+
+@query(f"SELECT vid, in_degree, out_degree, degree, {_RATIO.format('abs(in_degree - out_degree)')} AS gap_ratio, round(rank, 6) AS rank FROM deg JOIN r6 USING (vid)", f"{BIG}, {_DEG}, {_unrolled_rank(6)}")
+def degree_gap_with_rank(spark, d, edges=big):
+    e = edges(spark, d)
+    gap = F.abs(F.col("in_degree") - F.col("out_degree")).cast("double")
+    j = graph.degrees(e).join(graph.page_rank(e, rounds=6), "vid")
+    return j.select("vid", "in_degree", "out_degree", "degree", F.round(F.try_divide(gap, F.col("degree")), 6).alias("gap_ratio"), F.round("rank", 6).alias("rank"))
+
+
+@query("SELECT c_custkey AS vid, coalesce(got, c_acctbal) AS worth FROM customer LEFT JOIN (SELECT dst, sum(money)::DOUBLE AS got FROM big GROUP BY 1) ON dst = c_custkey", BIG)
+def old_value_without_message(spark, d, edges=big):
+    """Vertices keep what they had unless a message came."""
+    msg = graph.aggregate_messages(edges(spark, d), F.col("money")).select("vid", F.col("msg").cast("double").alias("worth"))
+    return graph.join_vertices(table(spark, d, "customer").select(F.col("c_custkey").alias("vid"), F.col("c_acctbal").alias("worth")), msg, "worth")
 
 
 @query("SELECT vid FROM (SELECT src AS vid FROM e40 UNION SELECT dst FROM e40) INTERSECT SELECT c_custkey FROM customer WHERE c_custkey % 7 = 0", f"{BIG}, {_unrolled_core(2, 40)}")
@@ -184,5 +210,5 @@ def undirected_merge(spark, d, edges=big):
 
 
 #: Each query on large transfers, once more on all of them as whole_<name>. These have no SQL: the recursive form is too slow.
-for _f in (vertex_degrees, all_vertex_degrees, cumulative_degree_histogram, vertex_subgraph, lone_pairs_removed, lone_pairs, messages_both_ways, components, component_sizes, strong_components, three_core_degrees, core_labels, page_rank_six_rounds, page_rank_to_tolerance, seed_expansion, pregel_smallest_ancestor, degree_ratios_with_rank, listed_cards_in_core, one_round_expansion, neighbourhood_extraction, default_for_lone_vertices, undirected_merge):
+for _f in (vertex_degrees, all_vertex_degrees, cumulative_degree_histogram, vertex_subgraph, lone_pairs_removed, lone_pairs, messages_both_ways, components, component_sizes, strong_components, three_core_degrees, core_labels, page_rank_six_rounds, page_rank_to_tolerance, seed_expansion, pregel_smallest_ancestor, degree_ratios_with_rank, degree_gap_with_rank, old_value_without_message, listed_cards_in_core, one_round_expansion, neighbourhood_extraction, default_for_lone_vertices, undirected_merge):
     whole(_f, edges=every)

@@ -1,7 +1,9 @@
 """Literal graphs with known answers, and random graphs against plain Python."""
 
+import collections
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +104,62 @@ def test_merge_and_messages(spark):
     m = {(r.src, r.dst): (r.money, r.tag) for r in graph.merge_edges(e, ["money"], ["tag"]).collect()}
     assert m == {(1, 2): (12, "a"), (2, 1): (1, "c")}
     assert as_dict(graph.aggregate_messages(e, F.col("money"), None), "vid", "msg") == {2: 12, 1: 1}
+
+
+@pytest.mark.parametrize("local", [10**6, 0])
+def test_long_paths_and_rings(spark, local, monkeypatch):
+    """A path hangs on a ring: 300 vertices where one task finishes, fewer where each round is a job."""
+    monkeypatch.setattr(graph, "LOCAL_EDGES", local)
+    n = 300 if local else 24
+    rnd = random.Random(3)
+    name = rnd.sample(range(1000, 2000), n + 5)
+    path = [(name[i], name[i + 1]) for i in range(n - 1)]
+    ring = [(name[n - 1], name[n]), (name[n], name[n + 1]), (name[n + 1], name[n - 1])]
+    e = spark.createDataFrame(path + ring, "src long, dst long")
+    scc = {r.vid: r.scc for r in graph.strongly_connected(e).collect()}
+    low = min(name[n - 1 : n + 2])
+    assert scc == {v: low if v in name[n - 1 : n + 2] else v for v in name[: n + 2]}
+    assert {r.vid for r in graph.vertices(graph.k_core(e, 2)).collect()} == set(name[n - 1 : n + 2])
+    assert {r.vid: r.core for r in graph.k_core_labels(e, None).collect()} == {v: 2 if v in name[n - 1 : n + 2] else 1 for v in name[: n + 2]}
+
+
+def test_least_ancestor_of_a_long_path(spark):
+    n = 300
+    e = spark.createDataFrame([(i, i + 1) for i in range(1, n)], "src long, dst long")
+    got = graph.least_ancestor(graph.vertices(e), e, max_rounds=15).collect()
+    assert {r.vid: r.least for r in got} == {i: 1 for i in range(1, n + 1)}
+
+
+def test_loops_raise_when_rounds_run_out(spark, monkeypatch):
+    monkeypatch.setattr(graph, "LOCAL_EDGES", 0)
+    e = spark.createDataFrame([(i, i + 1) for i in range(9)], "src long, dst long")
+    v = graph.vertices(e).withColumn("x", F.col("vid"))
+    least = lambda **kw: graph.pregel(v, e, "x", F.when(F.col("src_state") < F.col("dst_state"), F.col("src_state")), None, F.min, lambda s, m: F.least(s, m), **kw)
+    for loop in (lambda: least(max_rounds=3), lambda: graph.k_core(e, 2, max_rounds=2), lambda: graph.page_rank(e, max_rounds=2), lambda: graph.strongly_connected(e, max_rounds=1), lambda: graph.least_ancestor(v, e, max_rounds=1)):
+        with pytest.raises(RuntimeError):
+            loop()
+    assert {r.vid: r.x for r in least().collect()} == {i: 0 for i in range(10)}
+    assert least(patience=2).count() == 10
+
+
+def test_cores_and_components_in_one_task():
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        src, dst = rng.integers(0, 14, (2, int(rng.integers(1, 50))))
+        vid, core = graph.core_numbers(src, dst)
+        got = dict(zip(vid.tolist(), core.tolist()))
+        for k in range(1, 9):
+            alive = set(vid.tolist())
+            while True:
+                degree = collections.Counter(x for a, b in zip(src.tolist(), dst.tolist()) if a in alive and b in alive for x in (a, b))
+                keep = {v for v in alive if degree[v] >= k}
+                if keep == alive:
+                    break
+                alive = keep
+            assert {v for v, c in got.items() if c >= k} == alive
+        reach = {v: {v} for v in vid.tolist()}
+        for _ in range(15):
+            for a, b in zip(src.tolist(), dst.tolist()):
+                reach[a] |= reach[b]
+        scc = dict(zip(*(x.tolist() for x in graph.strong_labels(src, dst))))
+        assert scc == {v: min(w for w in reach[v] if v in reach[w]) for v in reach}
