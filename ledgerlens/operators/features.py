@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import scalars as X
 from ledgerlens.operators import flow, graph
 from ledgerlens.operators.components import connected_components
-from ledgerlens.operators.relational import dense_rank_of
+from ledgerlens.operators.relational import dense_rank_of, join_counted
 from ledgerlens.plans import scratch
 from ledgerlens.sources import schema as S
 
@@ -17,7 +17,8 @@ HIGH_RISK = ("1003", "1007", "1019")
 
 
 def card_features(tx: DataFrame, high_risk: tuple[str, ...] = HIGH_RISK, compat: bool = False) -> DataFrame:
-    """One row per card, all features in one aggregation.
+    """One row per card. Sums, counts and extremes are one aggregation; distinct counts another, over the cards' distinct
+    values alone, so that no sum is carried once for each of them. Both are dealt by card.
 
     With ``compat`` *_max columns hold the mean and distinct_cards_out counts senders' partners on transfers in,
     as the older service computed them.
@@ -26,9 +27,6 @@ def card_features(tx: DataFrame, high_risk: tuple[str, ...] = HIGH_RISK, compat:
     yuan = X.rmb(money)
     aggs: dict[str, Column] = {
         "night_cnt": F.sum(X.is_night(tm)),
-        "tot_regions": F.count_distinct("region_cd"),
-        "tot_term_ids": F.count_distinct("term_id"),
-        "tot_provs": F.count_distinct(F.left("region_cd", F.lit(2))),
         "tot_big500": F.sum(X.multiple_of(yuan, 500)),
         "tot_big1000": F.sum(X.multiple_of(yuan, 1000)),
         "tot_large_integer": F.sum(X.is_large_integer(yuan)),
@@ -43,9 +41,35 @@ def card_features(tx: DataFrame, high_risk: tuple[str, ...] = HIGH_RISK, compat:
     for name, code in S.TYPED.items():
         own = F.when(F.col("trans_id") == code, yuan)
         aggs |= {f"{name}_counts": F.count(own), f"{name}_amounts": F.sum(own), f"{name}_avg": F.round(F.avg(own), 4), f"{name}_max": F.round(F.avg(own), 4) if compat else F.max(own)}
-    aggs["distinct_cards_in"] = F.count_distinct(F.when(F.col("trans_id") == S.TRANSFER_IN, F.col("srccard")))
-    aggs["distinct_cards_out"] = F.count_distinct(F.when(F.col("trans_id") == (S.TRANSFER_IN if compat else S.TRANSFER_OUT), F.col("dstcard")))
-    return tx.groupBy("card").agg(*[c.alias(k) for k, c in aggs.items()])
+    sets = {
+        "tot_regions": F.col("region_cd"),
+        "tot_term_ids": F.col("term_id"),
+        "tot_provs": F.left("region_cd", F.lit(2)),
+        "distinct_cards_in": F.when(F.col("trans_id") == S.TRANSFER_IN, F.col("srccard")),
+        "distinct_cards_out": F.when(F.col("trans_id") == (S.TRANSFER_IN if compat else S.TRANSFER_OUT), F.col("dstcard")),
+    }
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("kind"), c.cast("string").alias("value")) for i, c in enumerate(sets.values())]))
+    own = tx.select("card", pairs.alias("p")).select("card", "p.kind", "p.value").where("value is not null").distinct()
+    distinct = own.groupBy("card").agg(*[F.count_if(F.col("kind") == i).alias(k) for i, k in enumerate(sets)])
+    # every card with a transaction is in the first; a card without any distinct value would miss in the second
+    out = tx.groupBy("card").agg(*[c.alias(k) for k, c in aggs.items()]).join(distinct, "card", "left")
+    return out.select("card", *aggs, *[F.coalesce(k, F.lit(0)).alias(k) for k in sets])
+
+
+#: Attributes of transfers whose most frequent value, and whose number of distinct values, a merged edge keeps.
+MODES = ("card_class", "mchnt_tp", "trans_chnl", "acpt_ins_tp", "resp_cd4")
+COUNTED = ("acpt_bank", "mchnt_cd", "term_id", "fwd_ins_id_cd", "rcv_ins_id_cd")
+
+
+def merge_transfers(tx: DataFrame) -> DataFrame:
+    """One edge for each (srccard, dstcard): sums, the mode of each of MODES (the least of equals), distinct counts of COUNTED.
+
+    One shuffle: modes and sets are merged on the map side and hold at most as many values as a code has.
+    Charges are summed as whole ten-thousandths, which gives the same in any order.
+    """
+    night = F.left("loc_trans_tm", F.lit(2)).between("01", "05").cast("int")
+    sums = [F.sum("money").alias("money"), F.count("*").alias("cnt"), F.sum(F.round(F.col("charge") * 10000).cast("long")).alias("charge4"), F.sum(night).alias("night"), F.count_if(F.col("trans_md") == "2").alias("other_city")]
+    return tx.groupBy(F.col("srccard").alias("src"), F.col("dstcard").alias("dst")).agg(*sums, *[F.mode(c, True).alias(f"mode_{c}") for c in MODES], *[F.size(F.collect_set(c)).cast("long").alias(f"n_{c}") for c in COUNTED])
 
 
 def community_vertices(edges: DataFrame, kmax: int | None = 6) -> DataFrame:
@@ -56,18 +80,32 @@ def community_vertices(edges: DataFrame, kmax: int | None = 6) -> DataFrame:
     return scratch.keep(cc.join(graph.k_core_labels(kept, kmax), "vid").join(graph.degrees(kept), "vid").join(money, "vid"), "community")
 
 
-def community_features(edges: DataFrame, members: DataFrame) -> DataFrame:
-    """One row per community: its vertices' and its inner edges' aggregates. edges: (src, dst, money, cnt, night, other_city, bank_count)."""
+#: Attributes whose distinct values are counted over all transfers of a community.
+COMMUNITY_SETS = {"regions": "region_cd", "mchnt_tps": "mchnt_tp", "merchants": "mchnt_cd", "addresses": "address"}
+
+
+def community_distinct(tx: DataFrame, members: DataFrame, sets: dict[str, str] | None = None) -> DataFrame:
+    """(cc, ...): distinct values over the transfers whose sender is in the community."""
+    sets = sets or COMMUNITY_SETS
+    inside = tx.select(F.col("srccard").alias("vid"), *sets.values()).join(members.select("vid", "cc"), "vid")
+    return inside.groupBy("cc").agg(*[F.count_distinct(c).alias(k) for k, c in sets.items()])
+
+
+def community_features(edges: DataFrame, members: DataFrame, tx: DataFrame) -> DataFrame:
+    """One row per community, 23 columns: aggregates of its vertices, of its inner edges (`merge_transfers`) and of its transfers ``tx``."""
     v = members.groupBy("cc").agg(F.count("*").alias("cc_num"), F.max("core").alias("max_core"), F.max("in_degree").alias("max_in"), F.max("out_degree").alias("max_out"), F.max("degree").alias("max_degree"), F.count_if(F.col("core") > 4).alias("big_core_num"), F.sum("transit").alias("transit_num"))
     inside = edges.where("src <> dst").join(members.select(F.col("vid").alias("src"), "cc"), "src")
-    e = inside.groupBy("cc").agg(F.sum("cnt").alias("trans_num"), F.sum("money").alias("money"), F.sum("night").alias("night"), F.sum("other_city").alias("other_city"), F.max("bank_count").alias("max_banks"))
-    return v.join(e, "cc")
+    # sets of codes, at most as large as the code lists
+    modes = [F.size(F.collect_set(f"mode_{c}")).cast("long").alias(f"{k}_modes") for c, k in zip(MODES, ("class", "mchnt_tp", "channel", "ins_tp", "resp"))]
+    most = [F.max(f"n_{c}").alias(f"max_{k}") for c, k in zip(COUNTED, ("banks", "merchants", "terminals", "fwd", "rcv"))]
+    e = inside.groupBy("cc").agg(F.sum("cnt").alias("trans_num"), F.sum("money").alias("money"), (F.sum("charge4") / 10000).alias("charge"), F.sum("night").alias("night"), F.sum("other_city").alias("other_city"), *modes, *most)
+    return v.join(e, "cc").join(community_distinct(tx, members), "cc")
 
 
 #: Features of full, half and quarter weight in the score; one named twice counts twice.
 FULL = ["tot_counts", "tot_amounts", "tot_regions", "night_cnt", "tot_large_integer", "tot_big1000", "tot_cardholder_fails", "tot_count_89", "tot_term_ids", "cc_num", "max_core", "max_degree", "transit_num", "trans_num"]
 HALF = ["tot_provs", "tot_big500", "tot_hrloc_trans", "tot_abnorm_rate", "tot_count_89", "tot_foreign", *[f"{t}_{w}" for t in S.TYPED for w in ("counts", "amounts", "avg", "max")], "distinct_cards_in", "distinct_cards_out"]
-QUARTER = ["max_in", "max_out", "big_core_num", "money", "night", "other_city", "max_banks"]
+QUARTER = ["max_in", "max_out", "big_core_num", "money", "charge", "night", "other_city", "mchnt_tp_modes", "channel_modes", "max_banks", "max_merchants", "mchnt_tps", "merchants", "addresses"]
 
 
 def rank_sum_score(features: DataFrame, full: list[str] = FULL, half: list[str] = HALF, quarter: list[str] = QUARTER) -> DataFrame:
@@ -83,11 +121,12 @@ def rank_sum_score(features: DataFrame, full: list[str] = FULL, half: list[str]
                 weight[n] = weight.get(n, 0.0) + w
     rows = features.select("card", F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias("value"), F.lit(w).alias("weight")) for n, w in weight.items()])).alias("x")).select("card", "x.*")
     rows = scratch.keep(rows, "score")
-    values = rows.select("feature", "value").distinct().withColumn("key", F.struct("feature", "value"))
-    ordered = dense_rank_of(values, "key", "n").select("feature", "value", "n")
+    values = rows.groupBy("feature", "value").agg(F.count("*").alias("cards")).withColumn("key", F.struct("feature", "value"))
+    ordered = scratch.keep(dense_rank_of(scratch.keep(values, "values"), "key", "n").select("feature", "value", "n", "cards"), "ranks")
     base = ordered.groupBy("feature").agg((F.min("n") - 1).alias("base"))
-    ranks = ordered.join(F.broadcast(base), "feature").select("feature", "value", (F.col("n") - F.col("base")).alias("rank"))  # one row a feature
-    return rows.join(ranks, ["feature", "value"]).groupBy("card").agg(F.sum(F.col("rank") * F.col("weight")).alias("score"))
+    ranks = ordered.join(F.broadcast(base), "feature").select("feature", "value", "cards", (F.col("n") - F.col("base")).alias("rank"))  # one row a feature
+    # zero, and other values that very many cards have, are joined by broadcast
+    return join_counted(rows, ranks, ["feature", "value"], "cards").groupBy("card").agg(F.sum(F.col("rank") * F.col("weight")).alias("score"))
 
 
 def attach_originals(scores: DataFrame, cards: DataFrame, key: str = "card") -> DataFrame:

@@ -27,6 +27,10 @@ _FIELDS = {
     "trans_chnl": "concat('0', CAST(l_partkey % 4 AS STRING))",
     "card_class": "concat('0', CAST(l_linenumber % 3 AS STRING))",
     "acpt_bank": "CAST(1000 + l_suppkey % 23 AS STRING)",
+    "acpt_ins_tp": "concat('0', CAST(l_linenumber % 5 AS STRING))",
+    "fwd_ins_id_cd": "CAST(2000 + l_suppkey % 11 AS STRING)",
+    "rcv_ins_id_cd": "CAST(3000 + l_partkey % 13 AS STRING)",
+    "address": "concat('Loc', CAST((l_suppkey * 7 + l_linenumber) % 149 AS STRING))",
     "resp_cd4": "CASE l_partkey % 20 WHEN 0 THEN '51' WHEN 1 THEN '55' WHEN 2 THEN '61' WHEN 3 THEN '65' WHEN 4 THEN '75' ELSE '00' END",
     "trans_curr_cd": "CASE WHEN l_suppkey % 10 = 0 THEN '840' ELSE '156' END",
     "trans_id": "CASE (l_orderkey + l_linenumber) % 6 WHEN 0 THEN 'S33' WHEN 1 THEN 'S25' WHEN 2 THEN 'S24' WHEN 3 THEN 'S00' WHEN 4 THEN 'S22' ELSE 'S31' END",
