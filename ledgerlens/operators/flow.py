@@ -31,3 +31,42 @@ def cumulative_degrees(degrees: DataFrame, thresholds: list[int]) -> DataFrame:
     aggs = [F.count_if(F.col(c) >= t).alias(f"{c}_{t}") for t in thresholds for c in ("in_degree", "out_degree", "degree")]
     rows = F.explode(F.array(*[F.struct(F.lit(t).alias("threshold"), F.col(f"in_degree_{t}").alias("n_in"), F.col(f"out_degree_{t}").alias("n_out"), F.col(f"degree_{t}").alias("n_all")) for t in thresholds]))
     return degrees.agg(*aggs).select(rows.alias("r")).select("r.*")
+
+
+#: Metrics that suspect sets are made of, with the order in which they are bad: totals and degrees from the top, ratios from the bottom.
+METRICS = {"amount": ("amt_all", False), "count": ("cnt_all", False), "ratio": ("net_ratio", True), "foreign": ("foreign_cnt", False), "in": ("in_degree", False), "out": ("out_degree", False), "deg": ("degree", False), "in_ratio": ("in_ratio", True), "out_ratio": ("out_ratio", True), "rank": ("rank", False)}
+#: Suspect sets as conditions on "is among the first n by this metric".
+SUSPECT_SETS = {
+    "MaxInOut": "`out` and `in`",
+    "MostSum": "amount and `count`",
+    "MostSumRatio": "amount and `count` and ratio",
+    "MostSumForeign": "amount and `count` and `foreign`",
+    "MostDeg": "deg and rank",
+    "DegInRatio": "deg and in_ratio",
+    "DegOutRatio": "deg and out_ratio",
+    "MostSuspectDeg": "deg and (in_ratio or out_ratio)",
+    "MostDegSum": "deg and rank and amount and `count`",
+    "MostDegSumForeign": "deg and rank and amount and `count` and `foreign`",
+    "MostSuspectSum": "amount and `count` and `foreign` and ratio",
+    "maybe_useful": "deg and (in_ratio or out_ratio) and amount and `count` and `foreign`",
+    "MostSuspect": "deg and (in_ratio or out_ratio) and amount and `count` and ratio",
+    "MostSuspectAll": "deg and (in_ratio or out_ratio) and amount and `count` and `foreign` and ratio",
+}
+
+
+def first_by_metric(metrics: DataFrame, n: int) -> DataFrame:
+    """(vid, <metric> ...): which of the ten lists of the first ``n`` vertices each vertex is on; vertices on none are left out.
+
+    Equal values go by vid, nulls come last. The lists are the only rows that meet: at most ten times n.
+    """
+    lists = [metrics.where(F.col(c).isNotNull()).orderBy(F.col(c).asc() if up else F.col(c).desc(), "vid").limit(n).select("vid", F.lit(k).alias("metric")) for k, (c, up) in METRICS.items()]
+    out = lists[0]
+    for x in lists[1:]:
+        out = out.unionByName(x)
+    return out.groupBy("vid").agg(*[F.bool_or(F.col("metric") == k).alias(k) for k in METRICS])
+
+
+def suspect_sets(metrics: DataFrame, n: int) -> DataFrame:
+    """(set, vid): the members of all fourteen sets; intersections, unions and joins of the lists are conditions on one row."""
+    named = F.array_compact(F.array(*[F.when(F.expr(e), F.lit(k)) for k, e in SUSPECT_SETS.items()]))
+    return first_by_metric(metrics, n).select(F.explode(named).alias("set"), "vid")

@@ -31,3 +31,8 @@ def with_switch(df: DataFrame, column: str) -> DataFrame:
     """card_diff: 1 where ``column`` differs from the row before or there is none. Needs prev_<column>."""
     prev = F.col(f"prev_{column}")
     return df.withColumn("card_diff", F.when(prev.isNull() | (prev != F.col(column)), 1).otherwise(0))
+
+
+def mean_gaps(gapped: DataFrame, *by: str) -> DataFrame:
+    """Mean of the gaps that there are; keys without any are left out."""
+    return gapped.where("gap_minutes is not null").groupBy(*by).agg(F.round(F.avg("gap_minutes"), 4).alias("mean_gap"))

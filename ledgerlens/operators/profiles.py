@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import scalars as X
+from ledgerlens.sources import schema as S
+
 
 def profile(df: DataFrame, by: list[str], money: str = "money", place: str = "region_cd", foreign: Column | None = None) -> DataFrame:
     """sum, count, mean, population deviation and its share of the mean, distinct places and rows away from home."""
@@ -31,3 +34,10 @@ def dispersion(weeks: DataFrame, by: str, value: str) -> DataFrame:
 def location(text: Column) -> Column:
     """Characters from the fifth on; 0000 where there are none."""
     return F.when(F.length(text) > 4, F.substring(text, 5, 1000)).otherwise("0000")
+
+
+def pair_statistics(tx: DataFrame, place: str = "place") -> DataFrame:
+    """Transfers by receiver and sender: in_card, in_id, out_card, out_id, msum, csum, locsum, foreignsum; the ids are `md5_id` of the cards as text."""
+    text = lambda c: F.col(c).cast("string")
+    g = tx.groupBy(F.col("dstcard").alias("in_card"), F.col("srccard").alias("out_card")).agg(F.sum("money").alias("msum"), F.count("*").alias("csum"), F.count_distinct(place).alias("locsum"), F.count_if(F.col("trans_md") == S.OTHER_CITY).alias("foreignsum"))
+    return g.select("in_card", X.md5_id(text("in_card")).alias("in_id"), "out_card", X.md5_id(text("out_card")).alias("out_id"), "msum", "csum", "locsum", "foreignsum")

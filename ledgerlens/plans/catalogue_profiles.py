@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import flow, gaps, profiles
+from ledgerlens.operators import flow, gaps, graph, profiles
 from ledgerlens.operators import relational as R
+from ledgerlens.plans import scratch
 from ledgerlens.registry import query
 from ledgerlens.sources.transactions import EDGES, TX, table, transactions, transfer_edges
 
@@ -46,7 +47,7 @@ def average_days(spark, d):
 
 @query("SELECT days.card, pdate, round(amount / nullif(dam, 0), 4) AS amount_ratio, round(cnt / nullif(dac, 0), 4) AS count_ratio FROM days JOIN averages ON days.card = averages.card", f"{TX}, {_DAYS}, {_AVERAGES}")
 def abnormal_day_ratios(spark, d):
-    days = _days(spark, d)
+    days = scratch.keep(_days(spark, d), "days")
     return profiles.abnormal_days(days, profiles.averages_of_days(days))
 
 
@@ -135,22 +136,100 @@ def low_net_income(spark, d):
     return flow.in_out(transfer_edges(spark, d)).select("vid", F.when(F.col("net") <= 500000, 1).otherwise(0).alias("balanced"))
 
 
-_SETS = "most_sum AS (SELECT vid FROM flows ORDER BY amt_all DESC, vid LIMIT 300), least_ratio AS (SELECT vid FROM flows ORDER BY net_ratio, vid LIMIT 300), most_foreign AS (SELECT vid FROM flows ORDER BY foreign_cnt DESC, vid LIMIT 300), most_count AS (SELECT vid FROM flows ORDER BY cnt_all DESC, vid LIMIT 300)"
+_RANKED = "vs AS MATERIALIZED (SELECT src AS vid FROM edges UNION SELECT dst FROM edges), share AS MATERIALIZED (SELECT src, dst, 1.0::DOUBLE / count(*) OVER (PARTITION BY src) AS share FROM edges), r0 AS (SELECT vid, 1.0::DOUBLE AS rank FROM vs), " + ", ".join(f"r{i + 1} AS MATERIALIZED (SELECT vid, 0.15 + 0.85 * coalesce(got, 0) AS rank FROM vs LEFT JOIN (SELECT dst, sum(rank * share) AS got FROM share JOIN r{i} ON src = vid GROUP BY 1) ON dst = vid)" for i in range(6))
+_METRICS = _RANKED + (
+    ", degs AS (SELECT vid, sum(CASE WHEN i THEN 1 ELSE 0 END) AS in_degree, sum(CASE WHEN i THEN 0 ELSE 1 END) AS out_degree, count(*) AS degree FROM ends GROUP BY 1)"
+    ", metrics AS MATERIALIZED (SELECT vid, amt_all, cnt_all, net_ratio, foreign_cnt, in_degree, out_degree, degree, round(in_degree::DOUBLE / degree, 9) AS in_ratio, round(out_degree::DOUBLE / degree, 9) AS out_ratio, round(rank, 9) AS rank FROM flows JOIN degs USING (vid) JOIN r6 USING (vid))"
+    + "".join(f", l_{k} AS MATERIALIZED (SELECT vid FROM metrics WHERE {c} IS NOT NULL ORDER BY {c} {'ASC' if up else 'DESC'}, vid LIMIT 300)" for k, (c, up) in flow.METRICS.items())
+)
+_INTERSECT = lambda *k: " INTERSECT ".join(f"SELECT vid FROM l_{x}" for x in k)
+_SQL_SETS = {
+    "MaxInOut": _INTERSECT("out", "in"),
+    "MostSum": _INTERSECT("amount", "count"),
+    "MostSumRatio": "SELECT vid FROM MostSum INTERSECT SELECT vid FROM l_ratio",
+    "MostSumForeign": "SELECT vid FROM MostSum INTERSECT SELECT vid FROM l_foreign",
+    "MostDeg": _INTERSECT("deg", "rank"),
+    "DegInRatio": _INTERSECT("deg", "in_ratio"),
+    "DegOutRatio": _INTERSECT("deg", "out_ratio"),
+    "MostSuspectDeg": "SELECT vid FROM DegInRatio UNION SELECT vid FROM DegOutRatio",
+    "MostDegSum": "SELECT vid FROM MostDeg JOIN MostSum USING (vid)",
+    "MostDegSumForeign": "SELECT vid FROM MostDeg JOIN MostSumForeign USING (vid)",
+    "MostSuspectSum": "SELECT vid FROM MostSumForeign INTERSECT SELECT vid FROM l_ratio",
+    "maybe_useful": "SELECT vid FROM MostSuspectDeg JOIN MostSumForeign USING (vid)",
+    "MostSuspect": "SELECT vid FROM MostSuspectDeg JOIN MostSumRatio USING (vid)",
+    "MostSuspectAll": "SELECT vid FROM MostSuspectSum JOIN MostSuspectDeg USING (vid)",
+}
+_SUSPECTS = _METRICS + "".join(f", {k} AS ({q})" for k, q in _SQL_SETS.items())
+
+
+def _metrics(spark, d):
+    """Money flow, degrees and rank of every card in one row."""
+    e = scratch.keep(transfer_edges(spark, d), "edges")
+    ratio = lambda c: F.round(F.col(c).cast("double") / F.col("degree"), 9)
+    f = flow.in_out(e, "money", "cnt", "foreign_cnt").join(graph.degrees(e), "vid").join(graph.page_rank(e, rounds=6), "vid")
+    return scratch.keep(f.select("vid", "amt_all", "cnt_all", "net_ratio", "foreign_cnt", "in_degree", "out_degree", "degree", ratio("in_degree").alias("in_ratio"), ratio("out_degree").alias("out_ratio"), F.round("rank", 9).alias("rank")), "metrics")
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS set, vid FROM {k}" for k in _SQL_SETS), f"{EDGES}, {_FLOW}, {_SUSPECTS}")
+def suspect_sets(spark, d):
+    """The members of all fourteen suspect sets, from lists of the first 300 by ten metrics."""
+    return flow.suspect_sets(_metrics(spark, d), 300)
 
 
-def _sets(spark, d):
-    f = flow.in_out(transfer_edges(spark, d), "money", "cnt", "foreign_cnt")
-    top = lambda *by: f.orderBy(*by, "vid").limit(300).select("vid")
-    return f, top(F.desc("amt_all")), top(F.asc("net_ratio")), top(F.desc("foreign_cnt")), top(F.desc("cnt_all"))
+@query("SELECT vid, amt_all::BIGINT AS amt_all, cnt_all::BIGINT AS cnt_all FROM metrics JOIN l_count USING (vid) JOIN l_ratio USING (vid)", f"{EDGES}, {_FLOW}, {_METRICS}")
+def suspects_joined(spark, d):
+    m = _metrics(spark, d)
+    return m.join(flow.first_by_metric(m, 300).where("`count` and ratio").select("vid"), "vid", "left_semi").select("vid", "amt_all", "cnt_all")
 
 
-@query("(SELECT vid FROM most_sum INTERSECT SELECT vid FROM least_ratio) UNION (SELECT vid FROM most_sum INTERSECT SELECT vid FROM most_foreign)", f"{EDGES}, {_FLOW}, {_SETS}")
-def suspect_sets(spark, d):
-    _, s, r, g, _ = _sets(spark, d)
-    return s.intersect(r).union(s.intersect(g)).distinct()
+_GAPS = "gapped AS (SELECT card, pdate, round(abs(at_s - lag(at_s) OVER (PARTITION BY card ORDER BY at_s DESC, tid, money)) / 60.0, 2) AS gap FROM (SELECT *, " + _SECS + " FROM tx) WHERE trans_id IN ('S33', 'S25'))"
 
 
-@query("SELECT vid, amt_all::BIGINT AS amt_all, cnt_all::BIGINT AS cnt_all FROM flows JOIN most_count USING (vid) JOIN least_ratio USING (vid)", f"{EDGES}, {_FLOW}, {_SETS}")
-def suspects_joined(spark, d):
-    f, _, r, _, c = _sets(spark, d)
-    return R.restricted(R.restricted(f, c, "vid"), r, "vid").select("vid", "amt_all", "cnt_all")
+def _gaps(spark, d):
+    t = _timed(spark, d).where("trans_id in ('S33', 'S25')").select("tid", "card", "pdate", "money", "at")
+    return gaps.gaps(t, "card", F.col("at"), "tid", "money")
+
+
+@query("SELECT card, pdate, round(avg(gap), 4) AS mean_gap FROM gapped WHERE gap IS NOT NULL GROUP BY 1, 2", f"{TX}, {_GAPS}")
+def mean_gaps_by_card_and_day(spark, d):
+    return gaps.mean_gaps(_gaps(spark, d), "card", "pdate")
+
+
+@query("SELECT card, round(avg(gap), 4) AS mean_gap FROM gapped WHERE gap IS NOT NULL GROUP BY 1", f"{TX}, {_GAPS}")
+def mean_gaps_by_card(spark, d):
+    return gaps.mean_gaps(_gaps(spark, d), "card")
+
+
+@query("SELECT averages.*, dadt FROM averages LEFT JOIN (SELECT card, round(avg(mean_gap), 4) AS dadt FROM (SELECT card, pdate, round(avg(gap), 4) AS mean_gap FROM gapped WHERE gap IS NOT NULL GROUP BY 1, 2) GROUP BY 1) USING (card)", f"{TX}, {_DAYS}, {_AVERAGES}, {_GAPS}")
+def average_days_with_gaps(spark, d):
+    """Means of the daily values with the mean of the daily mean gaps."""
+    daily = gaps.mean_gaps(_gaps(spark, d), "card", "pdate").groupBy("card").agg(F.round(F.avg("mean_gap"), 4).alias("dadt"))
+    return profiles.averages_of_days(_days(spark, d)).join(daily, "card", "left")
+
+
+_ID = "CASE WHEN substr(md5({c}), 1, 1) >= '8' THEN ((607431768211456 - {u}) % 1000000000000000 + 1000000000000000) % 1000000000000000 ELSE {u} END::BIGINT"
+_U = "(((('0x' || substr(md5({c}), 1, 16))::UBIGINT::HUGEINT % 1000000000000000) * 744073709551616 + ('0x' || substr(md5({c}), 17, 16))::UBIGINT::HUGEINT % 1000000000000000) % 1000000000000000)"
+
+
+def _md5_sql(column: str) -> str:
+    text = f"CAST({column} AS STRING)"
+    return _ID.format(c=text, u=_U.format(c=text))
+
+
+@query(f"SELECT in_card, {_md5_sql('in_card')} AS in_id, out_card, {_md5_sql('out_card')} AS out_id, msum::BIGINT AS msum, csum, locsum, foreignsum FROM (SELECT dstcard AS in_card, srccard AS out_card, sum(money) AS msum, count(*) AS csum, count(DISTINCT substr(region_cd || mchnt_cd, 5)) AS locsum, count(CASE WHEN trans_md = '2' THEN 1 END) AS foreignsum FROM tx WHERE trans_id IN ('S33', 'S25') GROUP BY 1, 2)", TX)
+def pair_statistics_with_ids(spark, d):
+    """Transfers by receiver and sender with hashed ids of both."""
+    t = transactions(spark, d).where("trans_id in ('S33', 'S25')")
+    return profiles.pair_statistics(t.withColumn("place", profiles.location(F.concat("region_cd", "mchnt_cd"))))
+
+
+@query("SELECT metric, place, vid FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS metric, row_number() OVER (ORDER BY {c} {'ASC' if up else 'DESC'} NULLS LAST, vid) AS place, vid FROM metrics" for k, (c, up) in flow.METRICS.items()) + ")", f"{EDGES}, {_FLOW}, {_METRICS}")
+def sorted_by_each_metric(spark, d):
+    """The whole table in the order of each of ten metrics, places numbered range by range."""
+    m = _metrics(spark, d)
+    out = None
+    for k, (c, up) in flow.METRICS.items():
+        v = m.select("vid", F.col(c).isNull().alias("none"), (F.col(c) if up else -F.col(c)).alias("v"))
+        one = R.with_index(v, "none", "v", "vid", name="place").select(F.lit(k).alias("metric"), F.col("place").cast("long").alias("place"), "vid")
+        out = one if out is None else out.unionByName(one)
+    return out
