@@ -75,6 +75,10 @@ def two_places(c: Column) -> Column:
     return F.round(c, 2)
 
 
+def rank_ratio(value: Column, rank: Column) -> Column:
+    return F.try_divide(value.cast("double"), rank)
+
+
 def number_or_zero(text: Column) -> Column:
     return F.coalesce(text.try_cast("double"), F.lit(0.0))
 

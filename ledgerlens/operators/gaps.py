@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import scalars as X
+from ledgerlens.sources import io
+from ledgerlens.sources import schema as S
+
 
 def gaps(df: DataFrame, key: str | list[str], seconds: Column, *ties: str, descending: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
     """Adds gap_minutes and prev_<column> for every column in ``carry``, from the row before in the key's time order.
@@ -36,3 +40,16 @@ def with_switch(df: DataFrame, column: str) -> DataFrame:
 def mean_gaps(gapped: DataFrame, *by: str) -> DataFrame:
     """Mean of the gaps that there are; keys without any are left out."""
     return gapped.where("gap_minutes is not null").groupBy(*by).agg(F.round(F.avg("gap_minutes"), 4).alias("mean_gap"))
+
+
+def withdrawal_gap_job(spark: SparkSession, path: str, out: str, key: str = "card") -> None:
+    """Text to text: lines of nine fields in, lines "key,date,money,gap minutes" out.
+
+    Lines of another number of fields, without a key, or without 14 characters of date and time are dropped; money that
+    is no number is 0. Rows of one key and time go by money and merchant.
+    """
+    rows = io.read_delimited(spark, path, S.WITHDRAWALS)
+    name = F.concat("mchnt_cd", "term_id") if key == "atm" else F.col("card")
+    rows = rows.select(name.alias("key"), "pdate", X.number_or_zero(F.col("money")).cast("long").alias("money"), "mchnt_cd", F.unix_timestamp(X.event_time(F.col("pdate"), F.col("time"))).alias("at"))
+    found = gaps(rows.where("key <> '' and at is not null"), "key", F.col("at"), "money", "mchnt_cd")
+    io.write_lines(found.select("key", "pdate", "money", "gap_minutes"), out)

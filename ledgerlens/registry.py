@@ -46,7 +46,7 @@ def whole(f, **given) -> None:
 
 
 def load() -> None:
-    from ledgerlens.plans import catalogue_basic, catalogue_graph, catalogue_profiles, catalogue_service  # noqa: F401
+    from ledgerlens.plans import catalogue_basic, catalogue_graph, catalogue_profiles, catalogue_service, catalogue_tables  # noqa: F401
 
 
 load()

@@ -22,8 +22,6 @@ def _schema(**fields: T.DataType) -> T.StructType:
 PAIR_EDGES = _schema(out_card=_S, in_card=_S, amount=_D, count=_I)
 CARD_DICT = _schema(id=_L, card=_S)
 ENCODED_EDGES = _schema(src=_L, dst=_L, amount=_D, count=_I)
-CORE_EDGES = _schema(src=_L, dst=_L, msum=_D, csum=_I, fcsum=_I)
 PAIR_STATS = _schema(in_card=_S, in_id=_L, out_card=_S, out_id=_L, msum=_D, csum=_I, locsum=_I, foreignsum=_I)
-TRANSFERS = _schema(in_card=_S, out_card=_S, trans_at=_D, pdate=_S, loc_trans_tm=_S, acpt_ins_id_cd=_S, trans_md=_S, cross_dist_in=_S)
 WITHDRAWALS = _schema(card=_S, money=_S, pdate=_S, time=_S, unused=_S, trans_md=_S, cross=_S, mchnt_cd=_S, term_id=_S)
 MD5_CARD = _schema(oricard=_S, md5card=_S)
