@@ -32,7 +32,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     Edges with a null endpoint are ignored; self-loops count as isolated vertices
     and give cc = vid; an empty table gives an empty result. Repeated edges are harmless.
     """
-    e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).dropna()
+    e = scratch.keep(edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).dropna(), "cc")  # computed once, read twice
     loops = e.where("u = v").select(F.col("u").alias("vid"), F.col("u").alias("cc"))
     stars = scratch.keep(e.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     state = None

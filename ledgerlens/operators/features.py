@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import scalars as X
 from ledgerlens.operators import flow, graph
 from ledgerlens.operators.components import connected_components
-from ledgerlens.operators.relational import dense_rank_of, join_counted
+from ledgerlens.operators.relational import join_counted, with_index
 from ledgerlens.plans import scratch
 from ledgerlens.sources import schema as S
 
@@ -121,8 +121,8 @@ def rank_sum_score(features: DataFrame, full: list[str] = FULL, half: list[str]
                 weight[n] = weight.get(n, 0.0) + w
     rows = features.select("card", F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias("value"), F.lit(w).alias("weight")) for n, w in weight.items()])).alias("x")).select("card", "x.*")
     rows = scratch.keep(rows, "score")
-    values = rows.groupBy("feature", "value").agg(F.count("*").alias("cards")).withColumn("key", F.struct("feature", "value"))
-    ordered = scratch.keep(dense_rank_of(scratch.keep(values, "values"), "key", "n").select("feature", "value", "n", "cards"), "ranks")
+    values = rows.groupBy("feature", "value").agg(F.count("*").alias("cards"))
+    ordered = scratch.keep(with_index(values, "feature", "value", name="n").select("feature", "value", "n", "cards"), "ranks")
     base = ordered.groupBy("feature").agg((F.min("n") - 1).alias("base"))
     ranks = ordered.join(F.broadcast(base), "feature").select("feature", "value", "cards", (F.col("n") - F.col("base")).alias("rank"))  # one row a feature
     # zero, and other values that very many cards have, are joined by broadcast

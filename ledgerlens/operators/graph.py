@@ -142,6 +142,7 @@ def subgraph(edges: DataFrame, vertex: DataFrame) -> DataFrame:
 
 def without_lone_pairs(edges: DataFrame, complement: bool = False) -> DataFrame:
     """Without edges whose endpoints have two edge ends together: a pair that knows nobody else. ``complement`` gives those."""
+    edges = scratch.keep(edges, "pairs")
     d = degrees(edges).select("vid", "degree")
     j = edges.join(d.withColumnsRenamed({"vid": "src", "degree": "__a"}), "src").join(d.withColumnsRenamed({"vid": "dst", "degree": "__b"}), "dst")
     pair = F.col("__a") + F.col("__b") <= 2
@@ -224,6 +225,7 @@ def page_rank(edges: DataFrame, rounds: int | None = None, tol: float = 0.001, r
     A fixed number of rounds from rank 1, or until no rank moves by more than ``tol``, which takes about log(tol) / log(1 - reset) rounds.
     Parallel edges weigh each. Raises if ``max_rounds`` is given and not enough.
     """
+    edges = scratch.keep(edges.select("src", "dst"), "rank")
     out = edges.groupBy("src").agg(F.count("*").alias("out_degree"))
     e = scratch.keep(edges.groupBy("src", "dst").agg(F.count("*").alias("w")).join(out, "src").select("src", "dst", (F.col("w") / F.col("out_degree")).alias("share")), "rank")
     v = scratch.keep(vertices(edges), "rank")
@@ -242,7 +244,8 @@ def page_rank(edges: DataFrame, rounds: int | None = None, tol: float = 0.001, r
 
 def expand(edges: DataFrame, seeds: DataFrame, max_hops: int = 5) -> DataFrame:
     """(vid): all vertices within ``max_hops`` edges of the seeds, in either direction, the seeds included."""
-    both = scratch.keep(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).union(edges.select("dst", "src")).distinct(), "expand")
+    ways = F.explode(F.array(F.struct(F.col("src").alias("a"), F.col("dst").alias("b")), F.struct(F.col("dst").alias("a"), F.col("src").alias("b"))))
+    both = scratch.keep(edges.select(ways.alias("w")).select("w.*").distinct(), "expand")
     seen = scratch.keep(seeds.select("vid").distinct(), "expand")
     front = seen
     for _ in range(max_hops):
