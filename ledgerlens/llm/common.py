@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.relational import join_counted  # noqa: F401
 from ledgerlens.plans import scratch
 
 #: Rows and bytes of an Arrow batch; they bound a Python worker's memory on long texts.
@@ -80,19 +81,6 @@ def sample_labelled(df: DataFrame, by: str, per_value: int, seed: str) -> DataFr
     return df.where(F.col(by).isNotNull() & (u < share[F.col(by)]))
 
 
-def join_counted(left: DataFrame, right: DataFrame, keys: list[str], n: str, parts: int = 512) -> DataFrame:
-    """Inner join where ``right`` has one row a key and its column ``n`` says how many rows ``left`` has of it, about.
-
-    Keys with over 1/parts of all rows are at most ``parts`` in number, a bound that doesn't grow with the
-    tables; those are broadcast, and what is left to the shuffle is even. Keys must not be null. ``n`` is dropped.
-    """
-    total = right.agg(F.sum(n)).first()[0] or 0
-    hot = F.col(n) * parts > F.lit(total)
-    few = right.where(hot)
-    rest = left.join(F.broadcast(few.select(*keys)), keys, "left_anti").join(right.where(~hot), keys)
-    return left.join(F.broadcast(few), keys).unionByName(rest).drop(n)
-
-
 #: Bits of the filter that `maybe_among` broadcasts: 4 MB at most, whatever the number of keys.
 FILTER_BITS = 1 << 25
 
