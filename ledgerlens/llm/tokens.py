@@ -38,7 +38,7 @@ CACHE_WORDS = 500_000
 #: Longer texts are cut into pieces of about as many characters before their words are told apart.
 PIECE_CHARS = 4_000_000
 #: Characters of texts that are encoded at once, about.
-BATCH_CHARS = 6_000_000
+BATCH_CHARS = 8_000_000
 #: Bytes of text that a data file is meant for; a file must be read whole, so it has to stay far below 2 GB.
 FILE_BYTES = 256_000_000
 _HEAD = struct.Struct("<QI")
@@ -91,12 +91,11 @@ _IRREGULAR = re.compile(r"[ \n]\s|\s[ \n]|\A[ \n]|[ \n]\Z")
 _BREAK = re.compile(r"(?= \S)")
 _POINTS = frozenset(",.;:!?")
 _OTHER_SPACES = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
-_RUNS = ("  ", " \n", "\n ", "\n\n")
 
 
 def _irregular(text: str) -> bool:
     """Whether a space or line break stands at an end or beside other white space; cheap tests first."""
-    if text[0].isspace() or text[-1].isspace() or any(r in text for r in _RUNS):
+    if text[0].isspace() or text[-1].isspace() or "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
         return True
     return any(c in text for c in _OTHER_SPACES) and _IRREGULAR.search(text) is not None
 
@@ -150,7 +149,7 @@ class Encoder:
         parts = [w if w[:1] == "\n" else " " + w for w in need]
         if parts:
             ids = np.array(self.tok.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, self.kind)
-            lengths = np.fromiter(map(len, parts) if all(map(str.isascii, parts)) else (len(x.encode()) for x in parts), np.int64, len(parts))
+            lengths = pc.binary_length(pa.array(parts, pa.large_string())).to_numpy()
             cuts = (np.searchsorted(np.cumsum(self.size[ids]), np.cumsum(lengths), "left") + 1) * self.width
             flat, at = ids.tobytes(), 0
             for w, c in zip(need, cuts.tolist()):
@@ -180,9 +179,11 @@ class Encoder:
         lists = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\n", pa.large_string()), cut, pa.scalar("", pa.large_string())), " ")
         coded = lists.flatten().dictionary_encode()
         found = self._remembered(coded.dictionary.to_pylist())
-        ids = list(map(found.__getitem__, coded.indices.to_numpy().tolist()))
+        table = np.empty(len(found), object)
+        table[:] = found
+        ids = table[coded.indices.to_numpy()]
         edge = np.asarray(lists.offsets).tolist()
-        return [b"".join(ids[a:b])[self.width :] for a, b in zip(edge, edge[1:])]
+        return [b"".join(ids[a:b].tolist())[self.width :] for a, b in zip(edge, edge[1:])]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of every text. Distinct words of all texts together are looked up once."""
