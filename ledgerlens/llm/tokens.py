@@ -159,10 +159,10 @@ class Encoder:
             known[w] = known[stem] + self.points[w[-1]]
 
     def _remembered(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words. A full memory is emptied: common words are soon back, and most others never return."""
-        if len(self.words) > self.room:
-            self.words = {}
+        """Ids of distinct words. Of a full memory only the words asked for now stay: most others never return."""
         ids = list(map(self.words.get, words))
+        if len(self.words) > self.room:
+            self.words = {w: i for w, i in zip(words, ids) if i is not None}
         missing = [w for w, i in zip(words, ids) if i is None]
         if missing:
             for i in range(0, len(missing), 5000):
