@@ -51,11 +51,11 @@ def filter_exclusive_dates_not_in(spark, d):
     return R.without(t, "trans_id", ["S00", "S31"]).select("tid", "money")
 
 
-_SEEDS = "seeds AS (SELECT c_custkey AS card FROM customer WHERE c_custkey % 97 = 0)"
+_SEEDS = "seeds AS (SELECT c_custkey AS card FROM customer WHERE c_acctbal < -900)"
 
 
 def _seeds(spark, d):
-    return table(spark, d, "customer").where("c_custkey % 97 = 0").select(F.col("c_custkey").alias("card"))
+    return table(spark, d, "customer").where("c_acctbal < -900").select(F.col("c_custkey").alias("card"))
 
 
 @query("SELECT src, dst, money, cnt FROM edges WHERE src IN (SELECT card FROM seeds) OR dst IN (SELECT card FROM seeds)", f"{EDGES}, {_SEEDS}")

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import features, graph, hetero
 from ledgerlens.operators import relational as R
 from ledgerlens.operators.components import connected_components
-from ledgerlens.registry import query, whole
+from ledgerlens.registry import query
 from ledgerlens.plans import scratch
-from ledgerlens.plans.catalogue_graph import unrolled_labels
+from ledgerlens.plans.catalogue_graph import LISTED, unrolled_labels
 from ledgerlens.sources import schema as S
 from ledgerlens.sources.transactions import TX, table, transactions
 
@@ -65,26 +65,25 @@ def card_rank_sum_score(spark, d):
     return features.rank_sum_score(features.card_features(transactions(spark, d)))
 
 
-@query(f"SELECT c_name AS oricard, card, score FROM (SELECT c_custkey AS card, c_name FROM customer WHERE c_custkey % 5 = 0) LEFT JOIN ({_SCORE}) USING (card)", f"{TX}, {_CARDS}")
+@query(f"SELECT c_name AS oricard, card, score FROM (SELECT c_custkey AS card, c_name FROM customer WHERE {LISTED}) LEFT JOIN ({_SCORE}) USING (card)", f"{TX}, {_CARDS}")
 def scores_of_listed_cards(spark, d):
-    listed = table(spark, d, "customer").where("c_custkey % 5 = 0").select(F.col("c_custkey").alias("card"), F.col("c_name").alias("oricard"))
+    listed = table(spark, d, "customer").where(LISTED).select(F.col("c_custkey").alias("card"), F.col("c_name").alias("oricard"))
     return features.attach_originals(features.rank_sum_score(features.card_features(transactions(spark, d))), listed).select("oricard", "card", "score")
 
 
-def _transfers(spark, d, large=True):
-    t = transactions(spark, d).where("trans_id in ('S33', 'S25') and srccard <> dstcard")
-    return t.where("money >= 8000000") if large else t
+def _transfers(spark, d):
+    return transactions(spark, d).where("trans_id in ('S33', 'S25') and srccard <> dstcard")
 
 
-def _merged(spark, d, large=True):
-    return scratch.keep(features.merge_transfers(_transfers(spark, d, large)), "merged")
+def _merged(spark, d):
+    return scratch.keep(features.merge_transfers(_transfers(spark, d)), "merged")
 
 
-def _communities(spark, d, large=True):
+def _communities(spark, d):
     """Members of the communities and their features, from transfers merged once."""
-    merged = _merged(spark, d, large)
-    members = features.community_vertices(merged, 6 if large else None)
-    return members, features.community_features(merged, members, _transfers(spark, d, large))
+    merged = _merged(spark, d)
+    members = features.community_vertices(merged, None)
+    return members, features.community_features(merged, members, _transfers(spark, d))
 
 
 MODE = "list_sort(list_transform(map_entries(histogram({c})), lambda e: {{'n': -(e.value::BIGINT), 'v': e.key}}))[1].v AS mode_{c}"
@@ -93,7 +92,7 @@ MERGE = (
     + ", ".join([*[MODE.format(c=c) for c in features.MODES], *[f"count(DISTINCT {c}) AS n_{c}" for c in features.COUNTED]])
 )
 _COMM = (
-    f"t AS MATERIALIZED (SELECT * FROM tx WHERE trans_id IN ('S33', 'S25') AND money >= 8000000 AND srccard <> dstcard), m AS MATERIALIZED (SELECT srccard AS src, dstcard AS dst, {MERGE} FROM t GROUP BY 1, 2),"
+    f"t AS MATERIALIZED (SELECT * FROM tx WHERE trans_id IN ('S33', 'S25') AND srccard <> dstcard), m AS MATERIALIZED (SELECT srccard AS src, dstcard AS dst, {MERGE} FROM t GROUP BY 1, 2),"
     "deg AS MATERIALIZED (SELECT vid, count(*) AS degree FROM (SELECT src AS vid FROM m UNION ALL SELECT dst FROM m) GROUP BY 1),"
     "k AS MATERIALIZED (SELECT m.* FROM m JOIN deg a ON a.vid = src JOIN deg b ON b.vid = dst WHERE a.degree + b.degree > 2),"
     "w AS MATERIALIZED (SELECT src AS a, dst AS b FROM k UNION SELECT dst, src FROM k), reach(a, r) AS (SELECT a, b FROM w UNION SELECT w.a, reach.r FROM w JOIN reach ON w.b = reach.a),"
@@ -102,7 +101,7 @@ _COMM = (
 
 
 _MEMBERS = (
-    unrolled_labels("k", 6)
+    unrolled_labels("k")
     + ", mem AS MATERIALIZED (SELECT cc.vid, cc, core, in_degree, out_degree, degree, CASE WHEN amt_in > 0 AND amt_out > 0 AND (abs(amt_in - amt_out) < 500 OR abs(amt_in - amt_out)::DOUBLE / (amt_in + amt_out) < 0.01) THEN 1 ELSE 0 END AS transit FROM cc JOIN labels USING (vid) JOIN (SELECT vid, sum(i) AS in_degree, sum(1 - i) AS out_degree, count(*) AS degree, sum(money * i) AS amt_in, sum(money * (1 - i)) AS amt_out FROM (SELECT dst AS vid, 1 AS i, money FROM k UNION ALL SELECT src, 0, money FROM k) GROUP BY 1) USING (vid)),"
     "comm AS MATERIALIZED (SELECT * FROM (SELECT cc, count(*) AS cc_num, max(core) AS max_core, max(in_degree) AS max_in, max(out_degree) AS max_out, max(degree) AS max_degree, count(CASE WHEN core > 4 THEN 1 END) AS big_core_num, sum(transit) AS transit_num FROM mem GROUP BY 1) JOIN (SELECT cc, sum(cnt) AS trans_num, sum(money) AS money, sum(charge4)::BIGINT / 10000 AS charge, sum(night) AS night, sum(other_city) AS other_city, count(DISTINCT mode_card_class) AS class_modes, count(DISTINCT mode_mchnt_tp) AS mchnt_tp_modes, count(DISTINCT mode_trans_chnl) AS channel_modes, count(DISTINCT mode_acpt_ins_tp) AS ins_tp_modes, count(DISTINCT mode_resp_cd4) AS resp_modes, max(n_acpt_bank) AS max_banks, max(n_mchnt_cd) AS max_merchants, max(n_term_id) AS max_terminals, max(n_fwd_ins_id_cd) AS max_fwd, max(n_rcv_ins_id_cd) AS max_rcv FROM m JOIN mem ON src = vid GROUP BY 1) USING (cc)"
     " JOIN (SELECT cc, count(DISTINCT region_cd) AS regions, count(DISTINCT mchnt_tp) AS mchnt_tps, count(DISTINCT mchnt_cd) AS merchants, count(DISTINCT address) AS addresses FROM t JOIN mem ON srccard = vid GROUP BY 1) USING (cc))"
@@ -110,52 +109,52 @@ _MEMBERS = (
 
 
 @query("SELECT * FROM comm", f"{TX}, {_COMM}, {_MEMBERS}")
-def community_feature_vector(spark, d, large=True):
-    return _communities(spark, d, large)[1]
+def community_feature_vector(spark, d):
+    return _communities(spark, d)[1]
 
 
 @query("SELECT * FROM mem", f"{TX}, {_COMM}, {_MEMBERS}")
-def community_members(spark, d, large=True):
-    return features.community_vertices(_merged(spark, d, large), 6 if large else None)
+def community_members(spark, d):
+    return features.community_vertices(_merged(spark, d), None)
 
 
 @query("SELECT src, dst, money::BIGINT AS money, cnt, charge4, night::BIGINT AS night, other_city, " + ", ".join([*[f"mode_{c}" for c in features.MODES], *[f"n_{c}" for c in features.COUNTED]]) + f" FROM (SELECT srccard AS src, dstcard AS dst, {MERGE} FROM tx WHERE trans_id IN ('S33', 'S25') AND srccard <> dstcard GROUP BY 1, 2)", TX)
 def merged_transfers_five_modes(spark, d):
     """All transfers merged by pair: five modes and five distinct counts."""
-    return features.merge_transfers(_transfers(spark, d, large=False))
+    return features.merge_transfers(_transfers(spark, d))
 
 
 @query("SELECT cc, count(DISTINCT region_cd) AS regions, count(DISTINCT term_id) AS terminals, count(DISTINCT trans_chnl) AS channels FROM t JOIN cc ON srccard = vid GROUP BY 1", f"{TX}, {_COMM}")
-def component_distinct_counts(spark, d, large=True):
-    cc = connected_components(graph.without_lone_pairs(_merged(spark, d, large)))
-    return features.community_distinct(_transfers(spark, d, large), cc, {"regions": "region_cd", "terminals": "term_id", "channels": "trans_chnl"})
+def component_distinct_counts(spark, d):
+    cc = connected_components(graph.without_lone_pairs(_merged(spark, d)))
+    return features.community_distinct(_transfers(spark, d), cc, {"regions": "region_cd", "terminals": "term_id", "channels": "trans_chnl"})
 
 
 @query("SELECT m.src, m.dst, m.money::BIGINT AS money FROM m WHERE src IN (SELECT vid FROM mem JOIN comm USING (cc) WHERE max_core > 1 AND max_degree > 3) OR dst IN (SELECT vid FROM mem JOIN comm USING (cc) WHERE max_core > 1 AND max_degree > 3)", f"{TX}, {_COMM}, {_MEMBERS}")
-def edges_of_chosen_communities(spark, d, large=True):
-    merged = _merged(spark, d, large)
-    m = features.community_vertices(merged, 6 if large else None)
+def edges_of_chosen_communities(spark, d):
+    merged = _merged(spark, d)
+    m = features.community_vertices(merged, None)
     chosen = m.groupBy("cc").agg(F.max("core").alias("core"), F.max("degree").alias("degree")).where("core > 1 and degree > 3")
     return graph.touching_communities(merged, m, chosen).select("src", "dst", "money")
 
 
 @query("SELECT cc, cc_num, trans_num::BIGINT AS trans_num, money::BIGINT AS money, night::BIGINT AS night, other_city::BIGINT AS other_city FROM (SELECT cc, count(*) AS cc_num FROM cc GROUP BY 1) JOIN (SELECT cc, sum(cnt) AS trans_num, sum(money) AS money, sum(night) AS night, sum(other_city) AS other_city FROM k JOIN cc ON src = vid GROUP BY 1) USING (cc)", f"{TX}, {_COMM}")
-def community_totals(spark, d, large=True):
-    e = graph.without_lone_pairs(_merged(spark, d, large))
+def community_totals(spark, d):
+    e = graph.without_lone_pairs(_merged(spark, d))
     cc = connected_components(e)
     inside = e.join(cc.select(F.col("vid").alias("src"), "cc"), "src").groupBy("cc").agg(F.sum("cnt").alias("trans_num"), F.sum("money").alias("money"), F.sum("night").alias("night"), F.sum("other_city").alias("other_city"))
     return cc.groupBy("cc").agg(F.count("*").alias("cc_num")).join(inside, "cc")
 
 
 @query("SELECT cc, vid, place FROM (SELECT *, row_number() OVER (PARTITION BY cc ORDER BY core DESC, degree DESC, in_degree DESC, out_degree DESC, transit DESC, vid) AS place FROM mem) WHERE place < 100", f"{TX}, {_COMM}, {_MEMBERS}")
-def top_members_of_communities(spark, d, large=True):
-    m = features.community_vertices(_merged(spark, d, large), 6 if large else None)
+def top_members_of_communities(spark, d):
+    m = features.community_vertices(_merged(spark, d), None)
     return R.top_in_group(m, "cc", 99, F.desc("core"), F.desc("degree"), F.desc("in_degree"), F.desc("out_degree"), F.desc("transit"), F.asc("vid")).select("cc", "vid", "place")
 
 
 @query("SELECT * FROM comm WHERE cc_num < 2000 ORDER BY max_degree DESC, big_core_num DESC, money DESC, max_core DESC, trans_num DESC, cc LIMIT 100", f"{TX}, {_COMM}, {_MEMBERS}")
-def top_100_communities(spark, d, large=True):
-    c = _communities(spark, d, large)[1].where("cc_num < 2000")
+def top_100_communities(spark, d):
+    c = _communities(spark, d)[1].where("cc_num < 2000")
     return c.orderBy(F.desc("max_degree"), F.desc("big_core_num"), F.desc("money"), F.desc("max_core"), F.desc("trans_num"), "cc").limit(100)
 
 
@@ -166,9 +165,9 @@ for _names, _w in ((features.FULL, 1.0), (features.HALF, 0.5), (features.QUARTER
 
 
 @query("SELECT card, " + " + ".join(f"{w}::DOUBLE * dense_rank() OVER (ORDER BY coalesce({k}, 0))" for k, w in _ALL_WEIGHTS.items()) + " AS score FROM cards LEFT JOIN (SELECT vid AS card, comm.* FROM mem JOIN comm USING (cc)) USING (card)", f"{TX}, {_CARDS}, {_COMM}, {_MEMBERS}")
-def card_and_community_score(spark, d, large=True):
+def card_and_community_score(spark, d):
     """Card features with those of the card's community, nulls as zero, ranked and summed."""
-    m, c = _communities(spark, d, large)
+    m, c = _communities(spark, d)
     c = m.select(F.col("vid").alias("card"), "cc").join(c, "cc").drop("cc")
     return features.rank_sum_score(features.card_features(transactions(spark, d)).join(c, "card", "left"))
 
@@ -194,21 +193,16 @@ def mixed_graph_vertex_counts(spark, d):
 _HCC = "h AS (SELECT * FROM het WHERE edge_type IN ('trans_at', 'quxian_at')), names AS (SELECT 'card:' || vid AS vid, cc FROM cc)"
 
 
-def _regions(spark, d, large=True):
-    m = connected_components(graph.without_lone_pairs(_merged(spark, d, large))).select(F.concat(F.lit("card:"), F.col("vid").cast("string")).alias("vid"), "cc")
+def _regions(spark, d):
+    m = connected_components(graph.without_lone_pairs(_merged(spark, d))).select(F.concat(F.lit("card:"), F.col("vid").cast("string")).alias("vid"), "cc")
     return hetero.regions_of_communities(hetero.typed_edges(transactions(spark, d)), m)
 
 
 @query("SELECT cc, count(DISTINCT dst) AS regions FROM h JOIN names ON src = vid GROUP BY 1", f"{TX}, {_COMM}, {_HET}, {_HCC}")
-def regions_per_community(spark, d, large=True):
-    return _regions(spark, d, large)[0]
+def regions_per_community(spark, d):
+    return _regions(spark, d)[0]
 
 
 @query("SELECT dst AS region, count(DISTINCT cc) AS communities FROM h JOIN names ON src = vid GROUP BY 1", f"{TX}, {_COMM}, {_HET}, {_HCC}")
-def communities_per_region(spark, d, large=True):
-    return _regions(spark, d, large)[1]
-
-
-#: The same over all transfers, with core numbers that have no upper limit.
-for _f in (component_distinct_counts, edges_of_chosen_communities, community_feature_vector, community_members, community_totals, top_members_of_communities, top_100_communities, card_and_community_score, regions_per_community, communities_per_region):
-    whole(_f, large=False)
+def communities_per_region(spark, d):
+    return _regions(spark, d)[1]

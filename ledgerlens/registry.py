@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Callable
 
@@ -40,11 +39,6 @@ def query(sql: str | None = None, ctes: str = ""):
     return add
 
 
-def whole(f, **given) -> None:
-    """Register ``f`` once more, without SQL, as whole_<name>: the same operator on all transfers, which ``given`` asks for."""
-    QUERIES[f"whole_{f.__name__}"] = functools.partial(f, **given)
-
-
 def load() -> None:
     from ledgerlens.plans import catalogue_basic, catalogue_graph, catalogue_profiles, catalogue_service, catalogue_tables  # noqa: F401
 

@@ -21,7 +21,7 @@ def pairs():
 
 @pytest.fixture
 def run(spark):
-    return lambda name, k="vid", v=None: {r[k]: r[v] if v else tuple(r) for r in QUERIES[f"whole_{name}"](spark, D).collect()}
+    return lambda name, k="vid", v=None: {r[k]: r[v] if v else tuple(r) for r in QUERIES[name](spark, D).collect()}
 
 
 def reach(start, after):
@@ -41,7 +41,6 @@ def sides(pairs):
 
 
 def test_degrees_of_all(run, pairs):
-    assert any(m < 8000000 for m in pairs.values())
     out, back = sides(pairs)
     want = {v: len(out.get(v, ())) + len(back.get(v, ())) for v in {*out, *back}}
     assert run("vertex_degrees", v="degree") == want
