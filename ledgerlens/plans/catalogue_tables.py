@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,10 +24,15 @@ def _name() -> str:
     return f"ledgerlens_{uuid.uuid4().hex}"
 
 
-def _view(spark, d) -> str:
+@contextmanager
+def _view(spark, d):
+    """The name of a temporary view of the transactions, dropped at the end: a frame made of it keeps the plan."""
     name = _name()
     transactions(spark, d).createOrReplaceTempView(name)
-    return name
+    try:
+        yield name
+    finally:
+        spark.catalog.dropTempView(name)
 
 
 def _read(spark, name: str, path: str):
@@ -49,16 +55,52 @@ def load_text_into_table(spark, d):
 @query(_BY_CARD, TX)
 def table_as_select(spark, d):
     path, name = scratch.new_path(spark, "table"), _name()
-    tables.create_table_as(spark, name, f"SELECT card, sum(money) AS amount FROM {_view(spark, d)} WHERE trans_id = 'S33' GROUP BY card", path)
+    with _view(spark, d) as view:
+        tables.create_table_as(spark, name, f"SELECT card, sum(money) AS amount FROM {view} WHERE trans_id = 'S33' GROUP BY card", path)
     return _read(spark, name, path)
 
 
+def _in_rows(spark, d, name: str, path: str) -> None:
+    """A table of the money that cards got, one row a transfer."""
+    with _view(spark, d) as view:
+        tables.create_table_as(spark, name, f"SELECT card, money AS amount FROM {view} WHERE trans_id = 'S33'", path)
+
+
+@query("SELECT card, money AS amount FROM tx WHERE trans_id = 'S25'", TX)
+def table_emptied_and_appended(spark, d):
+    """A table emptied; what is appended afterwards is all it holds."""
+    path, name = scratch.new_path(spark, "table"), _name()
+    _in_rows(spark, d, name, path)
+    tables.truncate(spark, name)
+    transactions(spark, d).where("trans_id = 'S25'").select("card", F.col("money").alias("amount")).write.insertInto(name)
+    return _read(spark, name, path)
+
+
+@query("SELECT card, sum(money) AS amount FROM tx WHERE trans_id = 'S25' GROUP BY 1", TX)
+def table_overwritten(spark, d):
+    path, name = scratch.new_path(spark, "table"), _name()
+    _in_rows(spark, d, name, path)
+    with _view(spark, d) as view:
+        tables.insert_overwrite(spark, name, f"SELECT card, sum(money) FROM {view} WHERE trans_id = 'S25' GROUP BY card")
+    return _read(spark, name, path)
+
+
+@query("SELECT card, money AS total FROM tx WHERE trans_id = 'S33'", TX)
+def table_and_column_renamed(spark, d):
+    path, moved, name, other = scratch.new_path(spark, "table"), scratch.new_path(spark, "table"), _name(), _name()
+    _in_rows(spark, d, name, path)
+    tables.rename_table(spark, name, other)
+    tables.rename_column(spark, other, "amount", "total", moved)
+    return _read(spark, other, moved)
+
+
 @query("SELECT card, sum(money) AS total FROM tx WHERE trans_id = 'S25' GROUP BY 1", TX)
 def table_emptied_filled_and_renamed(spark, d):
-    view, path, moved, name = _view(spark, d), scratch.new_path(spark, "table"), scratch.new_path(spark, "table"), _name()
-    tables.create_table_as(spark, name, f"SELECT card, money AS amount FROM {view} WHERE trans_id = 'S33'", path)
+    path, moved, name = scratch.new_path(spark, "table"), scratch.new_path(spark, "table"), _name()
+    _in_rows(spark, d, name, path)
     tables.truncate(spark, name)
-    tables.insert_overwrite(spark, name, f"SELECT card, sum(money) FROM {view} WHERE trans_id = 'S25' GROUP BY card")
+    with _view(spark, d) as view:
+        tables.insert_overwrite(spark, name, f"SELECT card, sum(money) FROM {view} WHERE trans_id = 'S25' GROUP BY card")
     tables.rename_column(spark, name, "amount", "total", moved)
     return _read(spark, name, moved)
 
@@ -66,7 +108,8 @@ def table_emptied_filled_and_renamed(spark, d):
 @query(_BY_CARD, TX)
 def directory_overwritten(spark, d):
     path = scratch.new_path(spark, "directory")
-    tables.insert_overwrite_directory(spark, path, f"SELECT card, sum(money) AS amount FROM {_view(spark, d)} WHERE trans_id = 'S33' GROUP BY card")
+    with _view(spark, d) as view:
+        tables.insert_overwrite_directory(spark, path, f"SELECT card, sum(money) AS amount FROM {view} WHERE trans_id = 'S33' GROUP BY card")
     return spark.read.parquet(path)
 
 
@@ -86,12 +129,14 @@ def saved_in_default_format(spark, d):
 
 @query(_BY_CARD, TX)
 def clustered_by_amount(spark, d):
-    return spark.sql(f"SELECT * FROM (SELECT card, sum(money) AS amount FROM {_view(spark, d)} WHERE trans_id = 'S33' GROUP BY card) CLUSTER BY amount")
+    with _view(spark, d) as view:
+        return spark.sql(f"SELECT * FROM (SELECT card, sum(money) AS amount FROM {view} WHERE trans_id = 'S33' GROUP BY card) CLUSTER BY amount")
 
 
 @query("SELECT srccard, pdate, loc_trans_tm, money FROM tx WHERE trans_id = 'S33'", TX)
 def distributed_and_sorted(spark, d):
-    return spark.sql(f"SELECT srccard, pdate, loc_trans_tm, money FROM {_view(spark, d)} WHERE trans_id = 'S33' DISTRIBUTE BY srccard SORT BY pdate, loc_trans_tm")
+    with _view(spark, d) as view:
+        return spark.sql(f"SELECT srccard, pdate, loc_trans_tm, money FROM {view} WHERE trans_id = 'S33' DISTRIBUTE BY srccard SORT BY pdate, loc_trans_tm")
 
 
 @query(

@@ -16,6 +16,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.sources import io
+
 _own: dict[str, str] = {}
 _scopes: list[Scope] = []
 
@@ -81,6 +83,4 @@ def drop(df: DataFrame | None) -> None:
     """Remove the files behind a frame returned by ``keep``; its users must have been written by then."""
     if (path := getattr(df, "_scratch_path", None)) is None:
         return
-    spark = df.sparkSession
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    io.remove(df.sparkSession, path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import re
 from collections.abc import Callable
 
@@ -40,7 +41,6 @@ def query(sql: str | None = None, ctes: str = ""):
 
 
 def load() -> None:
-    from ledgerlens.plans import catalogue_basic, catalogue_graph, catalogue_profiles, catalogue_service, catalogue_tables  # noqa: F401
-
-
-load()
+    """Import all catalogues, which register their queries. Whoever wants the whole list calls this first."""
+    for name in ("basic", "graph", "service", "profiles", "tables"):
+        importlib.import_module(f"ledgerlens.plans.catalogue_{name}")

@@ -51,6 +51,12 @@ def date_dictionary(spark: SparkSession, start: str, end: str) -> DataFrame:
     return spark.range(1).select(F.posexplode(days).alias("day_index", "d")).select(F.date_format("d", "yyyyMMdd").alias("pdate"), "day_index")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store it lies."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_lines(df: DataFrame, path: str, sep: str = ",", single: bool = False) -> None:
     """Rows as lines of joined fields, nulls as the word null; ``single`` for one file (small results only)."""
     line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in df.columns])

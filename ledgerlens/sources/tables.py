@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ledgerlens.sources import io
 from ledgerlens.sources.io import FIELD, read_delimited
 
 
@@ -33,15 +34,27 @@ def insert_overwrite_directory(spark: SparkSession, path: str, query: str, form:
 
 
 def truncate(spark: SparkSession, name: str) -> None:
-    """All rows out of a table that keeps its files itself or, where they lie elsewhere, an overwrite with nothing."""
-    spark.table(name).limit(0).write.insertInto(name, overwrite=True)
+    """All rows out of a table, wherever its files lie: an overwrite with nothing."""
+    spark.createDataFrame([], spark.table(name).schema).write.insertInto(name, overwrite=True)
+
+
+def location(spark: SparkSession, name: str) -> str:
+    """The folder of a table's files."""
+    return next(r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r.col_name == "Location")
 
 
 def rename_column(spark: SparkSession, name: str, old: str, new: str, path: str) -> None:
-    """The table with another column name, its rows moved to ``path``."""
+    """The table with another column name, its rows moved to ``path``; the folder they lay in is removed."""
+    before = location(spark, name)
     spark.table(name).withColumnRenamed(old, new).write.mode("overwrite").parquet(path)
     spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    io.remove(spark, before)
+
+
+def rename_table(spark: SparkSession, old: str, new: str) -> None:
+    """Another name for the table; its files stay."""
+    spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
 
 
 def save_table(df: DataFrame, name: str, path: str) -> None:

@@ -2,12 +2,17 @@
 
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
 
+from ledgerlens import registry
 from ledgerlens.registry import ORACLE, QUERIES
 
+registry.load()
+
 D = "/root/testdata/sf0.001"
 
 
@@ -33,3 +38,8 @@ def test_query(spark, duck, name):
     a = sorted(tuple(_norm(r[c]) for c in sorted(got.columns)) for r in got.collect())
     b = sorted(tuple(_norm(r[want.columns.index(c)]) for c in sorted(want.columns)) for r in want.fetchall())
     assert a == b
+
+
+@pytest.mark.parametrize("name", ["basic", "graph", "service", "profiles", "tables"])
+def test_each_catalogue_is_imported_alone(name):
+    subprocess.run([sys.executable, "-c", f"import ledgerlens.plans.catalogue_{name}"], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

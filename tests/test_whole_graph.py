@@ -5,7 +5,10 @@ import os
 import duckdb
 import pytest
 
+from ledgerlens import registry
 from ledgerlens.registry import QUERIES
+
+registry.load()
 from ledgerlens.sources.transactions import EDGES
 
 D = "/root/testdata/sf0.001"
