@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import decontaminate, langid, mixing, neardup, pii, quality_mil, quality_rules, resampling, tokens, toxicity, urltree
+from ledgerlens.llm import decontaminate, langid, mixing, neardup, pii, quality_mil, quality_rules, resampling, spelling, tokens, toxicity, urltree, warc
 from ledgerlens.llm.common import read
 
 
@@ -54,10 +54,18 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.judge(read(spark, sf_dir, "pages"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_simhash_near_dedup, op2_language_bitmask, op3_spaced_seed_decontamination, op4_poisson_mixing, op5_url_template_tree, op6_pii_deobfuscation, op7_toxicity_chain, op8_token_records, op9_quality_votes, op10_quality_attention, op11_importance_resampling)}
+    found = {f.__name__: f for f in (op1_simhash_near_dedup, op2_language_bitmask, op3_spaced_seed_decontamination, op4_poisson_mixing, op5_url_template_tree, op6_pii_deobfuscation, op7_toxicity_chain, op8_token_records, op9_quality_votes, op10_quality_attention, op11_importance_resampling, op12_warc_archive, op13_spelling_variants)}
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_poisson_mixing": mixing.ORACLE}
+    return {"op4_poisson_mixing": mixing.ORACLE, "op12_warc_archive": warc.ORACLE}
