@@ -14,6 +14,8 @@ corpus and have no proven size bound.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -199,10 +201,10 @@ MARKS, ALIKE = 48, 24
 SET_SHARD = 4096
 #: Rows, and hashes in them, that are compared in one task, about.
 BLOCK_ROWS, BLOCK_HASHES = 8192, 4_000_000
-#: Rows that stand for a block when blocks of one cluster are compared, and blocks that meet in one task.
-DELEGATES, FAN = 16, 256
-#: Rows outside their cluster's largest part that are compared with a block in one task.
-STRAYS = 1024
+#: Rows that stand for each of a block's STANDING largest parts when blocks of one cluster are compared, and blocks that meet in one task.
+DELEGATES, STANDING, FAN = 4, 32, 64
+#: Disjoint pairs of marks by which a band of too many rows is dealt anew.
+MARK_PAIRS = MARKS // 2
 _MIX = np.random.default_rng(_SEED).integers(0, 1 << 63, ROWS * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLD = np.random.default_rng(_SEED + 1).integers(0, 1 << 63, (ROWS, BANDS), np.uint64) * np.uint64(2) + np.uint64(1)
 _PAIRS = 100_000
@@ -280,14 +282,16 @@ def _apart(rows: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
 def _candidate_links(classes: DataFrame, radius: int, limit: int) -> DataFrame:
     """Links (src, dst) among the classes that may be alike, some by way of a vertex that stands for a shard.
 
-    Shards are bands. What shares a band with more than ``limit`` rows is dealt by each pair of that band and another;
-    what shares a pair of bands (eight minimum hashes) with more than ``limit`` rows counts as alike without a search.
+    Shards are bands. What shares a band with more than ``limit`` rows is dealt by that band and each of MARK_PAIRS pairs of marks: two rows of which
+    four fifths are alike agree in none of these in 2 of 100 thousand million cases, so a band counts as much where it is frequent as elsewhere.
+    What shares band and pair with more than ``limit`` rows counts as alike without a search.
     """
     marks = [F.get("marks", F.lit(i)).alias(f"m{i}") for i in range(MARKS // 8)]
     payload = ["shard", "fp", "vertex", *[f"m{i}" for i in range(MARKS // 8)]]
-    rows = classes.where("sig <> 0").select(F.explode("bands").alias("shard"), "fp", F.col("sig").alias("vertex"), "bands", *marks)
+    rows = classes.where("sig <> 0").select(F.explode("bands").alias("shard"), "fp", F.col("sig").alias("vertex"), *marks)
     few, many = _apart(rows, limit)
-    again = many.withColumn("other", F.explode("bands")).where("other <> shard").withColumn("shard", F.xxhash64("shard", "other")).drop("other")
+    pair = lambda j: F.shiftrightunsigned(f"m{j // 4}", 16 * (j % 4)).bitwiseAND(F.lit(0xFFFF).cast("long"))
+    again = many.withColumn("shard", F.explode(F.array(*[F.xxhash64("shard", F.lit(j), pair(j)) for j in range(MARK_PAIRS)])))
     few_again, dense = _apart(again, limit)
     dealt = few.select(payload).unionByName(few_again.select(payload)).repartition("shard").sortWithinPartitions("shard")
     return map_arrow(dealt, lambda it: _candidates(it, radius), "src long, dst long").unionByName(dense.select(F.col("vertex").alias("src"), F.col("shard").alias("dst")))
@@ -300,17 +304,23 @@ class _Sets:
         size = np.array([len(s) for s in sets], np.int64)
         self.rows = np.argsort(size, kind="stable")
         self.size = size[self.rows]
-        known, ids = np.unique(np.concatenate([sets[i] for i in self.rows]), return_inverse=True)
+        self.known, ids = np.unique(np.concatenate([sets[i] for i in self.rows]), return_inverse=True)
         self.ids = ids.astype(np.int32)
         self.start = np.concatenate(([0], np.cumsum(self.size)))
-        self.mark = np.zeros(len(known), bool)
+        self.mark = np.zeros(len(self.known), bool)
 
     def own(self, i: int) -> np.ndarray:
         return self.ids[self.start[i] : self.start[i + 1]]
 
-    def alike(self, own: np.ndarray, similarity: float, left: np.ndarray | None = None) -> np.ndarray:
+    def alike_to(self, hashes: np.ndarray, similarity: float, left: np.ndarray) -> np.ndarray:
+        """Like ``alike`` for a set from elsewhere, given by its distinct sorted hashes."""
+        at = np.searchsorted(self.known, hashes)
+        own = at[self.known[np.minimum(at, len(self.known) - 1)] == hashes].astype(np.int32)
+        return self.alike(own, similarity, left, len(hashes))
+
+    def alike(self, own: np.ndarray, similarity: float, left: np.ndarray | None = None, n: int | None = None) -> np.ndarray:
         """Places of the sets that are alike to ``own``; among ``left`` only, which ascends."""
-        n = len(own)
+        n = len(own) if n is None else n
         size = self.size if left is None else self.size[left]
         lo, hi = np.searchsorted(size, similarity * n - 1e-9, "left"), np.searchsorted(size, n / similarity + 1e-9, "right")
         if lo == hi:
@@ -377,29 +387,63 @@ def _compared(batches, similarity: float):
         least: dict[int, int] = {}
         for p, r in zip(part.tolist(), rows):
             least.setdefault(p, r[1])
-        best = int(np.bincount(part).argmax())
-        sent = set(np.flatnonzero(part == best)[:DELEGATES].tolist()) if rows[0][0] > 1 else ()
+        best = np.argsort(-np.bincount(part), kind="stable")[:STANDING] if rows[0][0] > 1 else ()
+        sent = {i for p in best for i in np.flatnonzero(part == p)[:DELEGATES].tolist()}
         out = [(cluster, block, r[0], r[1], least[p], r[2] if i in sent else None) for i, (p, r) in enumerate(zip(part.tolist(), rows))]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
 
+class _Joined:
+    """Labels, and which of them links have joined so far."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
 def _strays(batches, similarity: float):
-    """Links between strays (side 1) and the rows of a block (side 0) that are alike."""
-    for _, rows in _blocks(batches, 3):
-        block, strays = ([(v, np.frombuffer(h, np.uint64)) for side, v, h in rows if side == k] for k in (0, 1))
-        if not block or not strays:
-            continue
-        s = _Sets([h for _, h in block] + [h for _, h in strays])
-        place = np.argsort(s.rows)
-        out = []
-        for i, (v, _) in enumerate(strays):
-            hit = s.rows[s.alike(s.own(int(place[len(block) + i])), similarity)]
-            hit = hit[hit < len(block)].tolist()
-            # one link for each part of the block would do; all are given, as parts of other blocks are not known here
-            out += [(v, block[j][0]) for j in hit if block[j][0] != v]
+    """Links between the labels of strays (side 1) and of rows of a block (side 0) that are alike; none that follows from those before it.
+
+    A block comes before its strays, which pass by one at a time. So a task holds one block, and sends fewer links than it met labels.
+    """
+    for _, rows in _by_block(batches):
+        block, joined, sets, out = [], _Joined(), None, []
+        for side, label, hashes in rows:
+            own = np.frombuffer(hashes, np.uint64)
+            if side == 0:
+                block.append((label, own))
+                continue
+            if sets is None:
+                sets = _Sets([h for _, h in block]) if block else ()
+                labels = np.array([block[i][0] for i in sets.rows], np.int64) if block else np.zeros(0, np.int64)
+            if not len(labels):
+                continue
+            known, at = np.unique(labels, return_inverse=True)
+            open_ = np.array([joined.root(x) != joined.root(label) for x in known.tolist()])[at]
+            left = np.flatnonzero(open_)
+            if len(left):
+                for x in np.unique(labels[sets.alike_to(own, similarity, left)]).tolist():
+                    if joined.join(label, x):
+                        out.append((label, x))
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["src", "dst"])
 
 
+def _by_block(batches):
+    """(key, rows) of each block, rows (side, label, hashes) as they come; batches are sorted by cluster, block and side."""
+    rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
+    for key, of in itertools.groupby(rows, key=lambda r: r[:2]):
+        yield key, (r[2:] for r in of)
+
+
 def _deal_sets(rows: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
     return map_arrow(rows.repartition(*keys).sortWithinPartitions(*keys), fn, schema)
 
@@ -407,8 +451,9 @@ def _deal_sets(rows: DataFrame, keys: list[str], fn, schema: str) -> DataFrame:
 def _alike_links(sets: DataFrame, similarity: float) -> DataFrame:
     """Links that join whatever rows of ``sets(cluster, blocks, vertex, hashes)`` of one cluster are alike, exactly.
 
-    Every row is compared within its block. Delegates of the blocks' largest parts are compared in turn, in groups of
-    blocks, until a cluster's blocks have met. What is then outside its cluster's largest part is compared with all of the cluster.
+    Every row is compared within its block. Delegates of each block's largest parts are compared in turn, in groups of
+    blocks, until a cluster's blocks have met. What is then outside its cluster's largest part goes to every block of the cluster, where
+    it is compared with the rows of other parts; a task tells at most one link for each part it met.
     """
     spot = F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int")
     sets = sets.withColumn("block", spot)
@@ -425,14 +470,14 @@ def _alike_links(sets: DataFrame, similarity: float) -> DataFrame:
     named = scratch.keep(connected_components(links.join(many.select(F.col("vertex").alias("src")), "src", "left_semi")).withColumnsRenamed({"vid": "vertex", "cc": "label"}), "labels")
     labels = scratch.keep(many.join(named, "vertex", "left").select("cluster", "vertex", F.coalesce("label", "vertex").alias("label")), "many")
     # one row a cluster that has several blocks
-    largest = labels.groupBy("cluster", "label").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), (F.sum("n") - F.max("n")).alias("strays"), F.sum("n").alias("n")).where("strays > 0").withColumn("groups", F.ceil(F.col("strays") / STRAYS).cast("int"))
-    told = join_counted(labels, scratch.keep(largest, "largest"), ["cluster"], "n").select("vertex", "groups", (F.col("label") != F.col("largest")).alias("stray"))
+    largest = labels.groupBy("cluster", "label").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), (F.sum("n") - F.max("n")).alias("strays"), F.sum("n").alias("n")).where("strays > 0").drop("strays")
+    told = join_counted(labels, scratch.keep(largest, "largest"), ["cluster"], "n").select("vertex", "label", (F.col("label") != F.col("largest")).alias("stray"))
     with_sets = scratch.keep(sets.join(told, "vertex"), "told")
-    asked = with_sets.withColumns({"side": F.lit(0), "group": F.explode(F.sequence(F.lit(0), F.col("groups") - 1))})
-    stray = with_sets.where("stray").withColumns({"side": F.lit(1), "group": F.pmod(F.xxhash64("vertex", F.lit(1)), F.col("groups")).cast("int"), "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
-    keys = ["cluster", "block", "group"]
-    met = asked.select(*keys, "side", "vertex", "hashes").unionByName(stray.select(*keys, "side", "vertex", "hashes"))
-    more = _deal_sets(met, keys, lambda it: _strays(it, similarity), "src long, dst long")
+    stray = with_sets.where("stray").withColumns({"side": F.lit(1), "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
+    columns = ["cluster", "block", "side", "label", "hashes"]
+    met = with_sets.withColumn("side", F.lit(0)).select(columns).unionByName(stray.select(columns))
+    dealt = met.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "side")
+    more = map_arrow(dealt, lambda it: _strays(it, similarity), "src long, dst long")
     return links.unionByName(more).where("src <> dst")
 
 
@@ -449,7 +494,7 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius
 
     Shards are bands of minimum hashes. Each shard's tree gives candidates within ``radius`` bits, which must also
     agree in half of their marks; linked candidates form clusters, and within these, in tasks of bounded size, the sets
-    themselves are compared. The sizes behind SHARD, BLOCK and STRAYS decide where work is done, never which links are found.
+    themselves are compared. The sizes behind SHARD and BLOCK decide where work is done, never which links are found.
     """
     rk = row_key()
 
