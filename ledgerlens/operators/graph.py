@@ -7,18 +7,24 @@ the rounds and lost executors cost no more than a stage.
 from __future__ import annotations
 
 import itertools
+import logging
 from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.grid import Grid
+from ledgerlens.operators.relational import join_counted
+
+from ledgerlens.operators.components import connected_components
 from ledgerlens.plans import scratch
 
-#: Edges that one task may finish a loop on, two longs each: peeling and strong components go round by round over the
-#: cluster only while more are left. What is found doesn't depend on it.
-LOCAL_EDGES = 1_000_000
+log = logging.getLogger(__name__)
+
+#: After so many rounds of core numbers, and whenever these have doubled, whole chains of vertices that hang on each other drop together.
+CHAIN_ROUNDS = 16
+#: Hash orders in which strong components look for pivots at once.
+PIVOT_ORDERS = 2
 
 
 def _rounds(most: int | None):
@@ -29,90 +35,6 @@ def _rounds(most: int | None):
         yield i
 
 
-def in_one_task(edges: DataFrame, solve: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]], schema: str) -> DataFrame:
-    """``solve(src, dst)`` over all rows of a table that is known to be small; longs in, longs out."""
-    names = [x.strip().split(" ")[0] for x in schema.split(",")]
-
-    def run(batches):
-        parts = [np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns]) for b in batches]
-        src, dst = np.concatenate(parts, 1) if parts else np.zeros((2, 0), np.int64)
-        out = solve(src, dst)
-        yield pa.RecordBatch.from_arrays([pa.array(out[n], pa.int64()) for n in names], names=names)
-
-    return edges.select(F.col("src").cast("long"), F.col("dst").cast("long")).coalesce(1).mapInArrow(run, schema)
-
-
-def _local(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Vertex ids, and both ends as places among them."""
-    vid, where = np.unique(np.concatenate([src, dst]), return_inverse=True)
-    return vid, where[: len(src)], where[len(src) :]
-
-
-def _lists(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and targets: b grouped by a."""
-    return np.concatenate(([0], np.cumsum(np.bincount(a, minlength=n)))), b[np.argsort(a, kind="stable")]
-
-
-def core_numbers(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(vertex, core number), parallel edges counted each and self-loops twice: all vertices of too low a degree go at once, and only their neighbours are looked at again."""
-    vid, a, b = _local(src, dst)
-    start, other = _lists(np.concatenate([a, b]), np.concatenate([b, a]), len(vid))
-    degree, core = np.diff(start), np.zeros(len(vid), np.int64)
-    gone = np.zeros(len(vid), bool)
-    k = 0
-    while not gone.all():
-        k = max(k, int(degree[~gone].min()))
-        out = np.flatnonzero(~gone & (degree <= k))
-        while len(out):
-            core[out], gone[out] = k, True
-            size = start[out + 1] - start[out]
-            near = other[np.repeat(start[out] - np.cumsum(size) + size, size) + np.arange(size.sum())]
-            np.subtract.at(degree, near, 1)
-            near = np.unique(near)
-            out = near[~gone[near] & (degree[near] <= k)]
-    return vid, core
-
-
-def strong_labels(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(vertex, least vertex of its strongly connected component), by one depth-first walk with an explicit stack."""
-    vid, a, b = _local(src, dst)
-    n = len(vid)
-    start, to = (x.tolist() for x in _lists(a, b, n))
-    order, low, comp = [0] * n, [0] * n, [-1] * n
-    open_, seen = [], 0
-    for root in range(n):
-        if order[root]:
-            continue
-        walk = [(root, start[root])]
-        seen += 1
-        order[root] = low[root] = seen
-        open_.append(root)
-        while walk:
-            v, at = walk.pop()
-            if at < start[v + 1]:
-                walk.append((v, at + 1))
-                w = to[at]
-                if not order[w]:
-                    seen += 1
-                    order[w] = low[w] = seen
-                    open_.append(w)
-                    walk.append((w, start[w]))
-                elif comp[w] < 0:
-                    low[v] = min(low[v], order[w])
-                continue
-            if walk:
-                low[walk[-1][0]] = min(low[walk[-1][0]], low[v])
-            if low[v] == order[v]:
-                cut = len(open_) - 1
-                while open_[cut] != v:
-                    cut -= 1
-                least = min(open_[cut:])
-                for w in open_[cut:]:
-                    comp[w] = least
-                del open_[cut:]
-    return vid, vid[np.array(comp, np.int64)] if n else vid
-
-
 def ends(edges: DataFrame, *cols: str) -> DataFrame:
     """(vid, ...) twice for each edge: once for each endpoint."""
     return edges.select(F.explode(F.array("src", "dst")).alias("vid"), *cols)
@@ -174,24 +96,81 @@ def touching_communities(edges: DataFrame, members: DataFrame, chosen: DataFrame
     return edges.join(hit, ["src", "dst"], "left_semi")
 
 
+def _near_edges(edges: DataFrame) -> DataFrame:
+    """(vid, other, w): every edge from both ends, parallel ones counted; a self-loop counts twice. Bucketed by vid."""
+    ways = F.explode(F.array(F.struct(F.col("src").alias("vid"), F.col("dst").alias("other")), F.struct(F.col("dst").alias("vid"), F.col("src").alias("other"))))
+    return scratch.keep_bucketed(edges.select(ways.alias("e")).select("e.*").groupBy("vid", "other").agg(F.count("*").alias("w")), "near", "vid")
+
+
+def _h_index(values: DataFrame) -> DataFrame:
+    """(vid, h) of ``values(vid, value, w)``: the largest h such that rows of value h or more weigh h or more.
+
+    From a histogram for each vertex: its window runs over distinct values, of which a vertex has fewer than the square root of four times the edges.
+    """
+    bars = values.groupBy("vid", "value").agg(F.sum("w").alias("w"))
+    above = Window.partitionBy("vid").orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return bars.select("vid", F.least("value", F.sum("w").over(above)).alias("h")).groupBy("vid").agg(F.max("h").alias("h"))
+
+
+def _chains(near: DataFrame, now: DataFrame) -> DataFrame | None:
+    """(vid) of vertices that must drop below their number as a chain: each has just as many neighbours of its number or more as the
+    number says, or too few, and one of those that it is linked to through such of the same number has too few. None if there are none."""
+    own, far = now.select("vid", F.col("core").alias("own")), now.select(F.col("vid").alias("other"), F.col("core").alias("far"))
+    both = near.join(own, "vid").join(far, "other")
+    held = both.groupBy("vid", "own").agg(F.coalesce(F.sum(F.when(F.col("far") >= F.col("own"), F.col("w"))), F.lit(0)).alias("held"))
+    tight = scratch.keep(held.where("held <= own").select("vid", "own", (F.col("held") < F.col("own")).alias("weak")), "tight")
+    if tight.where("weak").isEmpty():
+        return None
+    a, b = tight.withColumnsRenamed({"own": "a", "weak": "weak_a"}), tight.withColumnsRenamed({"vid": "other", "own": "b", "weak": "weak_b"})
+    links = near.where("vid < other").join(a, "vid").join(b, "other").where("a = b and not (weak_a and weak_b)").select(F.col("vid").alias("src"), F.col("other").alias("dst"))
+    cc = connected_components(links)
+    falling = cc.join(tight.where("weak"), "vid", "left_semi").select("cc").distinct()
+    return cc.join(falling, "cc", "left_semi").select("vid").union(tight.where("weak").select("vid")).distinct()
+
+
+def core_numbers(edges: DataFrame, most: int | None = None, max_rounds: int | None = None) -> DataFrame:
+    """(vid, core): core numbers, those over ``most`` as ``most``. Parallel edges count each, self-loops twice. Raises if ``max_rounds`` is given and not enough.
+
+    A vertex's number starts as its degree and falls to the largest h such that h of its edges lead to numbers of h or
+    more. Each round only neighbours of vertices that fell, and that they may have held up, are looked at again; one table is written.
+    """
+    near = _near_edges(edges)
+    degree = near.groupBy("vid").agg(F.sum("w").alias("core"))
+    now = scratch.keep(degree.select("vid", (F.col("core") if most is None else F.least("core", F.lit(most))).alias("core"), F.lit(True).alias("fell")), "cores")
+    chain = CHAIN_ROUNDS
+    for i in _rounds(max_rounds):
+        own, far = now.select("vid", F.col("core").alias("own")), now.select(F.col("vid").alias("other"), F.col("core").alias("far"))
+        if i:
+            fell = now.where("fell").select("vid", F.col("core").alias("to"))
+            asked = near.join(fell, "vid").select(F.col("other").alias("vid"), "to").groupBy("vid").agg(F.min("to").alias("to"))
+            ask = asked.join(own, "vid").where("own > to").select("vid", "own")
+        else:
+            ask = own
+        values = near.join(ask, "vid").join(far, "other").select("vid", F.least("own", "far").alias("value"), "w")
+        new = now.select("vid", "core").join(_h_index(values), "vid", "left")
+        drop = None
+        if i == chain:
+            drop, chain = _chains(near, now), 2 * chain
+        if drop is not None:
+            new = new.join(drop.withColumn("chained", F.lit(1)), "vid", "left")
+            new = new.withColumn("h", F.least(F.coalesce("h", "core"), F.col("core") - F.coalesce("chained", F.lit(0))))
+        new = new.select("vid", F.least("core", F.coalesce("h", "core")).alias("to"), "core").select("vid", F.col("to").alias("core"), (F.col("to") < F.col("core")).alias("fell"))
+        kept = scratch.keep(new, "cores")
+        scratch.drop(now)
+        now = kept
+        if now.where("fell").isEmpty():
+            break
+        log.info("core numbers, round %d", i + 1)
+    scratch.drop(near)
+    return now.select("vid", "core")
+
+
 def k_core(edges: DataFrame, k: int, max_rounds: int | None = None) -> DataFrame:
     """Edges of the largest subgraph in which every vertex has degree k or more. Raises if ``max_rounds`` is given and not enough."""
     e = scratch.keep(edges.select("src", "dst"), "core")
-    n = e.count()
-    for _ in _rounds(max_rounds):
-        if n <= LOCAL_EDGES:
-            core = in_one_task(e, lambda s, d: dict(zip(("vid", "core"), core_numbers(s, d))), "vid long, core long").where(F.col("core") >= k)
-            left = scratch.keep(subgraph(e, core), "core")
-            scratch.drop(e)
-            return left
-        left = scratch.keep(subgraph(e, degrees(e).where(F.col("degree") >= k)), "core")
-        m = left.count()
-        scratch.drop(e)
-        e = left
-        if m == n:
-            break
-        n = m
-    return e
+    left = scratch.keep(subgraph(e, core_numbers(e, k, max_rounds).where(F.col("core") >= k)), "core")
+    scratch.drop(e)
+    return left
 
 
 def k_core_degrees(edges: DataFrame, k: int) -> DataFrame:
@@ -201,45 +180,50 @@ def k_core_degrees(edges: DataFrame, k: int) -> DataFrame:
 
 def k_core_labels(edges: DataFrame, kmax: int | None, vertex: DataFrame | None = None) -> DataFrame:
     """(vid, core): the core number of each vertex, at most ``kmax`` - 1 (null: no limit); vertices without edges get 0."""
-    e = scratch.keep(edges.select("src", "dst"), "core")
-    every = vertices(e).withColumn("core", F.lit(0)) if vertex is None else vertex.select("vid").withColumn("core", F.lit(0))
-    found = [every]
-    for k in range(1, kmax) if kmax else itertools.count(1):
-        if e.count() <= LOCAL_EDGES:
-            core = F.col("core") if kmax is None else F.least("core", F.lit(kmax - 1))
-            found.append(in_one_task(e, lambda s, d: dict(zip(("vid", "core"), core_numbers(s, d))), "vid long, core long").select("vid", core.cast("int").alias("core")))
-            break
-        e = k_core(e, k)
-        if e.isEmpty():
-            break
-        found.append(vertices(e).withColumn("core", F.lit(k)))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return scratch.keep(out.groupBy("vid").agg(F.max("core").alias("core")), "labels")
+    core = core_numbers(edges.select("src", "dst"), None if kmax is None else kmax - 1).withColumn("core", F.col("core").cast("int"))
+    return core if vertex is None else core.unionByName(vertex.select("vid").distinct().join(core, "vid", "left_anti").withColumn("core", F.lit(0)))
+
+
+def _shares(edges: DataFrame) -> DataFrame:
+    """(src, dst, share): what part of a vertex's rank goes to another; parallel edges weigh each."""
+    out = edges.groupBy("src").agg(F.count("*").alias("out_degree"))
+    return edges.groupBy("src", "dst").agg(F.count("*").alias("w")).join(out, "src").select("src", "dst", (F.col("w") / F.col("out_degree")).alias("share"))
 
 
 def page_rank(edges: DataFrame, rounds: int | None = None, tol: float = 0.001, reset: float = 0.15, max_rounds: int | None = None) -> DataFrame:
     """(vid, rank), unnormalised: reset + (1 - reset) * sum of rank / out-degree of those that point here.
 
-    A fixed number of rounds from rank 1, or until no rank moves by more than ``tol``, which takes about log(tol) / log(1 - reset) rounds.
-    Parallel edges weigh each. Raises if ``max_rounds`` is given and not enough.
+    A fixed number of rounds from rank 1. Or without ``rounds`` by residuals: all ranks start at ``reset``, each vertex whose rank
+    rose by more than ``tol`` in the last round passes its rise on, and the others keep theirs; it ends when no vertex has such a rise. So
+    ranks are a little low, and later rounds touch fewer and fewer vertices. Raises if ``max_rounds`` is given and not enough.
     """
     edges = scratch.keep(edges.select("src", "dst"), "rank")
-    out = edges.groupBy("src").agg(F.count("*").alias("out_degree"))
-    e = scratch.keep(edges.groupBy("src", "dst").agg(F.count("*").alias("w")).join(out, "src").select("src", "dst", (F.col("w") / F.col("out_degree")).alias("share")), "rank")
     v = scratch.keep(vertices(edges), "rank")
-    rank = v.withColumn("rank", F.lit(1.0))
-    for i in range(rounds) if rounds else _rounds(max_rounds):
-        got = e.join(rank, e.src == rank.vid).groupBy("dst").agg(F.sum(F.col("rank") * F.col("share")).alias("got"))
-        new = v.join(got, v.vid == got.dst, "left").select("vid", (reset + (1 - reset) * F.coalesce("got", F.lit(0.0))).alias("rank"))
-        kept = scratch.keep(new, "rank")
-        moved = None if rounds else kept.join(rank.withColumnRenamed("rank", "old"), "vid").agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0]
-        scratch.drop(rank)
-        rank = kept
-        if not rounds and (moved or 0) <= tol:
-            break
-    return rank
+    grid = Grid(_shares(edges))
+    scratch.drop(edges)
+    with grid.planned():
+        if rounds:
+            rank = v.withColumn("rank", F.lit(1.0))
+            for _ in range(rounds):
+                got = grid.messages(rank, F.col("src_rank") * F.col("share"))
+                kept = scratch.keep(v.join(got, "vid", "left").select("vid", (reset + (1 - reset) * F.coalesce("msg", F.lit(0.0))).alias("rank")), "rank")
+                scratch.drop(rank)
+                rank = kept
+        else:
+            rank = scratch.keep(v.select("vid", F.lit(reset).alias("rank"), F.lit(reset).alias("rise")), "rank")
+            for i in _rounds(max_rounds):
+                active = rank.where(F.col("rise") > tol)
+                log.info("ranks, round %d: %d vertices pass on", i + 1, n := active.count())
+                if not n:
+                    break
+                got = grid.messages(active.select("vid", "rise"), F.col("src_rise") * F.col("share"))
+                rise = (1 - reset) * F.col("msg")
+                kept = scratch.keep(rank.select("vid", "rank").join(got, "vid", "left").select("vid", (F.col("rank") + F.coalesce(rise, F.lit(0.0))).alias("rank"), rise.alias("rise")), "rank")
+                scratch.drop(rank)
+                rank = kept
+    grid.drop()
+    scratch.drop(v)
+    return rank.select("vid", "rank")
 
 
 def expand(edges: DataFrame, seeds: DataFrame, max_hops: int = 5) -> DataFrame:
@@ -257,94 +241,111 @@ def expand(edges: DataFrame, seeds: DataFrame, max_hops: int = 5) -> DataFrame:
     return seen
 
 
-def pregel(vertex: DataFrame, edges: DataFrame, state: str, to_dst: Column | None, to_src: Column | None, merge: Callable[[Column], Column], update: Callable[[Column, Column], Column], max_rounds: int | None = None, patience: int | None = None) -> DataFrame:
+def _active_edges(grid: Grid, now: DataFrame, direction: str) -> DataFrame:
+    """Edges that send, with src_state and dst_state: those of inactive vertices are left out by the first join."""
+    every, active = now.select("vid", "state"), now.where("active").select("vid", "state")
+    if direction == "either":
+        rest = now.where("not active").select("vid", "state")
+        return _active_edges(grid, now, "out").unionByName(grid.joined(grid.joined(grid.edges, active, "dst"), rest, "src"))
+    ends = {"out": (("src", active), ("dst", every)), "in": (("dst", active), ("src", every)), "both": (("src", active), ("dst", active))}[direction]
+    e = grid.edges
+    for end, state in ends:
+        e = grid.joined(e, state, end)
+    return e
+
+
+def pregel(vertex: DataFrame, edges: DataFrame, state: str, to_dst: Column | None, to_src: Column | None, merge: Callable[[Column], Column], update: Callable[[Column, Column], Column], max_rounds: int | None = None, patience: int | None = None, active_direction: str = "either") -> DataFrame:
     """Message passing to a fixpoint: (vid, state).
 
-    ``to_dst``/``to_src`` are messages over the columns src_state and dst_state (null: none), ``merge`` aggregates
-    them, ``update`` gives the new state from (state, msg). Only edges at vertices that changed send. Raises if
-    ``max_rounds`` is given and not enough; with ``patience`` it ends, as it then stands, once as many vertices
-    changed in that many rounds running (the older rule, 3 or 5, which can end too soon).
+    ``to_dst``/``to_src`` are messages over the edge's columns, src_state and dst_state (null: none), ``merge`` aggregates
+    them, ``update`` gives the new state from (state, msg). An edge sends if a vertex changed in the last round: its source (``active_direction``
+    out), its target (in), any (either) or each of them (both); all count as changed at first. Edges stay in the bucket files of a
+    `Grid`, states come to them. Raises if ``max_rounds`` is given and not enough; with ``patience`` it ends, as it then stands,
+    once as many vertices changed in that many rounds running (the older rule, 3 or 5, which can end too soon).
     """
     now = scratch.keep(vertex.select("vid", F.col(state).alias("state"), F.lit(True).alias("active")), "pregel")
     last, same = None, 0
-    for _ in _rounds(max_rounds):
-        s = edges.join(now.select(F.col("vid").alias("src"), F.col("state").alias("src_state"), F.col("active").alias("__a")), "src").join(now.select(F.col("vid").alias("dst"), F.col("state").alias("dst_state"), F.col("active").alias("__b")), "dst").where("__a or __b")
-        msg = aggregate_messages(s, to_dst, to_src, merge)
-        new = now.join(msg, "vid", "left").select("vid", "state", F.when(F.col("msg").isNull(), F.col("state")).otherwise(update(F.col("state"), F.col("msg"))).alias("to"))
-        kept = scratch.keep(new.select("vid", F.col("to").alias("state"), (~F.col("to").eqNullSafe(F.col("state"))).alias("active")), "pregel")
-        scratch.drop(now)
-        now = kept
-        active = now.where("active").count()
-        same = same + 1 if active == last else 1
-        last = active
-        if not active or (patience and same >= patience):
-            break
+    grid = Grid(edges)
+    with grid.planned():
+        for i in _rounds(max_rounds):
+            msg = aggregate_messages(_active_edges(grid, now, active_direction), to_dst, to_src, merge)
+            new = now.join(msg, "vid", "left").select("vid", "state", F.when(F.col("msg").isNull(), F.col("state")).otherwise(update(F.col("state"), F.col("msg"))).alias("to"))
+            kept = scratch.keep(new.select("vid", F.col("to").alias("state"), (~F.col("to").eqNullSafe(F.col("state"))).alias("active")), "pregel")
+            scratch.drop(now)
+            now = kept
+            active = now.where("active").count()
+            log.info("messages, round %d: %d vertices changed", i + 1, active)
+            same = same + 1 if active == last else 1
+            last = active
+            if not active or (patience and same >= patience):
+                break
+    grid.drop()
     return now.select("vid", F.col("state").alias(state))
 
 
-def least_ancestor(vertex: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
-    """(vid, least): the smallest vertex that can reach each vertex, itself included.
+def least_ancestor(vertex: DataFrame, edges: DataFrame, max_rounds: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """(vid, least): the smallest vertex that can reach each vertex, itself included. With columns ``by`` in both tables, in each such graph apart.
 
     Every round a vertex takes the least its predecessors know, and then what the vertex so found knows itself: that
     one reaches it as well. On a path known distances so double instead of growing by one.
     """
-    now = scratch.keep(vertex.select("vid", F.col("vid").alias("least")), "least")
-    e = scratch.keep(edges.select("src", "dst").where("src <> dst").distinct(), "least")
+    now = scratch.keep(vertex.select(*by, "vid", F.col("vid").alias("least")), "least")
+    e = scratch.keep_bucketed(edges.select(*by, "src", "dst").where("src <> dst").distinct(), "least", *by, "src")
     for _ in _rounds(max_rounds):
-        got = e.join(now.select(F.col("vid").alias("src"), "least"), "src").groupBy(F.col("dst").alias("vid")).agg(F.min("least").alias("got"))
-        one = now.join(got, "vid", "left").select("vid", "least", F.least("least", "got").alias("new"))
-        jump = now.select(F.col("vid").alias("new"), F.col("least").alias("far"))
-        kept = scratch.keep(one.join(jump, "new", "left").select("vid", F.least("new", "far").alias("to"), "least").select("vid", F.col("to").alias("least"), (F.col("to") != F.col("least")).alias("moved")), "least")
+        got = e.join(now.select(*by, F.col("vid").alias("src"), "least"), [*by, "src"]).groupBy(*by, F.col("dst").alias("vid")).agg(F.min("least").alias("got"))
+        one = now.join(got, [*by, "vid"], "left").select(*by, "vid", "least", F.least("least", "got").alias("new"))
+        jump = now.select(*by, F.col("vid").alias("new"), F.col("least").alias("far"))
+        kept = scratch.keep(one.join(jump, [*by, "new"], "left").select(*by, "vid", F.least("new", "far").alias("to"), "least").select(*by, "vid", F.col("to").alias("least"), (F.col("to") != F.col("least")).alias("moved")), "least")
         scratch.drop(now)
         now = kept
         if now.where("moved").isEmpty():
             break
     scratch.drop(e)
-    return now.select("vid", "least")
+    return now.select(*by, "vid", "least")
 
 
-def strongly_connected(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def strongly_connected(edges: DataFrame, max_rounds: int | None = None, orders: int = PIVOT_ORDERS) -> DataFrame:
     """(vid, scc): the smallest vertex id of each vertex's strongly connected component.
 
-    Vertices get the least vertex that reaches them as a colour; those that can also walk back to it inside the colour are its component.
-    Before each round vertices without edges in or out are taken out; once the rest is small one task finishes it. Colours go
-    by hashed ids, so that a long path falls apart into many at once. Raises if ``max_rounds`` is given and not enough.
+    Each round vertices without edges in or out are taken out. Then, in ``orders`` hash orders at once, every vertex learns the first
+    vertex that reaches it and the first that it reaches. Where both are one, that pivot's component is found; all others are told apart by
+    what they learnt, as a component learns alike, and edges between such classes go. So one round finds many components and cuts the rest into
+    many parts: a long path falls apart as in a quicksort. Raises if ``max_rounds`` is given and not enough.
     """
     e = scratch.keep(edges.select("src", "dst").where("src <> dst").distinct(), "scc")
-    left, done = scratch.keep(vertices(edges), "scc"), None
-
-    def add(found):
-        return found if done is None else done.unionByName(found)
-
-    for _ in _rounds(max_rounds):
+    left, done = scratch.keep(vertices(edges), "scc"), []
+    name = lambda k, c: F.xxhash64(F.lit(k), F.col(c))  # noqa: E731 - one to one for each k
+    kinds = range(2 * orders)
+    for i in _rounds(max_rounds):
         inner = scratch.keep(e.select(F.col("src").alias("vid")).intersect(e.select("dst")), "scc")
-        done = scratch.keep(add(left.join(inner, "vid", "left_anti").withColumn("scc", F.col("vid"))), "scc")
-        left = inner
-        e = scratch.keep(subgraph(e, inner), "scc")
-        n = e.count()
-        if n <= LOCAL_EDGES:
-            found = scratch.keep(in_one_task(e, lambda s, d: dict(zip(("vid", "scc"), strong_labels(s, d))), "vid long, scc long"), "scc")
-            return scratch.keep(add(found).unionByName(left.join(found, "vid", "left_anti").withColumn("scc", F.col("vid"))), "scc")
-        # hashed ids are told apart by the id itself: xxhash64 of one long is one to one
-        names = scratch.keep(left.withColumn("h", F.xxhash64("vid")), "scc")
-        hashed = lambda c: names.select(F.col("vid").alias(c), F.col("h").alias("h" + c))
-        he = scratch.keep(e.join(hashed("src"), "src").join(hashed("dst"), "dst").select(F.col("hsrc").alias("src"), F.col("hdst").alias("dst")), "scc")
-        v = names.select(F.col("h").alias("vid"))
-        colors = scratch.keep(least_ancestor(v, he).withColumnRenamed("least", "color"), "scc")
-        inside = subgraph_by_color(he, colors)
-        back = least_ancestor(v, inside.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        found = back.join(colors, "vid").where("least = color").select(F.col("vid").alias("h"), "color").join(names, "h")
-        least = found.groupBy("color").agg(F.min("vid").alias("scc"))
-        settled = scratch.keep(found.join(least, "color").select("vid", "scc"), "scc")
-        done = scratch.keep(add(settled), "scc")
-        left = scratch.keep(left.join(settled, "vid", "left_anti"), "scc")
-        e = scratch.keep(subgraph(e, left), "scc")
+        done.append(scratch.keep(left.join(inner, "vid", "left_anti").withColumn("scc", F.col("vid")), "scc"))
+        cut = scratch.keep(subgraph(e, inner), "scc")
+        scratch.drop(left)
+        scratch.drop(e)
+        if cut.isEmpty():
+            done.append(scratch.keep(inner.withColumn("scc", F.col("vid")), "scc"))
+            scratch.drop(inner)
+            break
+        ways = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), name(k // 2, "dst" if k % 2 else "src").alias("a"), name(k // 2, "src" if k % 2 else "dst").alias("b")) for k in kinds]))
+        directed = cut.select(ways.alias("w")).select("w.kind", F.col("w.a").alias("src"), F.col("w.b").alias("dst"))
+        named = scratch.keep(inner.select("vid", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), name(k // 2, "vid").alias("h")) for k in kinds])).alias("w")).select("vid", "w.*"), "scc")
+        least = least_ancestor(named.select("kind", F.col("h").alias("vid")), directed, by=("kind",)).withColumnRenamed("vid", "h")
+        learnt = named.join(least, ["kind", "h"]).groupBy("vid").agg(*[F.max(F.when(F.col("kind") == k, F.col("least"))).alias(f"p{k}") for k in kinds])
+        pivot = F.coalesce(*[F.when(F.col(f"p{k}") == F.col(f"p{k + 1}"), F.struct(F.lit(k).alias("kind"), F.col(f"p{k}").alias("p"))) for k in kinds[::2]])
+        told = scratch.keep(learnt.select("vid", pivot.alias("pivot"), F.xxhash64(*[f"p{k}" for k in kinds]).alias("class")), "scc")
+        found = told.where("pivot is not null").select("vid", "pivot.*")
+        of = scratch.keep(found.groupBy("kind", "p").agg(F.min("vid").alias("scc"), F.count("*").alias("n")), "scc")
+        done.append(scratch.keep(join_counted(found, of, ["kind", "p"], "n").select("vid", "scc"), "scc"))
+        rest = told.where("pivot is null")
+        a, b = rest.select(F.col("vid").alias("src"), F.col("class").alias("ca")), rest.select(F.col("vid").alias("dst"), F.col("class").alias("cb"))
+        e = scratch.keep(cut.join(a, "src").join(b, "dst").where("ca = cb").select("src", "dst"), "scc")
+        left = scratch.keep(rest.select("vid"), "scc")
+        for t in (inner, cut, named, told, of):
+            scratch.drop(t)
         if left.isEmpty():
-            return done
-    return done
-
-
-def subgraph_by_color(edges: DataFrame, colors: DataFrame) -> DataFrame:
-    """(src, dst, color) of edges whose endpoints have one colour."""
-    a = edges.join(colors.select(F.col("vid").alias("src"), "color"), "src")
-    return scratch.keep(a.join(colors.select(F.col("vid").alias("dst"), F.col("color").alias("__c")), "dst").where("color = __c").select("src", "dst", "color"), "scc")
+            break
+        log.info("strong components, round %d", i + 1)
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out

@@ -45,9 +45,9 @@ def project_cast_substring(spark, d):
     return t.select("tid", F.right("region_cd", F.lit(2)).alias("region_tail"), F.left("acpt_bank", F.lit(2)).alias("bank_head"), F.trim("mchnt_cd").alias("mchnt"), F.substring("pdate", 5, 4).alias("month_day"), (F.col("money").cast("double") / 100).alias("yuan"), F.reverse("pdate").alias("reversed"), F.concat("mchnt_cd", "term_id").alias("atm"))
 
 
-@query("SELECT tid, money FROM tx WHERE pdate > '19940101' AND pdate < '19940201' AND resp_cd4 = '00' AND trans_id <> '' AND mchnt_cd IS NOT NULL AND trans_id NOT IN ('S00', 'S31')", TX)
+@query("SELECT tid, money FROM tx WHERE pdate > '19960101' AND pdate < '19960201' AND resp_cd4 = '00' AND trans_id <> '' AND mchnt_cd IS NOT NULL AND trans_id NOT IN ('S00', 'S31')", TX)
 def filter_exclusive_dates_not_in(spark, d):
-    t = transactions(spark, d).where((F.col("day") > "1994-01-01") & (F.col("day") < "1994-02-01") & (F.col("resp_cd4") == "00") & (F.col("trans_id") != "") & F.col("mchnt_cd").isNotNull())
+    t = transactions(spark, d).where((F.col("day") > "1996-01-01") & (F.col("day") < "1996-02-01") & (F.col("resp_cd4") == "00") & (F.col("trans_id") != "") & F.col("mchnt_cd").isNotNull())
     return R.without(t, "trans_id", ["S00", "S31"]).select("tid", "money")
 
 

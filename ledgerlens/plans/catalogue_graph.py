@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from ledgerlens.operators import flow, graph
 from ledgerlens.operators.components import connected_components
 from ledgerlens.registry import query
-from ledgerlens.sources.transactions import EDGES, table, transfer_edges
+from ledgerlens.sources.transactions import EDGES, EDGES_AT_MERCHANTS, table, transfer_edges
 
 #: All transfer edges between two cards.
-BETWEEN = EDGES + ",\nbetween_cards AS MATERIALIZED (SELECT src, dst, money, cnt FROM edges WHERE src <> dst)"
+_BETWEEN = ",\nbetween_cards AS MATERIALIZED (SELECT src, dst, money, cnt FROM edges WHERE src <> dst)"
+BETWEEN, BETWEEN_AT_MERCHANTS = EDGES + _BETWEEN, EDGES_AT_MERCHANTS + _BETWEEN
 _BOTH = "both_ways AS MATERIALIZED (SELECT src AS a, dst AS b FROM between_cards UNION SELECT dst, src FROM between_cards)"
 #: Lists of cards: those whose balance is below zero, and as seeds those far below.
 LISTED, SEEDED = "c_acctbal < 0", "c_acctbal < -900"
@@ -18,18 +19,31 @@ _DEG = "deg AS MATERIALIZED (SELECT vid, sum(i)::BIGINT AS in_degree, sum(1 - i)
 THRESHOLDS = [*range(0, 10), *range(10, 100, 10), *range(100, 1000, 100), *range(1000, 10001, 1000)]
 
 
-def between_cards(spark, d):
-    """All transfer edges between two cards, whatever their money."""
-    return transfer_edges(spark, d).where("src <> dst").select("src", "dst", "money", "cnt")
+def between_cards(spark, d, apart=False):
+    """All transfer edges between two cards, whatever their money. ``apart``: of cards at each merchant, a graph of many components."""
+    return transfer_edges(spark, d, apart).where("src <> dst").select("src", "dst", "money", "cnt")
+
+
+def for_both(sql: str, ctes: str = ""):
+    """Register f(edges) twice: on all transfers and, as <name>_at_merchants, with every card apart at each merchant."""
+
+    def add(f):
+        for name, apart, between in ((f.__name__, False, BETWEEN), (f"{f.__name__}_at_merchants", True, BETWEEN_AT_MERCHANTS)):
+            registered = lambda spark, d, apart=apart: f(between_cards(spark, d, apart))
+            registered.__name__, registered.__doc__ = name, f.__doc__
+            query(sql, f"{between}, {ctes}" if ctes else between)(registered)
+        return f
+
+    return add
 
 
 def cards_with(spark, d, condition):
     return table(spark, d, "customer").where(condition).select(F.col("c_custkey").alias("vid"))
 
 
-@query("SELECT * FROM deg", f"{BETWEEN}, {_DEG}")
-def vertex_degrees(spark, d):
-    return graph.degrees(between_cards(spark, d))
+@for_both("SELECT * FROM deg", f"{_DEG}")
+def vertex_degrees(e):
+    return graph.degrees(e)
 
 
 @query("SELECT c_custkey AS vid, coalesce(in_degree, 0) AS in_degree, coalesce(out_degree, 0) AS out_degree, coalesce(degree, 0) AS degree FROM customer LEFT JOIN deg ON c_custkey = vid", f"{BETWEEN}, {_DEG}")
@@ -55,14 +69,14 @@ def vertex_subgraph(spark, d):
 _SUMS = "SELECT src, dst, money FROM between_cards JOIN deg a ON a.vid = src JOIN deg b ON b.vid = dst WHERE a.degree + b.degree "
 
 
-@query(_SUMS + "> 2", f"{BETWEEN}, {_DEG}")
-def lone_pairs_removed(spark, d):
-    return graph.without_lone_pairs(between_cards(spark, d)).select("src", "dst", "money")
+@for_both(_SUMS + "> 2", f"{_DEG}")
+def lone_pairs_removed(e):
+    return graph.without_lone_pairs(e).select("src", "dst", "money")
 
 
-@query(_SUMS + "<= 2", f"{BETWEEN}, {_DEG}")
-def lone_pairs(spark, d):
-    return graph.without_lone_pairs(between_cards(spark, d), complement=True).select("src", "dst", "money")
+@for_both(_SUMS + "<= 2", f"{_DEG}")
+def lone_pairs(e):
+    return graph.without_lone_pairs(e, complement=True).select("src", "dst", "money")
 
 
 @query("SELECT vid, sum(m)::BIGINT AS msg FROM (SELECT dst AS vid, money AS m FROM between_cards UNION ALL SELECT src, cnt FROM between_cards) GROUP BY 1", BETWEEN)
@@ -70,20 +84,20 @@ def messages_both_ways(spark, d):
     return graph.aggregate_messages(between_cards(spark, d), F.col("money"), F.col("cnt"))
 
 
-@query("SELECT a AS vid, min(r) AS cc FROM (SELECT a, least(a, min(r)) AS r FROM reach GROUP BY a UNION ALL SELECT a, r FROM reach) GROUP BY 1", f"{BETWEEN}, {_BOTH}, reach(a, r) AS (SELECT a, b FROM both_ways UNION SELECT both_ways.a, reach.r FROM both_ways JOIN reach ON both_ways.b = reach.a)")
-def components(spark, d):
-    return connected_components(between_cards(spark, d))
+@for_both("SELECT a AS vid, min(r) AS cc FROM (SELECT a, least(a, min(r)) AS r FROM reach GROUP BY a UNION ALL SELECT a, r FROM reach) GROUP BY 1", f"{_BOTH}, reach(a, r) AS (SELECT a, b FROM both_ways UNION SELECT both_ways.a, reach.r FROM both_ways JOIN reach ON both_ways.b = reach.a)")
+def components(e):
+    return connected_components(e)
 
 
-@query("SELECT vid, count(*) OVER (PARTITION BY cc) AS size FROM (SELECT a AS vid, least(a, min(r)) AS cc FROM reach GROUP BY 1)", f"{BETWEEN}, {_BOTH}, reach(a, r) AS (SELECT a, b FROM both_ways UNION SELECT both_ways.a, reach.r FROM both_ways JOIN reach ON both_ways.b = reach.a)")
-def component_sizes(spark, d):
-    cc = connected_components(between_cards(spark, d))
+@for_both("SELECT vid, count(*) OVER (PARTITION BY cc) AS size FROM (SELECT a AS vid, least(a, min(r)) AS cc FROM reach GROUP BY 1)", f"{_BOTH}, reach(a, r) AS (SELECT a, b FROM both_ways UNION SELECT both_ways.a, reach.r FROM both_ways JOIN reach ON both_ways.b = reach.a)")
+def component_sizes(e):
+    cc = connected_components(e)
     return cc.join(cc.groupBy("cc").agg(F.count("*").alias("size")), "cc").select("vid", "size")
 
 
-@query("SELECT vid, least(vid, coalesce(min(b.r), vid)) AS scc FROM (SELECT src AS vid FROM between_cards UNION SELECT dst FROM between_cards) v LEFT JOIN (SELECT f.a, f.r FROM reach f JOIN reach g ON f.a = g.r AND f.r = g.a) b ON v.vid = b.a GROUP BY vid", f"{BETWEEN}, reach(a, r) AS (SELECT src, dst FROM between_cards UNION SELECT between_cards.src, reach.r FROM between_cards JOIN reach ON between_cards.dst = reach.a)")
-def strong_components(spark, d):
-    return graph.strongly_connected(between_cards(spark, d))
+@for_both("SELECT vid, least(vid, coalesce(min(b.r), vid)) AS scc FROM (SELECT src AS vid FROM between_cards UNION SELECT dst FROM between_cards) v LEFT JOIN (SELECT f.a, f.r FROM reach f JOIN reach g ON f.a = g.r AND f.r = g.a) b ON v.vid = b.a GROUP BY vid", f"reach(a, r) AS (SELECT src, dst FROM between_cards UNION SELECT between_cards.src, reach.r FROM between_cards JOIN reach ON between_cards.dst = reach.a)")
+def strong_components(e):
+    return graph.strongly_connected(e)
 
 
 def _unrolled_core(k: int, rounds: int) -> str:
@@ -94,9 +108,9 @@ def _unrolled_core(k: int, rounds: int) -> str:
     return ", ".join(parts)
 
 
-@query("SELECT vid, count(*) AS degree FROM (SELECT src AS vid FROM e40 UNION ALL SELECT dst FROM e40) GROUP BY 1", f"{BETWEEN}, {_unrolled_core(3, 40)}")
-def three_core_degrees(spark, d):
-    return graph.k_core_degrees(between_cards(spark, d), 3)
+@for_both("SELECT vid, count(*) AS degree FROM (SELECT src AS vid FROM e40 UNION ALL SELECT dst FROM e40) GROUP BY 1", f"{_unrolled_core(3, 40)}")
+def three_core_degrees(e):
+    return graph.k_core_degrees(e, 3)
 
 
 def unrolled_labels(source: str, rounds: int = 120) -> str:
@@ -107,9 +121,9 @@ def unrolled_labels(source: str, rounds: int = 120) -> str:
     return ", ".join(parts) + f", labels AS MATERIALIZED (SELECT * FROM h{rounds})"
 
 
-@query("SELECT * FROM labels", f"{BETWEEN}, {unrolled_labels('between_cards')}")
-def core_labels(spark, d):
-    return graph.k_core_labels(between_cards(spark, d), None)
+@for_both("SELECT * FROM labels", f"{unrolled_labels('between_cards')}")
+def core_labels(e):
+    return graph.k_core_labels(e, None)
 
 
 def _unrolled_rank(rounds: int) -> str:
@@ -124,9 +138,18 @@ def page_rank_six_rounds(spark, d):
     return graph.page_rank(between_cards(spark, d), rounds=6).select("vid", F.round("rank", 6).alias("rank"))
 
 
-@query()
-def page_rank_to_tolerance(spark, d):
-    return graph.page_rank(between_cards(spark, d))
+def _unrolled_rises(rounds: int, tol: float = 0.001) -> str:
+    """Ranks by residuals; once no rise is above the tolerance, further rounds change nothing."""
+    parts = ["vs AS MATERIALIZED (SELECT src AS vid FROM between_cards UNION SELECT dst FROM between_cards)", "share AS MATERIALIZED (SELECT src, dst, 1.0::DOUBLE / count(*) OVER (PARTITION BY src) AS share FROM between_cards)", "r0 AS (SELECT vid, 0.15::DOUBLE AS rank, 0.15::DOUBLE AS rise FROM vs)"]
+    for i in range(rounds):
+        got = f"(SELECT dst AS vid, 0.85 * sum(rise * share)::DOUBLE AS rise FROM share JOIN r{i} ON share.src = r{i}.vid WHERE rise > {tol} GROUP BY 1)"
+        parts.append(f"r{i + 1} AS MATERIALIZED (SELECT vid, r.rank + coalesce(g.rise, 0) AS rank, g.rise FROM r{i} r LEFT JOIN {got} g USING (vid))")
+    return ", ".join(parts)
+
+
+@for_both("SELECT vid, round(rank, 6) AS rank FROM r80", f"{_unrolled_rises(80)}")
+def page_rank_to_tolerance(e):
+    return graph.page_rank(e).select("vid", F.round("rank", 6).alias("rank"))
 
 
 @query("SELECT DISTINCT vid FROM near", f"{BETWEEN}, {_BOTH}, near(vid, hop) AS (SELECT c_custkey, 0 FROM customer WHERE {SEEDED} UNION SELECT b, hop + 1 FROM near JOIN both_ways ON a = vid WHERE hop < 3)")
@@ -134,17 +157,15 @@ def seed_expansion(spark, d):
     return graph.expand(between_cards(spark, d), cards_with(spark, d, SEEDED), 3)
 
 
-@query("SELECT vid, min(money_seen) AS least_seen FROM (SELECT a AS vid, min(r) AS money_seen FROM reach GROUP BY 1 UNION ALL SELECT vid, vid FROM (SELECT src AS vid FROM between_cards UNION SELECT dst FROM between_cards)) GROUP BY 1", f"{BETWEEN}, reach(a, r) AS (SELECT dst, src FROM between_cards UNION SELECT between_cards.dst, reach.r FROM between_cards JOIN reach ON between_cards.src = reach.a)")
-def pregel_smallest_ancestor(spark, d):
+@for_both("SELECT vid, min(money_seen) AS least_seen FROM (SELECT a AS vid, min(r) AS money_seen FROM reach GROUP BY 1 UNION ALL SELECT vid, vid FROM (SELECT src AS vid FROM between_cards UNION SELECT dst FROM between_cards)) GROUP BY 1", f"reach(a, r) AS (SELECT dst, src FROM between_cards UNION SELECT between_cards.dst, reach.r FROM between_cards JOIN reach ON between_cards.src = reach.a)")
+def pregel_smallest_ancestor(e):
     """Each vertex learns the smallest vertex that can reach it."""
-    e = between_cards(spark, d)
     return graph.least_ancestor(graph.vertices(e), e).withColumnRenamed("least", "least_seen")
 
 
-@query("SELECT a AS vid, min(r) AS cc FROM (SELECT a, least(a, min(r)) AS r FROM reach GROUP BY a UNION ALL SELECT a, r FROM reach) GROUP BY 1", f"{BETWEEN}, {_BOTH}, reach(a, r) AS (SELECT a, b FROM both_ways UNION SELECT both_ways.a, reach.r FROM both_ways JOIN reach ON both_ways.b = reach.a)")
-def pregel_components(spark, d):
+@for_both("SELECT a AS vid, min(r) AS cc FROM (SELECT a, least(a, min(r)) AS r FROM reach GROUP BY a UNION ALL SELECT a, r FROM reach) GROUP BY 1", f"{_BOTH}, reach(a, r) AS (SELECT a, b FROM both_ways UNION SELECT both_ways.a, reach.r FROM both_ways JOIN reach ON both_ways.b = reach.a)")
+def pregel_components(e):
     """Components by messages both ways: the general loop."""
-    e = between_cards(spark, d)
     less = lambda a, b: F.when(F.col(a) < F.col(b), F.col(a))
     return graph.pregel(graph.vertices(e).withColumn("cc", F.col("vid")), e, "cc", less("src_state", "dst_state"), less("dst_state", "src_state"), F.min, lambda s, m: F.least(s, m))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import flow, gaps, graph, profiles
+from ledgerlens.operators import flow, gaps, graph, profiles, states
 from ledgerlens.operators import relational as R
 from ledgerlens.plans import scratch
 from ledgerlens.registry import query
@@ -70,6 +70,35 @@ def week_sets(spark, d):
     return t.groupBy("srccard", week.alias("week")).agg(F.sum("money").alias("amount"), F.count("*").alias("cnt"), F.count_distinct("dstcard").alias("receivers"), F.count_distinct("place").alias("places"), F.count_distinct("pdate").alias("days"))
 
 
+_WEEK = "CAST(date_diff('day', DATE '1992-01-01', day) // 7 AS INTEGER)"
+
+
+def _states(spark, d):
+    """A state for each card and day, kept: all that the merged profiles read."""
+    nations = table(spark, d, "nation").count()
+    return scratch.keep(states.day_states(transactions(spark, d), ["card", "day"], F.col("region_cd").cast("int") - 1000, nations), "states")
+
+
+@query(f"SELECT card, {_PROFILE} FROM tx GROUP BY 1", TX)
+def period_profile_of_days(spark, d):
+    """The period's profile out of day states."""
+    return states.profile_of(states.merge(_states(spark, d), "card"), "card")
+
+
+@query(f"SELECT card, {_WEEK} AS week, {_PROFILE} FROM tx GROUP BY 1, 2", TX)
+def week_profile_of_days(spark, d):
+    week = F.floor(F.date_diff(F.col("day"), F.lit("1992-01-01").cast("date")) / 7).cast("int")
+    return states.profile_of(states.merge(_states(spark, d).withColumn("week", week), "card", "week"), "card", "week")
+
+
+@query(f"SELECT card, {_PROFILE}, min(money) AS least, max(money) AS most FROM tx GROUP BY 1", TX)
+def period_profile_of_weeks_of_days(spark, d):
+    """Merged twice, days to weeks and weeks to the period, with the extremes."""
+    week = F.floor(F.date_diff(F.col("day"), F.lit("1992-01-01").cast("date")) / 7).cast("int")
+    weeks = states.merge(_states(spark, d).withColumn("week", week), "card", "week")
+    return states.profile_of(states.merge(weeks, "card").select("*"), "card", "least", "most")
+
+
 def _lag(key, where, cols, order="at_s DESC, tid, money", extra=""):
     return f"SELECT {cols}{extra} FROM (SELECT *, round(abs(at_s - lag(at_s) OVER w) / 60.0, 2) AS gap_minutes, lag(money) OVER w AS prev_money, lag(card) OVER w AS prev_card FROM (SELECT *, {_SECS} FROM tx) WHERE {where} WINDOW w AS (PARTITION BY {key} ORDER BY {order}))"
 

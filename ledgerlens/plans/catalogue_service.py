@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import features, graph, hetero
+from ledgerlens.operators import communities, features, graph, hetero
 from ledgerlens.operators import relational as R
 from ledgerlens.operators.components import connected_components
 from ledgerlens.registry import query
 from ledgerlens.plans import scratch
 from ledgerlens.plans.catalogue_graph import LISTED, unrolled_labels
+from ledgerlens.sources import io
 from ledgerlens.sources import schema as S
-from ledgerlens.sources.transactions import TX, table, transactions
+from ledgerlens.sources.transactions import TX, TX_AT_MERCHANTS, at_merchants, table, transactions
 
 _Y = "(money // 100)"
 _B = f"length(CAST({_Y} AS STRING))"
@@ -71,19 +72,37 @@ def scores_of_listed_cards(spark, d):
     return features.attach_originals(features.rank_sum_score(features.card_features(transactions(spark, d))), listed).select("oricard", "card", "score")
 
 
-def _transfers(spark, d):
-    return transactions(spark, d).where("trans_id in ('S33', 'S25') and srccard <> dstcard")
+def for_both(sql: str, ctes: str = ""):
+    """Register f(tx) twice: on all transactions and, as <name>_at_merchants, with every card apart at each merchant."""
 
+    def add(f):
+        def whole(spark, d):
+            return f(transactions(spark, d))
 
-def _merged(spark, d):
-    return scratch.keep(features.merge_transfers(_transfers(spark, d)), "merged")
+        def apart(spark, d):
+            return f(at_merchants(transactions(spark, d)))
 
+        for g, name, tx in ((whole, f.__name__, TX), (apart, f"{f.__name__}_at_merchants", TX_AT_MERCHANTS)):
+            g.__name__, g.__doc__ = name, f.__doc__
+            query(sql, f"{tx}, {ctes}" if ctes else tx)(g)
+        return f
 
-def _communities(spark, d):
+    return add
+
+
+def _transfers(tx):
+    return tx.where("trans_id in ('S33', 'S25') and srccard <> dstcard")
+
+
+def _merged(tx):
+    return scratch.keep(features.merge_transfers(_transfers(tx)), "merged")
+
+
+def _communities(tx):
     """Members of the communities and their features, from transfers merged once."""
-    merged = _merged(spark, d)
+    merged = _merged(tx)
     members = features.community_vertices(merged, None)
-    return members, features.community_features(merged, members, _transfers(spark, d))
+    return members, features.community_features(merged, members, _transfers(tx))
 
 
 MODE = "list_sort(list_transform(map_entries(histogram({c})), lambda e: {{'n': -(e.value::BIGINT), 'v': e.key}}))[1].v AS mode_{c}"
@@ -108,53 +127,82 @@ _MEMBERS = (
 )
 
 
-@query("SELECT * FROM comm", f"{TX}, {_COMM}, {_MEMBERS}")
-def community_feature_vector(spark, d):
-    return _communities(spark, d)[1]
+@for_both("SELECT * FROM comm", f"{_COMM}, {_MEMBERS}")
+def community_feature_vector(tx):
+    return _communities(tx)[1]
 
 
-@query("SELECT * FROM mem", f"{TX}, {_COMM}, {_MEMBERS}")
-def community_members(spark, d):
-    return features.community_vertices(_merged(spark, d), None)
+@for_both("SELECT * FROM mem", f"{_COMM}, {_MEMBERS}")
+def community_members(tx):
+    return features.community_vertices(_merged(tx), None)
 
 
-@query("SELECT src, dst, money::BIGINT AS money, cnt, charge4, night::BIGINT AS night, other_city, " + ", ".join([*[f"mode_{c}" for c in features.MODES], *[f"n_{c}" for c in features.COUNTED]]) + f" FROM (SELECT srccard AS src, dstcard AS dst, {MERGE} FROM tx WHERE trans_id IN ('S33', 'S25') AND srccard <> dstcard GROUP BY 1, 2)", TX)
-def merged_transfers_five_modes(spark, d):
+@for_both("SELECT src, dst, money::BIGINT AS money, cnt, charge4, night::BIGINT AS night, other_city, " + ", ".join([*[f"mode_{c}" for c in features.MODES], *[f"n_{c}" for c in features.COUNTED]]) + f" FROM (SELECT srccard AS src, dstcard AS dst, {MERGE} FROM tx WHERE trans_id IN ('S33', 'S25') AND srccard <> dstcard GROUP BY 1, 2)")
+def merged_transfers_five_modes(tx):
     """All transfers merged by pair: five modes and five distinct counts."""
-    return features.merge_transfers(_transfers(spark, d))
+    return features.merge_transfers(_transfers(tx))
 
 
-@query("SELECT cc, count(DISTINCT region_cd) AS regions, count(DISTINCT term_id) AS terminals, count(DISTINCT trans_chnl) AS channels FROM t JOIN cc ON srccard = vid GROUP BY 1", f"{TX}, {_COMM}")
-def component_distinct_counts(spark, d):
-    cc = connected_components(graph.without_lone_pairs(_merged(spark, d)))
-    return features.community_distinct(_transfers(spark, d), cc, {"regions": "region_cd", "terminals": "term_id", "channels": "trans_chnl"})
+@for_both("SELECT cc, count(DISTINCT region_cd) AS regions, count(DISTINCT term_id) AS terminals, count(DISTINCT trans_chnl) AS channels FROM t JOIN cc ON srccard = vid GROUP BY 1", f"{_COMM}")
+def component_distinct_counts(tx):
+    cc = connected_components(graph.without_lone_pairs(_merged(tx)))
+    return features.community_distinct(_transfers(tx), cc, {"regions": "region_cd", "terminals": "term_id", "channels": "trans_chnl"})
 
 
-@query("SELECT m.src, m.dst, m.money::BIGINT AS money FROM m WHERE src IN (SELECT vid FROM mem JOIN comm USING (cc) WHERE max_core > 1 AND max_degree > 3) OR dst IN (SELECT vid FROM mem JOIN comm USING (cc) WHERE max_core > 1 AND max_degree > 3)", f"{TX}, {_COMM}, {_MEMBERS}")
-def edges_of_chosen_communities(spark, d):
-    merged = _merged(spark, d)
+@for_both("SELECT m.src, m.dst, m.money::BIGINT AS money FROM m WHERE src IN (SELECT vid FROM mem JOIN comm USING (cc) WHERE max_core > 1 AND max_degree > 3) OR dst IN (SELECT vid FROM mem JOIN comm USING (cc) WHERE max_core > 1 AND max_degree > 3)", f"{_COMM}, {_MEMBERS}")
+def edges_of_chosen_communities(tx):
+    merged = _merged(tx)
     m = features.community_vertices(merged, None)
     chosen = m.groupBy("cc").agg(F.max("core").alias("core"), F.max("degree").alias("degree")).where("core > 1 and degree > 3")
     return graph.touching_communities(merged, m, chosen).select("src", "dst", "money")
 
 
-@query("SELECT cc, cc_num, trans_num::BIGINT AS trans_num, money::BIGINT AS money, night::BIGINT AS night, other_city::BIGINT AS other_city FROM (SELECT cc, count(*) AS cc_num FROM cc GROUP BY 1) JOIN (SELECT cc, sum(cnt) AS trans_num, sum(money) AS money, sum(night) AS night, sum(other_city) AS other_city FROM k JOIN cc ON src = vid GROUP BY 1) USING (cc)", f"{TX}, {_COMM}")
-def community_totals(spark, d):
-    e = graph.without_lone_pairs(_merged(spark, d))
+_SUMMARY = "chosen AS (SELECT cc FROM mem GROUP BY 1 HAVING max(core) > 1 AND count(*) BETWEEN 4 AND 4000)"
+
+
+def _stored(tx):
+    """Merged edges stored by community, and what is known of each community."""
+    merged = _merged(tx)
+    m = features.community_vertices(merged, None)
+    path = scratch.new_path(tx.sparkSession, "communities")
+    communities.store(merged.select("src", "dst", "money"), m, path)
+    return path, scratch.keep(m.groupBy("cc").agg(F.max("core").alias("core"), F.count("*").alias("size")), "summary")
+
+
+@for_both("SELECT cc, src, dst, money::BIGINT AS money FROM k JOIN cc ON src = vid WHERE cc IN (SELECT cc FROM chosen)", f"{_COMM}, {_MEMBERS}, {_SUMMARY}")
+def stored_edges_of_chosen_communities(tx):
+    """As edges_of_chosen_communities, from edges stored by community: others' folders are not read."""
+    path, summary = _stored(tx)
+    return communities.edges_of(tx.sparkSession, path, summary.where("core > 1 and size between 4 and 4000")).select("cc", "src", "dst", "money")
+
+
+@for_both("SELECT cc, src, dst, money::BIGINT AS money FROM k JOIN cc ON src = vid WHERE cc IN (SELECT cc FROM k JOIN cc ON src = vid GROUP BY 1 HAVING count(*) >= 6)", _COMM)
+def community_dump_read_back(tx):
+    """The edges of every community of six edges or more, a folder for each, read back with the community from the folder's name."""
+    e = graph.without_lone_pairs(_merged(tx))
+    cc = connected_components(e)
+    path = scratch.new_path(tx.sparkSession, "dump")
+    io.write_groups(e.select("src", "dst", "money").join(cc.select(F.col("vid").alias("src"), "cc"), "src"), path, "cc", 6)
+    return tx.sparkSession.read.schema("src long, dst long, money long, cc long").parquet(path)
+
+
+@for_both("SELECT cc, cc_num, trans_num::BIGINT AS trans_num, money::BIGINT AS money, night::BIGINT AS night, other_city::BIGINT AS other_city FROM (SELECT cc, count(*) AS cc_num FROM cc GROUP BY 1) JOIN (SELECT cc, sum(cnt) AS trans_num, sum(money) AS money, sum(night) AS night, sum(other_city) AS other_city FROM k JOIN cc ON src = vid GROUP BY 1) USING (cc)", f"{_COMM}")
+def community_totals(tx):
+    e = graph.without_lone_pairs(_merged(tx))
     cc = connected_components(e)
     inside = e.join(cc.select(F.col("vid").alias("src"), "cc"), "src").groupBy("cc").agg(F.sum("cnt").alias("trans_num"), F.sum("money").alias("money"), F.sum("night").alias("night"), F.sum("other_city").alias("other_city"))
     return cc.groupBy("cc").agg(F.count("*").alias("cc_num")).join(inside, "cc")
 
 
-@query("SELECT cc, vid, place FROM (SELECT *, row_number() OVER (PARTITION BY cc ORDER BY core DESC, degree DESC, in_degree DESC, out_degree DESC, transit DESC, vid) AS place FROM mem) WHERE place < 100", f"{TX}, {_COMM}, {_MEMBERS}")
-def top_members_of_communities(spark, d):
-    m = features.community_vertices(_merged(spark, d), None)
+@for_both("SELECT cc, vid, place FROM (SELECT *, row_number() OVER (PARTITION BY cc ORDER BY core DESC, degree DESC, in_degree DESC, out_degree DESC, transit DESC, vid) AS place FROM mem) WHERE place < 100", f"{_COMM}, {_MEMBERS}")
+def top_members_of_communities(tx):
+    m = features.community_vertices(_merged(tx), None)
     return R.top_in_group(m, "cc", 99, F.desc("core"), F.desc("degree"), F.desc("in_degree"), F.desc("out_degree"), F.desc("transit"), F.asc("vid")).select("cc", "vid", "place")
 
 
-@query("SELECT * FROM comm WHERE cc_num < 2000 ORDER BY max_degree DESC, big_core_num DESC, money DESC, max_core DESC, trans_num DESC, cc LIMIT 100", f"{TX}, {_COMM}, {_MEMBERS}")
-def top_100_communities(spark, d):
-    c = _communities(spark, d)[1].where("cc_num < 2000")
+@for_both("SELECT * FROM comm WHERE cc_num < 2000 ORDER BY max_degree DESC, big_core_num DESC, money DESC, max_core DESC, trans_num DESC, cc LIMIT 100", f"{_COMM}, {_MEMBERS}")
+def top_100_communities(tx):
+    c = _communities(tx)[1].where("cc_num < 2000")
     return c.orderBy(F.desc("max_degree"), F.desc("big_core_num"), F.desc("money"), F.desc("max_core"), F.desc("trans_num"), "cc").limit(100)
 
 
@@ -164,12 +212,12 @@ for _names, _w in ((features.FULL, 1.0), (features.HALF, 0.5), (features.QUARTER
         _ALL_WEIGHTS[_n] = _ALL_WEIGHTS.get(_n, 0.0) + _w
 
 
-@query("SELECT card, " + " + ".join(f"{w}::DOUBLE * dense_rank() OVER (ORDER BY coalesce({k}, 0))" for k, w in _ALL_WEIGHTS.items()) + " AS score FROM cards LEFT JOIN (SELECT vid AS card, comm.* FROM mem JOIN comm USING (cc)) USING (card)", f"{TX}, {_CARDS}, {_COMM}, {_MEMBERS}")
-def card_and_community_score(spark, d):
+@for_both("SELECT card, " + " + ".join(f"{w}::DOUBLE * dense_rank() OVER (ORDER BY coalesce({k}, 0))" for k, w in _ALL_WEIGHTS.items()) + " AS score FROM cards LEFT JOIN (SELECT vid AS card, comm.* FROM mem JOIN comm USING (cc)) USING (card)", f"{_CARDS}, {_COMM}, {_MEMBERS}")
+def card_and_community_score(tx):
     """Card features with those of the card's community, nulls as zero, ranked and summed."""
-    m, c = _communities(spark, d)
+    m, c = _communities(tx)
     c = m.select(F.col("vid").alias("card"), "cc").join(c, "cc").drop("cc")
-    return features.rank_sum_score(features.card_features(transactions(spark, d)).join(c, "card", "left"))
+    return features.rank_sum_score(features.card_features(tx).join(c, "card", "left"))
 
 
 _HET = "het AS (" + " UNION ALL ".join(f"SELECT 'card:' || srccard AS src, '{k}:' || {c} AS dst, '{t}' AS edge_type, money, CASE WHEN substr(loc_trans_tm, 1, 2) BETWEEN '01' AND '05' THEN 1 ELSE 0 END AS night FROM tx WHERE trans_id IN ({', '.join(repr(x) for x in codes)})" for t, (codes, k, c) in hetero.EDGE_TYPES.items()) + ")"
@@ -193,16 +241,16 @@ def mixed_graph_vertex_counts(spark, d):
 _HCC = "h AS (SELECT * FROM het WHERE edge_type IN ('trans_at', 'quxian_at')), names AS (SELECT 'card:' || vid AS vid, cc FROM cc)"
 
 
-def _regions(spark, d):
-    m = connected_components(graph.without_lone_pairs(_merged(spark, d))).select(F.concat(F.lit("card:"), F.col("vid").cast("string")).alias("vid"), "cc")
-    return hetero.regions_of_communities(hetero.typed_edges(transactions(spark, d)), m)
+def _regions(tx):
+    m = connected_components(graph.without_lone_pairs(_merged(tx))).select(F.concat(F.lit("card:"), F.col("vid").cast("string")).alias("vid"), "cc")
+    return hetero.regions_of_communities(hetero.typed_edges(tx), m)
 
 
-@query("SELECT cc, count(DISTINCT dst) AS regions FROM h JOIN names ON src = vid GROUP BY 1", f"{TX}, {_COMM}, {_HET}, {_HCC}")
-def regions_per_community(spark, d):
-    return _regions(spark, d)[0]
+@for_both("SELECT cc, count(DISTINCT dst) AS regions FROM h JOIN names ON src = vid GROUP BY 1", f"{_COMM}, {_HET}, {_HCC}")
+def regions_per_community(tx):
+    return _regions(tx)[0]
 
 
-@query("SELECT dst AS region, count(DISTINCT cc) AS communities FROM h JOIN names ON src = vid GROUP BY 1", f"{TX}, {_COMM}, {_HET}, {_HCC}")
-def communities_per_region(spark, d):
-    return _regions(spark, d)[1]
+@for_both("SELECT dst AS region, count(DISTINCT cc) AS communities FROM h JOIN names ON src = vid GROUP BY 1", f"{_COMM}, {_HET}, {_HCC}")
+def communities_per_region(tx):
+    return _regions(tx)[1]

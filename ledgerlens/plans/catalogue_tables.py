@@ -105,6 +105,49 @@ def table_emptied_filled_and_renamed(spark, d):
     return _read(spark, name, moved)
 
 
+_MONTHLY = T.StructType([T.StructField("card", T.LongType()), T.StructField("money", T.LongType()), T.StructField("pdate", T.StringType()), T.StructField("month", T.StringType())])
+
+
+def _monthly(spark, d, code: str):
+    return transactions(spark, d).where(F.col("trans_id") == code).select("card", "money", "pdate", F.left("pdate", F.lit(6)).alias("month"))
+
+
+def _monthly_table(spark, d) -> tuple[str, str]:
+    """A table of transfers in, a folder a month."""
+    name, path = _name(), scratch.new_path(spark, "months")
+    tables.create_partitioned(spark, name, _MONTHLY, ["month"], path)
+    tables.write_partitions(_monthly(spark, d, "S33"), name, ["month"])
+    return name, path
+
+
+@query("SELECT card, money, pdate, left(pdate, 6) AS month FROM tx WHERE trans_id = 'S33' AND left(pdate, 6) NOT IN (SELECT left(pdate, 6) FROM tx WHERE trans_id = 'S25' AND pdate BETWEEN '19960310' AND '19960620') UNION ALL SELECT card, money, pdate, left(pdate, 6) FROM tx WHERE trans_id = 'S25' AND pdate BETWEEN '19960310' AND '19960620'", TX)
+def some_partitions_overwritten(spark, d):
+    """The months that new rows fall in are replaced whole; all others stay."""
+    name, path = _monthly_table(spark, d)
+    tables.write_partitions(_monthly(spark, d, "S25").where(F.col("pdate").between("19960310", "19960620")), name, ["month"])
+    return _read_months(spark, name, path)
+
+
+@query("SELECT card, money, pdate, left(pdate, 6) AS month FROM tx WHERE trans_id IN ('S33', 'S25') AND left(pdate, 6) <> '199701'", TX)
+def partitions_appended_and_dropped(spark, d):
+    name, path = _monthly_table(spark, d)
+    tables.write_partitions(_monthly(spark, d, "S25"), name, ["month"], replace=False)
+    tables.drop_partition(spark, name, month="199701")
+    return _read_months(spark, name, path)
+
+
+@query("SELECT card, money, pdate, left(pdate, 6) AS month FROM tx WHERE trans_id = 'S33' AND pdate BETWEEN '19970115' AND '19970310'", TX)
+def partition_range_scan(spark, d):
+    """A date range on a partitioned table: months outside it are not read."""
+    name, path = _monthly_table(spark, d)
+    return _read_months(spark, name, path).where(F.col("month").between("199701", "199703") & F.col("pdate").between("19970115", "19970310"))
+
+
+def _read_months(spark, name: str, path: str):
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(_MONTHLY).parquet(path)
+
+
 @query(_BY_CARD, TX)
 def directory_overwritten(spark, d):
     path = scratch.new_path(spark, "directory")

@@ -79,8 +79,39 @@ def keep(df: DataFrame, name: str = "cut") -> DataFrame:
     return out
 
 
+def keep_bucketed(df: DataFrame, name: str, *columns: str, buckets: int | None = None) -> DataFrame:
+    """Like ``keep``, dealt into bucket files by ``columns``: a join on them reads the files as they lie, without a shuffle of this side.
+
+    As many buckets as there are shuffle partitions unless given. Each is written by one task.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path, table = new_path(spark, name), f"ledgerlens_scratch_{uuid.uuid4().hex}"
+    df.repartition(n, *columns).write.format("parquet").bucketBy(n, *columns).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    out._scratch_path, out._scratch_table = path, table
+    if _scopes:
+        _scopes[-1].kept.append(out)
+    return out
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for what is planned inside; those from before come back at the end."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def drop(df: DataFrame | None) -> None:
     """Remove the files behind a frame returned by ``keep``; its users must have been written by then."""
     if (path := getattr(df, "_scratch_path", None)) is None:
         return
+    if (table := getattr(df, "_scratch_table", None)) is not None:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
     io.remove(df.sparkSession, path)

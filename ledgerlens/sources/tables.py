@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.plans import scratch
 from ledgerlens.sources import io
 from ledgerlens.sources.io import FIELD, read_delimited
 
@@ -15,6 +17,32 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{path}'")
 
 
+def create_partitioned(spark: SparkSession, name: str, schema: T.StructType, by: list[str], path: str) -> None:
+    """An empty table with a folder for each combination of the columns ``by``, which go last."""
+    fields = [f for f in schema if f.name not in by] + [schema[c] for c in by]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(f'`{c}`' for c in by)}) LOCATION '{path}'")
+
+
+def write_partitions(df: DataFrame, name: str, by: list[str], replace: bool = True) -> None:
+    """Rows into a partitioned table. With ``replace`` the partitions that ``df`` has rows of are theirs alone afterwards; all others stay.
+
+    Each partition is dealt to as many tasks as its size asks for, not to one, and not to all.
+    """
+    spark = df.sparkSession
+    columns = spark.table(name).columns
+    with scratch.settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        df.select(*columns).hint("rebalance", *[F.col(c) for c in by]).write.insertInto(name, overwrite=replace)
+
+
+def drop_partition(spark: SparkSession, name: str, **values: str) -> None:
+    """One partition out of a table, with its files."""
+    spec = ", ".join(f"`{k}`='{v}'" for k, v in values.items())
+    folder = f"{location(spark, name)}/" + "/".join(f"{k}={v}" for k, v in values.items())
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+    io.remove(spark, folder)
+
+
 def create_table_as(spark: SparkSession, name: str, query: str, path: str) -> None:
     """A table with the rows of a SQL query."""
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}' AS {query}")

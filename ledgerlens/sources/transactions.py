@@ -43,8 +43,13 @@ TX = (
     + " FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),\n"
     + f"tx AS (SELECT *, {_CARD} AS card, strftime(day, '%Y%m%d') AS pdate, lpad(CAST(secs // 3600 AS STRING), 2, '0') || lpad(CAST(secs // 60 % 60 AS STRING), 2, '0') || lpad(CAST(secs % 60 AS STRING), 2, '0') AS loc_trans_tm FROM tx0)"
 )
+#: What a card is called at one merchant: its transfers there are a graph apart, so there are many communities.
+_THERE = "CAST(mchnt_cd AS BIGINT) * 1000000000 + {c}"
+_CARDS = ("srccard", "dstcard", "card")
+TX_AT_MERCHANTS = TX.replace("\ntx AS (", "\neverywhere AS (") + f",\ntx AS (SELECT * REPLACE ({', '.join(f'{_THERE.format(c=c)} AS {c}' for c in _CARDS)}) FROM everywhere)"
 #: Merged edges of the transfer graph, self-loops kept.
-EDGES = TX + ",\nedges AS (SELECT srccard AS src, dstcard AS dst, sum(money) AS money, count(*) AS cnt, sum(CASE WHEN trans_md <> '1' THEN 1 ELSE 0 END) AS foreign_cnt FROM tx WHERE trans_id IN ('S33', 'S25') GROUP BY 1, 2)"
+_EDGES = ",\nedges AS (SELECT srccard AS src, dstcard AS dst, sum(money) AS money, count(*) AS cnt, sum(CASE WHEN trans_md <> '1' THEN 1 ELSE 0 END) AS foreign_cnt FROM tx WHERE trans_id IN ('S33', 'S25') GROUP BY 1, 2)"
+EDGES, EDGES_AT_MERCHANTS = TX + _EDGES, TX_AT_MERCHANTS + _EDGES
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +62,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select("*", F.expr(_CARD).alias("card"), F.date_format("day", "yyyyMMdd").alias("pdate"), hms.alias("loc_trans_tm"))
 
 
-def transfer_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transfers merged by sender and receiver: src, dst, money, cnt, foreign_cnt."""
-    t = transactions(spark, sf_dir).where(F.col("trans_id").isin("S33", "S25"))
+def at_merchants(tx: DataFrame) -> DataFrame:
+    """Transactions with every card apart at each merchant."""
+    return tx.withColumns({c: F.expr(_THERE.format(c=c)) for c in _CARDS})
+
+
+def transfer_edges(spark: SparkSession, sf_dir: str, apart: bool = False) -> DataFrame:
+    """Transfers merged by sender and receiver: src, dst, money, cnt, foreign_cnt. ``apart``: of cards at each merchant."""
+    tx = transactions(spark, sf_dir)
+    t = (at_merchants(tx) if apart else tx).where(F.col("trans_id").isin("S33", "S25"))
     return t.groupBy(F.col("srccard").alias("src"), F.col("dstcard").alias("dst")).agg(F.sum("money").alias("money"), F.count("*").alias("cnt"), F.count_if(F.col("trans_md") != "1").alias("foreign_cnt"))

@@ -3,12 +3,13 @@
 import collections
 import random
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import graph
 from ledgerlens.operators.components import connected_components
+from ledgerlens.operators.grid import Grid
+from ledgerlens.plans import scratch
 
 
 def edges(spark, pairs):
@@ -106,20 +107,18 @@ def test_merge_and_messages(spark):
     assert as_dict(graph.aggregate_messages(e, F.col("money"), None), "vid", "msg") == {2: 12, 1: 1}
 
 
-@pytest.mark.parametrize("local", [10**6, 0])
-def test_long_paths_and_rings(spark, local, monkeypatch):
-    """A path hangs on a ring: 300 vertices where one task finishes, fewer where each round is a job."""
-    monkeypatch.setattr(graph, "LOCAL_EDGES", local)
-    n = 300 if local else 24
+def test_long_paths_and_rings(spark):
+    """A path of 300 vertices hangs on a ring."""
+    n = 300
     rnd = random.Random(3)
     name = rnd.sample(range(1000, 2000), n + 5)
     path = [(name[i], name[i + 1]) for i in range(n - 1)]
     ring = [(name[n - 1], name[n]), (name[n], name[n + 1]), (name[n + 1], name[n - 1])]
     e = spark.createDataFrame(path + ring, "src long, dst long")
-    scc = {r.vid: r.scc for r in graph.strongly_connected(e).collect()}
+    scc = {r.vid: r.scc for r in graph.strongly_connected(e, max_rounds=8).collect()}
     low = min(name[n - 1 : n + 2])
     assert scc == {v: low if v in name[n - 1 : n + 2] else v for v in name[: n + 2]}
-    assert {r.vid for r in graph.vertices(graph.k_core(e, 2)).collect()} == set(name[n - 1 : n + 2])
+    assert {r.vid for r in graph.vertices(graph.k_core(e, 2, max_rounds=20)).collect()} == set(name[n - 1 : n + 2])
     assert {r.vid: r.core for r in graph.k_core_labels(e, None).collect()} == {v: 2 if v in name[n - 1 : n + 2] else 1 for v in name[: n + 2]}
 
 
@@ -130,8 +129,7 @@ def test_least_ancestor_of_a_long_path(spark):
     assert {r.vid: r.least for r in got} == {i: 1 for i in range(1, n + 1)}
 
 
-def test_loops_raise_when_rounds_run_out(spark, monkeypatch):
-    monkeypatch.setattr(graph, "LOCAL_EDGES", 0)
+def test_loops_raise_when_rounds_run_out(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(9)], "src long, dst long")
     v = graph.vertices(e).withColumn("x", F.col("vid"))
     least = lambda **kw: graph.pregel(v, e, "x", F.when(F.col("src_state") < F.col("dst_state"), F.col("src_state")), None, F.min, lambda s, m: F.least(s, m), **kw)
@@ -142,24 +140,133 @@ def test_loops_raise_when_rounds_run_out(spark, monkeypatch):
     assert least(patience=2).count() == 10
 
 
-def test_cores_and_components_in_one_task():
-    rng = np.random.default_rng(5)
-    for _ in range(40):
-        src, dst = rng.integers(0, 14, (2, int(rng.integers(1, 50))))
-        vid, core = graph.core_numbers(src, dst)
-        got = dict(zip(vid.tolist(), core.tolist()))
-        for k in range(1, 9):
-            alive = set(vid.tolist())
-            while True:
-                degree = collections.Counter(x for a, b in zip(src.tolist(), dst.tolist()) if a in alive and b in alive for x in (a, b))
-                keep = {v for v in alive if degree[v] >= k}
-                if keep == alive:
-                    break
-                alive = keep
-            assert {v for v, c in got.items() if c >= k} == alive
-        reach = {v: {v} for v in vid.tolist()}
-        for _ in range(15):
-            for a, b in zip(src.tolist(), dst.tolist()):
-                reach[a] |= reach[b]
-        scc = dict(zip(*(x.tolist() for x in graph.strong_labels(src, dst))))
-        assert scc == {v: min(w for w in reach[v] if v in reach[w]) for v in reach}
+def plain_cores(pairs):
+    alive, core, k = {v for p in pairs for v in p}, {}, 0
+    while alive:
+        degree = collections.Counter(x for a, b in pairs if a in alive and b in alive for x in (a, b))
+        out = {v for v in alive if degree[v] <= k}
+        core |= dict.fromkeys(out, k)
+        alive -= out
+        k += not out
+    return core
+
+
+@pytest.mark.parametrize("chain", [3, 100])
+def test_random_cores(spark, chain, monkeypatch):
+    """Many small graphs side by side, with parallel edges and self-loops, with chains in every round and in none."""
+    monkeypatch.setattr(graph, "CHAIN_ROUNDS", chain)
+    rnd = random.Random(5)
+    pairs = [(100 * g + rnd.randrange(14), 100 * g + rnd.randrange(14)) for g in range(40) for _ in range(rnd.randrange(1, 60))]
+    pairs += [(9000 + i, 9000 + i + d) for i in range(24) for d in (1, 2)]  # a strip: numbers fall from its ends
+    want = plain_cores(pairs)
+    e = spark.createDataFrame(pairs, "src long, dst long")
+    assert {r.vid: r.core for r in graph.k_core_labels(e, None).collect()} == want
+    assert {r.vid: r.core for r in graph.core_numbers(e, 3).collect()} == {v: min(c, 3) for v, c in want.items()}
+
+
+def test_random_strong_components(spark):
+    rnd = random.Random(6)
+    pairs = [(100 * g + rnd.randrange(14), 100 * g + rnd.randrange(14)) for g in range(40) for _ in range(rnd.randrange(1, 30))]
+    reach = {v: {v} for p in pairs for v in p}
+    for _ in range(15):
+        for a, b in pairs:
+            reach[a] |= reach[b]
+    got = {r.vid: r.scc for r in graph.strongly_connected(spark.createDataFrame(pairs, "src long, dst long")).collect()}
+    assert got == {v: min(w for w in reach[v] if v in reach[w]) for v in reach}
+
+
+def exchanges_over(df, column):
+    """How many exchanges stand above a scan that reads the column."""
+    plan = df._jdf.queryExecution().executedPlan()
+    text = plan.initialPlan().toString() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan.toString()
+    found, path = 0, []
+    for line in text.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        path = [p for p in path if p[0] < depth] + [(depth, line)]
+        if "Scan parquet" in line and column in line.split("]")[0]:
+            found += sum("Exchange" in p[1] for p in path)
+    assert column in text
+    return found
+
+
+def test_hub_edges_are_spread_and_stay_where_they_are(spark):
+    """90 % of the edges end at one vertex and 5 % start at another."""
+    n = 20_000
+    star = [(i, -1) for i in range(18 * n // 20)] + [(-2, i) for i in range(n // 20)] + [(i, i + 1) for i in range(n // 20)]
+    e = spark.createDataFrame(star, "src long, dst long").withColumn("tag", F.lit(1))
+    with scratch.settings(spark, {"spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        g = Grid(e)
+        files = [r["count"] for r in g.edges.groupBy(F.input_file_name()).count().collect()]
+        assert sum(files) == len(star) and max(files) < len(star) / 4
+        state = graph.vertices(e).withColumn("state", F.lit(1)).withColumn("active", F.col("vid") % 2 == 0)
+        with g.planned():
+            for direction in ("out", "in", "either", "both"):
+                sends = graph._active_edges(g, state, direction)
+                assert exchanges_over(sends, "tag") == 0
+                a, b = F.col("src") % 2 == 0, F.col("dst") % 2 == 0
+                want = {"out": a, "in": b, "either": a | b, "both": a & b}[direction]
+                assert sends.count() == e.where(want).count()
+            assert as_dict(g.messages(state, F.col("src_state")), "vid", "msg") == as_dict(graph.aggregate_messages(e, F.lit(1)), "vid", "msg")
+        assert sorted(graph.degrees(g.edges).collect()) == sorted(graph.degrees(e).collect())
+        hub = graph.page_rank(e, rounds=2).where("vid = -1").first().rank
+    assert hub == pytest.approx(plain_rank(star, 2)[-1])
+
+
+def plain_rank(pairs, rounds):
+    out = collections.Counter(a for a, _ in pairs)
+    rank = {v: 1.0 for p in pairs for v in p}
+    for _ in range(rounds):
+        got = collections.Counter()
+        for a, b in pairs:
+            got[b] += rank[a] / out[a]
+        rank = {v: 0.15 + 0.85 * got[v] for v in rank}
+    return rank
+
+
+def test_rank_by_residuals(spark):
+    """Only rises above the tolerance are passed on, and a vertex that gets nothing has no rise."""
+    rnd = random.Random(8)
+    pairs = [(rnd.randrange(30), rnd.randrange(30)) for _ in range(90)]
+    out = collections.Counter(a for a, _ in pairs)
+    for tol in (0.2, 0.02, 0.001):
+        rank, rise, active = {v: 0.15 for p in pairs for v in p}, {v: 0.15 for p in pairs for v in p}, []
+        while any(x > tol for x in rise.values()):
+            active.append(sum(x > tol for x in rise.values()))
+            got = collections.defaultdict(float)
+            for a, b in pairs:
+                if rise.get(a, 0) > tol:
+                    got[b] += rise[a] / out[a]
+            rise = {v: 0.85 * x for v, x in got.items()}
+            rank = {v: r + rise.get(v, 0) for v, r in rank.items()}
+        assert as_dict(graph.page_rank(edges(spark, pairs), tol=tol), "vid", "rank") == pytest.approx(rank)
+    assert active[-1] < active[0]
+    assert rank == pytest.approx(plain_rank(pairs, 200), abs=0.02)
+
+
+@pytest.mark.parametrize("direction", ["out", "in", "either", "both"])
+def test_pregel_directions_and_patience(spark, direction):
+    """Messages that grow: what is reached depends on which edges send, and patience ends where the counts stand still."""
+    rnd = random.Random(9)
+    pairs = sorted({(rnd.randrange(20), rnd.randrange(20)) for _ in range(40)})
+    start = {v: v for p in pairs for v in p}
+
+    def plain(patience):
+        now, active, last, same = dict(start), dict.fromkeys(start, True), None, 0
+        while True:
+            send = {"out": lambda a, b: active[a], "in": lambda a, b: active[b], "either": lambda a, b: active[a] or active[b], "both": lambda a, b: active[a] and active[b]}[direction]
+            msg = {}
+            for a, b in pairs:
+                if send(a, b):
+                    msg[b] = min(msg.get(b, 99), now[a])
+            new = {v: min(x, msg.get(v, 99)) for v, x in now.items()}
+            active = {v: new[v] != now[v] for v in now}
+            now, n = new, sum(active.values())
+            same = same + 1 if n == last else 1
+            last = n
+            if not n or (patience and same >= patience):
+                return now
+
+    v = spark.createDataFrame(list(start.items()), "vid long, x long")
+    for patience in (None, 1, 2):
+        got = graph.pregel(v, edges(spark, pairs), "x", F.col("src_state"), None, F.min, lambda s, m: F.least(s, m), patience=patience, active_direction=direction)
+        assert as_dict(got, "vid", "x") == plain(patience)
