@@ -1,8 +1,9 @@
 """Document quality by attention-based multiple-instance learning.
 
-A document is a bag of passages. Every passage is encoded; a gated attention network,
-learned from document labels only, weighs the passages, and the weighted sum of their
-encodings is scored.
+A document is a bag of passages. Every passage is encoded from measures of its characters and
+words and from its words and pairs of words, hashed with a sign; a gated attention network, learned
+from document labels only together with the encoding, weighs the passages, and the weighted sum of
+their encodings is scored.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +20,10 @@ from ledgerlens.llm.common import fold, per_row, sample_labelled
 PASSAGE_WORDS = 64
 #: Labelled documents of each class that the network is fitted on, about, at most.
 DOCS_PER_CLASS = 3000
-#: Passages of a document that fitting looks at, evenly spaced; scoring looks at all.
-FIT_PASSAGES = 256
+#: Bags that fitting holds have so many rows at most: of a longer text, rows that follow each other are averaged, so all of it is seen. Scoring looks at each passage.
+FIT_PASSAGES = 32
+#: Columns that a passage's words and pairs of words are hashed to.
+WORD_COLUMNS = 256
 PREDICT_FROM = 0.3
 HIDDEN, GATE = 24, 12
 EPOCHS, BATCH, RATE = 30, 256, 0.01
@@ -34,7 +38,43 @@ _CLASS[[ord(c) for c in ".,;:!?"]] = 4
 _CLASS[10] = 5
 _CLASS[[9, 11, 12, 13, 32]] = 6
 _CLASS[128:] = 8
-FEATURES = _CLASSES + 6
+_MEASURES = _CLASSES + 6
+FEATURES = _MEASURES + WORD_COLUMNS
+_PAIR = np.uint64(0x9E3779B97F4A7C15)
+
+
+class _Hashes(dict):
+    """64-bit hashes of words, remembered while they are few."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+_hashes = _Hashes()
+
+
+def _word_columns(words: list[bytes], n: int) -> np.ndarray:
+    """For each of n passages the signed counts of its words and of pairs that begin in it, over the root of their number."""
+    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    where = np.arange(len(words)) // PASSAGE_WORDS
+    pair = (h[:-1] * _PAIR) ^ h[1:]
+    pair ^= pair >> np.uint64(29)
+    h, where = np.concatenate([h, pair * _PAIR]), np.concatenate([where, where[:-1]])
+    column = (h >> np.uint64(40)).astype(np.int64) % WORD_COLUMNS
+    sign = np.where(h >> np.uint64(63) == 1, 1.0, -1.0)
+    counts = np.bincount(where * WORD_COLUMNS + column, sign, n * WORD_COLUMNS).reshape(n, WORD_COLUMNS)
+    return counts / np.sqrt(np.bincount(where, minlength=n))[:, None]
+
+
+def pooled(bag: np.ndarray, most: int = FIT_PASSAGES) -> np.ndarray:
+    """The bag itself or, of a larger one, the means of ``most`` runs of rows of nearly equal length."""
+    if len(bag) <= most:
+        return bag
+    edge = np.arange(most) * len(bag) // most
+    return np.add.reduceat(bag, edge, axis=0) / np.diff(np.append(edge, len(bag)))[:, None]
 
 
 def passages(text: str | None) -> np.ndarray:
@@ -60,7 +100,7 @@ def passages(text: str | None) -> np.ndarray:
     for i in range(n):
         part = words[i * PASSAGE_WORDS : (i + 1) * PASSAGE_WORDS]
         own = set(part)
-        out[i, _CLASSES:] = (
+        out[i, _CLASSES:_MEASURES] = (
             len(part) / PASSAGE_WORDS,
             len(own) / len(part),
             min(solid[i] / len(part), 40) / 10,
@@ -69,6 +109,7 @@ def passages(text: str | None) -> np.ndarray:
             np.log1p(len(words)) / 10,
         )
         seen |= own
+    out[:, _MEASURES:] = _word_columns(words, n)
     return out
 
 
@@ -109,11 +150,15 @@ class Network:
 def train(bags: list[np.ndarray], y: np.ndarray, weight: np.ndarray, seed: int = 7) -> Network:
     """Adam on the weighted log loss over the document labels."""
     rng = np.random.default_rng(seed)
-    every = np.concatenate(bags)
-    mean, scale = every.mean(0), every.std(0) + 1e-6
+    n = sum(map(len, bags))
+    mean = sum(b.sum(0, dtype=float) for b in bags) / n
+    scale = np.sqrt(np.maximum(sum((b.astype(float) ** 2).sum(0) for b in bags) / n - mean**2, 0))
+    scale[:_MEASURES] += 1e-6
+    scale[_MEASURES:] = 1.0  # counts of words are of one scale, and rare ones shall not weigh more
+    mean[_MEASURES:] = 0.0
     w = {"enc": rng.normal(0, FEATURES**-0.5, (FEATURES, HIDDEN)), "enc0": np.zeros(HIDDEN), "v": rng.normal(0, HIDDEN**-0.5, (HIDDEN, GATE)), "u": rng.normal(0, HIDDEN**-0.5, (HIDDEN, GATE)), "a": rng.normal(0, 0.1, GATE), "c": np.zeros(HIDDEN), "c0": np.zeros(1)}
     net = Network(mean, scale, w)
-    bags = [(b - mean) / scale for b in bags]
+    scaled = lambda b: (b - mean) / scale
     m = {k: np.zeros_like(v) for k, v in w.items()}
     q = {k: np.zeros_like(v) for k, v in w.items()}
     step = 0
@@ -122,7 +167,7 @@ def train(bags: list[np.ndarray], y: np.ndarray, weight: np.ndarray, seed: int =
         for at in range(0, len(order), BATCH):
             pick = order[at : at + BATCH]
             sizes = [len(bags[i]) for i in pick]
-            grads = net.gradients(np.concatenate([bags[i] for i in pick]), np.cumsum([0, *sizes[:-1]]), y[pick], weight[pick])
+            grads = net.gradients(scaled(np.concatenate([bags[i] for i in pick])), np.cumsum([0, *sizes[:-1]]), y[pick], weight[pick])
             step += 1
             rate = RATE * (1 - epoch / EPOCHS) + 5e-4
             for k, g in grads.items():
@@ -136,7 +181,7 @@ def train(bags: list[np.ndarray], y: np.ndarray, weight: np.ndarray, seed: int =
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = DOCS_PER_CLASS) -> Network | float:
     """A network from rows outside the held-out fold, or, where fewer than two classes are labelled, their rate.
 
-    The classes are sampled to a bounded number each and weighed back to their true shares.
+    The classes are sampled to a bounded number each and weighed back to their true shares. A repeated id is fitted once; empty tables give 0.5.
     """
     known = labels.select("doc_id", "quality").where("quality in (0, 1)").where(fold() != 0)
     share = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
@@ -147,17 +192,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = DOCS_PER_CLASS) ->
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.first("quality").alias("quality"), F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(b):
-        bags = [passages(t) for t in b.column(2).to_pylist()]
-        bags = [x if len(x) <= FIT_PASSAGES else x[np.linspace(0, len(x) - 1, FIT_PASSAGES).astype(int)] for x in bags]
-        return {"doc_id": b.column(0), "quality": b.column(1), "bag": [x.ravel().tolist() for x in bags]}
+        return {"doc_id": b.column(0), "quality": b.column(1), "bag": [pooled(passages(t)).astype("<f4").tobytes() for t in b.column(2).to_pylist()]}
 
-    got = per_row(rows.select("doc_id", "quality", "text"), run, "doc_id long, quality int, bag array<double>").toPandas().sort_values("doc_id", kind="stable")
+    # bounded: about two classes of per_class bags of FIT_PASSAGES rows, 35 kB each at most
+    got = per_row(rows.select("doc_id", "quality", "text"), run, "doc_id long, quality int, bag binary").toPandas().sort_values("doc_id", kind="stable")
     y = got["quality"].to_numpy(float)
     if len(set(y)) < 2:
         return float(share.get(1, 0) / sum(share.values()))
     rate = share[1] / sum(share.values())
     weight = np.where(y == 1, rate / y.mean(), (1 - rate) / (1 - y.mean()))
-    return train([np.asarray(b).reshape(-1, FEATURES) for b in got["bag"]], y, weight)
+    return train([np.frombuffer(b, "<f4").reshape(-1, FEATURES) for b in got["bag"]], y, weight)
 
 
 def score(docs: DataFrame, net: Network | float) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm import decontaminate, langid, mixing, neardup, pii, quality_mil, quality_rules, resampling, spelling, tokens, toxicity, urltree, warc
 from ledgerlens.llm.common import read
+from ledgerlens.plans import scratch
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +64,7 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_simhash_near_dedup, op2_language_bitmask, op3_spaced_seed_decontamination, op4_poisson_mixing, op5_url_template_tree, op6_pii_deobfuscation, op7_toxicity_chain, op8_token_records, op9_quality_votes, op10_quality_attention, op11_importance_resampling, op12_warc_archive, op13_spelling_variants)}
+    found = {f.__name__: scratch.tidy(f) for f in (op1_simhash_near_dedup, op2_language_bitmask, op3_spaced_seed_decontamination, op4_poisson_mixing, op5_url_template_tree, op6_pii_deobfuscation, op7_toxicity_chain, op8_token_records, op9_quality_votes, op10_quality_attention, op11_importance_resampling, op12_warc_archive, op13_spelling_variants)}
     return found
 
 

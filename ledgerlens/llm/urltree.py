@@ -58,24 +58,66 @@ def typed_path(path: Column) -> Column:
     return F.array_join(F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), typed), "/")
 
 
+def _shared(a: Column, b: Column) -> Column:
+    """How many first elements two arrays share."""
+    n = F.least(F.size(a), F.size(b))
+    differ = F.array_min(F.filter(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), lambda i: F.element_at(a, i) != F.element_at(b, i)))
+    return F.coalesce(differ - 1, n)
+
+
+def _smoothed(bad: Column, lab: Column, above: Column, times: Column | None = None) -> Column:
+    """The share of bad ones smoothed towards the one above; ``times`` over for as many levels that change nothing else."""
+    if times is None:
+        return (bad + SMOOTHING * above) / (lab + SMOOTHING)
+    own = F.coalesce(F.try_divide(bad, lab), above)
+    return own + (above - own) * F.pow(F.lit(SMOOTHING) / (lab + SMOOTHING), times)
+
+
+def _unlabelled(t: DataFrame) -> DataFrame:
+    """Templates of groups without any label, all levels at once: a level is a wildcard where its segments, or an end, differ."""
+    t = scratch.keep(t, "unlabelled")
+    level = F.explode(F.sequence(F.col("depth") + 1, F.size("segs") + 1))
+    segs = t.select("host", "template", "segs", level.alias("level")).select("host", "template", "level", F.coalesce(F.get("segs", F.col("level") - 1), F.lit("")).alias("seg")).distinct()
+    varied = segs.groupBy("host", "template", "level").agg(F.count("*").alias("k")).where("k > 1").groupBy("host", "template").agg(F.collect_list("level").alias("varied"))
+    sizes = t.groupBy("host", "template").agg(F.count("*").alias("rows"))
+    known = scratch.keep(sizes.join(varied, ["host", "template"], "left"), "varied")
+    j = join_counted(t, known, ["host", "template"], "rows")
+    names = F.transform(F.when(F.size("segs") > F.col("depth"), F.sequence(F.col("depth") + 1, F.size("segs"))).otherwise(F.array().cast("array<int>")), lambda k: F.when(F.coalesce(F.array_contains("varied", k), F.lit(False)), "/*").otherwise(F.concat(F.lit("/"), F.get("segs", k - 1))))
+    return j.select("host", "tpath", "n", F.concat("template", F.array_join(names, "")).alias("template"), "share")
+
+
 def tree(pages: DataFrame) -> DataFrame:
-    """From (host, tpath, bad), bad null where unlabelled: (host, tpath, n, template, share), share the smoothed share of bad pages."""
+    """From (host, tpath, bad), bad null where unlabelled: (host, tpath, n, template, share), share the smoothed share of bad pages.
+
+    Paths under one template grow by a level each round. Segments that all of them share are taken at once, and so is what remains of a
+    template with one path or without labels. So rounds go by how often labelled paths branch, not by how long paths are.
+    """
     lab, bad = F.count("bad").alias("lab"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad")
     rows = scratch.keep(pages.groupBy("host", "tpath").agg(F.count("*").alias("n"), lab, bad), "paths")
     add = lambda *by: [F.sum(c).alias(a) for c, a in zip(("n", "lab", "bad"), by)]
     first = rows.agg(F.sum("lab").alias("lab"), F.sum("bad").alias("bad")).first()
     prior = ((first["bad"] or 0) + 1.0) / ((first["lab"] or 0) + 2.0)
-    smooth = lambda b, n, above: (F.col(b) + SMOOTHING * above) / (F.col(n) + SMOOTHING)
     hosts = scratch.keep(rows.groupBy("host").agg(F.count("*").alias("__rows"), *add("__n", "__lab", "__bad")), "hosts")
-    segs = F.split("tpath", "/")
-    t = join_counted(rows, hosts, ["host"], "__rows").select("host", "tpath", "n", "lab", "bad", segs.alias("segs"), F.lit("").alias("template"), smooth("__bad", "__lab", F.lit(prior)).alias("share"))
-    deepest = rows.agg(F.max(F.size(segs))).first()[0] or 0
+    segs = F.when(F.col("tpath") == "", F.array().cast("array<string>")).otherwise(F.split("tpath", "/"))
+    columns = ["host", "tpath", "n", "lab", "bad", "segs", "depth", "template", "share"]
+    t = join_counted(rows, hosts, ["host"], "__rows").select("host", "tpath", "n", "lab", "bad", segs.alias("segs"), F.lit(0).alias("depth"), F.lit("").alias("template"), _smoothed(F.col("__bad"), F.col("__lab"), F.lit(prior)).alias("share"))
     done = []
-    for k in range(1, deepest + 1):
-        # paths that ended above have a template that no longer path shares
-        done.append(t.where(F.size("segs") < k - 1))
-        t = t.where(F.size("segs") >= k - 1)
-        t = t.withColumn("seg", F.when((F.size("segs") >= k) & (F.col("tpath") != ""), F.get("segs", F.lit(k - 1))).otherwise(""))
+    while True:
+        t = scratch.keep(t.select(columns), "tree")
+        left = F.expr("slice(segs, depth + 1, size(segs))")
+        of = t.select("*", left.alias("left")).groupBy("host", "template").agg(F.count("*").alias("rows"), F.sum("lab").alias("glab"), F.sum("bad").alias("gbad"), F.min("left").alias("a"), F.max("left").alias("b"))
+        of = scratch.keep(of.select("host", "template", "rows", "glab", "gbad", _shared(F.col("a"), F.col("b")).alias("jump"), (F.col("rows") > 1).alias("many")), "groups")
+        j = join_counted(t, of, ["host", "template"], "rows")
+        taken = F.when(F.col("jump") > 0, F.concat(F.lit("/"), F.array_join(F.expr("slice(segs, depth + 1, jump)"), "/"))).otherwise("")
+        j = j.select("host", "tpath", "n", "lab", "bad", "segs", (F.col("depth") + F.col("jump")).alias("depth"), F.concat("template", taken).alias("template"), _smoothed(F.col("gbad"), F.col("glab"), F.col("share"), F.col("jump")).alias("share"), "many", "glab")
+        j = scratch.keep(j, "jumped")
+        done.append(j.where("not many").select("host", "tpath", "n", "template", "share"))
+        if not j.where("many and glab = 0").isEmpty():
+            done.append(_unlabelled(j.where("many and glab = 0").select(columns)))
+        t = j.where("many and glab > 0").select(columns)
+        if t.isEmpty():
+            break
+        t = t.withColumn("seg", F.coalesce(F.get("segs", F.col("depth")), F.lit("")))
         kids = scratch.keep(t.groupBy("host", "template", "seg").agg(F.count("*").alias("rows"), *add("cn", "clab", "cbad")), "kids")
         parents = scratch.keep(kids.groupBy("host", "template").agg(F.count("*").alias("sn"), F.count("*").alias("__sn"), F.sum("cn").alias("pn"), F.sum("clab").alias("plab"), F.sum("cbad").alias("pbad")), "parents")
         j = join_counted(kids, parents, ["host", "template"], "__sn")
@@ -90,10 +132,13 @@ def tree(pages: DataFrame) -> DataFrame:
         named = scratch.keep(j.select("host", "template", "seg", branch.alias("branch"), "rows", "clab", "cbad"), "named")
         pooled = scratch.keep(named.groupBy("host", "template", "branch").agg(F.count("*").alias("__kids"), F.sum("clab").alias("blab"), F.sum("cbad").alias("bbad")), "pooled")
         nodes = scratch.keep(join_counted(named, pooled, ["host", "template", "branch"], "__kids").select("host", "template", "seg", "branch", "rows", "blab", "bbad"), "nodes")
-        t = scratch.keep(join_counted(t, nodes, ["host", "template", "seg"], "rows").select("host", "tpath", "n", "lab", "bad", "segs", F.concat("template", "branch").alias("template"), F.when(F.col("seg") == "", F.col("share")).otherwise(smooth("bbad", "blab", F.col("share"))).alias("share")), "tree")
-    for d in done:
-        t = t.unionByName(d)
-    return t.select("host", "tpath", "n", "template", "share")
+        joined = join_counted(t, nodes, ["host", "template", "seg"], "rows")
+        done.append(joined.where("seg = ''").select("host", "tpath", "n", "template", "share"))
+        t = joined.where("seg <> ''").select("host", "tpath", "n", "lab", "bad", "segs", (F.col("depth") + 1).alias("depth"), F.concat("template", "branch").alias("template"), _smoothed(F.col("bbad"), F.col("blab"), F.col("share")).alias("share"))
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:

@@ -367,6 +367,23 @@ def test_attention_held_out(spark, documents, labels):
     assert quality_mil.judge(odd.limit(0), labels).count() == 0
 
 
+def test_attention_sees_words(spark):
+    """Texts alike in all their measures but for which words they have; and long texts that differ in one place only."""
+    rnd = random.Random(3)
+    good, bad = ["alpha", "bravo", "civic"], ["delta", "eager", "fancy"]
+    text = lambda own, n: " ".join(rnd.choice(own + ["hotel"] * 3) for _ in range(n))
+    rows = [(i, text(good if i % 2 else bad, 80)) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, quality int")
+    got = [r for r in quality_mil.judge(df, marks).collect() if r.held_out]
+    assert sum((r.score > 0.5) == r.doc_id % 2 for r in got) / len(got) > 0.95
+    a = quality_mil.passages("x " * 64 * 100 + "y")
+    assert len(a) == 101 and not (a[99] == a[100]).all()
+    p = quality_mil.pooled(a, 7)
+    assert len(p) == 7 and p[6] == pytest.approx(a[86:].mean(0)) and p[0] == pytest.approx(a[:14].mean(0))
+    assert (quality_mil.pooled(a, 101) == a).all()
+
+
 def test_attention_by_plain_arithmetic():
     rng = np.random.default_rng(5)
     bags = [rng.normal(size=(n, quality_mil.FEATURES)) for n in (1, 4, 2, 7)]
@@ -465,3 +482,85 @@ def test_toxicity_odd_rows(spark, labels):
     assert toxicity.without_toxic(odd, labels.limit(0)).count() == 3
     again = spark.createDataFrame([(1, "a b " * 200_000, "q")] * 3, "doc_id long, text string, rejected string")
     assert toxicity.judge(again, labels).count() == 3
+
+
+def _disguised(rnd):
+    """(kind, disguised text) of a random identifier, disguised in one to several of the ways that are looked for."""
+    alike = {}
+    for c, a in pii._LOOKALIKE.items():
+        alike.setdefault(a, []).append(c)
+
+    def veil(text, share):
+        out = []
+        for i, c in enumerate(text):
+            if i and rnd.random() < share / 3:
+                out.append(rnd.choice(alike[""]))
+            wide = [chr(ord(c) + 0xFEE0)] if "!" <= c <= "~" else []
+            own = [x for x in alike.get(c, []) if c.isalpha()] + wide
+            out.append(rnd.choice(own) if own and rnd.random() < share else c)
+        return "".join(out)
+
+    def number(n):
+        return "".join(rnd.choice("0123456789") for _ in range(n))
+
+    names = {v: k for k, v in pii._DIGITS.items()}
+    case = lambda w: rnd.choice([w, w.upper(), w.title()])
+
+    def tokens(digits):
+        """The digits as numbers and spelled digits, at least one of these."""
+        while True:
+            out, i = [], 0
+            while i < len(digits):
+                n = rnd.choice([0, 0, 1, 2, 4])
+                out.append(digits[i : i + n] if n else case(names[digits[i]]))
+                i += n or 1
+            if any(t.isalpha() for t in out):
+                return out
+
+    kind = rnd.choice(pii.KINDS)
+    if kind == "email":
+        local = rnd.choice("abcekmop") + "".join(rnd.choice("aceiopxy019._") for _ in range(rnd.randint(1, 6))) + rnd.choice("aceo7")
+        labels = ["".join(rnd.choice("aceopxymk7") for _ in range(rnd.randint(2, 6))) for _ in range(rnd.randint(1, 2))] + [rnd.choice(["com", "org", "de", "dev"])]
+        way = rnd.randrange(3)
+        if way == 0:
+            return kind, local + f" {case('at')} " + f" {case('dot')} ".join(labels)
+        if way == 1:
+            at = rnd.choice(["{}", " {} "]).format(rnd.choice(["({})", "[{}]", "{{ {} }}", "<{}>"]).format(case("at")))
+            dots = [rnd.choice([".", " [dot] ", "(DOT)", "。", "․"]) for _ in labels[1:]]
+            return kind, local + at + labels[0] + "".join(d + x for d, x in zip(dots, labels[1:]))
+        text = veil(local + "@" + ".".join(labels), 0.4)
+        return kind, text
+    if kind == "card":
+        while True:
+            digits = number(rnd.choice([12, 13, 15, 16, 19]))
+            if pii._luhn(digits):
+                break
+        return kind, veil(digits, 0.4) if rnd.random() < 0.4 else "".join(t + rnd.choice(" -") for t in tokens(digits))[:-1]
+    if kind == "phone":
+        digits = number(rnd.randint(9, 15))
+        if rnd.random() < 0.3:
+            return kind, "+" + veil(digits, 0.4)
+        return kind, f"{case('plus')} " + " ".join(tokens(digits))
+    parts = [str(rnd.randint(0, 255)) for _ in range(4)]
+    way = rnd.randrange(3)
+    if way == 0:
+        return kind, " dot ".join(parts)
+    if way == 1:
+        return kind, f" {case('dot')} ".join(" ".join(case(names[c]) for c in p) for p in parts)
+    return kind, veil(".".join(parts), 0.4)
+
+
+def test_disguises_by_brute_force():
+    """Identifiers made up, disguised and put anywhere: each is found with exactly the characters that it was put there as."""
+    rnd = random.Random(21)
+    fill = ["plain", "words", "é", "中", ",", "\n", "the", "is", "(see", "it)", "№"]
+    for _ in range(3000):
+        text, want = "", []
+        for _ in range(rnd.randint(1, 3)):
+            text += " ".join(rnd.choice(fill) for _ in range(rnd.randint(1, 6))) + " ; "
+            kind, piece = _disguised(rnd)
+            want.append((kind, len(text), len(text) + len(piece)))
+            text += piece + " ; "
+        base, full = pii.all_spans(text)
+        assert set(base) <= set(full)
+        assert set(want) <= set(full), (text, set(want) - set(full), full)
