@@ -28,17 +28,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import map_arrow
+from ledgerlens.llm.common import give_back, map_arrow
 from ledgerlens.plans import scratch
 
 END_ID = 2
 _MASK = 0xA282EAD8
 #: Words that a worker remembers at most.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 #: Longer texts are cut into pieces of about as many characters before their words are told apart.
 PIECE_CHARS = 4_000_000
 #: Characters of texts that are encoded at once, about.
-BATCH_CHARS = 8_000_000
+BATCH_CHARS = 4_000_000
 #: Bytes of text that a data file is meant for; a file must be read whole, so it has to stay far below 2 GB.
 FILE_BYTES = 256_000_000
 _HEAD = struct.Struct("<QI")
@@ -271,6 +271,8 @@ def write(docs: DataFrame, out: str, vocabulary: str | None = None, end_id: int
                     ids, texts, held = [], [], 0
         if ids:
             yield rows(ids, texts)
+        ids, texts = [], []
+        give_back()
 
     spark = docs.sparkSession
     n = files
