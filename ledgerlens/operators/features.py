@@ -112,15 +112,15 @@ def rank_sum_score(features: DataFrame, full: list[str] = FULL, half: list[str]
     """(card, score): the sum of every feature's ascending dense rank, weighted 1, 1/2 or 1/4; missing features are skipped, nulls are 0.
 
     Each feature's distinct values are ranked apart, all features in one table (feature, value), so no
-    window runs over all cards in one task.
+    window runs over all cards in one task. Only the wide table is kept; its rows by feature are made anew where they are read.
     """
+    features = scratch.keep(features, "score")
     weight: dict[str, float] = {}
     for names, w in ((full, 1.0), (half, 0.5), (quarter, 0.25)):
         for n in names:
             if n in features.columns:
                 weight[n] = weight.get(n, 0.0) + w
     rows = features.select("card", F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias("value"), F.lit(w).alias("weight")) for n, w in weight.items()])).alias("x")).select("card", "x.*")
-    rows = scratch.keep(rows, "score")
     values = rows.groupBy("feature", "value").agg(F.count("*").alias("cards"))
     ordered = scratch.keep(with_index(values, "feature", "value", name="n").select("feature", "value", "n", "cards"), "ranks")
     base = ordered.groupBy("feature").agg((F.min("n") - 1).alias("base"))

@@ -19,7 +19,13 @@ def typed_edges(tx: DataFrame) -> DataFrame:
     made = [F.when(F.col("trans_id").isin(*codes), F.struct(F.lit(t).alias("edge_type"), _name("card", "srccard").alias("src"), _name(kind, col).alias("dst"))) for t, (codes, kind, col) in EDGE_TYPES.items()]
     night = F.left("loc_trans_tm", F.lit(2)).between("01", "05").cast("int")
     rows = tx.select("money", night.alias("night"), F.explode(F.array_compact(F.array(*made))).alias("e")).select("e.*", "money", "night")
-    return rows.groupBy("src", "dst", "edge_type").agg(F.sum("money").alias("money"), F.count("*").alias("cnt"), F.sum("night").alias("night"))
+    return merge_typed(rows.withColumn("cnt", F.lit(1).cast("long")))
+
+
+def merge_typed(edges: DataFrame, types=tuple(EDGE_TYPES)) -> DataFrame:
+    """One edge for each (src, dst, edge_type), with sums of money, cnt and night. Raises on an edge whose type is none of ``types``, null included."""
+    known = F.when(F.col("edge_type").isin(*types), F.col("edge_type")).otherwise(F.raise_error(F.concat(F.lit("unknown edge type "), F.coalesce("edge_type", F.lit("null")))))
+    return edges.withColumn("edge_type", known).groupBy("src", "dst", "edge_type").agg(*[F.sum(c).alias(c) for c in ("money", "cnt", "night")])
 
 
 def typed_vertices(edges: DataFrame) -> DataFrame:

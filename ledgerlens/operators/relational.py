@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.plans import scratch
+
+
 def touching(edges: DataFrame, seeds: DataFrame, key: str = "card", src: str = "src", dst: str = "dst") -> DataFrame:
     """Edges with an endpoint among the seeds, each once."""
     s = seeds.select(F.col(key).alias("__s")).distinct()
@@ -58,8 +61,6 @@ def with_index(df: DataFrame, *order: str, name: str = "row_index", first: int =
     Rows are sorted by range; each partition is numbered on its own, and the partitions' offsets, one
     row each, are added.
     """
-    from ledgerlens.plans import scratch
-
     ranged = scratch.keep(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()), "index")
     sizes = ranged.groupBy("__p").count()
     base = sizes.select("__p", (F.coalesce(F.sum("count").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + first - 1).alias("__base"))
@@ -68,9 +69,13 @@ def with_index(df: DataFrame, *order: str, name: str = "row_index", first: int =
 
 
 def dense_rank_of(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Ascending dense rank over the whole table: distinct values are numbered and joined back."""
-    values = df.select(column).distinct()
-    return df.join(with_index(values, column, name=name).withColumnRenamed(column, "__v"), F.col(column).eqNullSafe(F.col("__v")), "left").drop("__v")
+    """Ascending dense rank over the whole table, null first: distinct values are numbered and joined back, those of very many rows by broadcast."""
+    df = scratch.keep(df, "ranked")
+    values = df.groupBy(column).agg(F.count("*").alias("__n"))
+    numbers = scratch.keep(with_index(values, column, name=name), "values")
+    known = join_counted(df.where(F.col(column).isNotNull()), numbers.where(F.col(column).isNotNull()), [column], "__n")
+    none = numbers.where(F.col(column).isNull()).select(name)  # one row, if any
+    return known.select(*df.columns, name).unionByName(df.where(F.col(column).isNull()).crossJoin(F.broadcast(none)))
 
 
 def sample_rows(df: DataFrame, n: int, seed: int, *key: str) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ledgerlens import cli
 from ledgerlens.operators import communities, features, graph, hetero
 from ledgerlens.operators import relational as R
 from ledgerlens.operators.components import connected_components
@@ -157,6 +159,11 @@ def edges_of_chosen_communities(tx):
     return graph.touching_communities(merged, m, chosen).select("src", "dst", "money")
 
 
+_ALL_WEIGHTS: dict[str, float] = {}
+for _names, _w in ((features.FULL, 1.0), (features.HALF, 0.5), (features.QUARTER, 0.25)):
+    for _n in _names:
+        _ALL_WEIGHTS[_n] = _ALL_WEIGHTS.get(_n, 0.0) + _w
+
 _SUMMARY = "chosen AS (SELECT cc FROM mem GROUP BY 1 HAVING max(core) > 1 AND count(*) BETWEEN 4 AND 4000)"
 
 
@@ -186,6 +193,25 @@ def community_dump_read_back(tx):
     return tx.sparkSession.read.schema("src long, dst long, money long, cc long").parquet(path)
 
 
+@for_both("SELECT src, dst, money::BIGINT AS money FROM k JOIN cc ON src = vid WHERE cc = (SELECT cc FROM cc GROUP BY 1 ORDER BY count(*) DESC, cc LIMIT 1)", _COMM)
+def edges_of_largest_community(tx):
+    """The subgraph of one label: the community of most cards, of equal ones that of the smallest."""
+    e = graph.without_lone_pairs(_merged(tx))
+    cc = scratch.keep(connected_components(e), "cc")
+    largest = cc.groupBy("cc").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "cc").limit(1).select("cc")
+    return graph.subgraph(e, R.restricted(cc, largest, "cc")).select("src", "dst", "money")
+
+
+@query(f"SELECT c_name AS oricard, score FROM (SELECT c_custkey AS card, c_name FROM customer WHERE {LISTED}) LEFT JOIN (%s) USING (card)" % ("SELECT card, " + " + ".join(f"{w}::DOUBLE * dense_rank() OVER (ORDER BY coalesce({k}, 0))" for k, w in _ALL_WEIGHTS.items()) + " AS score FROM cards LEFT JOIN (SELECT vid AS card, comm.* FROM mem JOIN comm USING (cc)) USING (card)"), f"{TX}, {_CARDS}, {_COMM}, {_MEMBERS}")
+def command_line_scores(spark, d):
+    """The command line on a file of listed cards, half of them by MD5; its one output file read back. Enough hops reach every card of the test tables."""
+    listed, out = scratch.new_path(spark, "cards"), scratch.new_path(spark, "scores")
+    card = F.col("c_custkey").cast("string")
+    io.write_lines(table(spark, d, "customer").where(LISTED).select("c_name", F.when(F.col("c_custkey") % 2 == 0, F.md5(card)).otherwise(card).alias("card")), listed)
+    cli.score(spark, listed, d, out, hops=60)
+    return io.read_delimited(spark, out, T.StructType([T.StructField("oricard", T.StringType()), T.StructField("score", T.DoubleType())]), ",")
+
+
 @for_both("SELECT cc, cc_num, trans_num::BIGINT AS trans_num, money::BIGINT AS money, night::BIGINT AS night, other_city::BIGINT AS other_city FROM (SELECT cc, count(*) AS cc_num FROM cc GROUP BY 1) JOIN (SELECT cc, sum(cnt) AS trans_num, sum(money) AS money, sum(night) AS night, sum(other_city) AS other_city FROM k JOIN cc ON src = vid GROUP BY 1) USING (cc)", f"{_COMM}")
 def community_totals(tx):
     e = graph.without_lone_pairs(_merged(tx))
@@ -206,12 +232,6 @@ def top_100_communities(tx):
     return c.orderBy(F.desc("max_degree"), F.desc("big_core_num"), F.desc("money"), F.desc("max_core"), F.desc("trans_num"), "cc").limit(100)
 
 
-_ALL_WEIGHTS: dict[str, float] = {}
-for _names, _w in ((features.FULL, 1.0), (features.HALF, 0.5), (features.QUARTER, 0.25)):
-    for _n in _names:
-        _ALL_WEIGHTS[_n] = _ALL_WEIGHTS.get(_n, 0.0) + _w
-
-
 @for_both("SELECT card, " + " + ".join(f"{w}::DOUBLE * dense_rank() OVER (ORDER BY coalesce({k}, 0))" for k, w in _ALL_WEIGHTS.items()) + " AS score FROM cards LEFT JOIN (SELECT vid AS card, comm.* FROM mem JOIN comm USING (cc)) USING (card)", f"{_CARDS}, {_COMM}, {_MEMBERS}")
 def card_and_community_score(tx):
     """Card features with those of the card's community, nulls as zero, ranked and summed."""

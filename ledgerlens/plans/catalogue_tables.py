@@ -228,3 +228,15 @@ def minutes_since_first_event(spark, d):
     e = table(spark, d, "events").withColumn("ts", F.date_trunc("second", "ts"))
     first = e.groupBy("user_id").agg(F.min("ts").alias("first"))
     return e.join(first, "user_id").select("event_id", X.two_places(X.minutes_between(F.col("ts"), F.col("first"))).alias("minutes"))
+
+
+@query("SELECT trans_id, count(*) AS n, sum(money) AS money FROM tx GROUP BY 1", TX)
+def lines_in_one_file(spark, d):
+    """A small result as one file of lines, read back from that file."""
+    path = scratch.new_path(spark, "lines")
+    io.write_lines(transactions(spark, d).groupBy("trans_id").agg(F.count("*").alias("n"), F.sum("money").alias("money")), path, single=True)
+    schema = T.StructType([T.StructField("trans_id", T.StringType()), T.StructField("n", T.LongType()), T.StructField("money", T.LongType())])
+    lines = io.read_delimited(spark, path, schema, ",")
+    if len(lines.inputFiles()) != 1:
+        raise RuntimeError("lines are not in one file")
+    return lines

@@ -8,10 +8,11 @@ written table is known to be small.
 from __future__ import annotations
 
 import atexit
+import functools
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,14 +24,16 @@ _scopes: list[Scope] = []
 
 
 class Scope:
-    """Tables kept while it is open; those not released are removed at its end, so their users must have been written by then."""
+    """Tables and paths made while it is open; those not released are removed at its end, so their users must have been written by then."""
 
     def __init__(self):
         self.kept: list[DataFrame] = []
+        self.paths: list[tuple[SparkSession, str]] = []
 
     def release(self, df: DataFrame) -> DataFrame:
         """Keep ``df`` beyond this scope, and leave it to the one around it."""
         self.kept = [k for k in self.kept if k._scratch_path != df._scratch_path]
+        self.paths = [p for p in self.paths if p[1] != df._scratch_path]
         outer = _scopes[: _scopes.index(self)]
         if outer:
             outer[-1].kept.append(df)
@@ -47,6 +50,36 @@ def scope() -> Iterator[Scope]:
         _scopes.remove(s)
         for df in s.kept:
             drop(df)
+        for spark, path in s.paths:
+            io.remove(spark, path)
+
+
+def roots_of(df: DataFrame) -> set[str]:
+    """Last parts of the folders and files that a frame's plan reads."""
+    leaves, found = df._jdf.queryExecution().analyzed().collectLeaves(), set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            paths = leaf.relation().location().rootPaths()
+            found |= {paths.apply(k).getName() for k in range(paths.size())}
+    return found
+
+
+def tidy(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, leaving only those of its tables that the result's plan reads."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with scope() as s:
+            out = query(spark, sf_dir)
+            read = roots_of(out)
+            used = lambda path: path.rsplit("/", 1)[-1] in read
+            for df in [k for k in s.kept if used(k._scratch_path)]:
+                s.release(df)
+            s.paths = [(session, path) for session, path in s.paths if not used(path)]
+        return out
+
+    return run
 
 
 def root(spark: SparkSession) -> str:
@@ -65,7 +98,10 @@ def root(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{root(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].paths.append((spark, path))
+    return path
 
 
 def keep(df: DataFrame, name: str = "cut") -> DataFrame:

@@ -8,6 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.plans import scratch
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -32,7 +34,7 @@ def query(sql: str | None = None, ctes: str = ""):
     """Register a function (spark, sf_dir) -> DataFrame under its own name; ``ctes`` go before ``sql``."""
 
     def add(f):
-        QUERIES[f.__name__] = f
+        QUERIES[f.__name__] = scratch.tidy(f)
         if sql is not None:
             ORACLE[f.__name__] = whole_sums(f"WITH RECURSIVE {ctes}\n{sql}" if ctes else sql)
         return f

@@ -21,7 +21,7 @@ def test_scores_of_listed_cards(spark, tmp_path):
     got = dict(line.split(",") for p in (tmp_path / "out").glob("part-*") for line in p.read_text().splitlines())
     assert set(got) == {"a", "b", "c"} and got["c"] == "null"
     tx = transactions(spark, D)
-    members, community = catalogue_service._communities(spark, D)
+    members, community = catalogue_service._communities(tx)
     c = members.select(F.col("vid").alias("card"), "cc").join(community, "cc").drop("cc")
     want = {r.card: r.score for r in features.rank_sum_score(features.card_features(tx).join(c, "card", "left")).collect()}
     assert float(got["a"]) == want[seen[0]] and float(got["b"]) == want[seen[1]]

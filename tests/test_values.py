@@ -3,6 +3,7 @@
 import hashlib
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as X
@@ -113,3 +114,36 @@ def test_compatible_features_and_score(spark):
     assert (new.transin_max, old.transin_max, new.distinct_cards_in, new.distinct_cards_out, old.distinct_cards_out) == (3000, 2000.0, 2, 0, 1)
     f = spark.createDataFrame([(1, 5, 1), (2, None, 1), (3, 9, 2)], "card long, tot_counts long, tot_provs long")
     assert {r.card: r.score for r in rank_sum_score(f).collect()} == {1: 2.5, 2: 1.5, 3: 4.0}
+
+
+def test_unknown_edge_types_raise(spark):
+    from ledgerlens.operators import hetero
+
+    e = spark.createDataFrame([("a", "b", "trans_to", 5, 1, 0), ("a", "b", "trans_to", 6, 1, 1), ("a", "b", "query_at", 0, 1, 0)], "src string, dst string, edge_type string, money long, cnt long, night long")
+    assert sorted(hetero.merge_typed(e).collect()) == [("a", "b", "query_at", 0, 1, 0), ("a", "b", "trans_to", 11, 2, 1)]
+    for bad in ("trans_too", None):
+        with pytest.raises(Exception, match="unknown edge type"):
+            hetero.merge_typed(e.withColumn("edge_type", F.lit(bad).cast("string"))).collect()
+
+
+def test_dense_ranks_with_null_and_ties(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 5), (4, -1), (5, None)], "k long, v long")
+    assert sorted((r.k, r.place) for r in R.dense_rank_of(df, "v", "place").collect()) == [(1, 1), (2, 3), (3, 3), (4, 2), (5, 1)]
+
+
+def test_queries_leave_only_what_their_result_reads(spark):
+    """What a query wrote is gone afterwards, but for the tables its result is read from; the result is whole."""
+    import glob
+
+    from ledgerlens import registry
+    from ledgerlens.plans import scratch
+
+    registry.load()
+    folder = lambda: {p.rsplit("/", 1)[-1] for p in glob.glob(scratch.root(spark).removeprefix("file://") + "/*")}
+    for name in ("components", "core_labels", "page_rank_six_rounds", "vertex_subgraph", "card_rank_sum_score", "strong_components", "directory_overwritten", "some_partitions_overwritten", "count_rank_ratios"):
+        before = folder()
+        out = registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+        left = folder() - before
+        assert left <= scratch.roots_of(out), name
+        assert len(left) <= 6 and out.count() > 0, name
+    assert not spark.sql("SHOW TABLES LIKE 'ledgerlens*'").where("isTemporary = false").collect()
