@@ -55,13 +55,13 @@ def scope() -> Iterator[Scope]:
 
 
 def roots_of(df: DataFrame) -> set[str]:
-    """Last parts of the folders and files that a frame's plan reads."""
+    """All parts of the paths of folders and files that a frame's plan reads."""
     leaves, found = df._jdf.queryExecution().analyzed().collectLeaves(), set()
     for i in range(leaves.size()):
         leaf = leaves.apply(i)
         if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
             paths = leaf.relation().location().rootPaths()
-            found |= {paths.apply(k).getName() for k in range(paths.size())}
+            found |= {part for k in range(paths.size()) for part in paths.apply(k).toString().split("/")}
     return found
 
 
