@@ -164,7 +164,7 @@ for _names, _w in ((features.FULL, 1.0), (features.HALF, 0.5), (features.QUARTER
     for _n in _names:
         _ALL_WEIGHTS[_n] = _ALL_WEIGHTS.get(_n, 0.0) + _w
 
-_SUMMARY = "chosen AS (SELECT cc FROM mem GROUP BY 1 HAVING max(core) > 1 AND count(*) BETWEEN 4 AND 4000)"
+_SUMMARY = "chosen AS (SELECT cc FROM mem GROUP BY 1 HAVING count(*) BETWEEN 4 AND 4000)"
 
 
 def _stored(tx):
@@ -173,14 +173,14 @@ def _stored(tx):
     m = features.community_vertices(merged, None)
     path = scratch.new_path(tx.sparkSession, "communities")
     communities.store(merged.select("src", "dst", "money"), m, path)
-    return path, scratch.keep(m.groupBy("cc").agg(F.max("core").alias("core"), F.count("*").alias("size")), "summary")
+    return path, scratch.keep(m.groupBy("cc").agg(F.count("*").alias("size")), "summary")
 
 
 @for_both("SELECT cc, src, dst, money::BIGINT AS money FROM k JOIN cc ON src = vid WHERE cc IN (SELECT cc FROM chosen)", f"{_COMM}, {_MEMBERS}, {_SUMMARY}")
 def stored_edges_of_chosen_communities(tx):
     """As edges_of_chosen_communities, from edges stored by community: others' folders are not read."""
     path, summary = _stored(tx)
-    return communities.edges_of(tx.sparkSession, path, summary.where("core > 1 and size between 4 and 4000")).select("cc", "src", "dst", "money")
+    return communities.edges_of(tx.sparkSession, path, summary.where("size between 4 and 4000")).select("cc", "src", "dst", "money")
 
 
 @for_both("SELECT cc, src, dst, money::BIGINT AS money FROM k JOIN cc ON src = vid WHERE cc IN (SELECT cc FROM k JOIN cc ON src = vid GROUP BY 1 HAVING count(*) >= 6)", _COMM)
