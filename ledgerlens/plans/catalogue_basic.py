@@ -12,7 +12,7 @@ from ledgerlens.sources.io import date_dictionary, read_events
 from ledgerlens.sources.transactions import EDGES, TX, table, transactions, transfer_edges
 
 
-@query("SELECT srccard AS src, dstcard AS dst, sum(money) AS amount, count(*) AS cnt FROM tx WHERE trans_id IN ('S33', 'S25') GROUP BY 1, 2 HAVING sum(money) > 10000000", TX)
+@query("SELECT srccard AS src, dstcard AS dst, sum(money)::BIGINT AS amount, count(*) AS cnt FROM tx WHERE trans_id IN ('S33', 'S25') GROUP BY 1, 2 HAVING sum(money)::BIGINT > 10000000", TX)
 def pair_totals_having(spark: SparkSession, d: str) -> DataFrame:
     e = transfer_edges(spark, d)
     return e.where("money > 10000000").select("src", "dst", F.col("money").alias("amount"), "cnt")
@@ -24,7 +24,7 @@ def scan_date_range(spark, d):
     return t.select("tid", "srccard", "dstcard", "money", "charge", "pdate", "loc_trans_tm", "region_cd", "trans_md", "mchnt_cd", "term_id", "trans_id", "card")
 
 
-@query("SELECT CASE WHEN trans_id IN ('S33', 'S25') THEN 'transfer' WHEN trans_id = 'S24' THEN 'withdrawal' WHEN trans_id = 'S00' THEN 'query' ELSE 'purchase' END AS event, count(*) AS n, sum(money) AS money FROM tx WHERE trans_id IN ('S33', 'S25', 'S24', 'S00', 'S22') GROUP BY 1", TX)
+@query("SELECT CASE WHEN trans_id IN ('S33', 'S25') THEN 'transfer' WHEN trans_id = 'S24' THEN 'withdrawal' WHEN trans_id = 'S00' THEN 'query' ELSE 'purchase' END AS event, count(*) AS n, sum(money)::BIGINT AS money FROM tx WHERE trans_id IN ('S33', 'S25', 'S24', 'S00', 'S22') GROUP BY 1", TX)
 def four_events(spark, d):
     t = transactions(spark, d).select("trans_id", "money")
     parts = [v.withColumn("event", F.lit(k)) for k, v in read_events(t).items()]
@@ -75,13 +75,13 @@ def semi_join_on_hashed_key(spark, d):
     return R.restricted(t, _seeds(spark, d).select(hashed("card").alias("h")), "h").select("tid")
 
 
-@query("SELECT c_custkey AS card, coalesce(n, 0) AS n, coalesce(money, 0) AS money FROM customer LEFT JOIN (SELECT card, count(*) AS n, sum(money) AS money FROM tx GROUP BY card) ON c_custkey = card", TX)
+@query("SELECT c_custkey AS card, coalesce(n, 0) AS n, coalesce(money, 0) AS money FROM customer LEFT JOIN (SELECT card, count(*) AS n, sum(money)::BIGINT AS money FROM tx GROUP BY card) ON c_custkey = card", TX)
 def left_join_fill_zero(spark, d):
     a = transactions(spark, d).groupBy("card").agg(F.count("*").alias("n"), F.sum("money").alias("money"))
     return table(spark, d, "customer").select(F.col("c_custkey").alias("card")).join(a, "card", "left").fillna(0)
 
 
-@query("SELECT a.card, a.money_in, b.money_out FROM (SELECT dstcard AS card, sum(money) AS money_in FROM tx WHERE trans_id = 'S33' GROUP BY 1) a RIGHT JOIN (SELECT srccard AS card, sum(money) AS money_out FROM tx WHERE trans_id = 'S25' GROUP BY 1) b ON a.card = b.card", TX)
+@query("SELECT a.card, a.money_in, b.money_out FROM (SELECT dstcard AS card, sum(money)::BIGINT AS money_in FROM tx WHERE trans_id = 'S33' GROUP BY 1) a RIGHT JOIN (SELECT srccard AS card, sum(money)::BIGINT AS money_out FROM tx WHERE trans_id = 'S25' GROUP BY 1) b ON a.card = b.card", TX)
 def right_join_in_out(spark, d):
     t = transactions(spark, d)
     a = t.where("trans_id = 'S33'").groupBy(F.col("dstcard").alias("card")).agg(F.sum("money").alias("money_in"))
@@ -89,7 +89,7 @@ def right_join_in_out(spark, d):
     return a.join(b, F.col("card") == F.col("k"), "right").select("card", "money_in", "money_out")
 
 
-_TWO = "a AS (SELECT card, pdate, sum(money) AS money FROM tx GROUP BY 1, 2), b AS (SELECT card, pdate, count(*) AS n FROM tx WHERE trans_md <> '1' GROUP BY 1, 2)"
+_TWO = "a AS (SELECT card, pdate, sum(money)::BIGINT AS money FROM tx GROUP BY 1, 2), b AS (SELECT card, pdate, count(*) AS n FROM tx WHERE trans_md <> '1' GROUP BY 1, 2)"
 
 
 def _two(spark, d):
@@ -122,7 +122,7 @@ def triplets(spark, d):
     return e.join(c.select(F.col("c_custkey").alias("src"), F.col("c_acctbal").alias("src_balance")), "src").join(c.select(F.col("c_custkey").alias("dst"), F.col("c_acctbal").alias("dst_balance")), "dst").select("src", "dst", "money", "src_balance", "dst_balance")
 
 
-@query("SELECT srccard AS card, sum(money) AS amount FROM tx WHERE trans_id = 'S25' GROUP BY 1", TX)
+@query("SELECT srccard AS card, sum(money)::BIGINT AS amount FROM tx WHERE trans_id = 'S25' GROUP BY 1", TX)
 def sums_by_sender(spark, d):
     return transactions(spark, d).where("trans_id = 'S25'").groupBy(F.col("srccard").alias("card")).agg(F.sum("money").alias("amount"))
 
@@ -132,7 +132,7 @@ def counts_by_type(spark, d):
     return transactions(spark, d).groupBy("trans_id").agg(F.count("*").alias("n"))
 
 
-@query("SELECT card, count(CASE WHEN trans_id = 'S33' THEN 1 END) AS n_in, count(CASE WHEN trans_id = 'S25' THEN 1 END) AS n_out, count(CASE WHEN trans_md <> '1' THEN 1 END) AS n_foreign, sum(CASE WHEN trans_id = 'S24' THEN money ELSE 0 END) AS cash FROM tx GROUP BY 1", TX)
+@query("SELECT card, count(CASE WHEN trans_id = 'S33' THEN 1 END) AS n_in, count(CASE WHEN trans_id = 'S25' THEN 1 END) AS n_out, count(CASE WHEN trans_md <> '1' THEN 1 END) AS n_foreign, sum(CASE WHEN trans_id = 'S24' THEN money ELSE 0 END)::BIGINT AS cash FROM tx GROUP BY 1", TX)
 def conditional_counts(spark, d):
     when = lambda c: F.count_if(F.expr(c))
     return transactions(spark, d).groupBy("card").agg(when("trans_id = 'S33'").alias("n_in"), when("trans_id = 'S25'").alias("n_out"), when("trans_md <> '1'").alias("n_foreign"), F.sum(F.when(F.col("trans_id") == "S24", F.col("money")).otherwise(0)).alias("cash"))
@@ -149,7 +149,7 @@ def distinct_counts_by_region(spark, d):
     return transactions(spark, d).groupBy("region_cd").agg(n("card").alias("cards"), n("mchnt_cd").alias("merchants"), n("term_id").alias("terminals"), n("trans_chnl").alias("channels"), F.max("money").alias("most"), F.count_if(F.col("charge") > 100).alias("dear"))
 
 
-@query("SELECT src, dst, money, cnt, first_day, n_regions, channel FROM (SELECT srccard AS src, dstcard AS dst, sum(money) AS money, count(*) AS cnt, min(pdate) AS first_day, count(DISTINCT region_cd) AS n_regions FROM tx GROUP BY 1, 2) JOIN (SELECT src, dst, channel FROM (SELECT srccard AS src, dstcard AS dst, trans_chnl AS channel, row_number() OVER (PARTITION BY srccard, dstcard ORDER BY count(*) DESC, trans_chnl) AS k FROM tx GROUP BY 1, 2, 3) WHERE k = 1) USING (src, dst)", TX)
+@query("SELECT src, dst, money, cnt, first_day, n_regions, channel FROM (SELECT srccard AS src, dstcard AS dst, sum(money)::BIGINT AS money, count(*) AS cnt, min(pdate) AS first_day, count(DISTINCT region_cd) AS n_regions FROM tx GROUP BY 1, 2) JOIN (SELECT src, dst, channel FROM (SELECT srccard AS src, dstcard AS dst, trans_chnl AS channel, row_number() OVER (PARTITION BY srccard, dstcard ORDER BY count(*) DESC, trans_chnl) AS k FROM tx GROUP BY 1, 2, 3) WHERE k = 1) USING (src, dst)", TX)
 def merged_edges_with_mode(spark, d):
     t = transactions(spark, d).select(F.col("srccard").alias("src"), F.col("dstcard").alias("dst"), "money", "pdate", "region_cd", "trans_chnl")
     per = t.groupBy("src", "dst", "trans_chnl").agg(F.count("*").alias("c"), F.sum("money").alias("money"), F.min("pdate").alias("first_day"), F.collect_set("region_cd").alias("regions"))
@@ -190,7 +190,7 @@ def distributed_sort(spark, d):
     return transactions(spark, d).where("trans_id = 'S24'").select("card", "pdate", "money").repartition("card").sortWithinPartitions("card", F.desc("pdate"))
 
 
-@query("SELECT card, amount FROM (SELECT card, sum(money) AS amount FROM tx GROUP BY 1) ORDER BY amount DESC, card LIMIT 100", TX)
+@query("SELECT card, amount FROM (SELECT card, sum(money)::BIGINT AS amount FROM tx GROUP BY 1) ORDER BY amount DESC, card LIMIT 100", TX)
 def top_100_amounts(spark, d):
     return R.top_n(transactions(spark, d).groupBy("card").agg(F.sum("money").alias("amount")), 100, F.col("amount"), "card")
 

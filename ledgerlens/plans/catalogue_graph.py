@@ -213,13 +213,13 @@ def neighbourhood_extraction(spark, d):
     return graph.subgraph(e, near).select("src", "dst", "money")
 
 
-@query("SELECT c_custkey AS vid, coalesce(sum(money), 0) AS got FROM customer LEFT JOIN between_cards ON dst = c_custkey GROUP BY 1", BETWEEN)
+@query("SELECT c_custkey AS vid, coalesce(sum(money)::BIGINT, 0) AS got FROM customer LEFT JOIN between_cards ON dst = c_custkey GROUP BY 1", BETWEEN)
 def default_for_lone_vertices(spark, d):
     msg = graph.aggregate_messages(between_cards(spark, d), F.col("money")).withColumnRenamed("msg", "got")
     return graph.keep_vertices(table(spark, d, "customer").select(F.col("c_custkey").alias("vid")), msg, "got", 0)
 
 
-@query("SELECT src, dst, sum(money) AS money, sum(cnt) AS cnt FROM (SELECT least(src, dst) AS src, greatest(src, dst) AS dst, money, cnt FROM between_cards) GROUP BY 1, 2", BETWEEN)
+@query("SELECT src, dst, sum(money)::BIGINT AS money, sum(cnt)::BIGINT AS cnt FROM (SELECT least(src, dst) AS src, greatest(src, dst) AS dst, money, cnt FROM between_cards) GROUP BY 1, 2", BETWEEN)
 def undirected_merge(spark, d):
     e = between_cards(spark, d).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"), "money", "cnt")
     return graph.merge_edges(e, ["money", "cnt"])

@@ -10,7 +10,7 @@ from ledgerlens.plans import scratch
 from ledgerlens.registry import query
 from ledgerlens.sources.transactions import EDGES, TX, table, transactions, transfer_edges
 
-_PROFILE = "sum(money) AS amount, count(*) AS cnt, round(avg(money), 4) AS mean, round(stddev_pop(money), 4) AS dev, round(stddev_pop(money) / nullif(avg(money), 0), 6) AS cv, count(DISTINCT region_cd) AS places, count(CASE WHEN trans_md <> '1' THEN 1 END) AS away"
+_PROFILE = "sum(money)::BIGINT AS amount, count(*) AS cnt, round(avg(money), 4) AS mean, round(stddev_pop(money), 4) AS dev, round(stddev_pop(money) / nullif(avg(money), 0), 6) AS cv, count(DISTINCT region_cd) AS places, count(CASE WHEN trans_md <> '1' THEN 1 END) AS away"
 _DAYS = f"days AS (SELECT card, pdate, {_PROFILE} FROM tx GROUP BY 1, 2)"
 _AVERAGES = "averages AS (SELECT card, round(avg(amount), 4) AS dam, round(avg(cnt), 4) AS dac, round(avg(cv), 4) AS dacv, CAST(floor(avg(places)) AS BIGINT) AS dloc, CAST(floor(avg(away)) AS BIGINT) AS daway FROM days GROUP BY 1)"
 _SECS = "CAST(epoch(day) + secs AS BIGINT) AS at_s"
@@ -51,19 +51,19 @@ def abnormal_day_ratios(spark, d):
     return profiles.abnormal_days(days, profiles.averages_of_days(days))
 
 
-@query("SELECT card, CAST(date_diff('day', DATE '1992-01-01', day) // 7 AS INTEGER) AS week, sum(money) AS amount, count(*) AS cnt FROM tx GROUP BY 1, 2", TX)
+@query("SELECT card, CAST(date_diff('day', DATE '1992-01-01', day) // 7 AS INTEGER) AS week, sum(money)::BIGINT AS amount, count(*) AS cnt FROM tx GROUP BY 1, 2", TX)
 def week_sums(spark, d):
     week = F.floor(F.date_diff(F.col("day"), F.lit("1992-01-01").cast("date")) / 7).cast("int")
     return transactions(spark, d).groupBy("card", week.alias("week")).agg(F.sum("money").alias("amount"), F.count("*").alias("cnt"))
 
 
-@query("SELECT card, count(*) AS weeks, round(var_pop(amount) / nullif(avg(amount), 0), 4) AS dispersion FROM (SELECT card, date_diff('day', DATE '1992-01-01', day) // 7 AS week, sum(money) / 100.0 AS amount FROM tx GROUP BY 1, 2) GROUP BY 1", TX)
+@query("SELECT card, count(*) AS weeks, round(var_pop(amount) / nullif(avg(amount), 0), 4) AS dispersion FROM (SELECT card, date_diff('day', DATE '1992-01-01', day) // 7 AS week, sum(money)::BIGINT / 100.0 AS amount FROM tx GROUP BY 1, 2) GROUP BY 1", TX)
 def week_dispersion(spark, d):
     week = F.floor(F.date_diff(F.col("day"), F.lit("1992-01-01").cast("date")) / 7).cast("int")
     return profiles.dispersion(transactions(spark, d).groupBy("card", week.alias("week")).agg((F.sum("money") / 100).alias("amount")), "card", "amount")
 
 
-@query("SELECT srccard, date_diff('day', DATE '1992-01-01', day) // 7 AS week, sum(money) AS amount, count(*) AS cnt, count(DISTINCT dstcard) AS receivers, count(DISTINCT CASE WHEN length(region_cd || mchnt_cd) > 4 THEN substr(region_cd || mchnt_cd, 5) ELSE '0000' END) AS places, count(DISTINCT pdate) AS days FROM tx WHERE trans_id = 'S25' GROUP BY 1, 2", TX)
+@query("SELECT srccard, date_diff('day', DATE '1992-01-01', day) // 7 AS week, sum(money)::BIGINT AS amount, count(*) AS cnt, count(DISTINCT dstcard) AS receivers, count(DISTINCT CASE WHEN length(region_cd || mchnt_cd) > 4 THEN substr(region_cd || mchnt_cd, 5) ELSE '0000' END) AS places, count(DISTINCT pdate) AS days FROM tx WHERE trans_id = 'S25' GROUP BY 1, 2", TX)
 def week_sets(spark, d):
     t = transactions(spark, d).where("trans_id = 'S25'").withColumn("place", profiles.location(F.concat("region_cd", "mchnt_cd")))
     week = F.floor(F.date_diff(F.col("day"), F.lit("1992-01-01").cast("date")) / 7).cast("long")
@@ -146,7 +146,7 @@ def mean_event_gaps(spark, d):
     return gaps.gaps(e, "user_id", F.col("at"), "event_id").groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.avg("gap_minutes"), 4).alias("mean_gap"))
 
 
-_FLOW = "ends AS (SELECT dst AS vid, TRUE AS i, money, cnt, foreign_cnt FROM edges UNION ALL SELECT src, FALSE, money, cnt, foreign_cnt FROM edges), flow AS (SELECT vid, sum(CASE WHEN i THEN money ELSE 0 END) AS amt_in, sum(CASE WHEN i THEN cnt ELSE 0 END) AS cnt_in, sum(CASE WHEN NOT i THEN money ELSE 0 END) AS amt_out, sum(CASE WHEN NOT i THEN cnt ELSE 0 END) AS cnt_out, sum(money) AS amt_all, sum(cnt) AS cnt_all, sum(foreign_cnt) AS foreign_cnt FROM ends GROUP BY 1), flows AS (SELECT *, abs(amt_in - amt_out) AS net, round(abs(amt_in - amt_out)::DOUBLE / nullif(amt_in + amt_out, 0), 6) AS net_ratio FROM flow)"
+_FLOW = "ends AS (SELECT dst AS vid, TRUE AS i, money, cnt, foreign_cnt FROM edges UNION ALL SELECT src, FALSE, money, cnt, foreign_cnt FROM edges), flow AS (SELECT vid, sum(CASE WHEN i THEN money ELSE 0 END)::BIGINT AS amt_in, sum(CASE WHEN i THEN cnt ELSE 0 END)::BIGINT AS cnt_in, sum(CASE WHEN NOT i THEN money ELSE 0 END)::BIGINT AS amt_out, sum(CASE WHEN NOT i THEN cnt ELSE 0 END)::BIGINT AS cnt_out, sum(money)::BIGINT AS amt_all, sum(cnt)::BIGINT AS cnt_all, sum(foreign_cnt)::BIGINT AS foreign_cnt FROM ends GROUP BY 1), flows AS (SELECT *, abs(amt_in - amt_out) AS net, round(abs(amt_in - amt_out)::DOUBLE / nullif(amt_in + amt_out, 0), 6) AS net_ratio FROM flow)"
 
 
 @query("SELECT vid, amt_in::BIGINT AS amt_in, cnt_in::BIGINT AS cnt_in, amt_out::BIGINT AS amt_out, cnt_out::BIGINT AS cnt_out, amt_all::BIGINT AS amt_all, cnt_all::BIGINT AS cnt_all, foreign_cnt::BIGINT AS foreign_cnt, net::BIGINT AS net, net_ratio FROM flows", f"{EDGES}, {_FLOW}")
@@ -167,7 +167,7 @@ def low_net_income(spark, d):
 
 _RANKED = "vs AS MATERIALIZED (SELECT src AS vid FROM edges UNION SELECT dst FROM edges), share AS MATERIALIZED (SELECT src, dst, 1.0::DOUBLE / count(*) OVER (PARTITION BY src) AS share FROM edges), r0 AS (SELECT vid, 1.0::DOUBLE AS rank FROM vs), " + ", ".join(f"r{i + 1} AS MATERIALIZED (SELECT vid, 0.15 + 0.85 * coalesce(got, 0) AS rank FROM vs LEFT JOIN (SELECT dst, sum(rank * share) AS got FROM share JOIN r{i} ON src = vid GROUP BY 1) ON dst = vid)" for i in range(6))
 _METRICS = _RANKED + (
-    ", degs AS (SELECT vid, sum(CASE WHEN i THEN 1 ELSE 0 END) AS in_degree, sum(CASE WHEN i THEN 0 ELSE 1 END) AS out_degree, count(*) AS degree FROM ends GROUP BY 1)"
+    ", degs AS (SELECT vid, sum(CASE WHEN i THEN 1 ELSE 0 END)::BIGINT AS in_degree, sum(CASE WHEN i THEN 0 ELSE 1 END)::BIGINT AS out_degree, count(*) AS degree FROM ends GROUP BY 1)"
     ", metrics AS MATERIALIZED (SELECT vid, amt_all, cnt_all, net_ratio, foreign_cnt, in_degree, out_degree, degree, round(in_degree::DOUBLE / degree, 9) AS in_ratio, round(out_degree::DOUBLE / degree, 9) AS out_ratio, round(rank, 9) AS rank FROM flows JOIN degs USING (vid) JOIN r6 USING (vid))"
     + "".join(f", l_{k} AS MATERIALIZED (SELECT vid FROM metrics WHERE {c} IS NOT NULL ORDER BY {c} {'ASC' if up else 'DESC'}, vid LIMIT 300)" for k, (c, up) in flow.METRICS.items())
 )
@@ -245,7 +245,7 @@ def _md5_sql(column: str) -> str:
     return _ID.format(c=text, u=_U.format(c=text))
 
 
-@query(f"SELECT in_card, {_md5_sql('in_card')} AS in_id, out_card, {_md5_sql('out_card')} AS out_id, msum::BIGINT AS msum, csum, locsum, foreignsum FROM (SELECT dstcard AS in_card, srccard AS out_card, sum(money) AS msum, count(*) AS csum, count(DISTINCT substr(region_cd || mchnt_cd, 5)) AS locsum, count(CASE WHEN trans_md = '2' THEN 1 END) AS foreignsum FROM tx WHERE trans_id IN ('S33', 'S25') GROUP BY 1, 2)", TX)
+@query(f"SELECT in_card, {_md5_sql('in_card')} AS in_id, out_card, {_md5_sql('out_card')} AS out_id, msum::BIGINT AS msum, csum, locsum, foreignsum FROM (SELECT dstcard AS in_card, srccard AS out_card, sum(money)::BIGINT AS msum, count(*) AS csum, count(DISTINCT substr(region_cd || mchnt_cd, 5)) AS locsum, count(CASE WHEN trans_md = '2' THEN 1 END) AS foreignsum FROM tx WHERE trans_id IN ('S33', 'S25') GROUP BY 1, 2)", TX)
 def pair_statistics_with_ids(spark, d):
     """Transfers by receiver and sender with hashed ids of both."""
     t = transactions(spark, d).where("trans_id in ('S33', 'S25')")

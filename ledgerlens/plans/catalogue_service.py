@@ -109,7 +109,7 @@ def _communities(tx):
 
 MODE = "list_sort(list_transform(map_entries(histogram({c})), lambda e: {{'n': -(e.value::BIGINT), 'v': e.key}}))[1].v AS mode_{c}"
 MERGE = (
-    "sum(money) AS money, count(*) AS cnt, sum(CAST(round(charge * 10000) AS BIGINT))::BIGINT AS charge4, sum(CASE WHEN substr(loc_trans_tm, 1, 2) BETWEEN '01' AND '05' THEN 1 ELSE 0 END) AS night, count(CASE WHEN trans_md = '2' THEN 1 END) AS other_city, "
+    "sum(money)::BIGINT AS money, count(*) AS cnt, sum(CAST(round(charge * 10000) AS BIGINT))::BIGINT AS charge4, sum(CASE WHEN substr(loc_trans_tm, 1, 2) BETWEEN '01' AND '05' THEN 1 ELSE 0 END)::BIGINT AS night, count(CASE WHEN trans_md = '2' THEN 1 END) AS other_city, "
     + ", ".join([*[MODE.format(c=c) for c in features.MODES], *[f"count(DISTINCT {c}) AS n_{c}" for c in features.COUNTED]])
 )
 _COMM = (
@@ -123,8 +123,8 @@ _COMM = (
 
 _MEMBERS = (
     unrolled_labels("k")
-    + ", mem AS MATERIALIZED (SELECT cc.vid, cc, core, in_degree, out_degree, degree, CASE WHEN amt_in > 0 AND amt_out > 0 AND (abs(amt_in - amt_out) < 500 OR abs(amt_in - amt_out)::DOUBLE / (amt_in + amt_out) < 0.01) THEN 1 ELSE 0 END AS transit FROM cc JOIN labels USING (vid) JOIN (SELECT vid, sum(i) AS in_degree, sum(1 - i) AS out_degree, count(*) AS degree, sum(money * i) AS amt_in, sum(money * (1 - i)) AS amt_out FROM (SELECT dst AS vid, 1 AS i, money FROM k UNION ALL SELECT src, 0, money FROM k) GROUP BY 1) USING (vid)),"
-    "comm AS MATERIALIZED (SELECT * FROM (SELECT cc, count(*) AS cc_num, max(core) AS max_core, max(in_degree) AS max_in, max(out_degree) AS max_out, max(degree) AS max_degree, count(CASE WHEN core > 4 THEN 1 END) AS big_core_num, sum(transit) AS transit_num FROM mem GROUP BY 1) JOIN (SELECT cc, sum(cnt) AS trans_num, sum(money) AS money, sum(charge4)::BIGINT / 10000 AS charge, sum(night) AS night, sum(other_city) AS other_city, count(DISTINCT mode_card_class) AS class_modes, count(DISTINCT mode_mchnt_tp) AS mchnt_tp_modes, count(DISTINCT mode_trans_chnl) AS channel_modes, count(DISTINCT mode_acpt_ins_tp) AS ins_tp_modes, count(DISTINCT mode_resp_cd4) AS resp_modes, max(n_acpt_bank) AS max_banks, max(n_mchnt_cd) AS max_merchants, max(n_term_id) AS max_terminals, max(n_fwd_ins_id_cd) AS max_fwd, max(n_rcv_ins_id_cd) AS max_rcv FROM m JOIN mem ON src = vid GROUP BY 1) USING (cc)"
+    + ", mem AS MATERIALIZED (SELECT cc.vid, cc, core, in_degree, out_degree, degree, CASE WHEN amt_in > 0 AND amt_out > 0 AND (abs(amt_in - amt_out) < 500 OR abs(amt_in - amt_out)::DOUBLE / (amt_in + amt_out) < 0.01) THEN 1 ELSE 0 END AS transit FROM cc JOIN labels USING (vid) JOIN (SELECT vid, sum(i)::BIGINT AS in_degree, sum(1 - i)::BIGINT AS out_degree, count(*) AS degree, sum(money * i)::BIGINT AS amt_in, sum(money * (1 - i))::BIGINT AS amt_out FROM (SELECT dst AS vid, 1 AS i, money FROM k UNION ALL SELECT src, 0, money FROM k) GROUP BY 1) USING (vid)),"
+    "comm AS MATERIALIZED (SELECT * FROM (SELECT cc, count(*) AS cc_num, max(core) AS max_core, max(in_degree) AS max_in, max(out_degree) AS max_out, max(degree) AS max_degree, count(CASE WHEN core > 4 THEN 1 END) AS big_core_num, sum(transit)::BIGINT AS transit_num FROM mem GROUP BY 1) JOIN (SELECT cc, sum(cnt)::BIGINT AS trans_num, sum(money)::BIGINT AS money, sum(charge4)::BIGINT / 10000 AS charge, sum(night)::BIGINT AS night, sum(other_city)::BIGINT AS other_city, count(DISTINCT mode_card_class) AS class_modes, count(DISTINCT mode_mchnt_tp) AS mchnt_tp_modes, count(DISTINCT mode_trans_chnl) AS channel_modes, count(DISTINCT mode_acpt_ins_tp) AS ins_tp_modes, count(DISTINCT mode_resp_cd4) AS resp_modes, max(n_acpt_bank) AS max_banks, max(n_mchnt_cd) AS max_merchants, max(n_term_id) AS max_terminals, max(n_fwd_ins_id_cd) AS max_fwd, max(n_rcv_ins_id_cd) AS max_rcv FROM m JOIN mem ON src = vid GROUP BY 1) USING (cc)"
     " JOIN (SELECT cc, count(DISTINCT region_cd) AS regions, count(DISTINCT mchnt_tp) AS mchnt_tps, count(DISTINCT mchnt_cd) AS merchants, count(DISTINCT address) AS addresses FROM t JOIN mem ON srccard = vid GROUP BY 1) USING (cc))"
 )
 
@@ -212,7 +212,7 @@ def command_line_scores(spark, d):
     return io.read_delimited(spark, out, T.StructType([T.StructField("oricard", T.StringType()), T.StructField("score", T.DoubleType())]), ",")
 
 
-@for_both("SELECT cc, cc_num, trans_num::BIGINT AS trans_num, money::BIGINT AS money, night::BIGINT AS night, other_city::BIGINT AS other_city FROM (SELECT cc, count(*) AS cc_num FROM cc GROUP BY 1) JOIN (SELECT cc, sum(cnt) AS trans_num, sum(money) AS money, sum(night) AS night, sum(other_city) AS other_city FROM k JOIN cc ON src = vid GROUP BY 1) USING (cc)", f"{_COMM}")
+@for_both("SELECT cc, cc_num, trans_num::BIGINT AS trans_num, money::BIGINT AS money, night::BIGINT AS night, other_city::BIGINT AS other_city FROM (SELECT cc, count(*) AS cc_num FROM cc GROUP BY 1) JOIN (SELECT cc, sum(cnt)::BIGINT AS trans_num, sum(money)::BIGINT AS money, sum(night)::BIGINT AS night, sum(other_city)::BIGINT AS other_city FROM k JOIN cc ON src = vid GROUP BY 1) USING (cc)", f"{_COMM}")
 def community_totals(tx):
     e = graph.without_lone_pairs(_merged(tx))
     cc = connected_components(e)

@@ -17,7 +17,7 @@ from ledgerlens.sources import io, tables
 from ledgerlens.sources import schema as S
 from ledgerlens.sources.transactions import TX, table, transactions
 
-_BY_CARD = "SELECT card, sum(money) AS amount FROM tx WHERE trans_id = 'S33' GROUP BY 1"
+_BY_CARD = "SELECT card, sum(money)::BIGINT AS amount FROM tx WHERE trans_id = 'S33' GROUP BY 1"
 
 
 def _name() -> str:
@@ -56,7 +56,7 @@ def load_text_into_table(spark, d):
 def table_as_select(spark, d):
     path, name = scratch.new_path(spark, "table"), _name()
     with _view(spark, d) as view:
-        tables.create_table_as(spark, name, f"SELECT card, sum(money) AS amount FROM {view} WHERE trans_id = 'S33' GROUP BY card", path)
+        tables.create_table_as(spark, name, f"SELECT card, sum(money)::BIGINT AS amount FROM {view} WHERE trans_id = 'S33' GROUP BY card", path)
     return _read(spark, name, path)
 
 
@@ -76,12 +76,12 @@ def table_emptied_and_appended(spark, d):
     return _read(spark, name, path)
 
 
-@query("SELECT card, sum(money) AS amount FROM tx WHERE trans_id = 'S25' GROUP BY 1", TX)
+@query("SELECT card, sum(money)::BIGINT AS amount FROM tx WHERE trans_id = 'S25' GROUP BY 1", TX)
 def table_overwritten(spark, d):
     path, name = scratch.new_path(spark, "table"), _name()
     _in_rows(spark, d, name, path)
     with _view(spark, d) as view:
-        tables.insert_overwrite(spark, name, f"SELECT card, sum(money) FROM {view} WHERE trans_id = 'S25' GROUP BY card")
+        tables.insert_overwrite(spark, name, f"SELECT card, sum(money)::BIGINT FROM {view} WHERE trans_id = 'S25' GROUP BY card")
     return _read(spark, name, path)
 
 
@@ -94,13 +94,13 @@ def table_and_column_renamed(spark, d):
     return _read(spark, other, moved)
 
 
-@query("SELECT card, sum(money) AS total FROM tx WHERE trans_id = 'S25' GROUP BY 1", TX)
+@query("SELECT card, sum(money)::BIGINT AS total FROM tx WHERE trans_id = 'S25' GROUP BY 1", TX)
 def table_emptied_filled_and_renamed(spark, d):
     path, moved, name = scratch.new_path(spark, "table"), scratch.new_path(spark, "table"), _name()
     _in_rows(spark, d, name, path)
     tables.truncate(spark, name)
     with _view(spark, d) as view:
-        tables.insert_overwrite(spark, name, f"SELECT card, sum(money) FROM {view} WHERE trans_id = 'S25' GROUP BY card")
+        tables.insert_overwrite(spark, name, f"SELECT card, sum(money)::BIGINT FROM {view} WHERE trans_id = 'S25' GROUP BY card")
     tables.rename_column(spark, name, "amount", "total", moved)
     return _read(spark, name, moved)
 
@@ -152,7 +152,7 @@ def _read_months(spark, name: str, path: str):
 def directory_overwritten(spark, d):
     path = scratch.new_path(spark, "directory")
     with _view(spark, d) as view:
-        tables.insert_overwrite_directory(spark, path, f"SELECT card, sum(money) AS amount FROM {view} WHERE trans_id = 'S33' GROUP BY card")
+        tables.insert_overwrite_directory(spark, path, f"SELECT card, sum(money)::BIGINT AS amount FROM {view} WHERE trans_id = 'S33' GROUP BY card")
     return spark.read.parquet(path)
 
 
@@ -173,7 +173,7 @@ def saved_in_default_format(spark, d):
 @query(_BY_CARD, TX)
 def clustered_by_amount(spark, d):
     with _view(spark, d) as view:
-        return spark.sql(f"SELECT * FROM (SELECT card, sum(money) AS amount FROM {view} WHERE trans_id = 'S33' GROUP BY card) CLUSTER BY amount")
+        return spark.sql(f"SELECT * FROM (SELECT card, sum(money)::BIGINT AS amount FROM {view} WHERE trans_id = 'S33' GROUP BY card) CLUSTER BY amount")
 
 
 @query("SELECT srccard, pdate, loc_trans_tm, money FROM tx WHERE trans_id = 'S33'", TX)
@@ -230,7 +230,7 @@ def minutes_since_first_event(spark, d):
     return e.join(first, "user_id").select("event_id", X.two_places(X.minutes_between(F.col("ts"), F.col("first"))).alias("minutes"))
 
 
-@query("SELECT trans_id, count(*) AS n, sum(money) AS money FROM tx GROUP BY 1", TX)
+@query("SELECT trans_id, count(*) AS n, sum(money)::BIGINT AS money FROM tx GROUP BY 1", TX)
 def lines_in_one_file(spark, d):
     """A small result as one file of lines, read back from that file."""
     path = scratch.new_path(spark, "lines")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import importlib
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,29 +13,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def whole_sums(sql: str) -> str:
-    """Sums of whole numbers as BIGINT, which is what Spark gives; DuckDB would make them HUGEINT."""
-    out = []
-    for m in re.finditer(r"\bsum\(", sql):
-        depth, end = 1, m.end()
-        while depth:
-            depth += {"(": 1, ")": -1}.get(sql[end], 0)
-            end += 1
-        inner, rest = sql[m.end() : end - 1], sql[end:].lstrip()
-        if not re.search(r"charge|DOUBLE|rank|weight|size", inner) and not rest.startswith(("::", "OVER")):
-            out.append((end, "::BIGINT"))
-    for end, text in reversed(out):
-        sql = sql[:end] + text + sql[end:]
-    return sql
-
-
 def query(sql: str | None = None, ctes: str = ""):
     """Register a function (spark, sf_dir) -> DataFrame under its own name; ``ctes`` go before ``sql``."""
 
     def add(f):
         QUERIES[f.__name__] = scratch.tidy(f)
         if sql is not None:
-            ORACLE[f.__name__] = whole_sums(f"WITH RECURSIVE {ctes}\n{sql}" if ctes else sql)
+            ORACLE[f.__name__] = f"WITH RECURSIVE {ctes}\n{sql}" if ctes else sql
         return f
 
     return add

@@ -48,7 +48,7 @@ _THERE = "CAST(mchnt_cd AS BIGINT) * 1000000000 + {c}"
 _CARDS = ("srccard", "dstcard", "card")
 TX_AT_MERCHANTS = TX.replace("\ntx AS (", "\neverywhere AS (") + f",\ntx AS (SELECT * REPLACE ({', '.join(f'{_THERE.format(c=c)} AS {c}' for c in _CARDS)}) FROM everywhere)"
 #: Merged edges of the transfer graph, self-loops kept.
-_EDGES = ",\nedges AS (SELECT srccard AS src, dstcard AS dst, sum(money) AS money, count(*) AS cnt, sum(CASE WHEN trans_md <> '1' THEN 1 ELSE 0 END) AS foreign_cnt FROM tx WHERE trans_id IN ('S33', 'S25') GROUP BY 1, 2)"
+_EDGES = ",\nedges AS (SELECT srccard AS src, dstcard AS dst, sum(money)::BIGINT AS money, count(*) AS cnt, sum(CASE WHEN trans_md <> '1' THEN 1 ELSE 0 END)::BIGINT AS foreign_cnt FROM tx WHERE trans_id IN ('S33', 'S25') GROUP BY 1, 2)"
 EDGES, EDGES_AT_MERCHANTS = TX + _EDGES, TX_AT_MERCHANTS + _EDGES
 
 
