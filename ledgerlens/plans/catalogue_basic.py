@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import scalars as X
 from ledgerlens.operators import relational as R
 from ledgerlens.registry import query
-from ledgerlens.sources.io import date_dictionary, read_events
+from ledgerlens.sources.io import dates_of, read_events
 from ledgerlens.sources.transactions import EDGES, TX, table, transactions, transfer_edges
 
 
@@ -34,9 +34,21 @@ def four_events(spark, d):
     return out.groupBy("event").agg(F.count("*").alias("n"), F.sum("money").alias("money"))
 
 
-@query("SELECT strftime(DATE '1992-01-01' + CAST(i AS INTEGER), '%Y%m%d') AS pdate, CAST(i AS INTEGER) AS day_index FROM range(0, 366) t(i)")
+_DATES = "ends AS (SELECT {} AS a, max(pdate) AS b FROM tx), calendar AS (SELECT strftime(strptime(a, '%Y%m%d') + to_days(i::INTEGER), '%Y%m%d') AS pdate, i::INTEGER AS day_index FROM ends, range(0, 10000) t(i) WHERE i <= date_diff('day', strptime(a, '%Y%m%d'), strptime(b, '%Y%m%d')))"
+
+
+@query("SELECT pdate, day_index FROM calendar", f"{TX}, {_DATES.format("'19920101'")}")
 def date_dictionary_1992(spark, d):
-    return date_dictionary(spark, "19920101", "19921231")
+    """Every day from the first of 1992 to that of the last transaction."""
+    return dates_of(transactions(spark, d), first="19920101")
+
+
+@query("SELECT pdate, day_index, count(tid) AS cnt, coalesce(sum(money)::BIGINT, 0) AS money FROM calendar LEFT JOIN tx USING (pdate) GROUP BY 1, 2", f"{TX}, {_DATES.format('min(pdate)')}")
+def sums_of_every_day(spark, d):
+    """All days of the tables' calendar, those without a transaction with zeros."""
+    t = transactions(spark, d)
+    days = t.groupBy("pdate").agg(F.count("*").alias("cnt"), F.sum("money").alias("money"))
+    return dates_of(t).join(days, "pdate", "left").fillna(0, ["cnt", "money"])
 
 
 @query("SELECT tid, right(region_cd, 2) AS region_tail, left(acpt_bank, 2) AS bank_head, trim(mchnt_cd) AS mchnt, substr(pdate, 5, 4) AS month_day, CAST(money AS DOUBLE) / 100 AS yuan, reverse(pdate) AS reversed, concat(mchnt_cd, term_id) AS atm FROM tx", TX)

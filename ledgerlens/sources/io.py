@@ -51,6 +51,13 @@ def date_dictionary(spark: SparkSession, start: str, end: str) -> DataFrame:
     return spark.range(1).select(F.posexplode(days).alias("day_index", "d")).select(F.date_format("d", "yyyyMMdd").alias("pdate"), "day_index")
 
 
+def dates_of(df: DataFrame, column: str = "pdate", first: str | None = None) -> DataFrame:
+    """(pdate, day_index) for every day from ``first``, else the first date in ``column``, to the last there, both included; none where there is no date."""
+    ends = df.agg((F.min(column) if first is None else F.lit(first)).alias("first"), F.max(column).alias("last"))
+    days = F.sequence(F.to_date("first", "yyyyMMdd"), F.to_date("last", "yyyyMMdd"))
+    return ends.select(F.posexplode(days).alias("day_index", "d")).select(F.date_format("d", "yyyyMMdd").alias("pdate"), "day_index")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder in whatever store it lies."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

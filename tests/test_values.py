@@ -74,6 +74,9 @@ def test_sinks(spark, tmp_path):
 def test_dates(spark):
     r = io.date_dictionary(spark, "20160228", "20160302").collect()
     assert [(x.pdate, x.day_index) for x in r] == [("20160228", 0), ("20160229", 1), ("20160301", 2), ("20160302", 3)]
+    days = lambda *v: [(x.pdate, x.day_index) for x in io.dates_of(spark.createDataFrame([(x,) for x in v], "pdate string")).collect()]
+    assert days("20160301", "20160228", None, "20160301") == [("20160228", 0), ("20160229", 1), ("20160301", 2)]
+    assert days() == days(None) == []
 
 
 def test_gaps(spark):
