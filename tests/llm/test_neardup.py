@@ -68,6 +68,41 @@ def test_components(spark, limit):
     assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in got) == want
 
 
+@pytest.mark.parametrize("low", [20, 40])
+def test_dense_fingerprints_are_dealt_again(spark, low):
+    """Many fingerprints that agree in all high bits, or in all low ones: copies stay far below rows times rows over the limit, and no link is lost."""
+    rnd = random.Random(low)
+    base = rnd.getrandbits(64)
+    points = {base ^ rnd.getrandbits(low) for _ in range(300)} | {base ^ (rnd.getrandbits(low) << (64 - low)) for _ in range(300)}
+    points |= {p ^ sum(1 << b for b in rnd.sample(range(64), rnd.choice([1, 4, 5]))) for p in sorted(points)[:60]}
+    points = sorted(points)
+    table = spark.createDataFrame([(neardup._signed(p),) for p in points], "fp long")
+    limit = 8
+    shards = neardup._shards(table, 4, limit)
+    assert shards.groupBy("shard", "ci", "cj", "side").count().agg({"count": "max"}).first()[0] <= 4 * limit
+    assert set(x.fp for x in shards.select("fp").distinct().collect()) == {neardup._signed(p) for p in points}
+    links = [(r.src, r.dst) for r in neardup.fingerprint_links(table, limit=limit).collect()]
+    number = {neardup._signed(p): i for i, p in enumerate(points)}
+    got, want = list(range(len(points))), list(range(len(points)))
+
+    def root(up, x):
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    def join(up, x, y):
+        x, y = root(up, x), root(up, y)
+        up[max(x, y)] = min(x, y)
+
+    for a, b in links:
+        join(got, number[a], number[b])
+    for i, p in enumerate(points):
+        for j in range(i):
+            if (p ^ points[j]).bit_count() <= 4:
+                join(want, i, j)
+    assert [root(got, i) for i in range(len(points))] == [root(want, i) for i in range(len(points))]
+
+
 def test_empty_table(spark):
     assert neardup.near_duplicates(docs(spark, [])).count() == 0
     assert neardup.deduplicate(docs(spark, [])).count() == 0
