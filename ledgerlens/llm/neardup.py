@@ -3,8 +3,8 @@
 Fingerprints that differ in at most ``radius`` bits agree wholly in one of
 radius + 1 blocks of bits, so shards keyed by (block, value) lose no link. Each
 shard holds a tree whose child edges are Hamming distances; a search follows only
-edges within the radius. A shard over ``limit`` points is dealt out anew by blocks
-of the other bits, as often as that makes fewer copies than what follows: a shard that is still over the limit
+edges within the radius. A shard over ``limit`` points is dealt out anew by shares
+of the bits in which its points differ, as often as that makes fewer copies than what follows: a shard that is still over the limit
 is cut into chunk trees, each sent to the chunks that query it. So no task holds an unbounded group. Only a spanning
 star of each shard's links leaves a task, never all pairs of a group.
 
@@ -30,8 +30,8 @@ from ledgerlens.plans import scratch
 RADIUS = 4
 #: Points of a tree at most.
 SHARD_POINTS = 4096
-#: Bits that a shard's fingerprints must be able to differ in to be dealt anew.
-LEAST_WIDTH = 16
+#: Bits that a shard's fingerprints must differ in to be dealt anew.
+LEAST_VARIED = 16
 _SEED = 42
 
 
@@ -79,55 +79,50 @@ def _widths(bits: int, blocks: int) -> list[int]:
     return [bits // blocks + (i < bits % blocks) for i in range(blocks)]
 
 
-def _dealt(rows: DataFrame, radius: int) -> DataFrame:
-    """``rows(shard, rest, width, fp)`` dealt by each of radius + 1 blocks of ``rest``, the ``width`` bits in which a shard's fingerprints may differ yet."""
-    n, blocks = radius + 1, []
-    for s in range(n):
-        w = f"int(width div {n}) + int({s} < width % {n})"
-        at = f"int(width div {n} * {s} + least({s}, width % {n}))"
-        value = f"shiftrightunsigned(rest, {at}) & (shiftleft(1L, {w}) - 1L)"
-        rest = f"shiftleft(shiftrightunsigned(rest, {at} + {w}), {at}) | (rest & (shiftleft(1L, {at}) - 1L))"
-        blocks.append(F.struct(F.xxhash64("shard", F.lit(s), F.expr(value)).alias("shard"), F.expr(rest).alias("rest"), F.expr(f"width - ({w})").alias("width")))
-    return rows.select("fp", F.explode(F.array(*blocks)).alias("b")).select("b.*", "fp")
+def _masks(varied: Column, radius: int) -> Column:
+    """radius + 1 masks that share the bits of ``varied`` out among them."""
+    bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("shiftrightunsigned", varied, i).bitwiseAND(F.lit(1).cast("long")) == 1)
+    turn = lambda s: F.filter(bits, lambda _, at: at % (radius + 1) == s)
+    return F.array(*[F.aggregate(turn(s), F.lit(0).cast("long"), lambda mask, i: mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))) for s in range(radius + 1)])
 
 
 def _split(rows: DataFrame, radius: int, limit: int) -> DataFrame:
-    """(shard, fp) from ``rows(shard, rest, width, fp)``: shards that chunks would copy more often than a new deal are dealt by their other bits, again and again.
+    """(shard, fp) from rows like these: shards that chunks would copy more often than a new deal are dealt anew, again and again.
 
-    Fingerprints within ``radius`` bits agree in one of radius + 1 blocks of whatever bits are left, so each deal keeps them together.
-    Under LEAST_WIDTH bits a shard has few different fingerprints and stays as it is.
+    The bits in which a shard's fingerprints differ at all are shared out among radius + 1 masks; fingerprints within ``radius`` bits
+    agree under one of them. Where fewer than LEAST_VARIED bits differ there are few fingerprints, and the shard stays as it is.
     """
     done = None
     while True:
         rows = scratch.keep(rows, "dealt")
-        counts = rows.where(F.col("width") >= LEAST_WIDTH).groupBy("shard").agg(F.count("*").alias("rows"))
-        large = scratch.keep(counts.where(F.col("rows") > limit * (radius + 1)), "dense")
+        varied = F.bit_or("fp").bitwiseXOR(F.bit_and("fp"))
+        counts = rows.groupBy("shard").agg(F.count("*").alias("rows"), varied.alias("varied"))
+        dense = (F.col("rows") > limit * (radius + 1)) & (F.bit_count("varied") >= LEAST_VARIED)
+        large = scratch.keep(counts.where(dense).select("shard", "rows", _masks(F.col("varied"), radius).alias("masks")), "dense")
         if large.isEmpty():
-            rest = rows.select("shard", "fp")
-            return rest if done is None else done.unionByName(rest)
-        small = rows.join(large, "shard", "left_anti").select("shard", "fp")
+            return rows if done is None else done.unionByName(rows)
+        small = rows.join(large, "shard", "left_anti")
         done = small if done is None else done.unionByName(small)
-        rows = _dealt(join_counted(rows, large, ["shard"], "rows"), radius)
+        dealt = join_counted(rows, large, ["shard"], "rows").select("shard", "fp", F.posexplode("masks").alias("s", "mask"))
+        rows = dealt.select(F.xxhash64("shard", "s", F.col("fp").bitwiseAND(F.col("mask"))).alias("shard"), "fp")
 
 
 def _shards(points: DataFrame, radius: int, limit: int) -> DataFrame:
     """(shard, ci, cj, side, fp) of distinct fingerprints: side 1 builds the tree, 2 queries it, 3 does both."""
-    fp, cols, lo = F.col("fp"), [], 0
+    blocks, lo = [], 0
     for k, w in enumerate(_widths(64, radius + 1)):
-        value = F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << w) - 1))
-        high = F.shiftleft(F.shiftrightunsigned(fp, lo + w), lo) if lo + w < 64 else F.lit(0).cast("long")
-        rest = high.bitwiseOR(fp.bitwiseAND(F.lit((1 << lo) - 1)))
-        cols.append(F.struct(F.shiftleft(F.lit(k).cast("long"), 20).bitwiseOR(value).alias("shard"), rest.alias("rest"), F.lit(64 - w).alias("width")))
+        value = F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << w) - 1))
+        blocks.append(F.shiftleft(F.lit(k).cast("long"), 20).bitwiseOR(value))
         lo += w
-    tops = points.select("fp", F.explode(F.array(*cols)).alias("b")).select("b.*", "fp")
+    tops = points.select(F.explode(F.array(*blocks)).alias("shard"), "fp")
     # the counts have at most one row for each block value, a bound that doesn't grow with the corpus
-    hot = scratch.keep(points.select(F.explode(F.array(*[c.getField("shard") for c in cols])).alias("shard")).groupBy("shard").count().where(F.col("count") > limit).select("shard"), "hot")
+    hot = scratch.keep(tops.groupBy("shard").count().where(F.col("count") > limit).select("shard"), "hot")
     whole = {"ci": F.lit(0), "cj": F.lit(0), "side": F.lit(3)}
     if hot.isEmpty():
         return tops.select("shard", *[v.alias(k) for k, v in whole.items()], "fp")
     marked = tops.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "shard", "left")
     cold = marked.where("hot is null").select("shard", "fp")
-    again = _split(_dealt(marked.where("hot"), radius), radius, limit)
+    again = _split(marked.where("hot").select("shard", "fp"), radius, limit)
     return cold.withColumns(whole).unionByName(_chunked(again, limit, "fp"))
 
 
