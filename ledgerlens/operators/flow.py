@@ -19,10 +19,11 @@ def in_out(edges: DataFrame, money: str = "money", cnt: str = "cnt", *more: str)
     return g.select("*", net.alias("net"), F.round(F.try_divide(net.cast("double"), F.col("amt_in") + F.col("amt_out")), 6).alias("net_ratio"))
 
 
-def transit(amt_in: Column, amt_out: Column, within: float = 500, share: float = 0.01) -> Column:
-    """1 where what comes in nearly all goes out; 0 where one side is missing."""
+def transit(amt_in: Column, amt_out: Column, within: float = 500, share: float = 0.01, ratio: Column | None = None) -> Column:
+    """1 where what comes in nearly all goes out; 0 where one side is missing. ``ratio``: the net's share as the caller has it, rounded perhaps."""
     gap = F.abs(amt_in - amt_out)
-    near = (gap < within) | (F.coalesce(F.try_divide(gap.cast("double"), amt_in + amt_out), F.lit(9999.0)) < share)
+    ratio = F.try_divide(gap.cast("double"), amt_in + amt_out) if ratio is None else ratio
+    near = (gap < within) | (F.coalesce(ratio, F.lit(9999.0)) < share)
     return F.when(near & (amt_in > 0) & (amt_out > 0), 1).otherwise(0)
 
 

@@ -157,7 +157,7 @@ def money_in_out(spark, d):
 @query("SELECT vid, CASE WHEN amt_in > 0 AND amt_out > 0 AND (net < 50000 OR net_ratio < 0.01) THEN 1 ELSE 0 END AS transit FROM flows", f"{EDGES}, {_FLOW}")
 def transit_vertices(spark, d):
     f = flow.in_out(transfer_edges(spark, d))
-    return f.select("vid", flow.transit(F.col("amt_in"), F.col("amt_out"), 50000).alias("transit"))
+    return f.select("vid", flow.transit(F.col("amt_in"), F.col("amt_out"), 50000, ratio=F.col("net_ratio")).alias("transit"))
 
 
 @query("SELECT vid, CASE WHEN net <= 500000 THEN 1 ELSE 0 END AS balanced FROM flows", f"{EDGES}, {_FLOW}")

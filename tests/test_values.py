@@ -150,3 +150,24 @@ def test_queries_leave_only_what_their_result_reads(spark):
         assert left <= scratch.roots_of(out), name
         assert len(left) <= 6 and out.count() > 0, name
     assert not spark.sql("SHOW TABLES LIKE 'ledgerlens*'").where("isTemporary = false").collect()
+
+
+def test_transit_goes_by_the_rounded_ratio(spark, tmp_path):
+    """A net of 0.0099996 of all is 0.01 as the ratio is kept, so not below it."""
+    import duckdb
+
+    from ledgerlens import registry
+
+    registry.load()
+    c = duckdb.connect()
+    at = "TIMESTAMP '1995-01-01'"
+    for name, rows in {
+        "customer": "SELECT * FROM (VALUES (0::BIGINT, 0), (1, 0)) t(c_custkey, c_nationkey)",
+        "orders": "SELECT * FROM (VALUES (5::BIGINT, 0::BIGINT), (11, 1)) t(o_orderkey, o_custkey)",
+        "lineitem": f"SELECT *, 0.0::DOUBLE AS l_tax, 'A' AS l_returnflag, {at} AS l_shipdate FROM (VALUES (5::BIGINT, 1, 1::BIGINT, 0::BIGINT, 50499.98::DOUBLE), (11, 1, 0, 0, 49500.02)) t(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)",
+    }.items():
+        c.sql(f"COPY ({rows}) TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+        c.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    want = sorted(c.sql(registry.ORACLE["transit_vertices"]).fetchall())
+    assert want == [(0, 0), (1, 0)]
+    assert sorted(map(tuple, registry.QUERIES["transit_vertices"](spark, str(tmp_path)).collect())) == want
