@@ -198,7 +198,7 @@ def page_rank(edges: DataFrame, rounds: int | None = None, tol: float = 0.001, r
     ranks are a little low, and later rounds touch fewer and fewer vertices. Raises if ``max_rounds`` is given and not enough.
     """
     edges = scratch.keep(edges.select("src", "dst"), "rank")
-    v = scratch.keep(vertices(edges), "rank")
+    v = scratch.keep_bucketed(vertices(edges), "rank", "vid")
     grid = Grid(_shares(edges))
     scratch.drop(edges)
     with grid.planned():
@@ -206,11 +206,11 @@ def page_rank(edges: DataFrame, rounds: int | None = None, tol: float = 0.001, r
             rank = v.withColumn("rank", F.lit(1.0))
             for _ in range(rounds):
                 got = grid.messages(rank, F.col("src_rank") * F.col("share"))
-                kept = scratch.keep(v.join(got, "vid", "left").select("vid", (reset + (1 - reset) * F.coalesce("msg", F.lit(0.0))).alias("rank")), "rank")
+                kept = grid.keep_states(v.join(got, "vid", "left").select("vid", (reset + (1 - reset) * F.coalesce("msg", F.lit(0.0))).alias("rank")), "rank")
                 scratch.drop(rank)
                 rank = kept
         else:
-            rank = scratch.keep(v.select("vid", F.lit(reset).alias("rank"), F.lit(reset).alias("rise")), "rank")
+            rank = grid.keep_states(v.select("vid", F.lit(reset).alias("rank"), F.lit(reset).alias("rise")), "rank")
             for i in _rounds(max_rounds):
                 active = rank.where(F.col("rise") > tol)
                 log.info("ranks, round %d: %d vertices pass on", i + 1, n := active.count())
@@ -218,7 +218,7 @@ def page_rank(edges: DataFrame, rounds: int | None = None, tol: float = 0.001, r
                     break
                 got = grid.messages(active.select("vid", "rise"), F.col("src_rise") * F.col("share"))
                 rise = (1 - reset) * F.col("msg")
-                kept = scratch.keep(rank.select("vid", "rank").join(got, "vid", "left").select("vid", (F.col("rank") + F.coalesce(rise, F.lit(0.0))).alias("rank"), rise.alias("rise")), "rank")
+                kept = grid.keep_states(rank.select("vid", "rank").join(got, "vid", "left").select("vid", (F.col("rank") + F.coalesce(rise, F.lit(0.0))).alias("rank"), rise.alias("rise")), "rank")
                 scratch.drop(rank)
                 rank = kept
     grid.drop()
@@ -242,16 +242,12 @@ def expand(edges: DataFrame, seeds: DataFrame, max_hops: int = 5) -> DataFrame:
 
 
 def _active_edges(grid: Grid, now: DataFrame, direction: str) -> DataFrame:
-    """Edges that send, with src_state and dst_state: those of inactive vertices are left out by the first join."""
-    every, active = now.select("vid", "state"), now.where("active").select("vid", "state")
-    if direction == "either":
-        rest = now.where("not active").select("vid", "state")
-        return _active_edges(grid, now, "out").unionByName(grid.joined(grid.joined(grid.edges, active, "dst"), rest, "src"))
-    ends = {"out": (("src", active), ("dst", every)), "in": (("dst", active), ("src", every)), "both": (("src", active), ("dst", active))}[direction]
+    """Edges that send, with src_state and dst_state: those of inactive vertices are left out by the first join, or where either end may be active after both."""
+    sends = {"out": ("src",), "in": ("dst",), "either": (), "both": ("src", "dst")}[direction]
     e = grid.edges
-    for end, state in ends:
-        e = grid.joined(e, state, end)
-    return e
+    for end in sorted(("src", "dst"), key=lambda end: end not in sends):
+        e = grid.joined(e, now.where("active").select("vid", "state") if end in sends else now, end)
+    return e.where("src_active or dst_active") if direction == "either" else e
 
 
 def pregel(vertex: DataFrame, edges: DataFrame, state: str, to_dst: Column | None, to_src: Column | None, merge: Callable[[Column], Column], update: Callable[[Column, Column], Column], max_rounds: int | None = None, patience: int | None = None, active_direction: str = "either") -> DataFrame:
@@ -263,14 +259,14 @@ def pregel(vertex: DataFrame, edges: DataFrame, state: str, to_dst: Column | Non
     `Grid`, states come to them. Raises if ``max_rounds`` is given and not enough; with ``patience`` it ends, as it then stands,
     once as many vertices changed in that many rounds running (the older rule, 3 or 5, which can end too soon).
     """
-    now = scratch.keep(vertex.select("vid", F.col(state).alias("state"), F.lit(True).alias("active")), "pregel")
     last, same = None, 0
     grid = Grid(edges)
+    now = scratch.keep_bucketed(vertex.select("vid", F.col(state).alias("state"), F.lit(True).alias("active")), "pregel", "vid")
     with grid.planned():
         for i in _rounds(max_rounds):
             msg = aggregate_messages(_active_edges(grid, now, active_direction), to_dst, to_src, merge)
             new = now.join(msg, "vid", "left").select("vid", "state", F.when(F.col("msg").isNull(), F.col("state")).otherwise(update(F.col("state"), F.col("msg"))).alias("to"))
-            kept = scratch.keep(new.select("vid", F.col("to").alias("state"), (~F.col("to").eqNullSafe(F.col("state"))).alias("active")), "pregel")
+            kept = grid.keep_states(new.select("vid", F.col("to").alias("state"), (~F.col("to").eqNullSafe(F.col("state"))).alias("active")), "pregel")
             scratch.drop(now)
             now = kept
             active = now.where("active").count()

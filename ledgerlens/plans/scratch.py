@@ -115,17 +115,21 @@ def keep(df: DataFrame, name: str = "cut") -> DataFrame:
     return out
 
 
-def keep_bucketed(df: DataFrame, name: str, *columns: str, buckets: int | None = None) -> DataFrame:
+def keep_bucketed(df: DataFrame, name: str, *columns: str, buckets: int | None = None, dealt: bool = False) -> DataFrame:
     """Like ``keep``, dealt into bucket files by ``columns``: a join on them reads the files as they lie, without a shuffle of this side.
 
-    As many buckets as there are shuffle partitions unless given. Each is written by one task.
+    As many buckets as there are shuffle partitions unless given. Each is written by one task. ``dealt``: the rows lie by these
+    columns already, as after a join or grouping on them, and are written as they lie. The catalog has the table only while it is made.
     """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path, table = new_path(spark, name), f"ledgerlens_scratch_{uuid.uuid4().hex}"
-    df.repartition(n, *columns).write.format("parquet").bucketBy(n, *columns).option("path", path).saveAsTable(table)
-    out = spark.table(table)
-    out._scratch_path, out._scratch_table = path, table
+    try:
+        (df if dealt else df.repartition(n, *columns)).write.format("parquet").bucketBy(n, *columns).option("path", path).saveAsTable(table)
+        out = spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # the files stay, and the frame knows them
+    out._scratch_path = path
     if _scopes:
         _scopes[-1].kept.append(out)
     return out
@@ -148,6 +152,4 @@ def drop(df: DataFrame | None) -> None:
     """Remove the files behind a frame returned by ``keep``; its users must have been written by then."""
     if (path := getattr(df, "_scratch_path", None)) is None:
         return
-    if (table := getattr(df, "_scratch_table", None)) is not None:
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
     io.remove(df.sparkSession, path)

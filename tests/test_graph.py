@@ -270,3 +270,19 @@ def test_pregel_directions_and_patience(spark, direction):
     for patience in (None, 2):
         got = graph.pregel(v, edges(spark, pairs), "x", F.col("src_state"), None, F.min, lambda s, m: F.least(s, m), patience=patience, active_direction=direction)
         assert as_dict(got, "vid", "x") == plain(patience)
+
+
+def test_states_go_only_where_their_edges_lie(spark):
+    """A state has no more copies than its vertex has edges, and none is broadcast on the word of a small file; a loop that raises leaves no table."""
+    e = edges(spark, [(i, 10_000 + i) for i in range(500)])
+    with scratch.scope():
+        g = Grid(e)
+        state = scratch.keep(graph.vertices(e).withColumn("state", F.lit(1)), "state")
+        with g.planned():
+            assert g.copies(state, "src", "").count() == 500
+            got = g.messages(state, F.col("src_state"))
+            assert "Broadcast" not in got._jdf.queryExecution().sparkPlan().toString()
+            assert got.count() == 500
+        with pytest.raises(RuntimeError):
+            graph.page_rank(edges(spark, CYCLES), tol=1e-9, max_rounds=1)
+        assert not spark.sql("SHOW TABLES LIKE 'ledgerlens*'").where("isTemporary = false").collect()
