@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.grid import Grid
+from ledgerlens.operators.grid import PLANNED, Grid
 from ledgerlens.operators.relational import join_counted
 
 from ledgerlens.operators.components import connected_components
@@ -21,8 +21,10 @@ from ledgerlens.plans import scratch
 
 log = logging.getLogger(__name__)
 
-#: After so many rounds of core numbers, and whenever these have doubled, whole chains of vertices that hang on each other drop together.
+#: After so many rounds of core numbers, and whenever these have doubled, whole chains of vertices that hang on each other drop together,
 CHAIN_ROUNDS = 16
+#: if in half as many rounds running fewer than one vertex in so many fell: else looking for chains costs more than the rounds that it saves.
+CHAIN_SHARE = 256
 #: Hash orders in which strong components look for pivots at once.
 PIVOT_ORDERS = 2
 
@@ -102,23 +104,25 @@ def _near_edges(edges: DataFrame) -> DataFrame:
     return scratch.keep_bucketed(edges.select(ways.alias("e")).select("e.*").groupBy("vid", "other").agg(F.count("*").alias("w")), "near", "vid")
 
 
-def _h_index(values: DataFrame) -> DataFrame:
-    """(vid, h) of ``values(vid, value, w)``: the largest h such that rows of value h or more weigh h or more.
+def _h_index(bars: str) -> Column:
+    """The largest h such that the values of h or more in the map ``bars`` (value: weight) weigh h or more.
 
-    From a histogram for each vertex: its window runs over distinct values, of which a vertex has fewer than the square root of four times the edges.
+    A vertex has fewer distinct values than the square root of four times the edges.
     """
-    bars = values.groupBy("vid", "value").agg(F.sum("w").alias("w"))
-    above = Window.partitionBy("vid").orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return bars.select("vid", F.least("value", F.sum("w").over(above)).alias("h")).groupBy("vid").agg(F.max("h").alias("h"))
+    return F.expr(f"aggregate(sort_array(map_entries({bars}), false), named_struct('seen', 0L, 'h', 0L), (a, x) -> named_struct('seen', a.seen + x.value, 'h', greatest(a.h, least(x.key, a.seen + x.value))), a -> a.h)")
 
 
-def _chains(near: DataFrame, now: DataFrame) -> DataFrame | None:
+def _bars(values: DataFrame, name: str) -> DataFrame:
+    """(vid, <name>) of ``values(vid, value, w)``: a map of each value to the sum of its weights, zeros left out. A hub's rows are summed where they lie first."""
+    sums = values.groupBy("vid", "value").agg(F.sum("w").alias("w")).where("w <> 0")
+    return sums.groupBy("vid").agg(F.map_from_entries(F.collect_list(F.struct("value", "w"))).alias(name))
+
+
+def _chains(near: DataFrame, known: DataFrame) -> DataFrame | None:
     """(vid) of vertices that must drop below their number as a chain: each has just as many neighbours of its number or more as the
     number says, or too few, and one of those that it is linked to through such of the same number has too few. None if there are none."""
-    own, far = now.select("vid", F.col("core").alias("own")), now.select(F.col("vid").alias("other"), F.col("core").alias("far"))
-    both = near.join(own, "vid").join(far, "other")
-    held = both.groupBy("vid", "own").agg(F.coalesce(F.sum(F.when(F.col("far") >= F.col("own"), F.col("w"))), F.lit(0)).alias("held"))
-    tight = scratch.keep(held.where("held <= own").select("vid", "own", (F.col("held") < F.col("own")).alias("weak")), "tight")
+    held = F.expr("aggregate(map_entries(bars), 0L, (a, x) -> a + if(x.key >= core, x.value, 0L))")
+    tight = scratch.keep(known.select("vid", F.col("core").alias("own"), held.alias("held")).where("held <= own").select("vid", "own", (F.col("held") < F.col("own")).alias("weak")), "tight")
     if tight.where("weak").isEmpty():
         return None
     a, b = tight.withColumnsRenamed({"own": "a", "weak": "weak_a"}), tight.withColumnsRenamed({"vid": "other", "own": "b", "weak": "weak_b"})
@@ -132,35 +136,46 @@ def core_numbers(edges: DataFrame, most: int | None = None, max_rounds: int | No
     """(vid, core): core numbers, those over ``most`` as ``most``. Parallel edges count each, self-loops twice. Raises if ``max_rounds`` is given and not enough.
 
     A vertex's number starts as its degree and falls to the largest h such that h of its edges lead to numbers of h or
-    more. Each round only neighbours of vertices that fell, and that they may have held up, are looked at again; one table is written.
+    more. Each vertex keeps how many of its edges lead to each number. In a round those that fell say so along their edges, which is all that is
+    shuffled, and who is told takes the h of what it then knows. Edges and states lie in bucket files by vertex; one table is written a round.
     """
     near = _near_edges(edges)
-    degree = near.groupBy("vid").agg(F.sum("w").alias("core"))
-    now = scratch.keep(degree.select("vid", (F.col("core") if most is None else F.least("core", F.lit(most))).alias("core"), F.lit(True).alias("fell")), "cores")
-    chain = CHAIN_ROUNDS
-    for i in _rounds(max_rounds):
-        own, far = now.select("vid", F.col("core").alias("own")), now.select(F.col("vid").alias("other"), F.col("core").alias("far"))
-        if i:
-            fell = now.where("fell").select("vid", F.col("core").alias("to"))
-            asked = near.join(fell, "vid").select(F.col("other").alias("vid"), "to").groupBy("vid").agg(F.min("to").alias("to"))
-            ask = asked.join(own, "vid").where("own > to").select("vid", "own")
-        else:
-            ask = own
-        values = near.join(ask, "vid").join(far, "other").select("vid", F.least("own", "far").alias("value"), "w")
-        new = now.select("vid", "core").join(_h_index(values), "vid", "left")
-        drop = None
-        if i == chain:
-            drop, chain = _chains(near, now), 2 * chain
-        if drop is not None:
-            new = new.join(drop.withColumn("chained", F.lit(1)), "vid", "left")
-            new = new.withColumn("h", F.least(F.coalesce("h", "core"), F.col("core") - F.coalesce("chained", F.lit(0))))
-        new = new.select("vid", F.least("core", F.coalesce("h", "core")).alias("to"), "core").select("vid", F.col("to").alias("core"), (F.col("to") < F.col("core")).alias("fell"))
-        kept = scratch.keep(new, "cores")
-        scratch.drop(now)
-        now = kept
-        if now.where("fell").isEmpty():
-            break
-        log.info("core numbers, round %d", i + 1)
+    buckets = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    degree = scratch.keep(near.groupBy("vid").agg(F.sum("w").alias("core")), "cores")
+    if most is not None:
+        degree = degree.select("vid", F.least("core", F.lit(most)).alias("core"))
+    told = lambda numbers: near.join(numbers.hint("shuffle_hash"), "vid").select(F.col("other").alias("vid"), F.col("core").alias("value"), "w")
+    now = degree.join(_bars(told(degree), "bars"), "vid").select("vid", "core", F.col("core").alias("was"), "bars")
+    now = scratch.keep_bucketed(now, "cores", "vid", buckets=buckets)
+    scratch.drop(degree)
+    chain, total, n, slow = CHAIN_ROUNDS, now.count(), 0, 0
+    with scratch.settings(edges.sparkSession, PLANNED):
+        for i in _rounds(max_rounds):
+            if i and 2 * n > total:  # to tell all anew is less than what fell where it was and where it is
+                known = now.drop("bars").join(_bars(told(now.select("vid", "core")), "bars"), "vid").withColumn("told", F.lit(True))
+            elif i:
+                fell = now.where("core < was").select("vid", "was", "core").hint("shuffle_hash")
+                moves = F.explode(F.array(F.struct(F.col("was").alias("value"), (-F.col("w")).alias("w")), F.struct(F.col("core").alias("value"), F.col("w"))))
+                news = _bars(near.join(fell, "vid").select(F.col("other").alias("vid"), moves.alias("m")).select("vid", "m.*"), "news")
+                merged = F.expr("map_filter(map_zip_with(bars, news, (k, a, b) -> coalesce(a, 0L) + coalesce(b, 0L)), (k, n) -> n <> 0)")
+                known = now.join(news, "vid", "left").select("vid", "core", F.when(F.col("news").isNull(), F.col("bars")).otherwise(merged).alias("bars"), F.col("news").isNotNull().alias("told"))
+            else:
+                known = now.withColumn("told", F.lit(True))
+            h = F.when(F.col("told"), F.least("core", _h_index("bars"))).otherwise(F.col("core"))
+            new = known.select("vid", h.alias("to"), "core", "bars")
+            if i >= chain and 2 * slow >= chain:
+                drop, chain = _chains(near, known), 2 * i
+                if drop is not None:
+                    new = new.join(drop.withColumn("chained", F.lit(1)), "vid", "left")
+                    new = new.select("vid", F.least("to", F.col("core") - F.coalesce("chained", F.lit(0))).alias("to"), "core", "bars")
+            kept = scratch.keep_bucketed(new.select("vid", F.col("to").alias("core"), F.col("core").alias("was"), "bars"), "cores", "vid", buckets=buckets, dealt=True)
+            scratch.drop(now)
+            now = kept
+            n = now.where("core < was").count()
+            slow = slow + 1 if n * CHAIN_SHARE < total else 0
+            log.info("core numbers, round %d: %d vertices fell", i + 1, n)
+            if not n:
+                break
     scratch.drop(near)
     return now.select("vid", "core")
 

@@ -164,6 +164,19 @@ def test_random_cores(spark, chain, monkeypatch):
     assert {r.vid: r.core for r in graph.core_numbers(e, 3).collect()} == {v: min(c, 3) for v, c in want.items()}
 
 
+def test_no_search_for_chains_while_many_fall(spark, monkeypatch):
+    """Falls are told along the edges from round to round, parallel ones and a hub's included; chains are looked for only once few fall."""
+    rnd, searched = random.Random(5), []
+    chains = graph._chains
+    monkeypatch.setattr(graph, "_chains", lambda *a: searched.append(1) or chains(*a))
+    monkeypatch.setattr(graph, "CHAIN_ROUNDS", 2)
+    monkeypatch.setattr(graph, "CHAIN_SHARE", 1000)
+    pairs = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(260)] + [(0, v) for v in range(100, 200)] + [(v, v + 1) for v in range(100, 130)]
+    e = spark.createDataFrame(pairs, "src long, dst long")
+    assert {r.vid: r.core for r in graph.core_numbers(e).collect()} == plain_cores(pairs)
+    assert not searched
+
+
 def test_random_strong_components(spark):
     rnd = random.Random(6)
     pairs = [(100 * g + rnd.randrange(14), 100 * g + rnd.randrange(14)) for g in range(40) for _ in range(rnd.randrange(1, 30))]
