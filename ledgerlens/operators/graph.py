@@ -27,6 +27,12 @@ CHAIN_ROUNDS = 16
 CHAIN_SHARE = 256
 #: Hash orders in which strong components look for pivots at once.
 PIVOT_ORDERS = 2
+#: Strong components first look around one vertex where there are over so many edges a vertex: only there may most vertices be in one component.
+HUB_DEGREE = 2
+#: That search goes on while what is reached grows by one in so many a round, and for so many rounds more: a graph that is long as well as dense is left to the pivots.
+HUB_GROWTH, HUB_SLOW = 8, 8
+#: It is done again while it finds one in so many of the vertices.
+HUB_SHARE = 4
 
 
 def _rounds(most: int | None):
@@ -315,18 +321,66 @@ def least_ancestor(vertex: DataFrame, edges: DataFrame, max_rounds: int | None =
     return now.select(*by, "vid", "least")
 
 
+def _around_hub(inner: DataFrame, edges: DataFrame) -> DataFrame | None:
+    """(vid, forth, back): whether the vertex through which most pairs of edges go reaches each vertex, and is reached from it. None if what is reached grows too slowly.
+
+    Both ways go at once, and a vertex passes on once each way, when it is new: so all rounds together send at most two messages an edge. Edges and states lie in bucket files by vertex.
+    """
+    buckets = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ways = F.explode(F.array(F.struct(F.col("src").alias("vid"), F.col("dst").alias("other"), F.lit(True).alias("forth")), F.struct(F.col("dst").alias("vid"), F.col("src").alias("other"), F.lit(False).alias("forth"))))
+    near = scratch.keep_bucketed(edges.select(ways.alias("e")).select("e.*"), "near", "vid", buckets=buckets)
+    hub = near.groupBy("vid").agg((F.count_if("forth") * F.count_if(~F.col("forth"))).alias("n")).orderBy(F.desc("n"), "vid").first().vid
+    start = [(F.col("vid") == hub).alias(c) for c in ("forth", "back", "new_forth", "new_back")]
+    now = scratch.keep_bucketed(inner.select("vid", *start), "around", "vid", buckets=buckets)
+    slow = 0
+    with scratch.settings(edges.sparkSession, PLANNED):
+        for i in itertools.count():
+            n = now.agg(*[F.count_if(c).alias(c) for c in now.columns[1:]]).first()
+            log.info("around vertex %d, round %d: reaches %d, reached from %d", hub, i, n.forth, n.back)
+            if not n.new_forth and not n.new_back:
+                break
+            slow += HUB_GROWTH * n.new_forth < n.forth and HUB_GROWTH * n.new_back < n.back
+            if slow > HUB_SLOW:
+                scratch.drop(now)
+                now = None
+                break
+            new = now.where("new_forth or new_back").select("vid", "new_forth", "new_back").hint("shuffle_hash")
+            told = near.join(new, "vid").where("if(forth, new_forth, new_back)").groupBy(F.col("other").alias("vid")).agg(F.bool_or("forth").alias("told_forth"), F.bool_or(~F.col("forth")).alias("told_back"))
+            known = now.join(told, "vid", "left").select("vid", "forth", "back", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("told_forth", "told_back")])
+            kept = scratch.keep_bucketed(known.selectExpr("vid", "forth or told_forth as forth", "back or told_back as back", "told_forth and not forth as new_forth", "told_back and not back as new_back"), "around", "vid", buckets=buckets, dealt=True)
+            scratch.drop(now)
+            now = kept
+    scratch.drop(near)
+    return now
+
+
+def _pivots(inner: DataFrame, cut: DataFrame, orders: int) -> DataFrame:
+    """(vid, pivot, class): in ``orders`` hash orders the first vertex that reaches each and the first that it reaches; the pivot where both are one, and a name of all that was learnt."""
+    name = lambda k, c: F.xxhash64(F.lit(k), F.col(c))  # noqa: E731 - one to one for each k
+    kinds = range(2 * orders)
+    ways = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), name(k // 2, "dst" if k % 2 else "src").alias("a"), name(k // 2, "src" if k % 2 else "dst").alias("b")) for k in kinds]))
+    directed = cut.select(ways.alias("w")).select("w.kind", F.col("w.a").alias("src"), F.col("w.b").alias("dst"))
+    named = scratch.keep(inner.select("vid", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), name(k // 2, "vid").alias("h")) for k in kinds])).alias("w")).select("vid", "w.*"), "scc")
+    least = least_ancestor(named.select("kind", F.col("h").alias("vid")), directed, by=("kind",)).withColumnRenamed("vid", "h")
+    learnt = named.join(least, ["kind", "h"]).groupBy("vid").agg(*[F.max(F.when(F.col("kind") == k, F.col("least"))).alias(f"p{k}") for k in kinds])
+    pivot = F.coalesce(*[F.when(F.col(f"p{k}") == F.col(f"p{k + 1}"), F.struct(F.lit(k).alias("kind"), F.col(f"p{k}").alias("p"))) for k in kinds[::2]])
+    told = scratch.keep(learnt.select("vid", pivot.alias("pivot"), F.xxhash64(*[f"p{k}" for k in kinds]).alias("class")), "scc")
+    scratch.drop(named)
+    return told
+
+
 def strongly_connected(edges: DataFrame, max_rounds: int | None = None, orders: int = PIVOT_ORDERS) -> DataFrame:
     """(vid, scc): the smallest vertex id of each vertex's strongly connected component.
 
-    Each round vertices without edges in or out are taken out. Then, in ``orders`` hash orders at once, every vertex learns the first
+    Each round vertices without edges in or out are taken out. Where many edges are left a vertex, what one vertex reaches and is reached from
+    is looked for first, as most vertices may be in its component. Else, in ``orders`` hash orders at once, every vertex learns the first
     vertex that reaches it and the first that it reaches. Where both are one, that pivot's component is found; all others are told apart by
     what they learnt, as a component learns alike, and edges between such classes go. So one round finds many components and cuts the rest into
     many parts: a long path falls apart as in a quicksort. Raises if ``max_rounds`` is given and not enough.
     """
     e = scratch.keep(edges.select("src", "dst").where("src <> dst").distinct(), "scc")
     left, done = scratch.keep(vertices(edges), "scc"), []
-    name = lambda k, c: F.xxhash64(F.lit(k), F.col(c))  # noqa: E731 - one to one for each k
-    kinds = range(2 * orders)
+    hub = True
     for i in _rounds(max_rounds):
         inner = scratch.keep(e.select(F.col("src").alias("vid")).intersect(e.select("dst")), "scc")
         done.append(scratch.keep(left.join(inner, "vid", "left_anti").withColumn("scc", F.col("vid")), "scc"))
@@ -337,13 +391,14 @@ def strongly_connected(edges: DataFrame, max_rounds: int | None = None, orders:
             done.append(scratch.keep(inner.withColumn("scc", F.col("vid")), "scc"))
             scratch.drop(inner)
             break
-        ways = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), name(k // 2, "dst" if k % 2 else "src").alias("a"), name(k // 2, "src" if k % 2 else "dst").alias("b")) for k in kinds]))
-        directed = cut.select(ways.alias("w")).select("w.kind", F.col("w.a").alias("src"), F.col("w.b").alias("dst"))
-        named = scratch.keep(inner.select("vid", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), name(k // 2, "vid").alias("h")) for k in kinds])).alias("w")).select("vid", "w.*"), "scc")
-        least = least_ancestor(named.select("kind", F.col("h").alias("vid")), directed, by=("kind",)).withColumnRenamed("vid", "h")
-        learnt = named.join(least, ["kind", "h"]).groupBy("vid").agg(*[F.max(F.when(F.col("kind") == k, F.col("least"))).alias(f"p{k}") for k in kinds])
-        pivot = F.coalesce(*[F.when(F.col(f"p{k}") == F.col(f"p{k + 1}"), F.struct(F.lit(k).alias("kind"), F.col(f"p{k}").alias("p"))) for k in kinds[::2]])
-        told = scratch.keep(learnt.select("vid", pivot.alias("pivot"), F.xxhash64(*[f"p{k}" for k in kinds]).alias("class")), "scc")
+        n, around = inner.count(), None
+        if hub and cut.count() > HUB_DEGREE * n:
+            around = _around_hub(inner, cut)
+            hub = around is not None and HUB_SHARE * around.where("forth and back").count() >= n
+        if around is not None:
+            told = around.select("vid", F.when(F.col("forth") & F.col("back"), F.struct(F.lit(0).alias("kind"), F.lit(0).cast("long").alias("p"))).alias("pivot"), F.struct("forth", "back").alias("class"))
+        else:
+            told = _pivots(inner, cut, orders)
         found = told.where("pivot is not null").select("vid", "pivot.*")
         of = scratch.keep(found.groupBy("kind", "p").agg(F.min("vid").alias("scc"), F.count("*").alias("n")), "scc")
         done.append(scratch.keep(join_counted(found, of, ["kind", "p"], "n").select("vid", "scc"), "scc"))
@@ -351,7 +406,7 @@ def strongly_connected(edges: DataFrame, max_rounds: int | None = None, orders:
         a, b = rest.select(F.col("vid").alias("src"), F.col("class").alias("ca")), rest.select(F.col("vid").alias("dst"), F.col("class").alias("cb"))
         e = scratch.keep(cut.join(a, "src").join(b, "dst").where("ca = cb").select("src", "dst"), "scc")
         left = scratch.keep(rest.select("vid"), "scc")
-        for t in (inner, cut, named, told, of):
+        for t in (inner, cut, told if around is None else around, of):
             scratch.drop(t)
         if left.isEmpty():
             break

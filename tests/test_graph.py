@@ -188,6 +188,37 @@ def test_random_strong_components(spark):
     assert got == {v: min(w for w in reach[v] if v in reach[w]) for v in reach}
 
 
+def plain_strong(pairs):
+    out = {v: {b for a, b in pairs if a == v} for p in pairs for v in p}
+
+    def reach(v):
+        seen, new = {v}, [v]
+        while new:
+            new = [w for w in {w for u in new for w in out[u]} if w not in seen]
+            seen |= set(new)
+        return seen
+
+    reached = {v: reach(v) for v in out}
+    return {v: min(w for w in reached[v] if v in reached[w]) for v in out}
+
+
+def test_the_largest_strong_component_is_found_around_one_vertex(spark, monkeypatch):
+    """Pivots are looked for only outside it; where what a vertex reaches grows too slowly, they are looked for in all."""
+    rnd, asked = random.Random(8), []
+    ancestors = graph.least_ancestor
+    monkeypatch.setattr(graph, "least_ancestor", lambda v, *a, **k: asked.append(v.count()) or ancestors(v, *a, **k))
+    pairs = [(rnd.randrange(80), rnd.randrange(80)) for _ in range(500)] + [(7, 100), (100, 101), (101, 100), (200, 9), (201, 200), (200, 201), (300, 301), (301, 302), (302, 300), (400, 3), (5, 401)]
+    e = spark.createDataFrame(pairs, "src long, dst long")
+    want = plain_strong(pairs)
+    assert {r.vid: r.scc for r in graph.strongly_connected(e).collect()} == want
+    assert len(asked) == 1 and asked[0] <= 4 * 7, asked
+    asked.clear()
+    monkeypatch.setattr(graph, "HUB_GROWTH", 1)
+    monkeypatch.setattr(graph, "HUB_SLOW", 0)
+    assert {r.vid: r.scc for r in graph.strongly_connected(e).collect()} == want
+    assert asked and asked[0] > 4 * 80
+
+
 def exchanges_over(df, column):
     """How many exchanges stand above a scan that reads the column."""
     plan = df._jdf.queryExecution().executedPlan()
