@@ -72,7 +72,7 @@ def subgraph(edges: DataFrame, vertex: DataFrame) -> DataFrame:
 
 def without_lone_pairs(edges: DataFrame, complement: bool = False) -> DataFrame:
     """Without edges whose endpoints have two edge ends together: a pair that knows nobody else. ``complement`` gives those."""
-    edges = scratch.keep(edges, "pairs")
+    edges = edges if hasattr(edges, "_scratch_path") else scratch.keep(edges, "pairs")
     d = degrees(edges).select("vid", "degree")
     j = edges.join(d.withColumnsRenamed({"vid": "src", "degree": "__a"}), "src").join(d.withColumnsRenamed({"vid": "dst", "degree": "__b"}), "dst")
     pair = F.col("__a") + F.col("__b") <= 2

@@ -96,13 +96,15 @@ def _transfers(tx):
     return tx.where("trans_id in ('S33', 'S25') and srccard <> dstcard")
 
 
-def _merged(tx):
-    return scratch.keep(features.merge_transfers(_transfers(tx)), "merged")
+def _merged(tx, *columns):
+    """Transfers merged by pair, written once. Only the ``columns`` beside src and dst that a query needs, "*" for all: modes and sets take longer than the rest."""
+    merged = features.merge_transfers(_transfers(tx))
+    return scratch.keep(merged.select("src", "dst", *columns) if columns != ("*",) else merged, "merged")
 
 
 def _communities(tx):
     """Members of the communities and their features, from transfers merged once."""
-    merged = _merged(tx)
+    merged = _merged(tx, "*")
     members = features.community_vertices(merged, None)
     return members, features.community_features(merged, members, _transfers(tx))
 
@@ -136,7 +138,7 @@ def community_feature_vector(tx):
 
 @for_both("SELECT * FROM mem", f"{_COMM}, {_MEMBERS}")
 def community_members(tx):
-    return features.community_vertices(_merged(tx), None)
+    return features.community_vertices(_merged(tx, "money", "cnt"), None)
 
 
 @for_both("SELECT src, dst, money::BIGINT AS money, cnt, charge4, night::BIGINT AS night, other_city, " + ", ".join([*[f"mode_{c}" for c in features.MODES], *[f"n_{c}" for c in features.COUNTED]]) + f" FROM (SELECT srccard AS src, dstcard AS dst, {MERGE} FROM tx WHERE trans_id IN ('S33', 'S25') AND srccard <> dstcard GROUP BY 1, 2)")
@@ -153,7 +155,7 @@ def component_distinct_counts(tx):
 
 @for_both("SELECT m.src, m.dst, m.money::BIGINT AS money FROM m WHERE src IN (SELECT vid FROM mem JOIN comm USING (cc) WHERE max_core > 1 AND max_degree > 3) OR dst IN (SELECT vid FROM mem JOIN comm USING (cc) WHERE max_core > 1 AND max_degree > 3)", f"{_COMM}, {_MEMBERS}")
 def edges_of_chosen_communities(tx):
-    merged = _merged(tx)
+    merged = _merged(tx, "money", "cnt")
     m = features.community_vertices(merged, None)
     chosen = m.groupBy("cc").agg(F.max("core").alias("core"), F.max("degree").alias("degree")).where("core > 1 and degree > 3")
     return graph.touching_communities(merged, m, chosen).select("src", "dst", "money")
@@ -169,7 +171,7 @@ _SUMMARY = "chosen AS (SELECT cc FROM mem GROUP BY 1 HAVING count(*) BETWEEN 4 A
 
 def _stored(tx):
     """Merged edges stored by community, and what is known of each community."""
-    merged = _merged(tx)
+    merged = _merged(tx, "money", "cnt")
     m = features.community_vertices(merged, None)
     path = scratch.new_path(tx.sparkSession, "communities")
     communities.store(merged.select("src", "dst", "money"), m, path)
@@ -186,7 +188,7 @@ def stored_edges_of_chosen_communities(tx):
 @for_both("SELECT cc, src, dst, money::BIGINT AS money FROM k JOIN cc ON src = vid WHERE cc IN (SELECT cc FROM k JOIN cc ON src = vid GROUP BY 1 HAVING count(*) >= 6)", _COMM)
 def community_dump_read_back(tx):
     """The edges of every community of six edges or more, a folder for each, read back with the community from the folder's name."""
-    e = graph.without_lone_pairs(_merged(tx))
+    e = graph.without_lone_pairs(_merged(tx, "money"))
     cc = connected_components(e)
     path = scratch.new_path(tx.sparkSession, "dump")
     io.write_groups(e.select("src", "dst", "money").join(cc.select(F.col("vid").alias("src"), "cc"), "src"), path, "cc", 6)
@@ -196,7 +198,7 @@ def community_dump_read_back(tx):
 @for_both("SELECT src, dst, money::BIGINT AS money FROM k JOIN cc ON src = vid WHERE cc = (SELECT cc FROM cc GROUP BY 1 ORDER BY count(*) DESC, cc LIMIT 1)", _COMM)
 def edges_of_largest_community(tx):
     """The subgraph of one label: the community of most cards, of equal ones that of the smallest."""
-    e = graph.without_lone_pairs(_merged(tx))
+    e = graph.without_lone_pairs(_merged(tx, "money"))
     cc = scratch.keep(connected_components(e), "cc")
     largest = cc.groupBy("cc").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "cc").limit(1).select("cc")
     return graph.subgraph(e, R.restricted(cc, largest, "cc")).select("src", "dst", "money")
@@ -214,7 +216,7 @@ def command_line_scores(spark, d):
 
 @for_both("SELECT cc, cc_num, trans_num::BIGINT AS trans_num, money::BIGINT AS money, night::BIGINT AS night, other_city::BIGINT AS other_city FROM (SELECT cc, count(*) AS cc_num FROM cc GROUP BY 1) JOIN (SELECT cc, sum(cnt)::BIGINT AS trans_num, sum(money)::BIGINT AS money, sum(night)::BIGINT AS night, sum(other_city)::BIGINT AS other_city FROM k JOIN cc ON src = vid GROUP BY 1) USING (cc)", f"{_COMM}")
 def community_totals(tx):
-    e = graph.without_lone_pairs(_merged(tx))
+    e = graph.without_lone_pairs(_merged(tx, "cnt", "money", "night", "other_city"))
     cc = connected_components(e)
     inside = e.join(cc.select(F.col("vid").alias("src"), "cc"), "src").groupBy("cc").agg(F.sum("cnt").alias("trans_num"), F.sum("money").alias("money"), F.sum("night").alias("night"), F.sum("other_city").alias("other_city"))
     return cc.groupBy("cc").agg(F.count("*").alias("cc_num")).join(inside, "cc")
@@ -222,7 +224,7 @@ def community_totals(tx):
 
 @for_both("SELECT cc, vid, place FROM (SELECT *, row_number() OVER (PARTITION BY cc ORDER BY core DESC, degree DESC, in_degree DESC, out_degree DESC, transit DESC, vid) AS place FROM mem) WHERE place < 100", f"{_COMM}, {_MEMBERS}")
 def top_members_of_communities(tx):
-    m = features.community_vertices(_merged(tx), None)
+    m = features.community_vertices(_merged(tx, "money", "cnt"), None)
     return R.top_in_group(m, "cc", 99, F.desc("core"), F.desc("degree"), F.desc("in_degree"), F.desc("out_degree"), F.desc("transit"), F.asc("vid")).select("cc", "vid", "place")
 
 
@@ -263,7 +265,7 @@ _HCC = "h AS (SELECT * FROM het WHERE edge_type IN ('trans_at', 'quxian_at')), n
 
 def _regions(tx):
     m = connected_components(graph.without_lone_pairs(_merged(tx))).select(F.concat(F.lit("card:"), F.col("vid").cast("string")).alias("vid"), "cc")
-    return hetero.regions_of_communities(hetero.typed_edges(tx), m)
+    return hetero.regions_of_communities(hetero.typed_edges(tx, hetero.TO_REGIONS), m)
 
 
 @for_both("SELECT cc, count(DISTINCT dst) AS regions FROM h JOIN names ON src = vid GROUP BY 1", f"{_COMM}, {_HET}, {_HCC}")

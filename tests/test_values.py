@@ -152,6 +152,27 @@ def test_queries_leave_only_what_their_result_reads(spark):
     assert not spark.sql("SHOW TABLES LIKE 'ledgerlens*'").where("isTemporary = false").collect()
 
 
+def test_communities_merge_only_what_they_need(spark, monkeypatch):
+    """Pairs are merged without modes and sets, and written once, where a query asks for components or money only; typed edges are made of the asked types only."""
+    from ledgerlens import registry
+    from ledgerlens.operators import hetero
+    from ledgerlens.plans import scratch
+    from ledgerlens.sources.transactions import transactions
+
+    registry.load()
+    kept, keep = [], scratch.keep
+    monkeypatch.setattr(scratch, "keep", lambda df, name="cut": kept.append((name, df.columns)) or keep(df, name))
+    for name, columns in {"regions_per_community": [], "component_distinct_counts": [], "community_dump_read_back": ["money"], "edges_of_largest_community": ["money"], "community_members": ["money", "cnt"]}.items():
+        kept.clear()
+        assert registry.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+        assert [c for n, c in kept if n in ("merged", "pairs")][0] == ["src", "dst", *columns], name
+        assert name == "community_members" or not [n for n, _ in kept if n == "pairs"], name
+    tx = transactions(spark, "/root/testdata/sf0.001")
+    some, every = hetero.typed_edges(tx, hetero.TO_REGIONS), hetero.typed_edges(tx)
+    want = every.where(F.col("edge_type").isin("trans_at", "quxian_at"))
+    assert some.exceptAll(want).isEmpty() and want.exceptAll(some).isEmpty() and some.count() > 0
+
+
 def test_transit_goes_by_the_rounded_ratio(spark, tmp_path):
     """A net of 0.0099996 of all is 0.01 as the ratio is kept, so not below it."""
     import duckdb
