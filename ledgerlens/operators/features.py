@@ -18,23 +18,39 @@ HIGH_RISK = ("1003", "1007", "1019")
 
 def card_features(tx: DataFrame, high_risk: tuple[str, ...] = HIGH_RISK, compat: bool = False) -> DataFrame:
     """One row per card. Sums, counts and extremes are one aggregation; distinct counts another, over the cards' distinct
-    values alone, so that no sum is carried once for each of them. Both are dealt by card.
+    values alone, so that no sum is carried once for each of them.
+
+    What both read of ``tx``, flags in a byte each, is written once, a card's rows together unless they are very many: so ``tx`` is
+    made once, and nearly all is summed where it lies.
 
     With ``compat`` *_max columns hold the mean and distinct_cards_out counts senders' partners on transfers in,
     as the older service computed them.
     """
-    money, tm = F.col("money"), F.col("loc_trans_tm")
+    flags = {
+        "night_cnt": X.is_night(F.col("loc_trans_tm")),
+        "tot_cardholder_fails": X.in_list(F.col("resp_cd4"), S.HOLDER_FAILURES),
+        "tot_abnorm_rate": X.differs(F.col("trans_curr_cd"), S.DOMESTIC),
+        "tot_foreign": X.differs(F.col("trans_md"), S.SAME_CITY),
+    }
+    partners = {
+        "distinct_cards_in": F.when(F.col("trans_id") == S.TRANSFER_IN, F.col("srccard")),
+        "distinct_cards_out": F.when(F.col("trans_id") == (S.TRANSFER_IN if compat else S.TRANSFER_OUT), F.col("dstcard")),
+    }
+    rows = tx.select("card", "money", "region_cd", "term_id", "trans_id", *[c.cast("byte").alias(k) for k, c in flags.items()], *[c.alias(k) for k, c in partners.items()])
+    tx = scratch.keep(rows.hint("rebalance", F.col("card")), "by_card")
+    money = F.col("money")
     yuan = X.rmb(money)
+    flag = lambda k: F.sum(F.col(k).cast("double"))
     aggs: dict[str, Column] = {
-        "night_cnt": F.sum(X.is_night(tm)),
+        "night_cnt": flag("night_cnt"),
         "tot_big500": F.sum(X.multiple_of(yuan, 500)),
         "tot_big1000": F.sum(X.multiple_of(yuan, 1000)),
         "tot_large_integer": F.sum(X.is_large_integer(yuan)),
         "tot_hrloc_trans": F.sum(X.in_list(F.col("region_cd"), high_risk)),
-        "tot_cardholder_fails": F.sum(X.in_list(F.col("resp_cd4"), S.HOLDER_FAILURES)),
-        "tot_abnorm_rate": F.sum(X.differs(F.col("trans_curr_cd"), S.DOMESTIC)),
+        "tot_cardholder_fails": flag("tot_cardholder_fails"),
+        "tot_abnorm_rate": flag("tot_abnorm_rate"),
         "tot_count_89": F.sum(X.count_89(money)),
-        "tot_foreign": F.sum(X.differs(F.col("trans_md"), S.SAME_CITY)),
+        "tot_foreign": flag("tot_foreign"),
         "tot_counts": F.count("*"),
         "tot_amounts": F.sum(yuan),
     }
@@ -45,8 +61,7 @@ def card_features(tx: DataFrame, high_risk: tuple[str, ...] = HIGH_RISK, compat:
         "tot_regions": F.col("region_cd"),
         "tot_term_ids": F.col("term_id"),
         "tot_provs": F.left("region_cd", F.lit(2)),
-        "distinct_cards_in": F.when(F.col("trans_id") == S.TRANSFER_IN, F.col("srccard")),
-        "distinct_cards_out": F.when(F.col("trans_id") == (S.TRANSFER_IN if compat else S.TRANSFER_OUT), F.col("dstcard")),
+        **{k: F.col(k) for k in partners},
     }
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("kind"), c.cast("string").alias("value")) for i, c in enumerate(sets.values())]))
     own = tx.select("card", pairs.alias("p")).select("card", "p.kind", "p.value").where("value is not null").distinct()

@@ -43,7 +43,7 @@ _CARDS = "cards AS MATERIALIZED (SELECT card, " + ", ".join(f"{e} AS {k}" for k,
 
 @query("SELECT * FROM cards", f"{TX}, {_CARDS}")
 def card_feature_vector(spark, d):
-    return features.card_features(transactions(spark, d))
+    return features.card_features(transactions(spark, d, holders_first=True))
 
 
 _OLD = {k: e for k, e in _FLAGS.items()}
@@ -52,7 +52,7 @@ _OLD |= {f"{n}_max": f"round(avg(CASE WHEN trans_id = '{c}' THEN {_Y} END), 4)"
 
 @query("SELECT card, " + ", ".join(f"{e} AS {k}" for k, e in _OLD.items()) + " FROM tx GROUP BY card", TX)
 def card_feature_vector_compat(spark, d):
-    return features.card_features(transactions(spark, d), compat=True)
+    return features.card_features(transactions(spark, d, holders_first=True), compat=True)
 
 
 _WEIGHTS: dict[str, float] = {}
@@ -65,13 +65,13 @@ _SCORE = "SELECT card, " + " + ".join(f"{w}::DOUBLE * dense_rank() OVER (ORDER B
 
 @query(_SCORE, f"{TX}, {_CARDS}")
 def card_rank_sum_score(spark, d):
-    return features.rank_sum_score(features.card_features(transactions(spark, d)))
+    return features.rank_sum_score(features.card_features(transactions(spark, d, holders_first=True)))
 
 
 @query(f"SELECT c_name AS oricard, card, score FROM (SELECT c_custkey AS card, c_name FROM customer WHERE {LISTED}) LEFT JOIN ({_SCORE}) USING (card)", f"{TX}, {_CARDS}")
 def scores_of_listed_cards(spark, d):
     listed = table(spark, d, "customer").where(LISTED).select(F.col("c_custkey").alias("card"), F.col("c_name").alias("oricard"))
-    return features.attach_originals(features.rank_sum_score(features.card_features(transactions(spark, d))), listed).select("oricard", "card", "score")
+    return features.attach_originals(features.rank_sum_score(features.card_features(transactions(spark, d, holders_first=True))), listed).select("oricard", "card", "score")
 
 
 def for_both(sql: str, ctes: str = ""):

@@ -52,11 +52,16 @@ _EDGES = ",\nedges AS (SELECT srccard AS src, dstcard AS dst, sum(money)::BIGINT
 EDGES, EDGES_AT_MERCHANTS = TX + _EDGES, TX_AT_MERCHANTS + _EDGES
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per transaction; the columns that a query doesn't use are never read."""
+def transactions(spark: SparkSession, sf_dir: str, holders_first: bool = False) -> DataFrame:
+    """One row per transaction; the columns that a query doesn't use are never read.
+
+    ``holders_first``: orders are joined to their customers first, so lines are shuffled once, by order; else they lie by sender at the end.
+    """
     line, orders, customer = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer"))
     count = customer.agg(F.count("*").alias("__customers"))  # one row
-    rows = line.join(orders, line.l_orderkey == orders.o_orderkey).join(customer, F.col("o_custkey") == F.col("c_custkey")).crossJoin(F.broadcast(count))
+    of_order, of_customer = line.l_orderkey == orders.o_orderkey, orders.o_custkey == customer.c_custkey
+    rows = line.join(orders.join(customer, of_customer), of_order) if holders_first else line.join(orders, of_order).join(customer, of_customer)
+    rows = rows.crossJoin(F.broadcast(count))
     base = rows.select(*[F.expr(e.replace("{customers}", "__customers")).alias(k) for k, e in _FIELDS.items()])
     hms = F.concat(*[F.lpad(F.expr(e).cast("string"), 2, "0") for e in ("secs div 3600", "secs div 60 % 60", "secs % 60")])
     return base.select("*", F.expr(_CARD).alias("card"), F.date_format("day", "yyyyMMdd").alias("pdate"), hms.alias("loc_trans_tm"))

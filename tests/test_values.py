@@ -119,6 +119,23 @@ def test_compatible_features_and_score(spark):
     assert {r.card: r.score for r in rank_sum_score(f).collect()} == {1: 2.5, 2: 1.5, 3: 4.0}
 
 
+def test_features_make_the_transactions_once(spark):
+    """Both aggregations read one table of flags by card; which join comes first changes no row; unknown flags stay unknown, and one card may have all rows."""
+    from ledgerlens.plans import scratch
+    from ledgerlens.sources.transactions import transactions
+
+    d = "/root/testdata/sf0.001"
+    by_sender, by_order = transactions(spark, d), transactions(spark, d, holders_first=True)
+    assert by_sender.columns == by_order.columns
+    assert by_sender.exceptAll(by_order).isEmpty() and by_order.exceptAll(by_sender).isEmpty() and by_order.count() > 0
+    found = scratch.roots_of(card_features(by_order))
+    assert "lineitem.parquet" not in found and any(f.startswith("by_card-") for f in found)
+    hub = by_order.withColumns({"card": F.lit(7), "trans_md": F.lit(None).cast("string")})
+    got, n = card_features(hub).collect(), hub.count()
+    assert [(r.card, r.tot_counts, r.tot_foreign) for r in got] == [(7, n, None)]
+    assert got[0].distinct_cards_in == hub.where("trans_id = 'S33'").select("srccard").distinct().count() > 0
+
+
 def test_unknown_edge_types_raise(spark):
     from ledgerlens.operators import hetero
 
