@@ -76,15 +76,37 @@ MODES = ("card_class", "mchnt_tp", "trans_chnl", "acpt_ins_tp", "resp_cd4")
 COUNTED = ("acpt_bank", "mchnt_cd", "term_id", "fwd_ins_id_cd", "rcv_ins_id_cd")
 
 
+#: What merged edges and communities read of a transfer.
+TRANSFER = ("srccard", "dstcard", "money", "charge", "loc_trans_tm", "trans_md", "region_cd", "address", *MODES, *COUNTED)
+
+
+def _of_transfer() -> dict[str, Column]:
+    """What a merged edge sums up, for one transfer. Charges are whole ten-thousandths, whose sum is the same in any order."""
+    night = F.left("loc_trans_tm", F.lit(2)).between("01", "05").cast("int")
+    return {"money": F.col("money"), "cnt": F.lit(1).cast("long"), "charge4": F.round(F.col("charge") * 10000).cast("long"), "night": night, "other_city": F.coalesce(F.col("trans_md") == "2", F.lit(False)).cast("int")}
+
+
+def merge_sums(tx: DataFrame) -> DataFrame:
+    """One edge for each (srccard, dstcard): sums only."""
+    return tx.groupBy(F.col("srccard").alias("src"), F.col("dstcard").alias("dst")).agg(*[F.sum(c).alias(k) for k, c in _of_transfer().items()])
+
+
 def merge_transfers(tx: DataFrame) -> DataFrame:
-    """One edge for each (srccard, dstcard): sums, the mode of each of MODES (the least of equals), distinct counts of COUNTED.
+    """As `merge_sums`, with the mode of each of MODES (the least of equals) and distinct counts of COUNTED.
 
-    One shuffle: modes and sets are merged on the map side and hold at most as many values as a code has.
-    Charges are summed as whole ten-thousandths, which gives the same in any order.
+    Pairs with one transfer are taken as they are: buffers of modes and sets take many times as long as the rows themselves. For the others
+    these are merged on the map side and hold at most as many values as a code has; pairs of very many transfers come to them by broadcast.
     """
-    night = F.left("loc_trans_tm", F.lit(2)).between("01", "05").cast("int")
-    sums = [F.sum("money").alias("money"), F.count("*").alias("cnt"), F.sum(F.round(F.col("charge") * 10000).cast("long")).alias("charge4"), F.sum(night).alias("night"), F.count_if(F.col("trans_md") == "2").alias("other_city")]
-    return tx.groupBy(F.col("srccard").alias("src"), F.col("dstcard").alias("dst")).agg(*sums, *[F.mode(c, True).alias(f"mode_{c}") for c in MODES], *[F.size(F.collect_set(c)).cast("long").alias(f"n_{c}") for c in COUNTED])
+    tx = tx if hasattr(tx, "_scratch_path") else scratch.keep(tx.select(*TRANSFER), "transfers")
+    pair = ["srccard", "dstcard"]
+    several = scratch.keep(tx.groupBy(*pair).agg(F.count("*").alias("__n")).where("__n > 1"), "several")
+    there = [F.col("srccard").alias("src"), F.col("dstcard").alias("dst")]
+    sums = {k: c.cast("long") for k, c in _of_transfer().items()}
+    one = tx.join(several.select(*pair), pair, "left_anti")
+    one = one.select(*there, *[c.alias(k) for k, c in sums.items()], *[F.col(c).alias(f"mode_{c}") for c in MODES], *[F.col(c).isNotNull().cast("long").alias(f"n_{c}") for c in COUNTED])
+    more = join_counted(tx, several, pair, "__n").groupBy(*there)
+    more = more.agg(*[F.sum(c).alias(k) for k, c in sums.items()], *[F.mode(c, True).alias(f"mode_{c}") for c in MODES], *[F.size(F.collect_set(c)).cast("long").alias(f"n_{c}") for c in COUNTED])
+    return one.unionByName(more)
 
 
 def community_vertices(edges: DataFrame, kmax: int | None = 6) -> DataFrame:
@@ -126,7 +148,8 @@ QUARTER = ["max_in", "max_out", "big_core_num", "money", "charge", "night", "oth
 def rank_sum_score(features: DataFrame, full: list[str] = FULL, half: list[str] = HALF, quarter: list[str] = QUARTER) -> DataFrame:
     """(card, score): the sum of every feature's ascending dense rank, weighted 1, 1/2 or 1/4; missing features are skipped, nulls are 0.
 
-    Each feature's distinct values are ranked apart, all features in one table (feature, value), so no
+    Only what is not zero is made a row (card, feature, value): a card starts with the ranks that its features have at zero, and each
+    other value adds how far its rank is from there. Each feature's distinct values are ranked apart, all features in one table, so no
     window runs over all cards in one task. Only the wide table is kept; its rows by feature are made anew where they are read.
     """
     features = scratch.keep(features, "score")
@@ -135,13 +158,25 @@ def rank_sum_score(features: DataFrame, full: list[str] = FULL, half: list[str]
         for n in names:
             if n in features.columns:
                 weight[n] = weight.get(n, 0.0) + w
-    rows = features.select("card", F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias("value"), F.lit(w).alias("weight")) for n, w in weight.items()])).alias("x")).select("card", "x.*")
-    values = rows.groupBy("feature", "value").agg(F.count("*").alias("cards"))
-    ordered = scratch.keep(with_index(values, "feature", "value", name="n").select("feature", "value", "n", "cards"), "ranks")
-    base = ordered.groupBy("feature").agg((F.min("n") - 1).alias("base"))
-    ranks = ordered.join(F.broadcast(base), "feature").select("feature", "value", "cards", (F.col("n") - F.col("base")).alias("rank"))  # one row a feature
-    # zero, and other values that very many cards have, are joined by broadcast
-    return join_counted(rows, ranks, ["feature", "value"], "cards").groupBy("card").agg(F.sum(F.col("rank") * F.col("weight")).alias("score"))
+    # features by their place, and last a one for the card itself: an array of numbers, as structs with names take several times as long
+    values = F.array(*[F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in weight], F.lit(1.0))
+    rows = features.select("card", F.posexplode(values).alias("feature", "value")).where("value <> 0")
+    counts = rows.groupBy("feature", "value").agg(F.count("*").alias("cards"))
+    ordered = scratch.keep(with_index(counts, "feature", "value", name="n").select("feature", "value", "n", "cards"), "ranks")
+    known = {r.feature: r for r in ordered.groupBy("feature").agg((F.min("n") - 1).alias("base"), F.sum("cards").alias("cards"), F.count_if(F.col("value") < 0).alias("below")).collect()}  # one row a feature
+    own = len(weight)
+    cards = known[own].cards if known else 0
+    gain, start = F.lit(None), 0.0
+    for i, w in enumerate(weight.values()):
+        r = known.get(i)
+        zero = r is None or r.cards < cards
+        start += w * ((r.below if r else 0) + 1) if zero else 0.0
+        if r:
+            before = F.lit(r.base) + (F.when(F.col("value") < 0, r.below + 1).otherwise(r.below) if zero else 0)
+            gain = F.when(F.col("feature") == i, (F.col("n") - before) * F.lit(w)).otherwise(gain)
+    ranks = ordered.select("feature", "value", "cards", F.when(F.col("feature") == own, F.lit(start)).otherwise(gain).alias("gain"))
+    # what very many cards have is joined by broadcast
+    return join_counted(rows, ranks, ["feature", "value"], "cards").groupBy("card").agg(F.sum("gain").alias("score"))
 
 
 def attach_originals(scores: DataFrame, cards: DataFrame, key: str = "card") -> DataFrame:

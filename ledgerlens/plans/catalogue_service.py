@@ -97,16 +97,16 @@ def _transfers(tx):
 
 
 def _merged(tx, *columns):
-    """Transfers merged by pair, written once. Only the ``columns`` beside src and dst that a query needs, "*" for all: modes and sets take longer than the rest."""
-    merged = features.merge_transfers(_transfers(tx))
-    return scratch.keep(merged.select("src", "dst", *columns) if columns != ("*",) else merged, "merged")
+    """Transfers merged by pair, written once, with the ``columns`` beside src and dst that a query needs; sums only."""
+    return scratch.keep(features.merge_sums(_transfers(tx)).select("src", "dst", *columns), "merged")
 
 
 def _communities(tx):
-    """Members of the communities and their features, from transfers merged once."""
-    merged = _merged(tx, "*")
+    """Members of the communities and their features, from transfers written once and merged once."""
+    transfers = scratch.keep(_transfers(tx).select(*features.TRANSFER), "transfers")
+    merged = scratch.keep(features.merge_transfers(transfers), "merged")
     members = features.community_vertices(merged, None)
-    return members, features.community_features(merged, members, _transfers(tx))
+    return members, features.community_features(merged, members, transfers)
 
 
 MODE = "list_sort(list_transform(map_entries(histogram({c})), lambda e: {{'n': -(e.value::BIGINT), 'v': e.key}}))[1].v AS mode_{c}"

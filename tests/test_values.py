@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import scalars as X
-from ledgerlens.operators import flow, gaps, profiles
+from ledgerlens.operators import features, flow, gaps, profiles
 from ledgerlens.operators import relational as R
 from ledgerlens.operators.features import card_features, rank_sum_score
 from ledgerlens.sources import io
@@ -209,3 +209,37 @@ def test_transit_goes_by_the_rounded_ratio(spark, tmp_path):
     want = sorted(c.sql(registry.ORACLE["transit_vertices"]).fetchall())
     assert want == [(0, 0), (1, 0)]
     assert sorted(map(tuple, registry.QUERIES["transit_vertices"](spark, str(tmp_path)).collect())) == want
+
+
+def _plain_scores(rows, weights):
+    ranks = {n: {v: i + 1 for i, v in enumerate(sorted({r[n] or 0.0 for r in rows}))} for n in weights}
+    return {r["card"]: sum(w * ranks[n][r[n] or 0.0] for n, w in weights.items()) for r in rows}
+
+
+def test_rank_sum_rows_are_what_is_not_zero(spark, monkeypatch):
+    """Negative values, nulls, features that are never or always zero; zeros are no rows."""
+    made = [{"card": i, "a": float(i % 5 - 2), "b": None if i % 3 else float(i), "c": 0.0, "d": float(i % 4 + 1), "e": -1.0 if i % 7 else None, "f": -float(i % 2) - 1} for i in range(40)]
+    made.append({"card": 99, "a": 0.0, "b": None, "c": None, "d": 1.0, "e": 0.0, "f": -1.0})
+    seen = []
+    monkeypatch.setattr(features, "join_counted", lambda left, *a, **b: (seen.append(left.count()), R.join_counted(left, *a, **b))[1])
+    got = rank_sum_score(spark.createDataFrame(made, "card long, a double, b double, c double, d double, e double, f double"), ["a", "b"], ["c", "d", "a"], ["e", "f"])
+    assert {r.card: r.score for r in got.collect()} == _plain_scores(made, {"a": 1.5, "b": 1.0, "c": 0.5, "d": 0.5, "e": 0.25, "f": 0.25})
+    assert seen == [len(made) + sum(1 for r in made for n in "abcdef" if r[n])]
+
+
+def test_modes_of_single_transfers_need_no_buffers(spark, monkeypatch):
+    """Pairs with one transfer are taken as they are, nulls included; modes and sets are made of the others only."""
+    at = {c: None for c in features.TRANSFER} | {"money": 7, "charge": 0.5, "loc_trans_tm": "020000", "trans_md": "2"}
+    kinds = ", ".join(f"{c} {'long' if c in ('srccard', 'dstcard', 'money') else 'double' if c == 'charge' else 'string'}" for c in at)
+    made = [at | {"srccard": i, "dstcard": i + 1, "card_class": "01", "mchnt_cd": "m"} for i in range(20)]
+    made += [at | {"srccard": 1, "dstcard": 2, "card_class": c, "mchnt_cd": c, "trans_md": None} for c in ("02", "02", "01", None)]
+    seen = []
+    monkeypatch.setattr(features, "join_counted", lambda left, right, *a, **b: (seen.append(right.count()), R.join_counted(left, right, *a, **b))[1])
+    tx = spark.createDataFrame([tuple(r.values()) for r in made], kinds)
+    got = {(r.src, r.dst): r for r in features.merge_transfers(tx).collect()}
+    assert seen == [1] and set(got) == {(i, i + 1) for i in range(20)}
+    many, one = got[1, 2], got[3, 4]
+    assert (many.money, many.cnt, many.charge4, many.night, many.other_city, many.mode_card_class, many.n_mchnt_cd, many.mode_resp_cd4, many.n_term_id) == (35, 5, 25000, 5, 1, "01", 3, None, 0)
+    assert (one.money, one.cnt, one.charge4, one.night, one.other_city, one.mode_card_class, one.n_mchnt_cd, one.mode_resp_cd4, one.n_term_id) == (7, 1, 5000, 1, 1, "01", 1, None, 0)
+    sums = {(r.src, r.dst): r.asDict() for r in features.merge_sums(tx).collect()}
+    assert sums == {k: {c: r[c] for c in ("src", "dst", "money", "cnt", "charge4", "night", "other_city")} for k, r in got.items()}
