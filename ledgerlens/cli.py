@@ -16,24 +16,27 @@ from ledgerlens.operators import relational as R
 from ledgerlens.plans import scratch
 from ledgerlens.sources import io
 from ledgerlens.sources import schema as S
-from ledgerlens.sources.transactions import transactions, transfer_edges
+from ledgerlens.sources.transactions import transactions
 
 
 def known_cards(spark: SparkSession, cards: str, tx: DataFrame) -> DataFrame:
     """(oricard, card) of every listed line; card is null where no transaction has it."""
     listed = io.read_delimited(spark, cards, S.MD5_CARD, ",").where("md5card <> ''").distinct()
-    every = tx.select("card").distinct()
-    names = every.select("card", F.col("card").cast("string").alias("md5card")).unionByName(every.select("card", F.md5(F.col("card").cast("string")).alias("md5card")))
+    card = F.col("card").cast("string")
+    names = tx.select("card").distinct().select("card", F.explode(F.array(card, F.md5(card))).alias("md5card"))
     return listed.withColumn("md5card", F.lower("md5card")).join(names, "md5card", "left").select("oricard", "card")
 
 
 def score(spark: SparkSession, cards: str, tables: str, out: str, hops: int = 5, kmax: int | None = None) -> None:
     """Seeds, their neighbourhood, features of its cards and of their communities, scores of the listed ones."""
-    every = transactions(spark, tables)
+    every = transactions(spark, tables, holders_first=True)
+    every = scratch.keep(every.select("card", "trans_id", "trans_curr_cd", *features.TRANSFER), "every")  # made once: all below reads it
     listed = scratch.keep(known_cards(spark, cards, every), "listed")
-    near = graph.expand(transfer_edges(spark, tables), listed.where("card is not null").select(F.col("card").alias("vid")), hops)
-    tx = scratch.keep(R.restricted(every, near.select(F.col("vid").alias("card")), "card"), "near")
-    transfers = tx.where(F.col("trans_id").isin(S.TRANSFER_IN, S.TRANSFER_OUT) & (F.col("srccard") != F.col("dstcard")))
+    between = F.col("trans_id").isin(S.TRANSFER_IN, S.TRANSFER_OUT) & (F.col("srccard") != F.col("dstcard"))
+    edges = every.where(between).select(F.col("srccard").alias("src"), F.col("dstcard").alias("dst"))
+    near = graph.expand(edges, listed.where("card is not null").select(F.col("card").alias("vid")), hops)
+    tx = R.restricted(every, near.select(F.col("vid").alias("card")), "card")
+    transfers = scratch.keep(tx.where(between).select(*features.TRANSFER), "transfers")
     merged = scratch.keep(features.merge_transfers(transfers), "merged")
     members = features.community_vertices(merged, kmax)
     community = members.select(F.col("vid").alias("card"), "cc").join(features.community_features(merged, members, transfers), "cc").drop("cc")

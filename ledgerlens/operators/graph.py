@@ -25,6 +25,8 @@ log = logging.getLogger(__name__)
 CHAIN_ROUNDS = 16
 #: if in half as many rounds running fewer than one vertex in so many fell: else looking for chains costs more than the rounds that it saves.
 CHAIN_SHARE = 256
+#: Core numbers lie in a bucket file for so many edges, in eight at least and never in more than there are shuffle partitions: a round of a small graph is mostly opening and writing files.
+CORE_EDGES, CORE_BUCKETS = 100_000, 8
 #: Hash orders in which strong components look for pivots at once.
 PIVOT_ORDERS = 2
 #: Strong components first look around one vertex where there are over so many edges a vertex: only there may most vertices be in one component.
@@ -104,10 +106,10 @@ def touching_communities(edges: DataFrame, members: DataFrame, chosen: DataFrame
     return edges.join(hit, ["src", "dst"], "left_semi")
 
 
-def _near_edges(edges: DataFrame) -> DataFrame:
+def _near_edges(edges: DataFrame, buckets: int) -> DataFrame:
     """(vid, other, w): every edge from both ends, parallel ones counted; a self-loop counts twice. Bucketed by vid."""
     ways = F.explode(F.array(F.struct(F.col("src").alias("vid"), F.col("dst").alias("other")), F.struct(F.col("dst").alias("vid"), F.col("src").alias("other"))))
-    return scratch.keep_bucketed(edges.select(ways.alias("e")).select("e.*").groupBy("vid", "other").agg(F.count("*").alias("w")), "near", "vid")
+    return scratch.keep_bucketed(edges.select(ways.alias("e")).select("e.*").groupBy("vid", "other").agg(F.count("*").alias("w")), "near", "vid", buckets=buckets)
 
 
 def _h_index(bars: str) -> Column:
@@ -145,8 +147,10 @@ def core_numbers(edges: DataFrame, most: int | None = None, max_rounds: int | No
     more. Each vertex keeps how many of its edges lead to each number. In a round those that fell say so along their edges, which is all that is
     shuffled, and who is told takes the h of what it then knows. Edges and states lie in bucket files by vertex; one table is written a round.
     """
-    near = _near_edges(edges)
-    buckets = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = edges if hasattr(edges, "_scratch_path") else scratch.keep(edges.select("src", "dst"), "core")
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(parts, max(CORE_BUCKETS, edges.count() // CORE_EDGES))
+    near = _near_edges(edges, buckets)
     degree = scratch.keep(near.groupBy("vid").agg(F.sum("w").alias("core")), "cores")
     if most is not None:
         degree = degree.select("vid", F.least("core", F.lit(most)).alias("core"))
@@ -155,7 +159,7 @@ def core_numbers(edges: DataFrame, most: int | None = None, max_rounds: int | No
     now = scratch.keep_bucketed(now, "cores", "vid", buckets=buckets)
     scratch.drop(degree)
     chain, total, n, slow = CHAIN_ROUNDS, now.count(), 0, 0
-    with scratch.settings(edges.sparkSession, PLANNED):
+    with scratch.settings(edges.sparkSession, PLANNED | {"spark.sql.shuffle.partitions": str(buckets)}):
         for i in _rounds(max_rounds):
             if i and 2 * n > total:  # to tell all anew is less than what fell where it was and where it is
                 known = now.drop("bars").join(_bars(told(now.select("vid", "core")), "bars"), "vid").withColumn("told", F.lit(True))
@@ -201,7 +205,7 @@ def k_core_degrees(edges: DataFrame, k: int) -> DataFrame:
 
 def k_core_labels(edges: DataFrame, kmax: int | None, vertex: DataFrame | None = None) -> DataFrame:
     """(vid, core): the core number of each vertex, at most ``kmax`` - 1 (null: no limit); vertices without edges get 0."""
-    core = core_numbers(edges.select("src", "dst"), None if kmax is None else kmax - 1).withColumn("core", F.col("core").cast("int"))
+    core = core_numbers(edges, None if kmax is None else kmax - 1).withColumn("core", F.col("core").cast("int"))
     return core if vertex is None else core.unionByName(vertex.select("vid").distinct().join(core, "vid", "left_anti").withColumn("core", F.lit(0)))
 
 

@@ -330,3 +330,19 @@ def test_states_go_only_where_their_edges_lie(spark):
         with pytest.raises(RuntimeError):
             graph.page_rank(edges(spark, CYCLES), tol=1e-9, max_rounds=1)
         assert not spark.sql("SHOW TABLES LIKE 'ledgerlens*'").where("isTemporary = false").collect()
+
+
+def test_small_graphs_lie_in_few_bucket_files(spark, monkeypatch):
+    """Core numbers of a small graph: eight bucket files, however many shuffle partitions there are; a larger one has more."""
+    pairs = {(i, (i * 7 + k) % 60) for i in range(60) for k in range(1, 4) if i != (i * 7 + k) % 60}
+    e = spark.createDataFrame(sorted(pairs), "src long, dst long")
+    seen = []
+    keep = scratch.keep_bucketed
+    monkeypatch.setattr(scratch, "keep_bucketed", lambda df, name, *c, buckets=None, **k: (seen.append(buckets), keep(df, name, *c, buckets=buckets, **k))[1])
+    with scratch.settings(spark, {"spark.sql.shuffle.partitions": "40"}):
+        assert {r.vid: r.core for r in graph.core_numbers(e).collect()} == plain_cores(pairs)
+        assert set(seen) == {8}
+        seen.clear()
+        monkeypatch.setattr(graph, "CORE_EDGES", 10)
+        assert {r.vid: r.core for r in graph.core_numbers(e).collect()} == plain_cores(pairs)
+        assert set(seen) == {len(pairs) // 10}
